@@ -6,3 +6,10 @@
 ``streaming``  Structured Streaming forms of the incremental operators
 ``plans``      the operators wired together and bound to tables
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -59,9 +59,8 @@ def _truthy(v: Column) -> Column:
     return F.when(nested, F.when(~text.isin("{}", "[]"), text)).otherwise(_truthy_text(v))
 
 
-def _length(v: Column) -> Column:
+def _length(v: Column, kind: Column) -> Column:
     """Struct (fixed, base, min, max, formula) of the length shapes in use."""
-    kind = F.schema_of_variant(v)
     fixed_length, variable = _get(v, "$.fixed"), _get(v, "$.variable")
     low, high = _get(v, "$.min", "bigint"), _get(v, "$.max", "bigint")
     listed = F.array_sort(v.try_cast("array<bigint>"))
@@ -133,7 +132,8 @@ def normalize(documents: DataFrame, document: str = "document", name: str = "mes
         .when(F.col("_class").isNull(), F.lit("no class_id"))
         .when(F.col("_msg").isNull(), F.lit("no message_id"))
     )
-    rows = rows.withColumn("reason", reason)
+    # A generated column: filters on it are not rewritten into copies of all the parsing above.
+    rows = rows.select("*", F.explode(F.array(reason)).alias("reason"))
     rejects = rows.where("reason is not null").select(name, "reason")
 
     payload = _get(c, "$.payload")
@@ -146,16 +146,24 @@ def normalize(documents: DataFrame, document: str = "document", name: str = "mes
         (_has_items(_get(c, "$.payload_structure")), _get(c, "$.payload_structure"), F.coalesce(_get(c, "$.length_bytes"), _get(c, "$.payload_length")), _get(c, "$.repeated_groups")),
     ]
 
-    def pick(index, otherwise):
-        return n._first_case([(F.coalesce(s[0], F.lit(False)), s[index]) for s in shapes], otherwise)
-
     empty = F.array().cast("array<variant>")
-    fields = F.coalesce(pick(1, none).try_cast("array<variant>"), empty)
-    named = F.filter(fields, lambda f: F.coalesce(_get(f, "$.name", "string"), F.lit("")) != "")
     block = _get(payload, "$.repeated_block")
-    groups = F.when(block.isNotNull(), F.array(block)).otherwise(
-        F.coalesce(pick(3, _get(payload, "$.repeated_groups")).try_cast("array<variant>"), empty)
-    )
+    # Each shape is picked once, as a column, so that later expressions stay small.
+    rows = rows.where("reason is null").withColumns({
+        "_shape": n._first_case([(F.coalesce(s[0], F.lit(False)), F.lit(i)) for i, s in enumerate(shapes)], F.lit(-1)),
+        "_payload_groups": F.when(block.isNotNull(), F.array(block)),
+    })
+
+    def pick(index, otherwise):
+        return n._first_case([(F.col("_shape") == i, s[index]) for i, s in enumerate(shapes)], otherwise)
+
+    rows = rows.withColumns({
+        "_fields": F.coalesce(pick(1, none).try_cast("array<variant>"), empty),
+        "_length": pick(2, _get(payload, "$.length")),
+        "_groups": F.coalesce("_payload_groups", pick(3, _get(payload, "$.repeated_groups")).try_cast("array<variant>"), empty),
+    })
+    rows = rows.withColumn("_length_kind", F.schema_of_variant("_length"))
+    named = F.filter("_fields", lambda f: F.coalesce(_get(f, "$.name", "string"), F.lit("")) != "")
     kind = F.lower(F.coalesce(_get(c, "$.message_type", "string"), F.lit("output")))
     types = F.create_map(*[F.lit(x) for pair in fixed.MESSAGE_TYPES.items() for x in pair])
     verdicts = F.coalesce(_get(F.col("_adj"), "$.extraction_verdicts", "array<variant>"), empty)
@@ -164,15 +172,15 @@ def normalize(documents: DataFrame, document: str = "document", name: str = "mes
     )
     level = F.coalesce(_get(F.col("_adj"), "$.canonical_confidence", "string"), F.lit("unknown"))
     count = F.coalesce(_get(F.col("_d"), "$.num_extractions", "string"), F.lit("0"))
-    registry = rows.where("reason is null").select(
+    registry = rows.select(
         F.coalesce(_get(c, "$.name", "string"), F.col(name)).alias("name"),
         F.col("_class").alias("class_id"),
         F.col("_msg").alias("message_id"),
         F.coalesce(F.try_element_at(types, kind), F.lit("output")).alias("message_type"),
         n.blank_to_null(_get(c, "$.description", "string")).alias("description"),
-        _length(pick(2, _get(payload, "$.length"))).alias("length"),
+        _length(F.col("_length"), F.col("_length_kind")).alias("length"),
         F.transform(named, _field).alias("fields"),
-        F.transform(groups, _group).alias("repeated_groups"),
+        F.transform("_groups", _group).alias("repeated_groups"),
         sources.alias("source_manuals"),
         F.concat(F.lit("Confidence: "), level, F.lit(", Sources: "), count).alias("comment"),
     )

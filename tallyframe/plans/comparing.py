@@ -255,9 +255,10 @@ def incomplete_lists(spark, folder):
     )
 
 
-@query("""SELECT DISTINCT source FROM documents WHERE regexp_matches(lower(text), 'offset|type|length|missing|extra|size|count|byte|payload|bitfield')""")
+@query("""SELECT DISTINCT doc_id FROM documents WHERE regexp_matches(lower(text), 'license|copyright|password')""")
 def issue_keywords(spark, folder):
-    return compare.keyword_issues(table(spark, folder, "documents"), "source", "text")
+    words = ["license", "copyright", "password"]
+    return compare.keyword_issues(table(spark, folder, "documents"), "doc_id", "text", words)
 
 
 @query("""
