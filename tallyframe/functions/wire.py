@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import fixed
-from .naming import _col, type_base
+from .naming import _col
 
 WORD = "decimal(20,0)"
 
@@ -18,10 +18,18 @@ def slice_bytes(data, offset, size) -> Column:
     return F.substring(_col(data), _col(offset).cast("int") + 1, _col(size).cast("int"))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _swap_bytes(hexed: Column) -> Column:
+    return F.regexp_replace(F.reverse(hexed), "(.)(.)", "$2$1")
+
+
 def reversed_hex(data) -> Column:
-    """Hex of up to eight bytes, last byte first."""
-    h = F.hex(_col(data))
-    return F.concat(*[F.substring(h, i, 2) for i in range(15, 0, -2)])
+    """Hex of some bytes, last byte first."""
+    return _swap_bytes(F.hex(_col(data)))
 
 
 def unsigned(data) -> Column:
@@ -29,39 +37,48 @@ def unsigned(data) -> Column:
     return F.conv(reversed_hex(data), 16, 10).cast(WORD)
 
 
-def signed(data) -> Column:
-    value, bits = unsigned(data), F.length(_col(data)) * 8
-    tops = {8 * s: str(2 ** (8 * s)) for s in (1, 2, 4, 8)}
-    out = value
-    for width, top in tops.items():
-        full = F.lit(top).cast("decimal(21,0)")
-        half = F.lit(str(int(top) // 2)).cast(WORD)
-        out = F.when((bits == width) & (value >= half), (value - full).cast(WORD)).otherwise(out)
+def _by_size(size: Column, exponent: int) -> Column:
+    """2 ** (8 * size - exponent) for sizes 1, 2, 4 and 8."""
+    out = F.lit(None).cast("decimal(21,0)")
+    for s in (1, 2, 4, 8):
+        out = F.when(size == s, F.lit(str(2 ** (8 * s - exponent))).cast("decimal(21,0)")).otherwise(out)
     return out
 
 
+def signed(data) -> Column:
+    size = F.length(_col(data))
+
+    def body(v):
+        return F.when(v >= _by_size(size, 1), (v - _by_size(size, 0)).cast(WORD)).otherwise(v)
+
+    return let(unsigned(data), body)
+
+
 def float_value(data) -> Column:
     """IEEE 754 value of 4 or 8 little-endian bytes, from its bits; exact."""
-    data = _col(data)
-    h = reversed_hex(data)
-    is_double = F.length(data) == 8
-    top = F.conv(F.substring(h, 1, 3), 16, 10).cast("int")
-    word = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
-    negative = F.when(is_double, top >= 2048).otherwise(word >= 2**31)
-    exponent = F.when(is_double, top % 2048).otherwise(F.shiftright(word, 23) % 256)
-    fraction = F.when(is_double, F.conv(F.substring(h, 4, 13), 16, 10).cast("bigint")).otherwise(word % (1 << 23)).cast("double")
-    steps = F.when(is_double, F.lit(float(1 << 52))).otherwise(F.lit(float(1 << 23)))
-    bias, full = F.when(is_double, 1023).otherwise(127), F.when(is_double, 2047).otherwise(255)
-    two = F.lit(2.0)
-    normal = (F.lit(1.0) + fraction / steps) * F.pow(two, (exponent - bias).cast("double"))
-    subnormal = (fraction / steps) * F.pow(two, (F.lit(1) - bias).cast("double"))
-    magnitude = (
-        F.when((exponent == full) & (fraction == 0), F.lit(float("inf")))
-        .when(exponent == full, F.lit(float("nan")))
-        .when(exponent == 0, subnormal)
-        .otherwise(normal)
-    )
-    return F.when(negative, -magnitude).otherwise(magnitude)
+    double = F.length(_col(data)) == 8
+
+    def parts(h):
+        top = F.conv(F.substring(h, 1, 3), 16, 10).cast("bigint")
+        single = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+        fraction = F.when(double, F.conv(F.substring(h, 4, 13), 16, 10).cast("bigint")).otherwise(single % (1 << 23))
+        return F.struct(
+            F.substring(h, 1, 1).isin(list("89ABCDEF")).alias("negative"),
+            F.when(double, top % 2048).otherwise(F.shiftright(single, 23) % 256).cast("int").alias("exponent"),
+            (fraction.cast("double") / F.when(double, F.lit(float(1 << 52))).otherwise(F.lit(float(1 << 23)))).alias("fraction"),
+        )
+
+    def value(p):
+        bias, full = F.when(double, 1023).otherwise(127), F.when(double, 2047).otherwise(255)
+        power = F.pow(F.lit(2.0), (F.greatest(p["exponent"], F.lit(1)) - bias).cast("double"))
+        magnitude = (
+            F.when((p["exponent"] == full) & (p["fraction"] == 0), F.lit(float("inf")))
+            .when(p["exponent"] == full, F.lit(float("nan")))
+            .otherwise((F.when(p["exponent"] == 0, F.lit(0.0)).otherwise(F.lit(1.0)) + p["fraction"]) * power)
+        )
+        return F.when(p["negative"], -magnitude).otherwise(magnitude)
+
+    return let(let(reversed_hex(data), parts), value)
 
 
 def text_value(data) -> Column:
@@ -70,21 +87,26 @@ def text_value(data) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "\\x00+$", ""), "[\\x80-\\xff]", "�")
 
 
-def integer_value(data, dtype) -> Column:
-    base = type_base(dtype)
-    number = F.when(base.startswith("I"), signed(data)).otherwise(unsigned(data))
-    raw = unsigned(data).cast("bigint")
-    five, eleven = F.lit(0x1F).cast("bigint"), F.lit(0x7FF).cast("bigint")
-    small = raw.bitwiseAND(five) * F.pow(F.lit(2), F.shiftright(raw, 5)).cast("bigint")
-    large = raw.bitwiseAND(eleven) * F.pow(F.lit(2), F.shiftright(raw, 11)).cast("bigint")
-    return F.when(base == "RU1_3", small.cast(WORD)).when(base == "RU2_5", large.cast(WORD)).otherwise(number)
+def integer_value(data, base) -> Column:
+    """Number of a wire type: I is signed, RU1_3 and RU2_5 are a base shifted by an exponent."""
+    base = _col(base)
+
+    def ranged(raw):
+        one = F.when(base == "RU1_3", F.lit(5)).otherwise(F.lit(11))
+        low = raw.bitwiseAND(F.when(base == "RU1_3", F.lit(0x1F)).otherwise(F.lit(0x7FF)).cast("bigint"))
+        return (low * F.pow(F.lit(2), F.call_function("shiftright", raw, one)).cast("bigint")).cast(WORD)
+
+    return (
+        F.when(base.startswith("I"), signed(data))
+        .when(base.isin(list(fixed.RANGE_FLOAT_SIZES)), let(unsigned(data).cast("bigint"), ranged))
+        .otherwise(unsigned(data))
+    )
 
 
 def little_endian_hex(value, size) -> Column:
     """Hex of a number in ``size`` little-endian bytes (two's complement)."""
     whole = F.lpad(F.conv(_col(value).cast("string"), 10, 16), 16, "0")
-    backwards = F.concat(*[F.substring(whole, i, 2) for i in range(15, 0, -2)])
-    return F.substring(backwards, F.lit(1), _col(size).cast("int") * 2)
+    return F.substring(_swap_bytes(whole), F.lit(1), _col(size).cast("int") * 2)
 
 
 def text_hex(value, size) -> Column:

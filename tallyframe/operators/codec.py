@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, wire
 from ..functions import naming as n
 from . import skew
+from .rules import fits_type
 
 IDS = ["class_id", "message_id"]
 BLOCK = 1 << 22
@@ -222,19 +223,27 @@ def header(frames: DataFrame, frame: str = "frame") -> DataFrame:
         "status", F.coalesce("_shape", F.when(F.col("_sum") != stored, F.lit("bad_checksum")), F.lit("ok"))
     )
     good = F.col("status") == "ok"
-    return rows.withColumns({
-        "class_id": F.when(good, wire.unsigned(F.substring(f, 3, 1)).cast("int")),
-        "message_id": F.when(good, wire.unsigned(F.substring(f, 4, 1)).cast("int")),
-        "payload": F.when(good, wire.slice_bytes(f, F.lit(6), F.col("payload_length"))),
-    }).drop("_shape", "_sum")
+    parts = F.struct(
+        F.when(good, wire.unsigned(F.substring(f, 3, 1)).cast("int")).alias("class_id"),
+        F.when(good, wire.unsigned(F.substring(f, 4, 1)).cast("int")).alias("message_id"),
+        F.when(good, wire.slice_bytes(f, F.lit(6), F.col("payload_length"))).alias("payload"),
+    )
+    # Generated columns: later filters on them are not rewritten into copies of the work above.
+    return rows.select("*", F.inline(F.array(parts))).drop("_shape", "_sum")
 
 
 # -- layouts ---------------------------------------------------------------------------------
 
 
+def _shape():
+    """Base type, bytes per element and element count of ``data_type``, worked out once per registry row."""
+    base = n.type_base("data_type")
+    return base.alias("base"), n.type_size(base).alias("size"), n.type_count("data_type").alias("count")
+
+
 def layouts(messages: DataFrame, fields: DataFrame, variants: DataFrame | None = None) -> DataFrame:
     """One row per message with its variants and fields nested; sized by the registry, not the data."""
-    body = F.struct("pos", "variant", "field", "byte_offset", "data_type")
+    body = F.struct("pos", "variant", "field", "byte_offset", "data_type", *_shape())
     nested = fields.groupBy(*IDS).agg(F.array_sort(F.collect_list(body)).alias("fields"))
     out = messages.join(nested, IDS, "left")
     if variants is None:
@@ -285,48 +294,47 @@ def identify(frames: DataFrame, registry: DataFrame) -> DataFrame:
 # -- decoding --------------------------------------------------------------------------------
 
 
-def _values(payload: Column, offset: Column, dtype: Column) -> dict[str, Column]:
-    """Value columns of one element: numbers past the end are 0, text is cut."""
-    base, size = n.type_base(dtype), n.type_size(n.type_base(dtype))
-    is_text = base == "CH"
-    is_real = base.isin("R4", "R8")
-    text_size = F.greatest(n.type_count(dtype), F.lit(1))
-    raw = wire.slice_bytes(payload, offset, F.when(is_text, text_size).otherwise(size))
-    whole = F.length(raw) == size
-    number = F.when(whole, wire.integer_value(raw, dtype)).otherwise(F.lit(0).cast(wire.WORD))
-    return {
-        "int_value": F.when(~is_text & ~is_real, number),
-        "real_value": F.when(is_real, F.when(whole, wire.float_value(raw)).otherwise(F.lit(0.0))),
-        "text_value": F.when(is_text, wire.text_value(raw)),
-    }
-
-
-def _elements(dtype: Column) -> Column:
-    """Element numbers of a type: 0 for a scalar or text, 0..n-1 for an array, none when variable."""
-    count = F.when(n.type_base(dtype) == "CH", F.when(n.type_count(dtype) > 0, 1).otherwise(0)).otherwise(n.type_count(dtype))
+def _elements(f: Column) -> Column:
+    """Element numbers of a field: 0 for a scalar or text, 0..n-1 for an array, none when variable."""
+    count = F.when(f["base"] == "CH", F.least(f["count"], F.lit(1))).otherwise(f["count"])
     return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
 
 
+def _typed(rows: DataFrame, keys, at: Column) -> DataFrame:
+    """Value columns of the elements in ``_f`` and ``idx``: numbers past the end are 0, text is cut."""
+    f = F.col("_f")
+    is_text, is_real = f["base"] == "CH", f["base"].isin("R4", "R8")
+    offset = at + F.col("idx") * f["size"]
+    raw = wire.slice_bytes(F.col("payload"), offset, F.when(is_text, f["count"]).otherwise(f["size"]))
+    cut = rows.select(*keys, "_f", "idx", raw.alias("_raw"))
+    raw, whole = F.col("_raw"), F.length("_raw") == f["size"]
+    return cut.select(
+        *keys, f["field"].alias("field"), "idx",
+        F.when(~is_text & ~is_real, F.when(whole, wire.integer_value(raw, f["base"])).otherwise(F.lit(0).cast(wire.WORD))).alias("int_value"),
+        F.when(is_real, F.when(whole, wire.float_value(raw)).otherwise(F.lit(0.0))).alias("real_value"),
+        F.when(is_text, wire.text_value(raw)).alias("text_value"),
+    )
+
+
 def decode(identified: DataFrame, keys) -> DataFrame:
     """Values of parsed frames: (keys.., message, variant, field, idx, int_value, real_value, text_value).
 
     Fields without a fixed offset or beyond the payload are left out; arrays give a row per element.
     """
-    long = identified.where("parsed").select(
-        *keys, "message", "variant", "payload", F.explode("fields").alias("_f")
-    )
-    at, dtype = F.col("_f.byte_offset"), F.col("_f.data_type")
+    keys = [*keys, "message", "variant"]
+    long = identified.where("parsed").select(*keys, "payload", F.explode("fields").alias("_f"))
+    at = F.col("_f.byte_offset")
     long = long.where(at.isNotNull() & (at >= 0) & (at < F.length("payload")))
-    long = long.select("*", F.explode(_elements(dtype)).alias("idx"))
-    offset = at + F.col("idx") * n.type_size(n.type_base(dtype))
-    return long.select(*keys, "message", "variant", F.col("_f.field").alias("field"), "idx", *[v.alias(k) for k, v in _values(F.col("payload"), offset, dtype).items()])
+    return _typed(long.select("*", F.explode(_elements(F.col("_f"))).alias("idx")), keys, at)
 
 
 def integer_at(fields: Column, payload: Column, name: Column) -> Column:
     """The number in a frame's field, by name; 0 when it has no such field."""
-    hit = F.try_element_at(F.filter(fields, lambda f: f["field"] == name), F.lit(1))
-    raw = wire.slice_bytes(payload, hit["byte_offset"], n.type_size(hit["data_type"]))
-    return F.coalesce(wire.integer_value(raw, hit["data_type"]).cast("bigint"), F.lit(0).cast("bigint"))
+    hits = F.transform(
+        F.filter(fields, lambda f: f["field"] == name),
+        lambda f: wire.integer_value(wire.slice_bytes(payload, f["byte_offset"], f["size"]), f["base"]).cast("bigint"),
+    )
+    return F.coalesce(F.try_element_at(hits, F.lit(1)), F.lit(0).cast("bigint"))
 
 
 def decode_groups(identified: DataFrame, groups: DataFrame, group_fields: DataFrame, keys) -> DataFrame:
@@ -336,18 +344,18 @@ def decode_groups(identified: DataFrame, groups: DataFrame, group_fields: DataFr
     array<struct<field, multiplier>> added to ``base``.
     """
     names = [*IDS, "variant", "group_name"]
-    body = F.struct("pos", "field", "byte_offset", "data_type")
+    body = F.struct("pos", "field", "byte_offset", "data_type", *_shape())
     nested = group_fields.groupBy(*names).agg(F.array_sort(F.collect_list(body)).alias("_members"))
     dim = skew.null_safe_join(groups, nested, names, "inner").withColumnsRenamed({"variant": "_gv"})
     rows = identified.where("parsed").join(dim, IDS, "inner").where(F.col("variant").eqNullSafe(F.col("_gv")))
-    size = F.length("payload").cast("bigint")
+    total = F.length("payload").cast("bigint")
     base = F.col("base") + F.aggregate(
         F.coalesce("products", F.array().cast("array<struct<field:string,multiplier:bigint>>")),
         F.lit(0).cast("bigint"),
         lambda acc, p: acc + integer_at(F.col("fields"), F.col("payload"), p["field"]) * p["multiplier"],
     )
     rows = rows.withColumn("_base", base)
-    room = F.greatest(F.lit(0).cast("bigint"), F.floor((size - F.col("_base")) / F.col("size")))
+    room = F.greatest(F.lit(0).cast("bigint"), F.floor((total - F.col("_base")) / F.col("size")))
     times = (
         F.when(F.col("repetition") == "count_field", integer_at(F.col("fields"), F.col("payload"), F.col("count_field")))
         .when(F.col("repetition") == "constant", F.col("count"))
@@ -355,15 +363,18 @@ def decode_groups(identified: DataFrame, groups: DataFrame, group_fields: DataFr
         .otherwise(room)
     )
     # A count field may claim more than the payload holds; instances start inside the payload.
-    held = F.ceil((size - F.col("_base")) / F.col("size"))
-    rows = rows.withColumn("_times", F.least(times, held)).where(F.col("_times") > 0)
-    long = rows.select(*keys, "message", "group_name", "payload", "_base", "size", "_members", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_times") - 1)).alias("instance"))
-    long = long.select("*", F.explode("_members").alias("_f"))
-    dtype = F.col("_f.data_type")
-    at = F.col("_base") + F.col("instance") * F.col("size") + F.col("_f.byte_offset")
-    long = long.where(at < F.length("payload")).select("*", F.explode(_elements(dtype)).alias("idx"))
-    offset = at + F.col("idx") * n.type_size(n.type_base(dtype))
-    return long.select(*keys, "message", "group_name", "instance", F.col("_f.field").alias("field"), "idx", *[v.alias(k) for k, v in _values(F.col("payload"), offset, dtype).items()])
+    held = F.ceil((total - F.col("_base")) / F.col("size"))
+    rows = rows.withColumn("_times", F.least(times, held))
+    numbers = F.when(F.col("_times") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("_times") - 1))
+    keys = [*keys, "message", "group_name", "instance"]
+    long = rows.select(
+        *keys[:-1], "payload", "_base", F.col("size").alias("_size"), "_members",
+        F.explode(numbers).alias("instance"),
+    )
+    long = long.select(*keys, "payload", "_base", "_size", F.explode("_members").alias("_f"))
+    at = F.col("_base") + F.col("instance") * F.col("_size") + F.col("_f.byte_offset")
+    long = long.where(at < F.length("payload")).select("*", F.explode(_elements(F.col("_f"))).alias("idx"))
+    return _typed(long, keys, at)
 
 
 # -- meaning of values -----------------------------------------------------------------------
@@ -414,25 +425,18 @@ def conditional(values: DataFrame, selectors: DataFrame, readings: DataFrame, ke
 # -- encoding --------------------------------------------------------------------------------
 
 
-def _fits(value: Column, dtype: Column) -> Column:
-    from .rules import fits_type
-
-    return fits_type(value, dtype)
-
-
-def _number_hex(value: Column, dtype: Column) -> Column:
+def _number_hex(value: Column, base: Column, size: Column) -> Column:
     """Hex of an integer; one that does not fit its type is written as zeros."""
-    size = n.type_size(dtype)
-    safe = F.when(_fits(value, dtype), value).otherwise(F.lit(0).cast(wire.WORD))
+    safe = F.when(fits_type(value, base), value).otherwise(F.lit(0).cast(wire.WORD))
     return wire.little_endian_hex(F.coalesce(safe, F.lit(0).cast(wire.WORD)), size)
 
 
-def element_hex(dtype: Column, int_value: Column, real_value: Column, text_value: Column) -> Column:
-    """Hex of one element from typed value columns."""
-    base = n.type_base(dtype)
-    reals = wire.float_hex(F.when(base.isin("R4", "R8"), F.coalesce(real_value, int_value.cast("double"))), base)
-    texts = wire.text_hex(F.coalesce(text_value, F.lit("")), F.greatest(n.type_count(dtype), F.lit(1)))
-    return F.when(base == "CH", texts).when(base.isin("R4", "R8"), reals).otherwise(_number_hex(int_value, base))
+def element_hex(f: Column, int_value: Column, real_value: Column, text_value: Column) -> Column:
+    """Hex of one element of a registry field from typed value columns."""
+    is_real = f["base"].isin("R4", "R8")
+    reals = wire.float_hex(F.when(is_real, F.coalesce(real_value, int_value.cast("double"))), f["base"])
+    texts = wire.text_hex(F.coalesce(text_value, F.lit("")), f["count"])
+    return F.when(f["base"] == "CH", texts).when(is_real, reals).otherwise(_number_hex(int_value, f["base"], f["size"]))
 
 
 def assemble(parts: Column) -> Column:
@@ -457,15 +461,14 @@ def encode(requests: DataFrame, values: DataFrame, registry: DataFrame, keys) ->
     joined = joined.withColumn("variant", variant).withColumn("_disc", _discriminator(registry))
     own = F.filter("fields", lambda f: f["variant"].eqNullSafe(F.col("variant")) & (f["byte_offset"] >= 0))
     wanted = joined.select(*keys, *IDS, "variant", "_disc", F.explode_outer(own).alias("_f"))
-    dtype = F.col("_f.data_type")
-    wanted = wanted.select("*", F.explode_outer(_elements(F.coalesce(dtype, F.lit("U1")))).alias("idx"))
+    wanted = wanted.select("*", F.explode_outer(_elements(F.col("_f"))).alias("idx"))
     wanted = wanted.withColumn("field", F.col("_f.field"))
     given = values.groupBy(*keys, "field", "idx").agg(F.max(F.struct("int_value", "real_value", "text_value")).alias("_v"))
     filled = skew.null_safe_join(wanted, given, [*keys, "field", "idx"], "left")
     chosen = F.when(F.col("field") == F.col("_disc.field"), F.col("_disc.value").cast(wire.WORD))
     number = F.coalesce(F.col("_v.int_value").cast(wire.WORD), chosen)
-    at = (F.col("_f.byte_offset") + F.col("idx") * n.type_size(n.type_base(dtype))).cast("int")
-    hexed = filled.withColumn("hex", element_hex(dtype, number, F.col("_v.real_value"), F.col("_v.text_value")))
+    at = (F.col("_f.byte_offset") + F.col("idx") * F.col("_f.size")).cast("int")
+    hexed = filled.withColumn("hex", element_hex(F.col("_f"), number, F.col("_v.real_value"), F.col("_v.text_value")))
     part = F.when(F.col("hex").isNotNull(), F.struct(at.alias("at"), F.col("_f.pos").alias("pos"), "idx", "hex"))
     rows = hexed.groupBy(*keys, *IDS, "variant").agg(F.array_sort(F.collect_list(part)).alias("_parts"))
     payload = rows.withColumn("payload", assemble(F.col("_parts"))).drop("_parts")
@@ -492,10 +495,10 @@ def encode_columns(df: DataFrame, class_id: Column, message_id: Column, layout)
         elif base in ("R4", "R8"):
             hexed = wire.float_hex(value.cast("double"), kind)
         else:
-            hexed = _number_hex(value.cast(wire.WORD), kind)
+            hexed = _number_hex(value.cast(wire.WORD), kind, n.type_size(kind))
         parts.append(F.struct(F.lit(offset).alias("at"), hexed.alias("hex")))
     payload = df.withColumn("payload", assemble(F.array(*parts)))
-    return payload.withColumn("frame", wire.frame(class_id, message_id, F.col("payload")))
+    return payload.select("*", F.explode(F.array(wire.frame(class_id, message_id, F.col("payload")))).alias("frame"))
 
 
 def encode_groups(prefixes: DataFrame, instances: DataFrame, keys, base: Column, size: Column) -> DataFrame:
@@ -543,8 +546,8 @@ def key_values(pairs: DataFrame, keys: DataFrame, key_id: str, payload: str) ->
     """
     dim = keys.select(n.parse_id("key_id").alias("_id"), F.col("name").alias("key_name"), "data_type")
     joined = pairs.join(dim, pairs[key_id].cast("bigint") == dim["_id"], "left").drop("_id")
-    base = F.regexp_replace("data_type", "^[EL]", "U")
+    base = F.regexp_replace("data_type", "^E", "U")
     raw = F.col(payload)
     real = F.when(base.startswith("R"), wire.float_value(raw))
-    number = F.when(base == "U", wire.unsigned(raw) % 2).when(~base.startswith("R"), wire.integer_value(raw, base))
+    number = F.when(F.col("data_type") == "L", wire.unsigned(raw) % 2).when(~base.startswith("R"), wire.integer_value(raw, base))
     return joined.withColumns({"int_value": number.cast(wire.WORD), "real_value": real})

@@ -212,7 +212,7 @@ def canonical(votes: DataFrame, entity_name: str, version: str, annotations: Dat
         entity_name, version,
         F.col("winning_value").alias("fingerprint"),
         "agreement_count", "total_count", "confidence",
-        F.round("confidence_score", 3).alias("confidence_score"),
+        F.bround("confidence_score", 3).alias("confidence_score"),
         *([structure] if structure else []),
         "annotation",
         F.when(missing, F.lit("No winning message available")).alias("error"),

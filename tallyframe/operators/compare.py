@@ -81,7 +81,7 @@ def gap_summary(gaps: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "missing").alias("missing"),
         F.count_if(F.col("status") == "orphaned").alias("orphaned"),
     )
-    share = F.round(100.0 * F.col("covered") / F.col("expected"), 1)
+    share = F.bround(100.0 * F.col("covered") / F.col("expected"), 1)
     return out.withColumn("coverage_percent", F.when(F.col("expected") > 0, share).otherwise(F.lit(0.0)))
 
 

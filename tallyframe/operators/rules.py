@@ -201,15 +201,14 @@ def report(*outcomes: DataFrame) -> DataFrame:
 
 def fits_type(value, dtype) -> Column:
     """Whether a number fits a wire type; types without a known range fit."""
-    value, dtype = n._col(value).cast("decimal(20,0)"), n._col(dtype)
-    ranges = []
+    dtype = n._col(dtype)
+    low = high = F.lit(None).cast("decimal(20,0)")
     for size in (1, 2, 4, 8):
         top = 2 ** (8 * size)
-        unsigned = (value >= 0) & (value <= F.lit(str(top - 1)).cast("decimal(20,0)"))
-        signed = (value >= F.lit(str(-(top // 2))).cast("decimal(20,0)")) & (value <= F.lit(str(top // 2 - 1)).cast("decimal(20,0)"))
-        ranges.append((dtype.isin(f"U{size}", f"X{size}", f"E{size}"), unsigned))
-        ranges.append((dtype == f"I{size}", signed))
-    return n._first_case(ranges, F.lit(True))
+        for kinds, least, most in (([f"U{size}", f"X{size}", f"E{size}"], 0, top - 1), ([f"I{size}"], -(top // 2), top // 2 - 1)):
+            low = F.when(dtype.isin(kinds), F.lit(str(least)).cast("decimal(20,0)")).otherwise(low)
+            high = F.when(dtype.isin(kinds), F.lit(str(most)).cast("decimal(20,0)")).otherwise(high)
+    return F.coalesce(n._col(value).cast("decimal(20,0)").between(low, high), low.isNull())
 
 
 def key_rules() -> list[Rule]:
@@ -299,13 +298,13 @@ def validation_summary(votes: DataFrame) -> DataFrame:
         F.count_if(~F.col("has_consensus")).alias("without_consensus"),
         *[F.count_if(level == c).alias(c) for c in fixed.CONFIDENCE_ORDER],
         F.coalesce(F.sum(F.when(level != "single_source", F.col("total_count") - F.col("agreement_count"))), F.lit(0)).alias("total_outliers"),
-        F.round(F.coalesce(F.avg("confidence_score"), F.lit(0.0)), 3).alias("average_confidence_score"),
+        F.bround(F.coalesce(F.avg("confidence_score"), F.lit(0.0)), 3).alias("average_confidence_score"),
     )
 
 
 def serialized(votes: DataFrame, entity) -> DataFrame:
     return votes.select(
-        *entity, "has_consensus", "confidence", F.round("confidence_score", 3).alias("confidence_score"),
+        *entity, "has_consensus", "confidence", F.bround("confidence_score", 3).alias("confidence_score"),
         F.col("winning_value").alias("fingerprint"),
         F.concat(F.col("agreement_count").cast("string"), F.lit("/"), F.col("total_count").cast("string")).alias("agreement"),
         (F.col("total_count") - F.col("agreement_count")).alias("outlier_count"),

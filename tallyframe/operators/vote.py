@@ -281,7 +281,7 @@ def incremental(canonical: DataFrame, members: DataFrame, new: DataFrame, entity
     grown = F.col("_seen").isNotNull() & (total > 1)
     if compat:
         new_label = F.coalesce("_label", F.col("_old.confidence"), F.lit("single_source"))
-        new_score = F.when(grown, F.round(ratio, 3)).otherwise(F.coalesce(F.col("_old.confidence_score"), F.lit(0.5)))
+        new_score = F.when(grown, F.bround(ratio, 3)).otherwise(F.coalesce(F.col("_old.confidence_score"), F.lit(0.5)))
     else:
         new_label = confidence(ratio, total)
         new_score = confidence_score(new_label, ratio)

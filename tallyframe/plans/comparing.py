@@ -50,7 +50,7 @@ def prefix_match(spark, folder):
 SUMMARY = """SELECT count(*) FILTER (expected) AS expected, count(*) FILTER (actual) AS actual, count(*) FILTER (expected AND actual) AS direct_matches,
     count(*) FILTER (has_variants) AS variant_matches, count(*) FILTER (expected AND (actual OR has_variants)) AS covered,
     count(*) FILTER (status = 'missing') AS missing, count(*) FILTER (status = 'orphaned') AS orphaned,
-    round(100.0 * count(*) FILTER (expected AND (actual OR has_variants)) / count(*) FILTER (expected), 1) AS coverage_percent"""
+    CAST(round_even(100.0 * count(*) FILTER (expected AND (actual OR has_variants)) / count(*) FILTER (expected), 1) AS DOUBLE) AS coverage_percent"""
 
 
 @query(GAPS + SUMMARY + ", 'names' AS part FROM gaps UNION ALL " + SUMMARY.replace("has_variants", "false") + """, 'types' AS part FROM (

@@ -119,13 +119,13 @@ SELECT count(*) AS total, count(*) FILTER (has_consensus) AS with_consensus,
     count(*) FILTER (confidence = 'low') AS low, count(*) FILTER (confidence = 'medium') AS medium,
     count(*) FILTER (confidence = 'high') AS high,
     CAST(sum(total_count - agreement_count) AS BIGINT) AS total_outliers,
-    round(avg(score), 3) AS average_confidence_score FROM votes""")
+    round_even(avg(score), 3) AS average_confidence_score FROM votes""")
 def validation_report(spark, folder):
     return rules.validation_summary(line_votes(spark, folder))
 
 
 @query(VOTES + """
-SELECT l_orderkey, has_consensus, confidence, round(score, 3) AS confidence_score, winning_value AS fingerprint,
+SELECT l_orderkey, has_consensus, confidence, round_even(score, 3) AS confidence_score, winning_value AS fingerprint,
     agreement_count || '/' || total_count AS agreement, total_count - agreement_count AS outlier_count
 FROM votes WHERE agreement_count < total_count OR NOT has_consensus""")
 def discrepancy_report(spark, folder):
@@ -262,7 +262,7 @@ labelled AS (SELECT *, CASE WHEN a / t >= 0.9 AND t >= 3 THEN 'high' WHEN a / t
     (pos > 1 AND agrees AND a / t >= 0.75) AS sets FROM run)
 SELECT o_custkey, any_value(fingerprint) AS fingerprint, max(a) AS agreement_count, max(t) AS total_count,
     coalesce(arg_max(label, pos) FILTER (sets), 'single_source') AS confidence,
-    CASE WHEN max(t) = 1 THEN 0.5 ELSE round(max(a) / max(t), 3) END AS confidence_score
+    CASE WHEN max(t) = 1 THEN 0.5 ELSE round_even(max(a) / max(t), 3) END AS confidence_score
 FROM labelled GROUP BY o_custkey"""
 
 
@@ -284,7 +284,7 @@ def incremental_consensus(spark, folder):
 
 @query(VOTES + """
 , notes AS (SELECT * FROM (VALUES ('high', 'settled'), ('low', 'few sources'), ('low', 'check again')) t(level, note))
-SELECT l_orderkey, winning_value AS fingerprint, round(score, 3) AS confidence_score, note, 'K-' || l_orderkey || '-v' || total_count AS file_key
+SELECT l_orderkey, winning_value AS fingerprint, round_even(score, 3) AS confidence_score, note, 'K-' || l_orderkey || '-v' || total_count AS file_key
 FROM votes LEFT JOIN notes ON confidence = level""")
 def annotations(spark, folder):
     """Canonical records with the annotations of their (name, version)."""

@@ -17,7 +17,7 @@ def write_canonical(votes: DataFrame, path: str, name: str, version: str, requir
     keyed.drop("winning_order").write.mode("overwrite").json(f"{path}/messages")
     manifest = keyed.select(
         "file_key", F.col("winning_value").alias("fingerprint"), "confidence",
-        F.round("confidence_score", 3).alias("confidence_score"),
+        F.bround("confidence_score", 3).alias("confidence_score"),
         F.col("agreement_count").alias("sources"),
         (F.col("total_count") - F.col("agreement_count")).alias("outliers"),
     )
