@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import fixed
-from .naming import _col
+from .naming import _col, let
 
 WORD = "decimal(20,0)"
 
@@ -18,11 +18,6 @@ def slice_bytes(data, offset, size) -> Column:
     return F.substring(_col(data), _col(offset).cast("int") + 1, _col(size).cast("int"))
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _swap_bytes(hexed: Column) -> Column:
     return F.regexp_replace(F.reverse(hexed), "(.)(.)", "$2$1")
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, wire
 from ..functions import naming as n
+from ..session import cut_lineage
 from . import skew
 from .rules import fits_type
 
@@ -34,6 +35,8 @@ FAN = 1024
 
 def _frame_starts(data: np.ndarray, block_bytes: int):
     """Positions in the block at which a whole frame could be cut, and where each would end."""
+    if len(data) < fixed.FRAME_OVERHEAD:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     sync = (data[:-1] == fixed.SYNC[0]) & (data[1:] == fixed.SYNC[1])
     at = np.flatnonzero(sync[:block_bytes])
     at = at[at + fixed.FRAME_OVERHEAD <= len(data)]
@@ -43,11 +46,6 @@ def _frame_starts(data: np.ndarray, block_bytes: int):
     return at[whole], end[whole]
 
 
-def _window(pieces) -> np.ndarray:
-    ordered_pieces = sorted(pieces, key=lambda p: p["at"])
-    return np.frombuffer(b"".join(bytes(p["bytes"]) for p in ordered_pieces), dtype=np.uint8)
-
-
 def _exits(data: np.ndarray, block_bytes: int):
     """Where scanning leaves the block for each place it may enter: (last entry of a run, exit) pairs.
 
@@ -90,11 +88,13 @@ def _cut(data: np.ndarray, block_bytes: int, entry: int):
 
 
 def chunk_offsets(chunks: DataFrame, capture: str, seq: str, data: str, **chunking) -> DataFrame:
-    """Add ``at``, the offset of each chunk in its capture; only lengths are sorted, not the bytes."""
-    sizes = chunks.select(capture, seq, F.length(data).cast("bigint").alias("_len"))
-    placed = skew.ordered(sizes, [capture], [seq], {"at": ("sum_before", F.col("_len"))}, **chunking)
-    placed = placed.select(capture, seq, F.coalesce("at", F.lit(0).cast("bigint")).alias("at"))
-    return skew.null_safe_join(chunks, placed, [capture, seq], "inner")
+    """(capture, seq, at, size): the offset of each chunk in its capture.
+
+    Lengths are written out first, so the bytes are read once for this and never sorted.
+    """
+    sizes = cut_lineage(chunks.select(capture, seq, F.length(data).cast("bigint").alias("size")))
+    placed = skew.ordered(sizes, [capture], [seq], {"at": ("sum_before", F.col("size"))}, **chunking)
+    return cut_lineage(placed.withColumn("at", F.coalesce("at", F.lit(0).cast("bigint"))))
 
 
 def blocks(placed: DataFrame, capture: str, data: str, block: int = BLOCK) -> DataFrame:
@@ -112,7 +112,7 @@ def blocks(placed: DataFrame, capture: str, data: str, block: int = BLOCK) -> Da
     stop = F.least(at + size, (F.col("block") + 1) * block + HALO)
     piece = F.substring(F.col(data), (start - at + 1).cast("int"), (stop - start).cast("int"))
     pieces = spread.where(stop > start).select(capture, "block", start.alias("at"), piece.alias("bytes"))
-    return pieces.groupBy(capture, "block").agg(F.collect_list(F.struct("at", "bytes")).alias("pieces"))
+    return pieces.groupBy(capture, "block").agg(F.expr("listagg(bytes) WITHIN GROUP (ORDER BY at)").alias("window"))
 
 
 def _chained(tables, entry: int) -> int:
@@ -131,7 +131,7 @@ def block_entries(windows: DataFrame, capture: str, block: int = BLOCK, fan: int
 
     def step(batches):
         for pdf in batches:
-            tables = [_exits(_window(p), block) for p in pdf["pieces"]]
+            tables = [_exits(np.frombuffer(w, dtype=np.uint8), block) for w in pdf["window"]]
             yield pd.DataFrame({
                 capture: pdf[capture], "block": pdf["block"],
                 "uppers": [t[0] for t in tables], "exits": [t[1] for t in tables],
@@ -168,37 +168,45 @@ def block_entries(windows: DataFrame, capture: str, block: int = BLOCK, fan: int
             entry = _leave(uppers, exits, entry)
         return pd.DataFrame(out, columns=[capture, "block", "entry"])
 
-    joined = skew.null_safe_join(steps, starts, [capture, "_span"], "inner")
+    joined = steps.join(starts, [capture, "_span"])
     return joined.groupBy(capture, "_span").applyInPandas(down, f"`{capture}` {key_type}, block bigint, entry bigint")
 
 
 def scan(chunks: DataFrame, capture: str, data: str, seq: str | None = None, block: int = BLOCK, fan: int = FAN, **chunking) -> DataFrame:
     """Frames of captures: (capture, offset, frame), found by one greedy pass over each capture.
 
-    ``seq`` orders the chunks of a capture; without it every row is a whole capture. Long captures
-    are scanned in blocks that run in parallel; the result is that of a single pass.
+    ``seq`` orders the chunks of a capture (neither it nor the capture is null); without it every
+    row is a whole capture. Captures longer than a block are scanned in blocks that run in
+    parallel; the result is that of a single pass.
     """
     if seq is None:
         placed = chunks.select(capture, F.col(data).alias("_data"), F.lit(0).cast("bigint").alias("at"))
+        longest = chunks.agg(F.max(F.length(data))).first()[0]
     else:
-        placed = chunk_offsets(chunks.select(capture, seq, F.col(data).alias("_data")), capture, seq, "_data", **chunking)
+        offsets = chunk_offsets(chunks, capture, seq, data, **chunking)
+        longest = offsets.agg(F.max(F.col("at") + F.col("size"))).first()[0]
+        placed = chunks.select(capture, seq, F.col(data).alias("_data")).join(offsets.drop("size"), [capture, seq])
     windows = blocks(placed, capture, "_data", block)
-    entries = block_entries(windows, capture, block, fan)
-    joined = skew.null_safe_join(windows, entries, [capture, "block"], "inner")
+    if (longest or 0) <= block:
+        joined = windows.withColumn("entry", F.lit(0).cast("bigint"))
+    else:
+        joined = windows.join(block_entries(windows, capture, block, fan), [capture, "block"])
 
     def cut(batches):
         for pdf in batches:
-            for key, number, pieces, entry in zip(pdf[capture], pdf["block"], pdf["pieces"], pdf["entry"]):
-                window = _window(pieces)
-                found = _cut(window, block, int(entry))
-                yield pd.DataFrame({
-                    capture: pd.Series([key] * len(found), dtype=pdf[capture].dtype),
-                    "offset": np.array([number * block + a for a, _ in found], dtype="int64"),
-                    "frame": [window[a:b].tobytes() for a, b in found],
-                })
+            keys, offsets, found = [], [], []
+            for i, (number, window, entry) in enumerate(zip(pdf["block"], pdf["window"], pdf["entry"])):
+                spans = _cut(np.frombuffer(window, dtype=np.uint8), block, int(entry))
+                keys += [i] * len(spans)
+                offsets += [number * block + a for a, _ in spans]
+                found += [window[a:b] for a, b in spans]
+            yield pd.DataFrame({
+                capture: pdf[capture].take(keys).reset_index(drop=True),
+                "offset": np.array(offsets, dtype="int64"), "frame": found,
+            })
 
     key_type = dict(chunks.dtypes)[capture]
-    return joined.select(capture, "block", "pieces", "entry").mapInPandas(
+    return joined.select(capture, "block", "window", "entry").mapInPandas(
         cut, f"`{capture}` {key_type}, offset bigint, frame binary"
     )
 

@@ -93,55 +93,71 @@ def group_fields(document: Column) -> Column:
     return F.flatten(F.transform(groups, lambda g: F.coalesce(_part(g, "$.fields", "array<variant>"), empty)))
 
 
-def data_type(variant: Column) -> Column:
-    """Struct (text, size) of a polymorphic data type; a missing one is U1."""
-    kind, base = _kind(variant), _part(variant, "$.array_of")
-    count = _part(variant, "$.count")
+def _type_parts(kind: Column, variant: Column, base: Column, base_kind: Column, count: Column, count_kind: Column) -> Column:
     text, base_text = variant.try_cast("string"), base.try_cast("string")
-    size = n.wire_size(base_text)
-    whole = count.isNull() | (_kind(count) == "BIGINT")
     number = F.when(count.isNull(), F.lit(1).cast("bigint")).otherwise(F.try_variant_get(count, "$", "bigint"))
-    count_text = F.when(_kind(count) == "VOID", F.lit("None")).otherwise(count.try_cast("string"))
+    count_text = F.when(count_kind == "VOID", F.lit("None")).otherwise(count.try_cast("string"))
 
-    def pair(t, s):
-        return F.struct(t.alias("text"), s.cast("bigint").alias("size"))
+    def pair(t, size):
+        return F.struct(t.alias("text"), size.cast("bigint").alias("size"))
 
     array_type = F.when(
-        whole, pair(F.concat(base_text, F.lit("["), number.cast("string"), F.lit("]")), size * number)
+        count.isNull() | (count_kind == "BIGINT"),
+        pair(F.concat(base_text, F.lit("["), number.cast("string"), F.lit("]")), n.wire_size(base_text) * number),
     ).otherwise(pair(F.concat(base_text, F.lit("["), count_text, F.lit("]")), F.lit(0)))
+    is_object = kind.startswith("OBJECT")
     return (
         F.when(variant.isNull(), pair(F.lit("U1"), F.lit(1)))
         .when(kind == "STRING", pair(text, n.wire_size(text)))
-        .when(kind.startswith("OBJECT") & base.isNotNull() & ~_kind(base).startswith("OBJECT"), array_type)
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), pair(_spaced_json(variant), F.lit(1)))
+        .when(is_object & base.isNotNull() & ~base_kind.startswith("OBJECT"), array_type)
+        .when(is_object | kind.startswith("ARRAY"), pair(_spaced_json(variant), F.lit(1)))
         .when(kind == "VOID", pair(F.lit("None"), F.lit(1)))
         .otherwise(pair(text, F.lit(1)))
     )
 
 
+def data_type(variant: Column) -> Column:
+    """Struct (text, size) of a polymorphic data type; a missing one is U1."""
+
+    def parts(v):
+        inner = F.struct(
+            v["t"].alias("t"), _kind(v["t"]).alias("k"), v["b"].alias("b"), _kind(v["b"]).alias("bk"), v["c"].alias("c"), _kind(v["c"]).alias("ck")
+        )
+        return n.let(inner, lambda p: _type_parts(p["k"], p["t"], p["b"], p["bk"], p["c"], p["ck"]))
+
+    return n.let(F.struct(variant.alias("t"), _part(variant, "$.array_of").alias("b"), _part(variant, "$.count").alias("c")), parts)
+
+
 def field_struct(field: Column, position: Column) -> Column:
     """A raw field variant as a typed struct; offsets that are not integers become -1."""
     offset, size = _part(field, "$.byte_offset"), _part(field, "$.size_bytes")
-    dtype = data_type(_part(field, "$.data_type"))
-    byte_offset = F.when(offset.isNull(), F.lit(0).cast("bigint")).when(
-        _kind(offset) == "BIGINT", F.try_variant_get(offset, "$", "bigint")
-    ).otherwise(F.lit(-1).cast("bigint"))
-    declared = F.when(_kind(size) == "STRING", json_text(size.try_cast("string"))).when(
-        _kind(size) == "VOID", F.lit("null")
-    ).otherwise(size.try_cast("string"))
-    original = F.coalesce(_part(field, "$.name", "string"), F.lit(""))
-    return F.struct(
-        byte_offset.alias("byte_offset"),
-        n.field_name(original).alias("name"),
-        position.alias("pos"),
-        original.alias("original_name"),
-        dtype["text"].alias("data_type"),
-        F.when(size.isNull(), dtype["size"]).otherwise(F.try_variant_get(size, "$", "bigint")).alias("size"),
-        F.when(size.isNull(), dtype["size"].cast("string")).otherwise(declared).alias("size_text"),
-        F.try_variant_get(size, "$", "bigint").alias("size_declared"),
-        _part(field, "$.description", "string").alias("description"),
+    raw = F.struct(
+        offset.alias("o"), _kind(offset).alias("ok"), size.alias("s"), _kind(size).alias("sk"),
+        data_type(_part(field, "$.data_type")).alias("t"), F.coalesce(_part(field, "$.name", "string"), F.lit("")).alias("n"),
+        _part(field, "$.description", "string").alias("d"),
     )
 
+    def typed(r):
+        minus, zero = F.lit(-1).cast("bigint"), F.lit(0).cast("bigint")
+        byte_offset = F.when(r["o"].isNull(), zero).when(r["ok"] == "BIGINT", F.try_variant_get(r["o"], "$", "bigint")).otherwise(minus)
+        declared = F.when(r["sk"] == "STRING", json_text(r["s"].try_cast("string"))).when(r["sk"] == "VOID", F.lit("null")).otherwise(
+            r["s"].try_cast("string")
+        )
+        number = F.try_variant_get(r["s"], "$", "bigint")
+        return F.struct(
+            byte_offset.alias("byte_offset"),
+            n.field_name(r["n"]).alias("name"),
+            position.alias("pos"),
+            r["n"].alias("original_name"),
+            r["t"]["text"].alias("data_type"),
+            F.when(r["s"].isNull(), r["t"]["size"]).otherwise(number).alias("size"),
+            F.when(r["s"].isNull(), r["t"]["size"].cast("string")).otherwise(declared).alias("size_text"),
+            number.alias("size_declared"),
+            r["d"].alias("description"),
+        )
+
+    return n.let(raw, typed)
+
 
 def add_fields(documents: DataFrame, structure: str = "structure") -> DataFrame:
     """Add ``fields``: the flattened field structs of each definition, row by row."""

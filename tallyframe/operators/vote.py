@@ -26,9 +26,10 @@ def tally(df: DataFrame, entity, value: str, order, *extra: Column) -> DataFrame
     """Rows per (entity, value): ``n`` and ``first`` (the smallest order tuple)."""
     if not order:
         raise ValueError("a vote needs order columns to settle ties")
-    return df.groupBy(*entity, F.col(value).alias("_value")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("first"), *extra
-    )
+    # One order column keeps its own type in the aggregation buffer, which can then be hashed.
+    first = F.min(order[0]) if len(order) == 1 else F.min(F.struct(*order))
+    counted = df.groupBy(*entity, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("n"), first.alias("first"), *extra)
+    return counted.withColumn("first", F.struct(F.col("first").alias(order[0]))) if len(order) == 1 else counted
 
 
 def _winner(struct: Column) -> Column:
@@ -135,10 +136,7 @@ def ballots(df: DataFrame, votes: DataFrame, entity, value: str, **spreading) ->
 
     This long table is the list of agreeing and disagreeing sources; it has no size limit.
     """
-    counts = votes.select(*entity, F.col("total_count").alias("_n"))
-    joined = skew.spread_join(
-        df, votes.select(*entity, "winning_value"), entity, "inner", counts=counts, **spreading
-    )
+    joined = skew.spread_join(df, votes.select(*entity, "winning_value"), entity, "inner", **spreading)
     return joined.withColumn("agrees", F.col(value).eqNullSafe(F.col("winning_value")))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import wire
 from ..operators import codec, registry
+from ..session import cut_lineage, spread
 from .base import query, table
 
 # class, message and layout of the events' frames: (column, type, offset)
@@ -15,7 +16,7 @@ LAYOUT = [("event_id", "U8", 0), ("user_id", "I4", 8), ("value", "R8", 12), ("si
 
 def events(spark, folder):
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events")).select(
         "event_id", (F.col("user_id") * -1).alias("user_id"), "value", F.round("value", 0).alias("single"), "event_type", (k * 5).alias("flags"),
     )
 
@@ -28,7 +29,8 @@ def chunks(spark, folder):
     """One chunk per event: noise, then the frame; the captures are those of the users."""
     noise = F.unhex(F.repeat(F.lit("00B5FF62"), (F.col("event_id") % 5).cast("int")))
     rows = frames(spark, folder)
-    return rows.select((-F.col("user_id")).alias("capture"), F.col("event_id").alias("seq"), F.concat(noise, F.col("frame")).alias("data"))
+    chunked = rows.select((-F.col("user_id")).alias("capture"), F.col("event_id").alias("seq"), F.concat(noise, F.col("frame")).alias("data"))
+    return cut_lineage(chunked)  # written, as captures are
 
 
 def tables(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators import layout, version
+from ..session import spread
 from .base import query, table
 
 LAST = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"]
@@ -127,7 +128,7 @@ def document_fingerprint(spark, folder):
     nested = F.concat(F.lit('{"' + fixed.WRAPPER + '":{"payload":{"fields":[{"name":"val","data_type":"R8"},{"name":"café","byte_offset":8,"data_type":"X2","size_bytes":9}],"repeated_groups":[{"fields":[{"name":"'), e,
                       F.lit('","byte_offset":"8 + 2*n","data_type":{"array_of":"CH","count":"N"}}]}]}}}'))
     flat = F.concat(F.lit('{"payload_fields":[{"name":"'), e, F.lit('"}],"payload":[]}'))
-    documents = table(spark, folder, "events").select(
+    documents = spread(table(spark, folder, "events")).select(
         "event_id", F.when(kind == 0, bare).when(kind == 1, nested).otherwise(flat).alias("structure")
     )
     return layout.add_fingerprint(layout.add_fields(documents)).select("event_id", "field_count", "fingerprint")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import naming as n
 from ..operators import collection, enums, keys
+from ..session import spread
 from .base import query, table
 
 P = fixed.MESSAGE_PREFIX
@@ -147,7 +148,7 @@ def described_parts(spark, folder):
     more = F.concat(both, F.lit("; • 0x"), F.lower(F.hex(size)), F.lit(" = "), "p_name", F.lit(" (hex) .\n0 = again"))
     more = F.replace(more, F.lit("; •"), F.lit(" •"))
     text = F.when(size < 10, F.concat(F.lit("3 = "), "p_name")).when(size < 25, both).otherwise(more)
-    return table(spark, folder, "part").withColumn("description", text)
+    return spread(table(spark, folder, "part")).withColumn("description", text)
 
 
 @query(PAIRS + """
@@ -248,7 +249,7 @@ def adjudicated(spark, folder):
         F.when(kind == 0, whole(nested)).when(kind == 1, whole(flat, True)).when(kind == 2, whole(listed)).when(kind == 3, F.lit('{"adjudication":{}}'))
         .when(kind == 4, whole(F.lit('"text"'))).when(kind == 5, whole(F.lit('{"class_id":"0x01"}'))).otherwise(F.lit("{broken"))
     )
-    return table(spark, folder, "events").select(F.col("event_id").cast("string").alias("message_name"), document.alias("document"))
+    return spread(table(spark, folder, "events")).select(F.col("event_id").cast("string").alias("message_name"), document.alias("document"))
 
 
 @query(DOCUMENTS + """

@@ -43,3 +43,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = run_dir(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out over the cores when its input has fewer splits than that; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
