@@ -148,10 +148,12 @@ def sorted_registry(messages: DataFrame, class_id="class_id", message_id="messag
 
 
 def entity_versions(entity_source: DataFrame, source_meta: DataFrame, entity, source: str, version: str) -> DataFrame:
-    """Distinct (entity, version) pairs through the sources' metadata; unknown and zero versions drop out."""
+    """Distinct (entity, version) pairs through the sources' metadata; unknown and zero versions drop out.
+
+    A source has one version."""
     pairs = entity_source.select(*entity, source).distinct()
-    meta = source_meta.where(F.col(version) != 0).select(source, version).distinct()
-    return pairs.join(meta, source).select(*entity, version).distinct()
+    meta = source_meta.where(F.col(version) != 0).groupBy(source).agg(F.max(version).alias(version))
+    return skew.spread_join(pairs, meta, [source], "inner").select(*entity, version).distinct()
 
 
 def supported_versions(entity_source: DataFrame, source_meta: DataFrame, entity, source: str, version: str, keep_empty=True) -> DataFrame:

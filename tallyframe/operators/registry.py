@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import naming as n
+from . import skew
 
 
 def name_index(messages: DataFrame, order, name="name", aliases="variant_aliases") -> DataFrame:
@@ -17,8 +18,8 @@ def name_index(messages: DataFrame, order, name="name", aliases="variant_aliases
 
 
 def find_by_name(requests: DataFrame, messages: DataFrame, request: str, order, name="name", aliases="variant_aliases") -> DataFrame:
-    index = name_index(messages, order, name, aliases)
-    return requests.join(index, requests[request] == index["lookup"], "left").drop("lookup")
+    index = name_index(messages, order, name, aliases).withColumnRenamed("lookup", request)
+    return skew.spread_join(requests, index, [request], "left")
 
 
 def variant_index(variants: DataFrame, aliases: DataFrame) -> DataFrame:

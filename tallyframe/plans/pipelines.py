@@ -1,0 +1,44 @@
+"""The operators in the order they are used: from documents to a registry, keys and decoded captures."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import codec, keys, merge, vote
+from ..sources import readers
+
+
+def preliminary_votes(extractions: DataFrame) -> DataFrame:
+    """Extractions grouped by (message, version) and voted on; sources in name order."""
+    return vote.preliminary(extractions, ["message_name", "protocol_version"], "fingerprint", ["manual"])
+
+
+def consensus(extractions: DataFrame) -> DataFrame:
+    """Consensus over extraction bundles in reading order, with the winning structure."""
+    entity = ["message_name", "protocol_version"]
+    votes = vote.vote(extractions, entity, "fingerprint", ["seq"])
+    return vote.with_winning_row(votes, extractions, entity, ["seq"], ["structure"])
+
+
+def final_decisions(reviewed: DataFrame) -> DataFrame:
+    """Reviewed extractions decided per (message, version)."""
+    return vote.determine(reviewed, ["message_name", "protocol_version"], "fingerprint", "verdict", ["manual"], "review_confidence")
+
+
+def merged_keys(loaded: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Key bundles merged by id: (compliant keys, enumeration values, sources per key)."""
+    named = loaded.where("name <> ''")
+    merged = merge.provenance(
+        named, ["key_id"], "source", ["seq"], first=["name", "data_type", "scale", "unit"], longest=["description"]
+    )
+    items = keys.valid_enum_items(readers.key_enum_items(named), "value")
+    enum = merge.enum_union(items, ["key_id"], "name", "value", ["seq"], columns=["description"])
+    return keys.compliant(merged), enum, merge.members(named, ["key_id"], "source")
+
+
+def decoded_capture(captures: DataFrame, messages: DataFrame, fields: DataFrame, variants: DataFrame | None = None) -> DataFrame:
+    """Capture files scanned, checked and decoded against a registry."""
+    frames = codec.header(codec.scan(captures, "capture", "data"))
+    found = codec.identify(frames.where(F.col("status") == "ok"), codec.layouts(messages, fields, variants))
+    return codec.decode(found, ["capture", "offset"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import skew
 from ..session import run_dir
 from ..streaming import consensus as consensus_stream
 from ..streaming import frames as frame_stream
@@ -33,10 +34,10 @@ SELECT user_id AS capture, CAST(coalesce(sum({captures.SIZES}) OVER (PARTITION B
     CAST(44 AS INT) AS size FROM e""")
 def stream_frames(spark, folder):
     """Chunks of each user's capture, numbered by batch, reassembled into frames as they arrive."""
-    from pyspark.sql import Window as W
-
     path = run_dir(spark, "chunks")
-    numbered = captures.chunks(spark, folder).withColumn("seq", F.row_number().over(W.partitionBy("capture").orderBy("seq")).cast("bigint"))
+    chunks = captures.chunks(spark, folder)
+    counted = skew.ordered(chunks.select("capture", "seq"), ["capture"], ["seq"], {"n": ("sum_before", F.lit(1).cast("bigint"))})
+    numbered = chunks.join(counted, ["capture", "seq"]).select("capture", F.coalesce("n", F.lit(0).cast("bigint")).alias("seq"), "data")
     numbered.write.parquet(f"{path}/in")
     stream = spark.readStream.schema(numbered.schema).parquet(f"{path}/in")
     found = frame_stream.frames(stream, "capture", "seq", "data")
