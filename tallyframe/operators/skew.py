@@ -19,7 +19,7 @@ HOT_FLOOR = 1 << 20
 PIECES = 64
 
 
-def hot_keys(df: DataFrame, keys, counts: DataFrame | None = None, share=HOT_SHARE, floor=HOT_FLOOR) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys, counts: DataFrame | None = None, share=None, floor=None) -> DataFrame | None:
     """Keys with more than ``floor`` rows and more than ``share`` of the table, with their count ``_n``.
 
     Runs one aggregation to find out; None when there is no such key, so that the usual case keeps
@@ -28,6 +28,7 @@ def hot_keys(df: DataFrame, keys, counts: DataFrame | None = None, share=HOT_SHA
     if counts is None:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
+    share, floor = HOT_SHARE if share is None else share, HOT_FLOOR if floor is None else floor
     limit = max(floor, share * (total or 0))
     if (largest or 0) <= limit:
         return None
@@ -42,7 +43,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFra
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, keys, how="left", counts=None, pieces=PIECES, share=HOT_SHARE, floor=HOT_FLOOR
+    left: DataFrame, right: DataFrame, keys, how="left", counts=None, pieces=PIECES, share=None, floor=None
 ) -> DataFrame:
     """Join many ``left`` rows per key to one ``right`` row per key.
 
@@ -64,7 +65,7 @@ def spread_join(
     return joined.drop("_salt")
 
 
-def with_chunks(df: DataFrame, keys, order, pieces=PIECES, share=HOT_SHARE, floor=HOT_FLOOR) -> tuple[DataFrame, DataFrame | None]:
+def with_chunks(df: DataFrame, keys, order, pieces=PIECES, share=None, floor=None) -> tuple[DataFrame, DataFrame | None]:
     """Add ``_chunk``: rows of a hot key are cut, in ``order``, into about ``pieces`` runs.
 
     Returns the rows and the hot keys (None: no hot key, every chunk is 0). The cut points are order
