@@ -357,5 +357,5 @@ def type_counts(keys: DataFrame, dtype: str) -> DataFrame:
     return keys.groupBy(F.coalesce(F.col(dtype), F.lit("unknown")).alias(dtype)).agg(F.count(F.lit(1)).alias("keys"))
 
 
-def average_score_groups(votes: DataFrame) -> DataFrame:
+def by_confidence(votes: DataFrame) -> DataFrame:
     return votes.groupBy("confidence").agg(F.count(F.lit(1)).alias("groups"))

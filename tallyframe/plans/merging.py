@@ -52,14 +52,26 @@ def enum_items(spark, folder):
     return table(spark, folder, "part").select("p_type", "p_name", "p_size", "p_brand")
 
 
-@query()
+UNION = """
+WITH RECURSIVE pairs AS (SELECT p_type, p_name, p_size, min(p_brand) AS b FROM part GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY b, p_name, p_size) AS k FROM pairs),
+r AS (SELECT DISTINCT p_type, CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS names, CAST([] AS INTEGER[]) AS earlier, CAST([] AS INTEGER[]) AS pending, '' AS src, false AS ok FROM part
+    UNION ALL SELECT p_type, k, CASE WHEN acc THEN list_append(names, p_name) ELSE names END, before, CASE WHEN acc THEN list_append(now, p_size) ELSE now END, b, acc
+    FROM (SELECT *, NOT list_contains(names, p_name) AND NOT list_contains(before, p_size) AS acc
+        FROM (SELECT o.p_type, o.k, o.p_name, o.p_size, o.b, names, CASE WHEN src = o.b THEN earlier ELSE list_concat(earlier, pending) END AS before,
+            CASE WHEN src = o.b THEN pending ELSE CAST([] AS INTEGER[]) END AS now FROM r JOIN o ON o.p_type = r.p_type AND o.k = r.k + 1))),
+accepted AS (SELECT o.p_type, o.p_name, o.p_size, o.b AS added_by FROM r JOIN o ON o.p_type = r.p_type AND o.k = r.k WHERE ok)
+"""
+
+
+@query(UNION + "SELECT * FROM accepted")
 def enum_union(spark, folder):
-    """Names and numbers per type, merged in brand order; order-dependent, so checked against a loop in the tests."""
+    """Names and numbers per type, merged in brand order."""
     out = merge.enum_union(enum_items(spark, folder), ["p_type"], "p_name", "p_size", ["p_brand"])
     return out.select("p_type", "p_name", "p_size", F.col("added_at.p_brand").alias("added_by"))
 
 
-@query()
+@query(UNION + "SELECT DISTINCT p_type, p_name, p_brand FROM part JOIN accepted USING (p_type, p_name) WHERE p_brand >= added_by")
 def enum_sources(spark, folder):
     items = enum_items(spark, folder)
     union = merge.enum_union(items, ["p_type"], "p_name", "p_size", ["p_brand"])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.operators import codec, keys, merge, vote
-from tallyframe.plans import pipelines
+from tallyframe.plans import flows
 from tallyframe.sources import readers, writers
 
 
@@ -51,15 +51,15 @@ def test_conversations_and_rejects(spark, store):
     assert readers.adjudication_input(rows).count() == 3
 
 
-def test_pipeline_from_store_to_decisions(spark, store, tmp_path):
+def test_flow_from_store_to_decisions(spark, store, tmp_path):
     rows, _ = readers.conversations(spark, store)
-    votes = pipelines.preliminary_votes(rows)
+    votes = flows.preliminary_votes(rows)
     by_version = {r.protocol_version: r for r in votes.collect()}
     assert by_version[0].status == "majority" or by_version[0].total_count == 3
     assert writers.write_preliminary(votes, str(tmp_path / "prelim")).count() == 1
     reviewed, _ = readers.conversations(spark, store, reviewed=True)
     assert {r.manual: r.verdict for r in reviewed.collect()} == {"m0": "not_reviewed", "m1": "not_reviewed", "m2": "extraction_error"}
-    decisions = pipelines.final_decisions(reviewed)
+    decisions = flows.final_decisions(reviewed)
     row = decisions.first()
     assert (row.decision, row.confidence, row.agreement_count) == ("accepted_with_corrections", "high", 3)
     assert writers.write_final(decisions, str(tmp_path / "final")).first().messages == 1
@@ -86,7 +86,7 @@ def test_keys_from_bundles_to_registry(spark, tmp_path):
     put(tmp_path / "k", "u-blox-F9-HPG-1.51_a_gemini_config_keys.json", one)
     put(tmp_path / "k", "u-blox-M10-SPG-5.30_a_gemini_config_keys.json", two)
     loaded = readers.config_keys(spark, str(tmp_path / "k"))
-    merged, enum, members = pipelines.merged_keys(loaded)
+    merged, enum, members = flows.merged_keys(loaded)
     rows = {r.key_id: r for r in merged.collect()}
     x = rows["0x30210001"]
     assert (x.name, x.group, x.group_id, x.item_id, x.description, x.source_count) == ("CFG-A-X", "CFG-A", "0x21", "0x0001", "longer", 2)
