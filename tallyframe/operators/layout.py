@@ -222,7 +222,9 @@ def fingerprint(
         ).alias("_entry"),
     )
     wide_keys = rows.groupBy(*entity).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_listed).drop("_n")
-    narrow = null_safe_join(rows, wide_keys, entity, "left_anti")
+    # One look at the counts: without a wide layout, as usual, the plan is a single aggregation.
+    any_wide = not wide_keys.isEmpty()
+    narrow = null_safe_join(rows, wide_keys, entity, "left_anti") if any_wide else rows
     listed = narrow.groupBy(*entity).agg(
         F.array_sort(F.collect_list(F.struct("_offset", "_name", *pos, "_entry"))).alias("_fields")
     )
@@ -231,6 +233,8 @@ def fingerprint(
         digest_of(F.transform("_fields", lambda f: f["_entry"])).alias("fingerprint"),
         F.size("_fields").cast("bigint").alias("field_count"),
     )
+    if not any_wide:
+        return listed
     hashed = null_safe_join(rows, wide_keys, entity, "left_semi").withColumn("_hash", F.sha2("_entry", 256))
     parts = [
         F.sum(F.conv(F.substring("_hash", start, 15), 16, 10).cast("decimal(38,0)")).cast("string")

@@ -32,6 +32,8 @@ def plain(value):
 
 def check(spark, duck, name):
     result = all_queries()[name](spark, FOLDER)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     columns = sorted(result.columns)
     found = sorted(tuple(plain(r[c]) for c in columns) for r in result.collect())
     cursor = duck.execute(all_oracles()[name])
