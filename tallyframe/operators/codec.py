@@ -463,7 +463,9 @@ def encode(requests: DataFrame, values: DataFrame, registry: DataFrame, keys) ->
     field, idx, int_value, real_value, text_value. Fields without a value are zero; a payload has at
     most 65,535 bytes, which bounds the parts that meet in one row.
     """
-    asked = requests.select(*keys, *IDS, F.col("variant").alias("_wanted")).distinct()
+    # Generated ids: when all requests name one message, constants would turn the join into a nested loop.
+    ids = F.inline(F.array(F.struct(*IDS)))
+    asked = requests.select(*keys, F.col("variant").alias("_wanted"), ids).distinct()
     joined = asked.join(registry, IDS, "inner")
     listed = F.transform(F.coalesce("variants", F.array().cast(registry.schema["variants"].dataType)), lambda v: v["variant"])
     variant = F.when(F.array_contains(listed, F.col("_wanted")), F.col("_wanted")).otherwise(F.get(listed, F.lit(0)))
