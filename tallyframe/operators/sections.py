@@ -138,7 +138,7 @@ def pack(ranges: DataFrame, source: str, start: str, end: str, order: str, max_p
     rows = ranges.withColumns({
         "_start": F.col(start).cast("bigint"), "_end": F.col(end).cast("bigint"), "_order": F.col(order).cast("bigint"),
     })
-    rows, hot = skew.with_chunks(rows, [source], ["_start", "_order"], **chunking)
+    rows, hot, _ = skew.with_chunks(rows, [source], ["_start", "_order"], **chunking)
     slim = rows.select(source, "_chunk", "_start", "_end", "_order")
     source_type = dict(ranges.dtypes)[source]
 
@@ -190,7 +190,7 @@ def pack(ranges: DataFrame, source: str, start: str, end: str, order: str, max_p
     else:
         placed = skew.null_safe_join(slim, F.broadcast(entries(hot)), [source, "_chunk"], "left").fillna(closed)
     batches = placed.groupBy(source, "_chunk").applyInPandas(assign, f"`{source}` {source_type}, _order bigint, batch bigint")
-    out = skew.null_safe_join(rows.drop("_chunk"), batches, [source, "_order"], "inner")
+    out = skew.null_safe_join(rows.drop("_chunk", "_tie"), batches, [source, "_order"], "inner")
     return out.drop("_start", "_end", "_order")
 
 

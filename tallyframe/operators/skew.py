@@ -65,28 +65,32 @@ def spread_join(
     return joined.drop("_salt")
 
 
-def with_chunks(df: DataFrame, keys, order, pieces=PIECES, share=None, floor=None) -> tuple[DataFrame, DataFrame | None]:
+def with_chunks(df: DataFrame, keys, order, pieces=PIECES, share=None, floor=None) -> tuple[DataFrame, DataFrame | None, list]:
     """Add ``_chunk``: rows of a hot key are cut, in ``order``, into about ``pieces`` runs.
 
-    Returns the rows and the hot keys (None: no hot key, every chunk is 0). The cut points are order
-    tuples drawn by hash; the cut rows are written once, so that every later reader sees the same runs.
+    Returns the rows, the hot keys (None: no hot key, every chunk is 0) and the order to use. With a
+    hot key the rows are written once with a number each, ``_tie``, which ends the order, so that
+    even exact copies are told apart and every later reader sees the same runs. The cut points are
+    order tuples drawn by hash.
     """
     hot = hot_keys(df, keys, None, share, floor)
     if hot is None:
-        return df.withColumn("_chunk", F.lit(0)), None
+        return df.withColumn("_chunk", F.lit(0)), None, list(order)
+    rows = cut_lineage(df.withColumn("_tie", F.monotonically_increasing_id()))
+    order = [*order, "_tie"]
     step = F.greatest(F.lit(1).cast("bigint"), (F.col("_n") / pieces).cast("bigint"))
     cuts = (
-        null_safe_join(df.select(*dict.fromkeys([*keys, *order])), F.broadcast(hot), keys, "inner")
+        null_safe_join(rows.select(*dict.fromkeys([*keys, *order])), F.broadcast(hot), keys, "inner")
         .where(F.pmod(F.xxhash64(*order), step) == 0)
         .groupBy(*keys)
         .agg(F.collect_set(F.struct(*order)).alias("_cuts"))
     )
     here = F.struct(*order)
     chunk = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= here)), F.lit(0))
-    rows = null_safe_join(df, F.broadcast(cuts), keys, "left").withColumn(
+    chunked = null_safe_join(rows, F.broadcast(cut_lineage(cuts)), keys, "left").withColumn(
         "_chunk", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(chunk)
     )
-    return cut_lineage(rows.drop("_cuts")), hot
+    return chunked.drop("_cuts"), hot, order
 
 
 def ordered(df: DataFrame, keys, order, columns: dict[str, tuple[str, Column]], **chunking) -> DataFrame:
@@ -98,7 +102,7 @@ def ordered(df: DataFrame, keys, order, columns: dict[str, tuple[str, Column]],
     """
     inputs = {name: f"_in_{name}" for name in columns}
     source = df.withColumns({inputs[name]: expression for name, (_, expression) in columns.items()})
-    source, hot = with_chunks(source, keys, order, **chunking)
+    source, hot, order = with_chunks(source, keys, order, **chunking)
     if hot is None:
         out = _near(source, keys, order, columns, inputs)
         return out.drop("_chunk", *inputs.values())
@@ -132,7 +136,7 @@ def ordered(df: DataFrame, keys, order, columns: dict[str, tuple[str, Column]],
     runs = runs.select(*chunk_keys, *carries)
     out = null_safe_join(source, F.broadcast(runs), chunk_keys, "left")
     out = _near(out, chunk_keys, order, columns, inputs, carried=True)
-    return out.drop("_chunk", *inputs.values(), *[f"_c_{name}" for name in columns])
+    return out.drop("_chunk", "_tie", *inputs.values(), *[f"_c_{name}" for name in columns])
 
 
 def _near(df: DataFrame, keys, order, columns, inputs, carried=False) -> DataFrame:

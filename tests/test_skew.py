@@ -24,13 +24,21 @@ def test_hot_key_is_found(rows):
 
 
 def test_chunks_split_the_hot_key(rows):
-    chunked, hot = skew.with_chunks(rows, ["key"], ["at", "id"], **HOT)
+    chunked, hot, _ = skew.with_chunks(rows, ["key"], ["at", "id"], **HOT)
     assert chunked.where("key = 'hot'").select("_chunk").distinct().count() > 3
     ranges = chunked.where("key = 'hot'").groupBy("_chunk").agg(F.min(F.struct("at", "id")).alias("a"), F.max(F.struct("at", "id")).alias("b"))
     ordered = ranges.orderBy("_chunk").collect()
     assert all(x.b < y.a for x, y in zip(ordered, ordered[1:]))
 
 
+def test_exact_copies_are_split_too(spark):
+    copies = spark.range(2000).selectExpr("'hot' as key", "1 as at", "3 as v")
+    chunked, _, order = skew.with_chunks(copies, ["key"], ["at"], **HOT)
+    assert order == ["at", "_tie"] and chunked.select("_chunk").distinct().count() > 3
+    found = skew.ordered(copies, ["key"], ["at"], {"s": ("sum_before", F.col("v"))}, **HOT)
+    assert sorted(r.s or 0 for r in found.collect()) == [3 * i for i in range(2000)]
+
+
 @pytest.mark.parametrize("chunking", [{}, HOT])
 def test_ordered_equals_windows(rows, chunking):
     value = F.when(F.col("v") > 2, F.col("v"))
