@@ -232,9 +232,10 @@ def _cleaner(load):
 
 
 def find(
-    df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS
+    df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
+    into: str = "hits",
 ) -> DataFrame:
-    """All columns of ``df`` and ``hits``: n_words, spans, items.
+    """All columns of ``df`` and the struct ``into``: n_words, spans, items.
 
     Spans are the runs of words inside an occurrence of a window of any item, as places of words, end
     exclusive; items are the ids, as strings in order, of the items with such windows. A window is ``window``
@@ -242,21 +243,21 @@ def find(
     an item without words is never hit, one without an id counts for spans only, and items that share an id
     are one item. Each row is streamed by itself, so repeated rows get equal results. A benchmark too large
     for one automaton is worked through in blocks, each pass writing its rows to the shared folder. A column
-    ``hits`` of ``df`` is replaced.
+    of that name is replaced.
     """
     blocks = Blocks(benchmark, item, item_text, window, block_words)
-    df, other = df.drop("hits"), free_name(df, "_hits")
+    df, other = df.drop(into), free_name(df, "_hits")
     for block in range(blocks.count):
         load = blocks.load(df.sparkSession, block)
 
         now = _marker(load)(F.col(f"`{text}`").cast("string"))
         if not block:
-            df = df.withColumn("hits", now)
+            df = df.withColumn(into, now)
             continue
         df = cut_lineage(df).withColumn(other, now)
-        items = F.array_sort(F.array_distinct(F.concat("hits.items", f"{other}.items")))
-        spans = _united(F.concat("hits.spans", f"{other}.spans"))
-        df = df.withColumn("hits", F.struct("hits.n_words", spans.alias("spans"), items.alias("items"))).drop(other)
+        items = F.array_sort(F.array_distinct(F.concat(f"{into}.items", f"{other}.items")))
+        spans = _united(F.concat(f"{into}.spans", f"{other}.spans"))
+        df = df.withColumn(into, F.struct(f"{into}.n_words", spans.alias("spans"), items.alias("items"))).drop(other)
     return df
 
 

@@ -101,8 +101,8 @@ def _inside(size: Column, ratio: Column, bands=BANDS) -> Column:
     return out
 
 
-def rules(df: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``df`` and ``quality``, a struct of ``FIELDS`` and base_failed, in_band, kept.
+def rules(df: DataFrame, text: str = "text", into: str = "quality") -> DataFrame:
+    """All columns of ``df`` and the struct ``into`` of ``FIELDS`` and base_failed, in_band, kept.
 
     A text fails the base rules with fewer than 20 words or with over 30 % of its words in repeated 8-word
     windows. It is kept if it passes them, its compression ratio lies in the band of its length, and no more
@@ -116,4 +116,4 @@ def rules(df: DataFrame, text: str = "text") -> DataFrame:
     chunks_fit = of("n_low_chunks") + of("n_high_chunks") <= MAX_BAD_CHUNKS * of("n_chunks")
     fits = F.coalesce(_inside(of("n_bytes"), of("ratio")), F.lit(False)) & chunks_fit
     verdict = F.struct(*[of(n).alias(n) for n in FIELDS], failed.alias("base_failed"), fits.alias("in_band"), (~failed & fits).alias("kept"))
-    return measured.withColumn("quality", verdict).drop(row)
+    return measured.withColumn(into, verdict).drop(row)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import table
-from . import decontaminate, quality, secrets, toxicity
+from . import decontaminate, language, quality, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,12 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit(documents, labels, "doc_id", "text", ~held)
     found = toxicity.score(documents, model)
     return found.select("doc_id", held.alias("held_out"), "toxicity.score", "toxicity.predicted", "toxicity.largest", "toxicity.n_windows")
+
+
+@query
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held = language.held_out(F.col("doc_id"))
+    model = language.fit(documents, "doc_id", "text", "lang", ~held)
+    found = language.predict(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held.alias("held_out"), F.col("language.nearest").alias("lang_pred"), "language.score", "language.rejected")

@@ -137,15 +137,15 @@ def _spans(texts: pa.Array) -> pa.Array:
     return pa.array(rows, pa.list_(_SPAN))
 
 
-def find(df: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``df`` and ``secrets``: the spans in each whole text, in code points, end exclusive.
+def find(df: DataFrame, text: str = "text", into: str = "secrets") -> DataFrame:
+    """All columns of ``df`` and ``into``: the spans in each whole text, in code points, end exclusive.
 
     Kinds: assign, access and hex as patterns say; forge (tokens of code forges and package registries) and
     wallet (extended private keys) only where the checksum inside them is right. Spans of one kind do not
     overlap; those of several kinds may. A null or empty text has an empty list. Rows are scanned one by one,
     so repeated rows get equal results. A column of that name is replaced.
     """
-    return df.withColumn("secrets", _spans(F.col(f"`{text}`").cast("string")))
+    return df.withColumn(into, _spans(F.col(f"`{text}`").cast("string")))
 
 
 def redacted(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:

@@ -220,8 +220,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 5
 _SCORED = pa.struct([("score", pa.float64()), ("largest", pa.int64()), ("n_windows", pa.int64())])
 
 
-def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of ``df`` and ``toxicity``: score (0 to 1), largest difference, n_windows, predicted.
+def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity") -> DataFrame:
+    """All columns of ``df`` and the struct ``into``: score (0 to 1), largest difference, n_windows, predicted.
 
     Every window of each whole text is measured. A null text counts as an empty one, whose score is that of a
     row without windows. Rows are scored one by one, so repeated rows get equal results. A column of that name
@@ -242,10 +242,9 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             rows.append((1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), int(4 * features[2]), int(counts.sum())))
         return structs(_SCORED, rows)
 
-    name = "toxicity"
-    found = df.withColumn(name, scored(F.col(f"`{text}`").cast("string")))
-    predicted = (F.col(f"{name}.score") >= THRESHOLD).cast("int").alias("predicted")
-    return found.withColumn(name, F.struct(f"{name}.score", f"{name}.largest", f"{name}.n_windows", predicted))
+    found = df.withColumn(into, scored(F.col(f"`{text}`").cast("string")))
+    predicted = (F.col(f"{into}.score") >= THRESHOLD).cast("int").alias("predicted")
+    return found.withColumn(into, F.struct(f"{into}.score", f"{into}.largest", f"{into}.n_windows", predicted))
 
 
 def held_out(key: Column) -> Column:
