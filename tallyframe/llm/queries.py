@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import table
-from . import decontaminate, language, quality, secrets, toxicity
+from . import decontaminate, language, quality, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,12 @@ def query(function):
     return function
 
 
+@query
+def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.groups(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("component", "component_id")
+
+
 @query
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
