@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import table
-from . import decontaminate, language, quality, secrets, simhash, toxicity
+from . import decontaminate, language, pieces, quality, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,17 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_sentencepiece(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
+    """``path``: the model file, by default the public model beside the installed libraries."""
+    model = pieces.load(path or pieces.public_model())
+    found = pieces.decoded(pieces.encoded(table(spark, folder, "documents").select("doc_id", "text"), model), model)
+    return found.select(
+        "doc_id", F.size("pieces.ids").cast("bigint").alias("n_pieces"), "pieces.ids", "pieces.nbest",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 @query
 def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find(table(spark, folder, "documents").select("doc_id", "text"))
