@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +14,11 @@ from pyspark.sql.pandas.types import from_arrow_type
 SPACE = rb" \t\n\v\f\r"
 
 
-def raw(column: pa.Array) -> list[bytes | None]:
-    """The UTF-8 bytes of a string column."""
-    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
-    return column.cast(kind).to_pylist()
+def raw(column: pa.Array, at_once: int = 128) -> Iterator[bytes | None]:
+    """The UTF-8 bytes of a string column, a few rows at a time."""
+    column = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+    for start in range(0, len(column), at_once):
+        yield from column.slice(start, at_once).to_pylist()
 
 
 def remainder(key: Column, by: int) -> Column:

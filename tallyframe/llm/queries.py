@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import table
-from . import decontaminate, language, pieces, quality, secrets, simhash, toxicity
+from . import decontaminate, language, pieces, quality, secrets, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,6 +75,20 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "toxicity.score", "toxicity.predicted", "toxicity.largest", "toxicity.n_windows")
 
 
+ORACLES["op9_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+m AS (SELECT page_id, html, strlen(html) AS n, max(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+    CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM first THEN first END AS refers_to, CAST(NULL AS VARCHAR) AS error
+FROM m"""
+
+
+@query
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.roundtrip(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 @query
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
