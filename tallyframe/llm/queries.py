@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import table
-from . import decontaminate, language, pieces, quality, secrets, simhash, toxicity, warc
+from . import decontaminate, language, pieces, quality, secrets, simhash, substring, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,6 +66,12 @@ def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "spans.n_sentences", "spans.n_removed", (F.col("spans.n_removed") > 0).alias("repeated"), "text")
+
+
 @query
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
