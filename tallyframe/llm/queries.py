@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import table
-from . import decontaminate, language, pieces, quality, secrets, simhash, substring, toxicity, warc
+from . import decontaminate, language, license, pieces, quality, secrets, simhash, substring, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,18 @@ def query(function):
     return function
 
 
+@query
+def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = license.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.array_join("licenses.sentences", ",").alias("sentences"), F.array_join("licenses.licenses", ",").alias("licenses"),
+        F.size("licenses.licenses").cast("bigint").alias("n_licenses"), "licenses.n_unmatched",
+    )
+
+
+ORACLES["op1_license_scans"] = license.sql()
+
+
 @query
 def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.groups(table(spark, folder, "documents").select("doc_id", "text"))
