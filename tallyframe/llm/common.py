@@ -34,6 +34,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def own(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever their names."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def by_arrow(kind: pa.DataType):
     """Decorator: a function from Arrow arrays to one Arrow array of ``kind``, for use on columns."""
     return arrow_udf(from_arrow_type(kind))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import by_arrow, free_name, raw
+from .common import by_arrow, free_name, own, raw
 from .components import components
 
 WORDS = 4
@@ -257,4 +257,4 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", words:
     keepers = rooted.groupBy("root").agg(first.alias("row")).select("row")
     # The rows to drop are few as a rule; their written size lets Spark choose how to join.
     drops = cut_lineage(marked.select("row").join(keepers, "row", "left_anti"))
-    return rows.join(drops.withColumnRenamed("row", row), row, "left_anti").select(*[f"`{c}`" for c in df.columns])
+    return rows.join(drops.withColumnRenamed("row", row), row, "left_anti").select(*own(df))
