@@ -12,7 +12,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every greater neighbour of a node is linked to the least of its neighbours and itself."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
+    # Written, so that the join deals both sides anew and Spark can split a node with very many neighbours.
+    least = cut_lineage(least.select("u", F.least("u", "m").alias("m")))
     greater = both.where("v > u").join(least, "u")
     return greater.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from ..session import cut_lineage
-from .common import by_arrow, free_name, raw, structs
+from .common import by_arrow, free_name, raw, small_batches, structs
 
 WINDOW = 10
 #: Words of test items that one automaton holds. More items are worked through in blocks of about this size.
@@ -246,7 +246,7 @@ def find(
     of that name is replaced.
     """
     blocks = Blocks(benchmark, item, item_text, window, block_words)
-    df, other = df.drop(into), free_name(df, "_hits")
+    df, other = small_batches(df).drop(into), free_name(df, "_hits")
     for block in range(blocks.count):
         load = blocks.load(df.sparkSession, block)
 
@@ -301,7 +301,7 @@ def cleaned(
     """
     blocks = Blocks(benchmark, item, item_text, window, block_words)
     state, latest = free_name(df, "_state"), free_name(df, "_latest")
-    df = df.withColumn(state, F.lit(None).cast(from_arrow_type(_STATE)))
+    df = small_batches(df).withColumn(state, F.lit(None).cast(from_arrow_type(_STATE)))
     again = True
     while again:
         for block in range(blocks.count):

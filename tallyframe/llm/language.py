@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import by_arrow, raw, remainder, structs
+from .common import by_arrow, raw, remainder, small_batches, structs
 
 BUCKETS = 1 << 13
 #: Lengths of n-grams, in UTF-8 bytes.
@@ -112,7 +112,7 @@ def fit(df: DataFrame, key: str, text: str, lang: str, learn: Column) -> Model:
     """Centroids of the rows for which ``learn`` holds, with a language, a key and a letter in the text."""
     spark = df.sparkSession
     words, language = F.col(f"`{text}`").cast("string"), F.col(f"`{lang}`").cast("string")
-    usable = df.where(learn & words.rlike(r"\p{L}") & language.isNotNull())
+    usable = small_batches(df).where(learn & words.rlike(r"\p{L}") & language.isNotNull())
     idf, n = _idf(usable.select(words.alias("text")))
     if not n:
         return Model()
@@ -167,7 +167,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", into: str = "langua
             rows.append((name if score >= least else "und", score, name, score < least))
         return structs(_FOUND, rows)
 
-    return df.withColumn(into, found(F.col(f"`{text}`").cast("string")))
+    return small_batches(df).withColumn(into, found(F.col(f"`{text}`").cast("string")))
 
 
 def held_out(key: Column) -> Column:

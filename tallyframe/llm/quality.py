@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, by_arrow, free_name, raw, structs
+from .common import SPACE, by_arrow, free_name, raw, small_batches, structs
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -110,7 +110,7 @@ def rules(df: DataFrame, text: str = "text", into: str = "quality") -> DataFrame
     kept. Rows are judged one by one, so repeated rows get equal results. A column of that name is replaced.
     """
     row = free_name(df, "_measured")
-    measured = df.withColumn(row, _measured(F.col(f"`{text}`").cast("string")))
+    measured = small_batches(df).withColumn(row, _measured(F.col(f"`{text}`").cast("string")))
     of = lambda name: F.col(f"{row}.{name}")
     failed = (of("n_words") < MIN_WORDS) | (100 * of("n_repeat_words") > MAX_REPEAT_PERCENT * of("n_words"))
     chunks_fit = of("n_low_chunks") + of("n_high_chunks") <= MAX_BAD_CHUNKS * of("n_chunks")

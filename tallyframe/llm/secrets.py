@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_arrow, raw
+from .common import by_arrow, raw, small_batches
 
 #: Kinds in the order in which spans of one start are listed. The first three are the base kinds.
 KINDS = ("assign", "access", "hex", "forge", "wallet")
@@ -145,7 +145,7 @@ def find(df: DataFrame, text: str = "text", into: str = "secrets") -> DataFrame:
     overlap; those of several kinds may. A null or empty text has an empty list. Rows are scanned one by one,
     so repeated rows get equal results. A column of that name is replaced.
     """
-    return df.withColumn(into, _spans(F.col(f"`{text}`").cast("string")))
+    return small_batches(df).withColumn(into, _spans(F.col(f"`{text}`").cast("string")))
 
 
 def redacted(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
@@ -157,4 +157,4 @@ def redacted(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
         rows = [t if t is None or not (found := scan(t)) else redact(t, found, replacement) for t in raw(texts)]
         return pa.array(rows, pa.binary()).cast(pa.string())
 
-    return df.withColumn(text, clean(F.col(f"`{text}`").cast("string")))
+    return small_batches(df).withColumn(text, clean(F.col(f"`{text}`").cast("string")))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import by_arrow, free_name, own, raw
+from .common import by_arrow, free_name, own, raw, small_batches
 from .components import components
 
 WORDS = 4
@@ -64,7 +64,7 @@ def fingerprints(df: DataFrame, text: str = "text", into: str = "fingerprint", w
     def found(texts: pa.Array) -> pa.Array:
         return pa.array([fingerprint(t, words) for t in raw(texts)], pa.int64())
 
-    return df.withColumn(into, found(F.col(f"`{text}`").cast("string")))
+    return small_batches(df).withColumn(into, found(F.col(f"`{text}`").cast("string")))
 
 
 def _syndromes() -> np.ndarray:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import by_arrow, free_name, raw
+from .common import by_arrow, free_name, raw, small_batches
 
 #: A span is the shortest run of at least two sentences from its first on that has this many words.
 SPAN_WORDS = 20
@@ -103,7 +103,7 @@ def _spans(df: DataFrame) -> DataFrame:
             if held:
                 yield gathered(keys, rows, places, bits)
 
-    return df.select("key", "text").mapInArrow(found, f"key {dict(df.dtypes)['key']}, place bigint, high bigint, low int")
+    return small_batches(df).select("key", "text").mapInArrow(found, f"key {dict(df.dtypes)['key']}, place bigint, high bigint, low int")
 
 
 _CLEAN = pa.struct([("text", pa.string()), ("n_sentences", pa.int64()), ("n_removed", pa.int64())])

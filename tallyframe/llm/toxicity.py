@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_arrow, raw, remainder, structs
+from .common import by_arrow, raw, remainder, small_batches, structs
 
 #: The model is fitted on at most this many training rows of either label, the first by hash of the id, and on
 #: at most this many characters of each, from a place drawn by hash.
@@ -242,7 +242,7 @@ def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity
             rows.append((1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), int(4 * features[2]), int(counts.sum())))
         return structs(_SCORED, rows)
 
-    found = df.withColumn(into, scored(F.col(f"`{text}`").cast("string")))
+    found = small_batches(df).withColumn(into, scored(F.col(f"`{text}`").cast("string")))
     predicted = (F.col(f"{into}.score") >= THRESHOLD).cast("int").alias("predicted")
     return found.withColumn(into, F.struct(f"{into}.score", f"{into}.largest", f"{into}.n_windows", predicted))
 

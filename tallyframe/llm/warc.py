@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, run_dir
+from .common import small_batches
 
 #: Payloads of at least this many bytes are written once; equal ones refer to that record.
 LEAST_REVISIT = 1000
@@ -177,7 +178,7 @@ def typed(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     an empty payload.
     """
     payload = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).cast("binary")
-    rows = pages.select(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").cast("string").alias("url"), payload.alias("payload"))
+    rows = small_batches(pages).select(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").cast("string").alias("url"), payload.alias("payload"))
     large = F.when(F.length("payload") >= least, F.sha1("payload"))
     equal = rows.select("key", large.alias("digest")).where("digest is not null").groupBy("digest")
     # Few payloads are repeated as a rule: their written size lets Spark choose how to join.
