@@ -64,7 +64,13 @@ MANUAL_FAMILIES = [
 SOURCE_PREFERENCE = ["F9", "F10", "X20", "M10", "M9", "M8"]
 # (all substrings must occur, in lower case) -> rank
 BITFIELD_SOURCE_PREFERENCE = [["f9-hpg", "1.51"], ["f9-hpg"], ["f9"], ["m10"]]
-FIRMWARE_TYPES = ["HPG", "SPG", "HPS", "LAP", "DBD", "ADR", "MDR", "HDG", "TIM", "UDR", "FTS"]
+FIRMWARE_TYPES = "HPG|SPG|HPS|LAP|DBD|ADR|MDR|HDG|TIM|UDR|FTS"
+# Version tables on front pages, by method, in the order in which they are tried
+FRONT_MATTER = [
+    ("ext_core_table", rf"(?i)((?:{FIRMWARE_TYPES})(?:\s+L1L5)?\s+\d+\.\d+)\s+(EXT\s+CORE\s+\d+\.\d+\s*\([^)]+\))\s+(\d+\.\d+)"),
+    ("rom_prefix_table", rf"(?i)((?:{FIRMWARE_TYPES})\s+\d+\.\d+)\s+((?:ROM|EXT)\s+(?:{FIRMWARE_TYPES}|SPGL1L5|HPGL1L5)\s*\d+\.\d+\s*\([^)]+\))\s+(\d+\.\d+)"),
+    ("simple_table", rf"(?i)((?:{FIRMWARE_TYPES})\s+\d+\.\d+(?:B\d+)?)\s+((?:{FIRMWARE_TYPES})\s+\d+\.\d+(?:B\d+)?\s*\([^)]+\))\s+(\d+\.\d+)"),
+]
 
 # Repairs of misread text
 NAME_REPAIRS = [

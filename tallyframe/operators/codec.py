@@ -7,8 +7,8 @@ Registry tables:
 ``groups``    class_id, message_id, variant, group_name, repetition, count_field, count, base, products, size
 ``group_fields`` class_id, message_id, variant, group_name, pos, field, byte_offset, data_type
 
-Ids are single bytes, so a registry has at most 65,536 messages; it is joined without a
-broadcast hint and Spark broadcasts it after measuring it.
+Ids are single bytes, so a registry has at most 65,536 messages. It is written once and joined without a hint:
+Spark broadcasts it if its size allows, and otherwise splits hot ids.
 """
 
 from __future__ import annotations
@@ -80,19 +80,37 @@ def _cut(data: np.ndarray, block_bytes: int, entry: int):
     """The frames of a block whose scan enters at ``entry``, as (start, end)."""
     at, end = _frame_starts(data, block_bytes)
     i = int(np.searchsorted(at, entry))
+    following, starts, ends = np.searchsorted(at, end).tolist(), at.tolist(), end.tolist()
     out = []
-    while i < len(at):
-        out.append((int(at[i]), int(end[i])))
-        i = int(np.searchsorted(at, end[i]))
+    while i < len(starts):
+        out.append((starts[i], ends[i]))
+        i = following[i]
+    return out
+
+
+def _cut_whole(data: np.ndarray, block_bytes: int):
+    """The frames of a whole capture, a block at a time."""
+    out, entry = [], 0
+    for first in range(0, len(data), block_bytes):
+        spans = _cut(data[first : first + block_bytes + HALO], block_bytes, entry)
+        out += [(first + a, first + b) for a, b in spans]
+        # Frames run on over the block's end by less than a block.
+        entry = max(0, (spans[-1][1] if spans else 0) - block_bytes, entry - block_bytes)
     return out
 
 
 def chunk_offsets(chunks: DataFrame, capture: str, seq: str, data: str, **chunking) -> DataFrame:
-    """(capture, seq, at, size): the offset of each chunk in its capture.
+    """(capture, seq, at, size, copies): the offset of each chunk in its capture.
 
-    Lengths are written out first, so the bytes are read once for this and never sorted.
+    Lengths are written out first, so the bytes are read once for this and never sorted. A chunk that is
+    repeated counts once; chunks of one capture and seq with different bytes fail the job.
     """
-    sizes = cut_lineage(chunks.select(capture, seq, F.length(data).cast("bigint").alias("size")))
+    size, digest = F.length(data).cast("bigint"), F.xxhash64(data)
+    rows = chunks.groupBy(capture, seq).agg(
+        F.max(size).alias("size"), F.count(F.lit(1)).alias("copies"),
+        F.assert_true(F.min(F.struct(size, digest)).eqNullSafe(F.max(F.struct(size, digest))), "chunks of one capture and seq differ").alias("_same"),
+    )
+    sizes = cut_lineage(rows.where("_same is null").drop("_same"))
     placed = skew.ordered(sizes, [capture], [seq], {"at": ("sum_before", F.col("size"))}, **chunking)
     return cut_lineage(placed.withColumn("at", F.coalesce("at", F.lit(0).cast("bigint"))))
 
@@ -175,17 +193,29 @@ def block_entries(windows: DataFrame, capture: str, block: int = BLOCK, fan: int
 def scan(chunks: DataFrame, capture: str, data: str, seq: str | None = None, block: int = BLOCK, fan: int = FAN, **chunking) -> DataFrame:
     """Frames of captures: (capture, offset, frame), found by one greedy pass over each capture.
 
-    ``seq`` orders the chunks of a capture (neither it nor the capture is null); without it every
-    row is a whole capture. Captures longer than a block are scanned in blocks that run in
-    parallel; the result is that of a single pass.
+    ``seq`` orders the chunks of a capture (neither it nor the capture is null; a repeated chunk counts once);
+    without it every row is a whole capture, which is cut in its own task without a shuffle. Captures in chunks
+    that are longer than a block are scanned in blocks that run in parallel; the result is that of a single pass.
     """
+    key_type = dict(chunks.dtypes)[capture]
+    schema = f"`{capture}` {key_type}, offset bigint, frame binary"
+
+    def cut_rows(batches):
+        for pdf in batches:
+            for i, whole in enumerate(pdf["_data"]):
+                spans = _cut_whole(np.frombuffer(whole or b"", dtype=np.uint8), block)
+                yield pd.DataFrame({
+                    capture: pdf[capture].take([i] * len(spans)).reset_index(drop=True),
+                    "offset": np.array([a for a, _ in spans], dtype="int64"), "frame": [whole[a:b] for a, b in spans],
+                })
+
     if seq is None:
-        placed = chunks.select(capture, F.col(data).alias("_data"), F.lit(0).cast("bigint").alias("at"))
-        longest = chunks.agg(F.max(F.length(data))).first()[0]
-    else:
-        offsets = chunk_offsets(chunks, capture, seq, data, **chunking)
-        longest = offsets.agg(F.max(F.col("at") + F.col("size"))).first()[0]
-        placed = chunks.select(capture, seq, F.col(data).alias("_data")).join(offsets.drop("size"), [capture, seq])
+        return chunks.select(capture, F.col(data).alias("_data")).mapInPandas(cut_rows, schema)
+    offsets = chunk_offsets(chunks, capture, seq, data, **chunking)
+    longest, copies = offsets.agg(F.max(F.col("at") + F.col("size")), F.max("copies")).first()
+    placed = chunks.select(capture, seq, F.col(data).alias("_data")).join(offsets.drop("size", "copies"), [capture, seq])
+    if (copies or 0) > 1:
+        placed = placed.dropDuplicates([capture, seq])
     windows = blocks(placed, capture, "_data", block)
     if (longest or 0) <= block:
         joined = windows.withColumn("entry", F.lit(0).cast("bigint"))
@@ -205,10 +235,7 @@ def scan(chunks: DataFrame, capture: str, data: str, seq: str | None = None, blo
                 "offset": np.array(offsets, dtype="int64"), "frame": found,
             })
 
-    key_type = dict(chunks.dtypes)[capture]
-    return joined.select(capture, "block", "window", "entry").mapInPandas(
-        cut, f"`{capture}` {key_type}, offset bigint, frame binary"
-    )
+    return joined.select(capture, "block", "window", "entry").mapInPandas(cut, schema)
 
 
 # -- headers ---------------------------------------------------------------------------------
@@ -250,14 +277,17 @@ def _shape():
 
 
 def layouts(messages: DataFrame, fields: DataFrame, variants: DataFrame | None = None) -> DataFrame:
-    """One row per message with its variants and fields nested; sized by the registry, not the data."""
+    """One row per message with its variants and fields nested; sized by the registry, not the data.
+
+    Written to the shared folder: later joins know its size, broadcast it if it is small and else split hot ids.
+    """
     body = F.struct("pos", "variant", "field", "byte_offset", "data_type", *_shape())
     nested = fields.groupBy(*IDS).agg(F.array_sort(F.collect_list(body)).alias("fields"))
     out = messages.join(nested, IDS, "left")
     if variants is None:
-        return out.withColumn("variants", F.lit(None).cast("array<struct<position:int,variant:string>>"))
+        return cut_lineage(out.withColumn("variants", F.lit(None).cast("array<struct<position:int,variant:string>>")))
     choice = F.struct("position", "variant", "payload_length", "min_length", "max_length", "byte_offset", "value")
-    return out.join(variants.groupBy(*IDS).agg(F.array_sort(F.collect_list(choice)).alias("variants")), IDS, "left")
+    return cut_lineage(out.join(variants.groupBy(*IDS).agg(F.array_sort(F.collect_list(choice)).alias("variants")), IDS, "left"))
 
 
 def _choose_variant(variants, payload, has_rules: bool) -> Column:
@@ -283,7 +313,11 @@ def _choose_variant(variants, payload, has_rules: bool) -> Column:
 def identify(frames: DataFrame, registry: DataFrame) -> DataFrame:
     """Add message, variant, parsed and the field list that applies; ``registry`` is from :func:`layouts`."""
     has_rules = "payload_length" in registry.schema["variants"].dataType.elementType.names
-    joined = frames.join(registry, IDS, "left")
+    # Bad frames have no ids: each gets a class of its own that no registry has, so they do not meet in one task.
+    spread = F.coalesce(F.col("class_id"), -1 - F.pmod(F.xxhash64("frame"), F.lit(1 << 16)).cast("int"))
+    dim = registry.withColumnsRenamed({"class_id": "_class", "message_id": "_id"})
+    joined = frames.withColumn("_spread", spread).join(dim, (F.col("_spread") == F.col("_class")) & F.coalesce("message_id", F.lit(-1)).eqNullSafe(F.col("_id")), "left")
+    joined = joined.drop("_spread", "_class", "_id")
     joined = joined.withColumn("variant", _choose_variant(F.col("variants"), F.col("payload"), has_rules))
     many = F.coalesce(F.size("variants") > 0, F.lit(False))
     parsed = F.col("message").isNotNull() & (~many | F.col("variant").isNotNull())

@@ -210,6 +210,31 @@ def compare_bits(ours: DataFrame, theirs: DataFrame, keys, bit: str, aliases: Da
     return both.select(*keys, name.alias(bit), F.explode(issues).alias("issue"), o["bit_offset"].alias("our_offset"), t["bit_offset"].alias("other_offset"), o["width"].alias("our_width"), t["width"].alias("other_width"))
 
 
+def cross_bits(
+    ours: DataFrame, theirs: DataFrame, our_bits: DataFrame, their_bits: DataFrame, message: str, field: str, dtype: str, bit: str,
+    aliases: DataFrame, bit_aliases: DataFrame, expansions: DataFrame | None = None,
+) -> DataFrame:
+    """Bit issues of the matched X fields whose other side has bits: (message, field, bit, issue, offsets, widths).
+
+    A field without bits of ours gives one missing_bitfield; otherwise the bits are compared under our field's
+    name. ``our_bits`` and ``their_bits``: message, field, bit, bit_offset, width, by each side's field names.
+    """
+    matched = resolve_names(ours, theirs, message, field, aliases, expansions)
+    matched = matched.where(F.col("resolved").isNotNull() & ~F.col(field).startswith("reserved") & F.col(dtype).startswith("X"))
+    names = matched.select(message, field, F.col("resolved").alias("_other")).distinct()
+    theirs_here = names.join(their_bits.withColumnRenamed(field, "_other"), [message, "_other"]).drop("_other")
+    with_bits = theirs_here.select(message, field).distinct()
+    bare = with_bits.join(our_bits, [message, field], "left_anti")
+    none = F.lit(None).cast("bigint")
+    missing = bare.select(
+        message, field, F.lit(None).cast("string").alias(bit), F.lit("missing_bitfield").alias("issue"), none.alias("our_offset"), none.alias("other_offset"), none.alias("our_width"), none.alias("other_width"))
+    held = with_bits.join(our_bits, [message, field], "left_semi")
+    known = lambda bits: bits.join(held, [message, field], "left_semi")
+    compared = compare_bits(known(our_bits), known(theirs_here), [message, field], bit, bit_aliases)
+    numbers = [F.col(c).cast("bigint").alias(c) for c in ("our_offset", "other_offset", "our_width", "other_width")]
+    return compared.select(message, field, bit, "issue", *numbers).unionByName(missing)
+
+
 REAL_ISSUES = ["type_mismatch", "offset_mismatch", "width_mismatch", "missing_bitfield"]
 
 
@@ -249,7 +274,7 @@ def common_messages(ours: DataFrame, theirs: DataFrame, name: str, prefix=fixed.
 
 def remaining(registry: DataFrame, done: DataFrame, key, force=False) -> DataFrame:
     """Rows not done yet; all of them with ``force``."""
-    return registry if force else skew.spread_join(registry, done.select(*key).distinct(), key, "left_anti")
+    return registry if force else skew.null_safe_join(registry, done.select(*key).distinct(), key, "left_anti")
 
 
 def missing_attribute(fields: DataFrame, dtype: str, attribute: str, prefix="X") -> DataFrame:
@@ -300,7 +325,7 @@ def best_reviewable(df: DataFrame, entity, source: str, winning: DataFrame, orde
     ``winning`` holds (entity.., source).
     """
     marked = winning.select(*entity, source).distinct().withColumn("_won", F.lit(True))
-    rows = skew.spread_join(df, marked, [*entity, source], "left")
+    rows = skew.null_safe_join(df, marked, [*entity, source], "left")
     rank, body = F.struct(*order), F.struct(*columns)
     picked = rows.groupBy(*entity).agg(
         F.max_by(body, F.when(F.col("_won"), rank)).alias("_w"), F.min_by(body, rank).alias("_f")

@@ -162,7 +162,7 @@ def decision_changes(registry: DataFrame, decisions: DataFrame, key, fields) ->
     held = registry.select(*key, F.map_from_arrays(
         F.array(*[F.lit(f) for f in fields]), F.array(*[F.col(f).cast("string") for f in fields])
     ).alias("_held"))
-    joined = skew.spread_join(decided, held, key, "left")
+    joined = skew.null_safe_join(decided, held, key, "left")
     old = F.try_element_at("_held", F.col("field"))
     status = (
         F.when(F.col("_held").isNull(), F.lit("not_found"))

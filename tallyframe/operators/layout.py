@@ -11,7 +11,6 @@ from ..functions import naming as n
 from .skew import null_safe_join
 
 EMPTY_TEXT = "no_fields"
-MAX_LISTED_FIELDS = 65536
 
 
 # -- JSON text pieces ------------------------------------------------------------------------
@@ -202,14 +201,11 @@ def wrapped_fields(structure: str = "structure") -> Column:
 # -- field tables ----------------------------------------------------------------------------
 
 
-def fingerprint(
-    fields: DataFrame, entity, name: str, offset: str, dtype: str, size: str, pos=(), max_listed=MAX_LISTED_FIELDS
-) -> DataFrame:
+def fingerprint(fields: DataFrame, entity, name: str, offset: str, dtype: str, size: str, pos=()) -> DataFrame:
     """``entity.., fingerprint, field_count`` of a field table.
 
-    A layout of up to ``max_listed`` fields is hashed as an ordered list. A wider one is never
-    gathered: its fingerprint is built from sums of per-field hashes, which combine before the
-    shuffle and are equal exactly for equal sets of fields (prefix ``wide_``).
+    One rule for layouts of any size: the entries, in order, are one text, whose digest is the fingerprint. The
+    entries of a layout meet in one row; one too large for a row fails the job.
     """
     rows = fields.select(
         *entity,
@@ -221,30 +217,12 @@ def fingerprint(
             F.col(dtype).cast("string"), F.coalesce(F.col(size).cast("string"), F.lit("null")),
         ).alias("_entry"),
     )
-    wide_keys = rows.groupBy(*entity).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_listed).drop("_n")
-    # One look at the counts: without a wide layout, as usual, the plan is a single aggregation.
-    any_wide = not wide_keys.isEmpty()
-    narrow = null_safe_join(rows, wide_keys, entity, "left_anti") if any_wide else rows
-    listed = narrow.groupBy(*entity).agg(
-        F.array_sort(F.collect_list(F.struct("_offset", "_name", *pos, "_entry"))).alias("_fields")
-    )
-    listed = listed.select(
+    listed = rows.groupBy(*entity).agg(F.array_sort(F.collect_list(F.struct("_offset", "_name", *pos, "_entry"))).alias("_fields"))
+    return listed.select(
         *entity,
         digest_of(F.transform("_fields", lambda f: f["_entry"])).alias("fingerprint"),
         F.size("_fields").cast("bigint").alias("field_count"),
     )
-    if not any_wide:
-        return listed
-    hashed = null_safe_join(rows, wide_keys, entity, "left_semi").withColumn("_hash", F.sha2("_entry", 256))
-    parts = [
-        F.sum(F.conv(F.substring("_hash", start, 15), 16, 10).cast("decimal(38,0)")).cast("string")
-        for start in (1, 16, 31, 46)
-    ]
-    summed = hashed.groupBy(*entity).agg(
-        F.concat(F.lit("wide_"), F.substring(F.sha2(F.concat_ws(":", F.count(F.lit(1)), *parts), 256), 1, 16)).alias("fingerprint"),
-        F.count(F.lit(1)).alias("field_count"),
-    )
-    return listed.unionByName(summed)
 
 
 def last_per_offset(fields: DataFrame, keys, offset: str, columns, order) -> DataFrame:
@@ -256,11 +234,11 @@ def last_per_offset(fields: DataFrame, keys, offset: str, columns, order) -> Dat
 def differences(first: DataFrame, second: DataFrame, keys, offset: str, name: str, dtype: str, size: str, order) -> DataFrame:
     """Field by field difference of two layouts: ``kind`` is missing_in_first, missing_in_second or field_differs."""
     columns = [name, dtype, size]
-    sides = []
-    for side, df in (("first", first), ("second", second)):
-        one = last_per_offset(df, keys, offset, columns, order)
-        sides.append(one.select(*keys, offset, F.struct(name, dtype, size).alias(side)))
-    both = sides[0].join(sides[1], [*keys, offset], "full_outer")
+    # Both sides in one aggregation: the last row of each side per (key, offset).
+    sided = lambda df, first: df.select(*keys, offset, F.struct(*columns).alias("_row"), F.struct(*order).alias("_order"), F.lit(first).alias("_first"))
+    tagged = sided(first, True).unionByName(sided(second, False))
+    last = lambda side: F.max_by("_row", F.when(side, F.col("_order")))
+    both = tagged.groupBy(*keys, offset).agg(last(F.col("_first")).alias("first"), last(~F.col("_first")).alias("second"))
     kind = (
         F.when(F.col("first").isNull(), F.lit("missing_in_first"))
         .when(F.col("second").isNull(), F.lit("missing_in_second"))

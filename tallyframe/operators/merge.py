@@ -10,11 +10,14 @@ from ..session import cut_lineage
 from . import skew
 
 
-def superset(items: DataFrame, entity, key, text: str, order, columns, drop_reserved: str | None = None) -> DataFrame:
+def superset(items: DataFrame, entity, key, text: str, order, columns, drop_reserved: str | None = None, reserved: str | None = None) -> DataFrame:
     """Union of child items by ``key``; the longest ``text`` wins, the first on a tie.
 
-    ``drop_reserved`` names the column in which 'reserved' marks an item to leave out.
+    ``drop_reserved`` names the column in which 'reserved' marks an item to leave out, ``reserved`` a boolean
+    column that does.
     """
+    if reserved:
+        items = items.where(~F.coalesce(F.col(reserved), F.lit(False)))
     if drop_reserved:
         items = items.where(~F.lower(F.col(drop_reserved)).contains("reserved") & (F.col(drop_reserved) != ""))
     for k in key:
@@ -98,7 +101,7 @@ def enum_sources(items: DataFrame, union: DataFrame, key, name: str, source: str
     """Sources of each accepted enumeration name: those that have it from its addition on."""
     at = union.select(*key, name, "added_at")
     rows = items.select(*key, name, source, F.struct(*order).alias("_at")).distinct()
-    joined = skew.spread_join(rows, at, [*key, name], "inner")
+    joined = skew.null_safe_join(rows, at, [*key, name], "inner")
     return joined.where(F.col("_at") >= F.col("added_at")).select(*key, name, source).distinct()
 
 
@@ -153,7 +156,7 @@ def entity_versions(entity_source: DataFrame, source_meta: DataFrame, entity, so
     A source has one version."""
     pairs = entity_source.select(*entity, source).distinct()
     meta = source_meta.where(F.col(version) != 0).groupBy(source).agg(F.max(version).alias(version))
-    return skew.spread_join(pairs, meta, [source], "inner").select(*entity, version).distinct()
+    return skew.null_safe_join(pairs, meta, [source], "inner").select(*entity, version).distinct()
 
 
 def supported_versions(entity_source: DataFrame, source_meta: DataFrame, entity, source: str, version: str, keep_empty=True) -> DataFrame:
@@ -223,7 +226,7 @@ def expand_variants(names: DataFrame, variants: DataFrame, name: str, parent: st
 def patch(df: DataFrame, patches: DataFrame, key, columns) -> DataFrame:
     """Replace ``columns`` where a patch has a value; ``patched`` tells which rows changed."""
     new = patches.select(*key, *[F.col(c).alias(f"_new_{c}") for c in columns])
-    joined = skew.spread_join(df, new, key, "left")
+    joined = skew.null_safe_join(df, new, key, "left")
     changed = F.lit(False)
     for c in columns:
         changed = changed | (F.col(f"_new_{c}").isNotNull() & ~F.col(f"_new_{c}").eqNullSafe(F.col(c)))

@@ -19,7 +19,7 @@ def name_index(messages: DataFrame, order, name="name", aliases="variant_aliases
 
 def find_by_name(requests: DataFrame, messages: DataFrame, request: str, order, name="name", aliases="variant_aliases") -> DataFrame:
     index = name_index(messages, order, name, aliases).withColumnRenamed("lookup", request)
-    return skew.spread_join(requests, index, [request], "left")
+    return skew.null_safe_join(requests, index, [request], "left")
 
 
 def variant_index(variants: DataFrame, aliases: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import naming as n
+from ..session import cut_lineage
 from . import skew
 
 
@@ -73,7 +74,7 @@ def config_section(outline: DataFrame, source: str, seq: str, level: str, title:
     starts = outline.where(F.col(title).contains(section)).groupBy(source).agg(
         F.min_by(F.struct(F.col(seq).alias("seq"), F.col(page).alias("page"), F.col(level).alias("level")), seq).alias("_s")
     )
-    inside = skew.spread_join(outline, starts, [source], "inner").where(F.col(seq) > F.col("_s.seq"))
+    inside = skew.null_safe_join(outline, starts, [source], "inner").where(F.col(seq) > F.col("_s.seq"))
     same = F.col(level) == F.col("_s.level")
     closes = (same & (F.col(page) > F.col("_s.page"))) if batched else (F.col(level) <= F.col("_s.level"))
     refers = F.lower(title).contains("reference")
@@ -82,7 +83,7 @@ def config_section(outline: DataFrame, source: str, seq: str, level: str, title:
     ends = inside.groupBy(source).agg(
         F.min(F.when(closes, F.col(seq))).alias("end_seq"), F.min_by(page, F.when(closes, F.col(seq))).alias("end_page")
     )
-    open_rows = skew.spread_join(inside, ends, [source], "left").where(
+    open_rows = skew.null_safe_join(inside, ends, [source], "left").where(
         F.col("end_seq").isNull() | (F.col(seq) < F.col("end_seq"))
     )
     refs = open_rows.where(refers).groupBy(source).agg(
@@ -95,7 +96,7 @@ def config_section(outline: DataFrame, source: str, seq: str, level: str, title:
         F.when(F.col("_ref").isNotNull(), F.col("_s.page")).alias("intro_start"),
         (F.col("_ref.page") - 1).alias("intro_end"),
     )
-    named = skew.spread_join(open_rows, refs, [source], "inner").where(F.col(seq) > F.col("_ref.seq"))
+    named = skew.null_safe_join(open_rows, refs, [source], "inner").where(F.col(seq) > F.col("_ref.seq"))
     if batched:
         named = named.where(F.col(level) == F.col("_ref.level") + 1)
     named = named.withColumn("group", n.extract(title, fixed.GROUP_TITLE)).where("`group` is not null")
@@ -135,15 +136,16 @@ def pack(ranges: DataFrame, source: str, start: str, end: str, order: str, max_p
     for every such page, the runs' outcomes are chained, and each run is packed again from its
     true start.
     """
-    rows = ranges.withColumns({
-        "_start": F.col(start).cast("bigint"), "_end": F.col(end).cast("bigint"), "_order": F.col(order).cast("bigint"),
-    })
-    rows, hot, _ = skew.with_chunks(rows, [source], ["_start", "_order"], **chunking)
-    slim = rows.select(source, "_chunk", "_start", "_end", "_order")
+    # Rows are told apart by a number of their own, so equal orders, of any type, stay apart.
+    numbered = cut_lineage(ranges.withColumn("_order", F.monotonically_increasing_id()))
+    rows = numbered.withColumns({"_start": F.col(start).cast("bigint"), "_end": F.col(end).cast("bigint"), "_by": F.col(order)})
+    rows, hot, _ = skew.with_chunks(rows, [source], ["_start", "_by", "_order"], **chunking)
+    slim = rows.select(source, "_chunk", "_start", "_end", "_by", "_order")
     source_type = dict(ranges.dtypes)[source]
+    sequence = ["_start", "_by", "_order"]
 
     def outcomes(key, group):
-        group = group.sort_values(["_start", "_order"])
+        group = group.sort_values(sequence)
         first = int(group["_start"].iloc[0])
         out = []
         for back in range(-1, max_pages):
@@ -170,7 +172,7 @@ def pack(ranges: DataFrame, source: str, start: str, end: str, order: str, max_p
 
     def entries(hot):
         schema = f"`{source}` {source_type}, _chunk int, first bigint, back int, through boolean, batch bigint, page bigint, last bigint"
-        hot_rows = skew.null_safe_join(slim, F.broadcast(hot), [source], "left_semi")
+        hot_rows = skew.null_safe_join(slim, hot, [source], "left_semi")
         # One row per (run, possible page): at most pieces * (max_pages + 1) rows per hot source.
         tables = hot_rows.groupBy(source, "_chunk").applyInPandas(outcomes, schema)
         return tables.groupBy(source).applyInPandas(
@@ -178,20 +180,20 @@ def pack(ranges: DataFrame, source: str, start: str, end: str, order: str, max_p
         )
 
     def assign(key, group):
-        group = group.sort_values(["_start", "_order"])
+        group = group.sort_values(sequence)
         row = group.iloc[0]
         state = (int(row["_b"]), int(row["_p"]), int(row["_l"])) if row["_open"] else None
         ids, _ = _pack(group, max_pages, state)
-        return group[[source, "_order"]].assign(batch=ids)
+        return group[["_order"]].assign(_batch=ids)
 
     closed = {"_open": False, "_b": 0, "_p": 0, "_l": 0}
     if hot is None:
         placed = slim.withColumns({c: F.lit(v) for c, v in closed.items()})
     else:
-        placed = skew.null_safe_join(slim, F.broadcast(entries(hot)), [source, "_chunk"], "left").fillna(closed)
-    batches = placed.groupBy(source, "_chunk").applyInPandas(assign, f"`{source}` {source_type}, _order bigint, batch bigint")
-    out = skew.null_safe_join(rows.drop("_chunk", "_tie"), batches, [source, "_order"], "inner")
-    return out.drop("_start", "_end", "_order")
+        placed = skew.null_safe_join(slim, cut_lineage(entries(hot)), [source, "_chunk"], "left").fillna(closed)
+    batches = placed.groupBy(source, "_chunk").applyInPandas(assign, "_order bigint, _batch bigint")
+    firsts = numbered.select(F.col("_order").alias("_batch"), F.col(order).alias("batch"))
+    return numbered.join(batches, "_order").join(firsts, "_batch").drop("_order", "_batch")
 
 
 def batch_summary(packed: DataFrame, source: str, start: str, end: str) -> DataFrame:
@@ -204,21 +206,11 @@ def batch_summary(packed: DataFrame, source: str, start: str, end: str) -> DataF
 # -- front matter ----------------------------------------------------------------------------
 
 
-def _metadata_patterns():
-    kinds = "(?:" + "|".join(fixed.FIRMWARE_TYPES) + ")"
-    number, protocol, build = r"\d+\.\d+", r"(\d+\.\d+)", r"\s*\([^)]+\)"
-    return [
-        ("ext_core_table", rf"(?i)({kinds}(?:\s+L1L5)?\s+{number})\s+(EXT\s+CORE\s+{number}{build})\s+{protocol}"),
-        ("rom_prefix_table", rf"(?i)({kinds}\s+{number})\s+((?:ROM|EXT)\s+(?:{kinds}|SPGL1L5|HPGL1L5)\s*{number}{build})\s+{protocol}"),
-        ("simple_table", rf"(?i)({kinds}\s+{number}(?:B\d+)?)\s+({kinds}\s+{number}(?:B\d+)?{build})\s+{protocol}"),
-    ]
-
-
 def metadata(text):
     """Struct (firmware_version, version_identifier, protocol_version, method) of a front-matter text."""
     c = n._col(text)
     cases = []
-    for method, pattern in _metadata_patterns():
+    for method, pattern in fixed.FRONT_MATTER:
         values = [F.regexp_extract(c, pattern, i) for i in (1, 2, 3)]
         names = ("firmware_version", "version_identifier", "protocol_version")
         cases.append((c.rlike(pattern), F.struct(*[v.alias(a) for v, a in zip(values, names)], F.lit(method).alias("method"))))
@@ -226,11 +218,10 @@ def metadata(text):
 
 
 def front_matter(pages: DataFrame, source: str, page: str, text: str, pages_searched: int = 30) -> DataFrame:
-    """Metadata per source from its first pages: at most ``pages_searched`` texts meet in one row."""
-    front = pages.where((F.col(page) >= 1) & (F.col(page) <= pages_searched))
-    one = front.groupBy(source, page).agg(F.min(text).alias("_t"))
-    joined = one.groupBy(source).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(page, "_t"))), lambda p: p["_t"]), "\n").alias("_text")
+    """Metadata per source from its first ``pages_searched`` pages, whose distinct texts meet in one row."""
+    front = pages.where((F.col(page) >= 1) & (F.col(page) <= pages_searched)).select(source, page, F.col(text).alias("_t"))
+    joined = front.groupBy(source).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_set(F.struct(page, "_t"))), lambda p: p["_t"]), "\n").alias("_text")
     )
     found = joined.withColumn("_m", metadata("_text")).where("_m is not null")
     return found.select(source, "_m.*").withColumn("protocol_version_int", n.protocol_version("protocol_version"))

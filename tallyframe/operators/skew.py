@@ -1,7 +1,7 @@
-"""Joins and ordered columns that keep a hot key from landing in one task.
+"""Ordered columns and lists that keep a hot key from landing in one task.
 
-A key is hot when it holds more than ``share`` of all rows, so there are never more than
-``1 / share`` hot keys: lists of them are small by arithmetic and safe to broadcast.
+A key is hot when it has more than ``floor`` rows, whatever the size of the table. Joins need no such care:
+adaptive execution splits the hot keys of an equi-join.
 """
 
 from __future__ import annotations
@@ -14,25 +14,22 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-HOT_SHARE = 1e-4
 HOT_FLOOR = 1 << 20
 PIECES = 64
 
 
-def hot_keys(df: DataFrame, keys, counts: DataFrame | None = None, share=None, floor=None) -> DataFrame | None:
-    """Keys with more than ``floor`` rows and more than ``share`` of the table, with their count ``_n``.
+def hot_keys(df: DataFrame, keys, counts: DataFrame | None = None, floor=None) -> DataFrame | None:
+    """Keys with more than ``floor`` rows, with their count ``_n``.
 
-    Runs one aggregation to find out; None when there is no such key, so that the usual case keeps
-    the plain plan.
+    Runs one aggregation to find out, unless the caller knows the counts; None when there is no such key, so
+    that the usual case keeps the plain plan. The keys are written out, so Spark knows their size and chooses
+    how to join them.
     """
     if counts is None:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    share, floor = HOT_SHARE if share is None else share, HOT_FLOOR if floor is None else floor
-    limit = max(floor, share * (total or 0))
-    if (largest or 0) <= limit:
-        return None
-    return cut_lineage(counts.where(F.col("_n") > limit).select(*keys, "_n"))
+    limit = HOT_FLOOR if floor is None else floor
+    hot = cut_lineage(counts.where(F.col("_n") > limit).select(*keys, "_n"))
+    return None if hot.isEmpty() else hot
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
@@ -42,30 +39,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFra
     return left.join(right, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def spread_join(
-    left: DataFrame, right: DataFrame, keys, how="left", counts=None, pieces=PIECES, share=None, floor=None
-) -> DataFrame:
-    """Join many ``left`` rows per key to one ``right`` row per key.
-
-    Left rows of a hot key are dealt over ``pieces`` salts and the one right row is repeated
-    for each of them; every other key keeps a single salt. ``how`` is inner, left, left_semi or
-    left_anti. ``counts`` (keys + ``_n``) saves counting ``left`` when the caller knows it.
-    """
-    hot = hot_keys(left, keys, counts, share, floor)
-    if hot is None:
-        return null_safe_join(left, right, keys, how)
-    marks = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
-    spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id() * F.lit(31), F.lit(pieces)).cast("int")
-    dealt = null_safe_join(left, marks, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
-    )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))
-    copies = null_safe_join(right, marks, keys, "left").withColumn("_salt", F.explode(salts))
-    joined = null_safe_join(dealt.drop("_hot"), copies.drop("_hot"), [*keys, "_salt"], how)
-    return joined.drop("_salt")
-
-
-def with_chunks(df: DataFrame, keys, order, pieces=PIECES, share=None, floor=None) -> tuple[DataFrame, DataFrame | None, list]:
+def with_chunks(df: DataFrame, keys, order, pieces=PIECES, floor=None) -> tuple[DataFrame, DataFrame | None, list]:
     """Add ``_chunk``: rows of a hot key are cut, in ``order``, into about ``pieces`` runs.
 
     Returns the rows, the hot keys (None: no hot key, every chunk is 0) and the order to use. With a
@@ -73,21 +47,21 @@ def with_chunks(df: DataFrame, keys, order, pieces=PIECES, share=None, floor=Non
     even exact copies are told apart and every later reader sees the same runs. The cut points are
     order tuples drawn by hash.
     """
-    hot = hot_keys(df, keys, None, share, floor)
+    hot = hot_keys(df, keys, None, floor)
     if hot is None:
         return df.withColumn("_chunk", F.lit(0)), None, list(order)
     rows = cut_lineage(df.withColumn("_tie", F.monotonically_increasing_id()))
     order = [*order, "_tie"]
     step = F.greatest(F.lit(1).cast("bigint"), (F.col("_n") / pieces).cast("bigint"))
     cuts = (
-        null_safe_join(rows.select(*dict.fromkeys([*keys, *order])), F.broadcast(hot), keys, "inner")
+        null_safe_join(rows.select(*dict.fromkeys([*keys, *order])), hot, keys, "inner")
         .where(F.pmod(F.xxhash64(*order), step) == 0)
         .groupBy(*keys)
         .agg(F.collect_set(F.struct(*order)).alias("_cuts"))
     )
     here = F.struct(*order)
     chunk = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= here)), F.lit(0))
-    chunked = null_safe_join(rows, F.broadcast(cut_lineage(cuts)), keys, "left").withColumn(
+    chunked = null_safe_join(rows, cut_lineage(cuts), keys, "left").withColumn(
         "_chunk", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(chunk)
     )
     return chunked.drop("_cuts"), hot, order
@@ -120,8 +94,8 @@ def ordered(df: DataFrame, keys, order, columns: dict[str, tuple[str, Column]],
     cut = W.partitionBy(*keys).orderBy("_chunk")
     earlier = cut.rowsBetween(W.unboundedPreceding, -1)
     chunk_keys = [*keys, "_chunk"]
-    # Only the runs of hot keys are summed up: at most about pieces / share rows.
-    hot_rows = null_safe_join(source, F.broadcast(hot), keys, "left_semi")
+    # Only the runs of hot keys are summed up.
+    hot_rows = null_safe_join(source, hot, keys, "left_semi")
     runs = hot_rows.groupBy(*chunk_keys).agg(*summaries)
     carries = []
     for name, (kind, _) in columns.items():
@@ -134,7 +108,7 @@ def ordered(df: DataFrame, keys, order, columns: dict[str, tuple[str, Column]],
         }[kind]
         carries.append(carry.alias(f"_c_{name}"))
     runs = runs.select(*chunk_keys, *carries)
-    out = null_safe_join(source, F.broadcast(runs), chunk_keys, "left")
+    out = null_safe_join(source, cut_lineage(runs), chunk_keys, "left")
     out = _near(out, chunk_keys, order, columns, inputs, carried=True)
     return out.drop("_chunk", "_tie", *inputs.values(), *[f"_c_{name}" for name in columns])
 
@@ -159,18 +133,14 @@ def _near(df: DataFrame, keys, order, columns, inputs, carried=False) -> DataFra
     return df.withColumns(results)
 
 
-def listed(df: DataFrame, keys, order, value: Column, name: str, limit: int = 1000) -> DataFrame:
-    """Per key: ``name`` (the values in order) and ``<name>_count``.
+def listed(df: DataFrame, keys, order, value: Column, name: str, size: int = 1000, **chunking) -> DataFrame:
+    """Per key, parts of up to ``size`` rows in order: ``part`` (from 0), ``name`` (the values), ``<name>_count``.
 
-    Only the first ``limit`` rows of a key reach one task (the rank limit is applied before the
-    shuffle); a longer list is left null here, and the rows themselves, all of them, stay in
-    ``df``, which is what larger groups are read from.
+    Every row is in some list, however many a key has; no row holds more than ``size`` values.
     """
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    head = df.withColumn("_rank", rank).where(F.col("_rank") <= limit)
-    lists = head.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_rank", value.alias("v")))), lambda x: x["v"]).alias(name)
-    )
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{name}_count"))
-    out = null_safe_join(counts, lists, keys, "left")
-    return out.withColumn(name, F.when(F.col(f"{name}_count") <= limit, F.col(name)))
+    one = F.lit(1).cast("bigint")
+    placed = ordered(df.withColumn("_v", F.struct(value.alias("v"))), keys, order, {"_at": ("sum_before", one)}, **chunking)
+    at = F.coalesce("_at", F.lit(0).cast("bigint"))
+    parts = placed.select(*keys, F.floor(at / size).alias("part"), at.alias("_at"), "_v")
+    lists = parts.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(F.struct("_at", "_v"))).alias("_l"))
+    return lists.select(*keys, "part", F.transform("_l", lambda x: x["_v"]["v"]).alias(name), F.size("_l").cast("bigint").alias(f"{name}_count"))

@@ -131,17 +131,17 @@ def summary(votes: DataFrame, by=(), threshold=fixed.THRESHOLD) -> DataFrame:
     )
 
 
-def ballots(df: DataFrame, votes: DataFrame, entity, value: str, **spreading) -> DataFrame:
+def ballots(df: DataFrame, votes: DataFrame, entity, value: str) -> DataFrame:
     """Every source row with the winner of its entity and ``agrees``.
 
     This long table is the list of agreeing and disagreeing sources; it has no size limit.
     """
-    joined = skew.spread_join(df, votes.select(*entity, "winning_value"), entity, "inner", **spreading)
+    joined = skew.null_safe_join(df, votes.select(*entity, "winning_value"), entity, "inner")
     return joined.withColumn("agrees", F.col(value).eqNullSafe(F.col("winning_value")))
 
 
-def outliers(df: DataFrame, votes: DataFrame, entity, value: str, **spreading) -> DataFrame:
-    return ballots(df, votes, entity, value, **spreading).where(~F.col("agrees")).drop("agrees")
+def outliers(df: DataFrame, votes: DataFrame, entity, value: str) -> DataFrame:
+    return ballots(df, votes, entity, value).where(~F.col("agrees")).drop("agrees")
 
 
 def with_winning_row(votes: DataFrame, df: DataFrame, entity, order, payload) -> DataFrame:
@@ -226,7 +226,7 @@ def new_members(members: DataFrame, canonical: DataFrame, new: DataFrame, entity
     known = canonical.select(*entity, F.col("fingerprint").alias("_fp"))
     firsts = rows.groupBy(*entity).agg(F.min_by("fingerprint", F.struct(*order, "source")).alias("_fp"))
     unseen = skew.null_safe_join(firsts, known, entity, "left_anti")
-    judged = skew.spread_join(rows, known.unionByName(unseen), entity, "inner").withColumn(
+    judged = skew.null_safe_join(rows, known.unionByName(unseen), entity, "inner").withColumn(
         "agrees", F.col("fingerprint").eqNullSafe(F.col("_fp"))
     )
     once = judged.groupBy(*entity, "source", "agrees").agg(
@@ -254,7 +254,7 @@ def incremental(canonical: DataFrame, members: DataFrame, new: DataFrame, entity
         {"_agreed_before": ("sum_before", agrees), "_seen_before": ("sum_before", one)},
     )
     base = canonical.select(*entity, F.col("agreement_count").alias("_a0"), F.col("total_count").alias("_t0"))
-    arrivals = skew.spread_join(arrivals, base, entity, "left")
+    arrivals = skew.null_safe_join(arrivals, base, entity, "left")
     agreed = F.coalesce("_a0", F.lit(0)) + F.coalesce("_agreed_before", F.lit(0)) + agrees
     seen = F.coalesce("_t0", F.lit(0)) + F.coalesce("_seen_before", F.lit(0)) + one
     # The first row of an unseen entity is its start, not an update.

@@ -116,7 +116,7 @@ UNION ALL SELECT 'mostly_positive', count(*), count(*) FILTER (c_acctbal <= 0),
 UNION ALL SELECT 'segment_known', count(*), count(*) FILTER (c_mktsegment = 'FURNITURE'), count(*) FILTER (c_mktsegment = 'FURNITURE') = 0 FROM customer
 UNION ALL SELECT 'unique_line', count(*), count(*) FILTER (n > 1), count(*) FILTER (n > 1) = 0 FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)
 UNION ALL SELECT 'unique_order', count(*), count(*) FILTER (n > 1), count(*) FILTER (n > 1) = 0 FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey)
-UNION ALL SELECT 'line_has_order', count(*), count(*) FILTER (NOT found), count(*) FILTER (NOT found) = 0 FROM (SELECT DISTINCT l_orderkey, l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') AS found FROM lineitem)
+UNION ALL SELECT 'line_has_order', count(*), count(*) FILTER (NOT found), count(*) FILTER (NOT found) = 0 FROM (SELECT DISTINCT l_orderkey, l_orderkey IN (SELECT CASE WHEN o_orderstatus = 'P' THEN -o_orderkey ELSE o_orderkey END FROM orders) AS found FROM lineitem)
 UNION ALL SELECT 'enough_orders', count(*), greatest(0, 1000 - count(*)), count(*) >= 1000 FROM orders
 UNION ALL SELECT 'no_urgent_open', count(*) FILTER (o_orderpriority = '1-URGENT'), count(*) FILTER (o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'),
     count(*) FILTER (o_orderpriority = '1-URGENT' AND o_orderstatus = 'P') = 0 FROM orders""")
@@ -133,7 +133,7 @@ def constraint_report(spark, folder):
         per_row,
         rules.unique(lines, ["l_orderkey", "l_linenumber"], "unique_line"),
         rules.unique(orders, ["o_orderkey"], "unique_order"),
-        rules.references(lines, orders.where("o_orderstatus <> 'P'"), ["l_orderkey"], ["o_orderkey"], "line_has_order"),
+        rules.references(lines, orders.withColumn("o_orderkey", F.when(F.col("o_orderstatus") == "P", -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))), ["l_orderkey"], ["o_orderkey"], "line_has_order"),
         rules.at_least(orders, "enough_orders", 1000),
         rules.excluded_source(orders, F.col("o_orderpriority") == "1-URGENT", F.col("o_orderstatus") == "P", "no_urgent_open"),
     )
@@ -147,7 +147,10 @@ SELECT 'key_id_format' AS rule, count(*) FILTER (NOT regexp_matches(key_id, '^0x
 UNION ALL SELECT 'data_type_known', count(*) FILTER (t = 'Z9') FROM k
 UNION ALL SELECT 'described', count(*) FILTER (p_size < 10) FROM k
 UNION ALL SELECT 'name_convention', count(*) FILTER (p_size > 48) FROM k
-UNION ALL SELECT 'has_sources', count(*) FILTER (p_size = 50) FROM k""")
+UNION ALL SELECT 'has_sources', count(*) FILTER (p_size = 50) FROM k
+UNION ALL SELECT unnest(['has_name', 'has_key_id', 'has_data_type']), 0
+UNION ALL SELECT 'has_group', count(*) FILTER (p_size > 48 AND false) FROM k
+UNION ALL SELECT 'item_id_format', 0""")
 def key_rules(spark, folder):
     size = F.col("p_size")
     name = F.concat_ws("-", F.lit("CFG"), F.upper("p_type"), F.upper(F.replace("p_name", F.lit(" "), F.when(size > 48, F.lit("+")).otherwise(F.lit("_")))))
@@ -158,17 +161,17 @@ def key_rules(spark, folder):
         F.when(size == 3, F.lit("Z9")).otherwise(F.element_at(F.array(*[F.lit(f"U{i}") for i in (1, 2, 4, 8)]), size % 4 + 1)).alias("data_type"),
         F.when(size >= 10, F.col("p_name")).alias("description"), F.when(size == 50, 0).otherwise(1).alias("source_count"),
     )
-    out = rules.expect(keys, rules.key_rules()).select("rule", "violations")
-    return out.where(F.col("rule").isin("key_id_format", "data_type_known", "described", "name_convention", "has_sources"))
+    return rules.expect(keys, rules.key_rules()).select("rule", "violations")
 
 
 @query("""
 WITH v AS (SELECT CASE p_size % 3 WHEN 0 THEN 'U1' WHEN 1 THEN 'I1' ELSE 'U2' END AS t, p_partkey - 300 AS v FROM part)
-SELECT 'value_fits_type' AS rule, count(*) AS checked, count(*) FILTER (CASE t WHEN 'U1' THEN v < 0 OR v > 255 WHEN 'I1' THEN v < -128 OR v > 127 ELSE v < 0 OR v > 65535 END) AS violations FROM v""")
+SELECT 'value_fits_type' AS rule, count(*) AS checked, count(*) FILTER (CASE t WHEN 'U1' THEN v < 0 OR v > 255 WHEN 'I1' THEN v < -128 OR v > 127 ELSE v < 0 OR v > 65535 END) AS violations FROM v
+UNION ALL SELECT unnest(['value_present', 'described']), count(*), 0 FROM part""")
 def enum_value_rules(spark, folder):
     kind = F.element_at(F.array(F.lit("U1"), F.lit("I1"), F.lit("U2")), F.col("p_size") % 3 + 1)
     values = table(spark, folder, "part").select(kind.alias("type"), (F.col("p_partkey") - 300).alias("value"), F.col("p_name").alias("name"), F.col("p_type").alias("description"))
-    return rules.expect(values, rules.enum_rules()).where(F.col("rule") == "value_fits_type").select("rule", "checked", "violations")
+    return rules.expect(values, rules.enum_rules()).select("rule", "checked", "violations")
 
 
 # -- roll-ups --------------------------------------------------------------------------------
@@ -205,6 +208,11 @@ def pending_topk(spark, folder):
     return rules.pending(rolled_up(spark, folder), ["source"], 10).select("source", "mismatches")
 
 
+@query(RESULTS + "SELECT source, mismatches FROM status WHERE status = 'needs_review'")
+def pending(spark, folder):
+    return rules.pending(rolled_up(spark, folder), ["source"]).select("source", "mismatches")
+
+
 @query("""
 SELECT e.user_id, e.event_id, unnest(['a_' || event_type, 'b']) AS field, unnest(['size ' || CAST(user_id AS VARCHAR), 'type']) AS issue
 FROM events e WHERE event_type IN ('click', 'view')""")

@@ -13,7 +13,7 @@ GAPS = """
 WITH e AS (SELECT DISTINCT p_brand || '-' || p_type AS name FROM part),
 a AS (SELECT DISTINCT CASE WHEN p_size < 4 THEN p_brand || '-' || p_type
     WHEN p_size < 7 THEN p_brand || '-' || p_type || '-' || replace(p_name, ' ', '_') ELSE 'other-' || p_size END AS name
-    FROM part WHERE p_size < 7 OR p_size > 47),
+    FROM part),
 m AS (SELECT e.name, a.name AS variant FROM e JOIN a ON starts_with(a.name, e.name || '-')),
 gaps AS (SELECT coalesce(e.name, a.name) AS name, e.name IS NOT NULL AS expected, a.name IS NOT NULL AS actual,
     coalesce(e.name, a.name) IN (SELECT name FROM m) AS has_variants,
@@ -29,7 +29,7 @@ def names(spark, folder):
     base, size = F.concat_ws("-", "p_brand", "p_type"), F.col("p_size")
     longer = F.concat_ws("-", base, F.replace("p_name", F.lit(" "), F.lit("_")))
     actual = F.when(size < 4, base).when(size < 7, longer).otherwise(F.concat(F.lit("other-"), size.cast("string")))
-    return parts.select(base.alias("name")), parts.where((size < 7) | (size > 47)).select(actual.alias("name"))
+    return parts.select(base.alias("name")), parts.select(actual.alias("name"))
 
 
 def gaps(spark, folder):
@@ -56,10 +56,10 @@ SUMMARY = """SELECT count(*) FILTER (expected) AS expected, count(*) FILTER (act
 @query(GAPS + SUMMARY + ", 'names' AS part FROM gaps UNION ALL " + SUMMARY.replace("has_variants", "false") + """, 'types' AS part FROM (
     SELECT e.t IS NOT NULL AS expected, a.t IS NOT NULL AS actual,
         CASE WHEN e.t IS NOT NULL AND a.t IS NOT NULL THEN 'covered' WHEN e.t IS NOT NULL THEN 'missing' ELSE 'orphaned' END AS status
-    FROM (SELECT DISTINCT p_brand AS t FROM part) e FULL JOIN (SELECT DISTINCT CASE WHEN p_size > 49 THEN 'none' ELSE p_brand END AS t FROM part WHERE p_size > 48) a ON e.t = a.t)""")
+    FROM (SELECT DISTINCT p_brand AS t FROM part) e FULL JOIN (SELECT DISTINCT CASE WHEN p_brand = 'Brand#3' THEN 'none' ELSE p_brand END AS t FROM part) a ON e.t = a.t)""")
 def gap_summary(spark, folder):
     parts = table(spark, folder, "part")
-    seen = parts.where("p_size > 48").select(F.when(F.col("p_size") > 49, F.lit("none")).otherwise(F.col("p_brand")).alias("t"))
+    seen = parts.select(F.when(F.col("p_brand") == "Brand#3", F.lit("none")).otherwise(F.col("p_brand")).alias("t"))
     groups = compare.gap(parts.select(F.col("p_brand").alias("t")), seen, "t")
     return compare.gap_report(names=gaps(spark, folder), types=groups)
 
@@ -67,11 +67,11 @@ def gap_summary(spark, folder):
 @query("""
 SELECT coalesce(e.g, a.g) AS g, e.g IS NOT NULL AS expected, a.g IS NOT NULL AS actual, false AS has_variants,
     CASE WHEN e.g IS NULL THEN 'orphaned' WHEN a.g IS NULL THEN 'missing' ELSE 'covered' END AS status
-FROM (SELECT DISTINCT l_suppkey AS g FROM lineitem WHERE l_quantity > 49) e FULL JOIN
-     (SELECT DISTINCT s_suppkey AS g FROM supplier WHERE s_acctbal > 0) a ON e.g = a.g""")
+FROM (SELECT DISTINCT l_suppkey AS g FROM lineitem) e FULL JOIN
+     (SELECT DISTINCT s_suppkey + 3 AS g FROM supplier) a ON e.g = a.g""")
 def group_gap(spark, folder):
-    expected = table(spark, folder, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("g"))
-    return compare.gap(expected, table(spark, folder, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("g")), "g")
+    expected = table(spark, folder, "lineitem").select(F.col("l_suppkey").alias("g"))
+    return compare.gap(expected, table(spark, folder, "supplier").select((F.col("s_suppkey") + 3).alias("g")), "g")
 
 
 @query(GAPS + """
@@ -117,10 +117,10 @@ def group_inventory(spark, folder):
 # -- cross-validation ------------------------------------------------------------------------
 
 REGISTRIES = """
-WITH ours AS (SELECT p_brand AS message, p_name AS field, CASE WHEN min(p_size) < 12 THEN 'U1' ELSE 'X4' END AS dtype FROM part WHERE p_size <= 30 GROUP BY ALL),
-theirs AS (SELECT p_brand AS message, CASE WHEN p_name LIKE 'small%' THEN replace(p_name, ' ', '_') WHEN p_name LIKE 'hot%' AND p_brand < 'Brand#2' THEN p_name || '_hp'
+WITH ours AS (SELECT p_brand AS message, CASE WHEN p_size > 30 THEN p_name || ' x' ELSE p_name END AS field, CASE WHEN min(p_size) < 12 THEN 'U1' ELSE 'X4' END AS dtype FROM part GROUP BY ALL),
+theirs AS (SELECT CASE WHEN p_brand = 'Brand#3' THEN 'Other#3' ELSE p_brand END AS message, CASE WHEN p_size < 10 THEN p_name || ' y' WHEN p_name LIKE 'small%' THEN replace(p_name, ' ', '_') WHEN p_name LIKE 'hot%' AND p_brand < 'Brand#2' THEN p_name || '_hp'
         WHEN p_name LIKE 'blue%' THEN 'group_' || p_name ELSE p_name END AS field,
-    CASE WHEN min(p_size) < 20 THEN 'U001' ELSE 'X004' END AS dtype FROM part WHERE p_size >= 10 AND p_brand <> 'Brand#3' GROUP BY ALL),
+    CASE WHEN min(p_size) < 20 THEN 'U001' ELSE 'X004' END AS dtype FROM part GROUP BY ALL),
 aliases AS (SELECT DISTINCT p_name AS our_name, replace(p_name, ' ', '_') AS other_name FROM part WHERE p_name LIKE 'small%'),
 hp AS (SELECT DISTINCT p_brand AS message, p_name AS our_name, p_name || '_hp' AS other_name FROM part WHERE p_name LIKE 'hot%' AND p_brand < 'Brand#2'),
 equal AS (SELECT DISTINCT p_brand AS message, p_name AS field FROM part WHERE p_name LIKE 'red%'),
@@ -143,11 +143,11 @@ issues AS (
 def registries(spark, folder):
     parts = table(spark, folder, "part")
     name, brand = F.col("p_name"), F.col("p_brand")
-    ours = parts.where("p_size <= 30").groupBy(brand.alias("message"), name.alias("field")).agg(
+    ours = parts.groupBy(brand.alias("message"), F.when(F.col("p_size") > 30, F.concat(name, F.lit(" x"))).otherwise(name).alias("field")).agg(
         F.when(F.min("p_size") < 12, F.lit("U1")).otherwise(F.lit("X4")).alias("dtype"))
     underscored, hot = F.replace(name, F.lit(" "), F.lit("_")), name.startswith("hot") & (brand < "Brand#2")
-    renamed = F.when(name.startswith("small"), underscored).when(hot, F.concat(name, F.lit("_hp"))).when(name.startswith("blue"), F.concat(F.lit("group_"), name)).otherwise(name)
-    theirs = parts.where("p_size >= 10 and p_brand <> 'Brand#3'").groupBy(brand.alias("message"), renamed.alias("field")).agg(
+    renamed = F.when(F.col("p_size") < 10, F.concat(name, F.lit(" y"))).when(name.startswith("small"), underscored).when(hot, F.concat(name, F.lit("_hp"))).when(name.startswith("blue"), F.concat(F.lit("group_"), name)).otherwise(name)
+    theirs = parts.groupBy(F.when(brand == "Brand#3", F.lit("Other#3")).otherwise(brand).alias("message"), renamed.alias("field")).agg(
         F.when(F.min("p_size") < 20, F.lit("U001")).otherwise(F.lit("X004")).alias("dtype"))
     pairs = parts.select(brand.alias("message"), name.alias("field")).distinct()
     aliases = pairs.where(F.col("field").startswith("small")).select(F.col("field").alias("our_name"), F.replace("field", F.lit(" "), F.lit("_")).alias("other_name")).distinct()
@@ -167,13 +167,55 @@ def cross_validate(spark, folder):
     return cross_issues(spark, folder)
 
 
-@query(REGISTRIES + """
+OUR_FIELD, THEIR_MESSAGE = "CASE WHEN p_size > 30 THEN p_name || ' x' ELSE p_name END", "CASE WHEN p_brand = 'Brand#3' THEN 'Other#3' ELSE p_brand END"
+THEIR_FIELD = """CASE WHEN p_size < 10 THEN p_name || ' y' WHEN p_name LIKE 'small%' THEN replace(p_name, ' ', '_') WHEN p_name LIKE 'hot%' AND p_brand < 'Brand#2' THEN p_name || '_hp'
+    WHEN p_name LIKE 'blue%' THEN 'group_' || p_name ELSE p_name END"""
+BITS = REGISTRIES + f"""
+, ob AS (SELECT p_brand AS message, {OUR_FIELD} || CASE WHEN p_name LIKE 'red%' THEN ' z' ELSE '' END AS field, p_type AS bit, min(p_size) AS bit_offset, 1 + min(p_size) % 4 AS width FROM part GROUP BY ALL),
+tb AS (SELECT {THEIR_MESSAGE} AS message, {THEIR_FIELD} AS field, CASE WHEN p_type = 'SMALL' THEN 'small' ELSE p_type END AS bit, max(p_size) AS bit_offset, 1 + min(p_size) % 4 AS width FROM part GROUP BY ALL),
+th AS (SELECT DISTINCT r.message, r.field, tb.bit, tb.bit_offset, tb.width FROM r JOIN tb ON tb.message = r.message AND tb.field = r.other WHERE r.dtype LIKE 'X%'),
+wb AS (SELECT DISTINCT message, field FROM th), held AS (SELECT * FROM wb SEMI JOIN ob USING (message, field)),
+o AS (SELECT * FROM ob SEMI JOIN held USING (message, field)), t AS (SELECT * FROM th SEMI JOIN held USING (message, field)),
+j AS (SELECT coalesce(o.message, t.message) AS message, coalesce(o.field, t.field) AS field, coalesce(o.bit, t.bit) AS bit, o.bit AS ob, t.bit AS tb,
+    CAST(o.bit_offset AS BIGINT) AS our_offset, CAST(t.bit_offset AS BIGINT) AS other_offset, CAST(o.width AS BIGINT) AS our_width, CAST(t.width AS BIGINT) AS other_width
+    FROM o FULL JOIN t ON o.message = t.message AND o.field = t.field AND (o.bit = t.bit OR (o.bit = 'SMALL' AND t.bit = 'small'))),
+bit_issues AS (
+    SELECT message, field, bit, 'only_ours' AS issue, our_offset, other_offset, our_width, other_width FROM j WHERE tb IS NULL
+    UNION ALL SELECT message, field, bit, 'only_theirs', our_offset, other_offset, our_width, other_width FROM j WHERE ob IS NULL
+    UNION ALL SELECT message, field, bit, 'offset_mismatch', our_offset, other_offset, our_width, other_width FROM j WHERE our_offset <> other_offset
+    UNION ALL SELECT message, field, bit, 'width_mismatch', our_offset, other_offset, our_width, other_width FROM j WHERE our_width <> other_width
+    UNION ALL SELECT message, field, NULL, 'missing_bitfield', NULL, NULL, NULL, NULL FROM wb ANTI JOIN ob USING (message, field))
+"""
+
+
+def registry_bits(spark, folder):
+    ours, theirs, aliases, expansions, *_ = registries(spark, folder)
+    parts = table(spark, folder, "part")
+    size, least, kind = F.col("p_size"), F.min("p_size"), F.col("p_type")
+    our_field = F.concat(F.expr(OUR_FIELD), F.when(F.col("p_name").startswith("red"), F.lit(" z")).otherwise(F.lit("")))
+    our_bits = parts.groupBy(F.col("p_brand").alias("message"), our_field.alias("field"), kind.alias("bit")).agg(least.alias("bit_offset"), (1 + least % 4).alias("width"))
+    their_bits = parts.groupBy(F.expr(THEIR_MESSAGE).alias("message"), F.expr(THEIR_FIELD).alias("field"), F.when(kind == "SMALL", F.lit("small")).otherwise(kind).alias("bit")).agg(
+        F.max(size).alias("bit_offset"), (1 + least % 4).alias("width"))
+    bit_aliases = spark.createDataFrame([("SMALL", "small")], "our_name string, other_name string")
+    return compare.cross_bits(ours, theirs, our_bits, their_bits, "message", "field", "dtype", "bit", aliases, bit_aliases, expansions)
+
+
+@query(BITS + "SELECT * FROM bit_issues")
+def cross_bits(spark, folder):
+    return registry_bits(spark, folder)
+
+
+@query(BITS + """
+, every AS (SELECT message, issue FROM issues UNION ALL SELECT message, issue FROM bit_issues)
 SELECT (SELECT count(DISTINCT message) FROM ours) AS total, (SELECT count(*) FROM shared) AS found,
-    count(DISTINCT message) FILTER (issue <> 'ignored') AS with_differences, count(DISTINCT message) FILTER (issue = 'type_mismatch') AS with_real_issues,
-    CAST(0 AS BIGINT) AS missing_bitfields, (SELECT count(*) FROM shared) - count(DISTINCT message) FILTER (issue <> 'ignored') AS fully_matched FROM issues""")
+    count(DISTINCT message) FILTER (issue <> 'ignored') AS with_differences,
+    count(DISTINCT message) FILTER (issue IN ('type_mismatch', 'offset_mismatch', 'width_mismatch', 'missing_bitfield')) AS with_real_issues,
+    count(DISTINCT message) FILTER (issue = 'missing_bitfield') AS missing_bitfields,
+    (SELECT count(*) FROM shared) - count(DISTINCT message) FILTER (issue <> 'ignored') AS fully_matched FROM every""")
 def cross_summary(spark, folder):
     ours, theirs, *_ = registries(spark, folder)
-    return compare.cross_summary(ours, theirs, cross_issues(spark, folder), "message")
+    issues = cross_issues(spark, folder).select("message", "issue").unionByName(registry_bits(spark, folder).select("message", "issue"))
+    return compare.cross_summary(ours, theirs, issues, "message")
 
 
 BIT_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -190,9 +232,9 @@ def bit_layout(spark, folder):
 
 @query("""
 WITH base AS (SELECT p_brand AS message, p_type AS field, p_name AS bit, min(p_size) AS bit_offset, 1 + min(p_size) % 4 AS width FROM part GROUP BY ALL),
-o AS (SELECT * FROM base WHERE bit_offset < 40),
-t AS (SELECT message, field, CASE WHEN bit LIKE 'hot%' THEN replace(bit, ' ', '') ELSE bit END AS bit, bit_offset + CASE WHEN bit LIKE 'red%' THEN 1 ELSE 0 END AS bit_offset,
-    width + CASE WHEN bit LIKE 'old%' THEN 1 ELSE 0 END AS width FROM base WHERE bit_offset > 5),
+o AS (SELECT message, field, CASE WHEN bit_offset >= 40 THEN bit || ' o' ELSE bit END AS bit, bit_offset, width FROM base),
+t AS (SELECT message, field, CASE WHEN bit_offset <= 5 THEN bit || ' t' WHEN bit LIKE 'hot%' THEN replace(bit, ' ', '') ELSE bit END AS bit, bit_offset + CASE WHEN bit LIKE 'red%' THEN 1 ELSE 0 END AS bit_offset,
+    width + CASE WHEN bit LIKE 'old%' THEN 1 ELSE 0 END AS width FROM base),
 j AS (SELECT coalesce(o.message, t.message) AS message, coalesce(o.field, t.field) AS field, coalesce(o.bit, t.bit) AS bit, o.bit AS ob, t.bit AS tb,
     o.bit_offset AS our_offset, t.bit_offset AS other_offset, o.width AS our_width, t.width AS other_width
     FROM o FULL JOIN t ON o.message = t.message AND o.field = t.field AND (o.bit = t.bit OR (o.bit LIKE 'hot%' AND replace(o.bit, ' ', '') = t.bit)))
@@ -205,21 +247,22 @@ def compare_bits(spark, folder):
     base = table(spark, folder, "part").groupBy(F.col("p_brand").alias("message"), F.col("p_type").alias("field"), F.col("p_name").alias("bit")).agg(F.min("p_size").alias("bit_offset"))
     base = base.withColumn("width", 1 + F.col("bit_offset") % 4)
     joined = F.replace(name, F.lit(" "), F.lit(""))
-    theirs = base.where("bit_offset > 5").select(
-        "message", "field", F.when(name.startswith("hot"), joined).otherwise(name).alias("bit"),
+    theirs = base.select(
+        "message", "field", F.when(F.col("bit_offset") <= 5, F.concat(name, F.lit(" t"))).when(name.startswith("hot"), joined).otherwise(name).alias("bit"),
         (F.col("bit_offset") + F.when(name.startswith("red"), 1).otherwise(0)).alias("bit_offset"),
         (F.col("width") + F.when(name.startswith("old"), 1).otherwise(0)).alias("width"),
     )
     aliases = base.where(name.startswith("hot")).select(name.alias("our_name"), joined.alias("other_name")).distinct()
-    return compare.compare_bits(base.where("bit_offset < 40"), theirs, ["message", "field"], "bit", aliases)
+    ours = base.withColumn("bit", F.when(F.col("bit_offset") >= 40, F.concat(name, F.lit(" o"))).otherwise(name))
+    return compare.compare_bits(ours, theirs, ["message", "field"], "bit", aliases)
 
 
 @query(f"""
 SELECT DISTINCT name FROM (SELECT CASE WHEN c_custkey % 2 = 0 THEN '{P}' ELSE '' END || c_name AS name, c_name FROM customer)
-WHERE c_name IN (SELECT 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') FROM orders WHERE o_orderstatus = 'P')""")
+WHERE c_name IN (SELECT 'Customer#' || lpad(CAST(3 * o_custkey AS VARCHAR), 9, '0') FROM orders)""")
 def common_messages(spark, folder):
     ours = table(spark, folder, "customer").select(F.concat(F.when(F.col("c_custkey") % 2 == 0, F.lit(P)).otherwise(F.lit("")), "c_name").alias("name"))
-    theirs = table(spark, folder, "orders").where("o_orderstatus = 'P'").select(F.format_string("Customer#%09d", "o_custkey").alias("name"))
+    theirs = table(spark, folder, "orders").select(F.format_string("Customer#%09d", 3 * F.col("o_custkey")).alias("name"))
     return compare.common_messages(ours, theirs, "name")
 
 
@@ -241,8 +284,8 @@ def missing_attr(spark, folder):
 
 
 @query("""
-WITH k AS (SELECT DISTINCT o_custkey FROM orders), c AS (SELECT DISTINCT o_custkey, o_orderpriority AS p FROM orders WHERE o_orderstatus = 'F'),
-r AS (SELECT DISTINCT o_custkey, o_orderpriority AS p FROM orders WHERE o_orderstatus = 'O'),
+WITH k AS (SELECT DISTINCT o_custkey FROM orders), c AS (SELECT DISTINCT o_custkey, CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE o_orderpriority END AS p FROM orders),
+r AS (SELECT DISTINCT o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'open' ELSE o_orderpriority END AS p FROM orders),
 cc AS (SELECT o_custkey, count(*) AS n FROM c GROUP BY 1), rc AS (SELECT o_custkey, count(*) AS n FROM r GROUP BY 1),
 m AS (SELECT o_custkey, count(*) AS n FROM (FROM r ANTI JOIN c USING (o_custkey, p)) GROUP BY 1)
 SELECT o_custkey, coalesce(cc.n, 0) AS current_count, rc.n AS reference_count, coalesce(m.n, 0) AS missing_count
@@ -250,8 +293,9 @@ FROM k LEFT JOIN cc USING (o_custkey) LEFT JOIN rc USING (o_custkey) LEFT JOIN m
 WHERE m.n > 0 OR (rc.n IS NULL AND coalesce(cc.n, 0) <= 1)""")
 def incomplete_lists(spark, folder):
     orders = table(spark, folder, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus")
+    named = lambda status: orders.withColumn("o_orderpriority", F.when(F.col("o_orderstatus") == status, F.lit("open")).otherwise(F.col("o_orderpriority")))
     return compare.incomplete_lists(
-        orders.where("o_orderstatus = 'F'"), orders, ["o_custkey"], "o_orderpriority", orders.where("o_orderstatus = 'O'")
+        named("O"), orders, ["o_custkey"], "o_orderpriority", named("F")
     )
 
 

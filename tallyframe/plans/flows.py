@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import codec, keys, merge, vote
+from ..operators import codec, keys, layout, merge, skew, vote
 from ..sources import readers
 
 
@@ -21,6 +21,43 @@ def consensus(extractions: DataFrame) -> DataFrame:
     return vote.with_winning_row(votes, extractions, entity, ["seq"], ["structure"])
 
 
+def outlier_report(fields: DataFrame, entity, source: str, name: str, offset: str, dtype: str, size: str, order) -> DataFrame:
+    """Outliers with what sets them apart: (entity.., source, winning_source, mismatch_count, field_count_diff, summary).
+
+    ``fields`` has a row per field of each source's layout. Sources vote by their layout's fingerprint; each one
+    that does not agree is compared, field by field, with the first source that does.
+    """
+    keys = [*entity, source]
+    prints = layout.fingerprint(fields, keys, name, offset, dtype, size)
+    votes = vote.vote(prints, entity, "fingerprint", [source])
+    won = votes.select(*entity, "winning_value", F.col("winning_order")[source].alias("winning_source"))
+    out = skew.null_safe_join(prints, won, entity, "inner").where(~F.col("fingerprint").eqNullSafe(F.col("winning_value")))
+    pairs = out.select(*entity, F.col(source).alias("_outlier"), F.col("winning_source").alias(source))
+    first = skew.null_safe_join(pairs, fields, keys, "inner").drop(source).withColumnRenamed("_outlier", source)
+    second = skew.null_safe_join(fields, out.select(*keys), keys, "left_semi")
+    counts = prints.select(*entity, F.col(source).alias("winning_source"), F.col("field_count").alias("_n"))
+    sized = skew.null_safe_join(out, counts, [*entity, "winning_source"], "left")
+    sized = sized.select(*keys, "winning_source", (F.col("_n") - F.col("field_count")).alias("field_count_diff"))
+    diff = layout.differences(first, second, keys, offset, name, dtype, size, order)
+    lines = layout.summarize(diff, keys, offset, name, dtype, sized.drop("winning_source"))
+    return skew.null_safe_join(sized, lines.drop("field_count_diff"), keys, "left")
+
+
+def consensus_merged(
+    items: DataFrame, entity, value: str, order, field_key, key, text: str, columns, reserved: str | None = None
+) -> DataFrame:
+    """Child items of the winner's fields, merged over the sources that agree with it.
+
+    ``items`` has a row per source's item with the ``value`` the source votes for; ``order`` tells which source
+    was first. The fields are those of the winning row; of each item the longest ``text`` stays.
+    """
+    votes = vote.vote(items, entity, value, order)
+    agreeing = vote.ballots(items, votes, entity, value).where("agrees")
+    first = votes.select(*entity, *[F.col("winning_order")[c].alias(c) for c in order])
+    winners = skew.null_safe_join(agreeing, first, [*entity, *order], "left_semi")
+    return merge.merge_children(winners, agreeing, entity, field_key, key, text, order, columns, reserved=reserved)
+
+
 def final_decisions(reviewed: DataFrame) -> DataFrame:
     """Reviewed extractions decided per (message, version)."""
     return vote.determine(reviewed, ["message_name", "protocol_version"], "fingerprint", "verdict", ["manual"], "review_confidence")

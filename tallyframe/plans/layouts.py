@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..operators import layout, version
 from ..session import spread
+from . import flows
 from .base import query, table
 
 LAST = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"]
@@ -78,6 +79,31 @@ def diff_summary(spark, folder):
     return layout.summarize(differences(spark, folder), ["k"], "l_linenumber", "l_linestatus", "l_returnflag", by)
 
 
+@query("""
+WITH e AS (SELECT l_orderkey, l_linenumber AS o, lower(l_linestatus) AS s,
+    '["' || lower(l_linestatus) || '", ' || l_linenumber || ', "' || l_returnflag || '", ' || CAST(l_quantity AS INT) || ']' AS entry FROM lineitem),
+p AS (SELECT l_orderkey // 4 AS e, l_orderkey AS src, string_agg(entry, ', ' ORDER BY o, s, entry) AS fp, count(*) AS n FROM e GROUP BY l_orderkey),
+t AS (SELECT e, fp, count(*) AS n, min(src) AS first FROM p GROUP BY ALL),
+w AS (SELECT e, fp, first FROM t QUALIFY row_number() OVER (PARTITION BY e ORDER BY n DESC, first) = 1),
+x AS (SELECT p.e, p.src, p.n, w.first AS win, q.n AS wn FROM p JOIN w USING (e) JOIN p q ON q.src = w.first WHERE p.fp <> w.fp),
+last AS (SELECT l_orderkey, l_linenumber, l_linestatus AS s, l_returnflag AS f, CAST(l_quantity AS INT) AS q FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_returnflag DESC, l_linestatus DESC) = 1),
+a AS (SELECT x.src AS k, last.* FROM x JOIN last ON l_orderkey = win), b AS (SELECT x.src AS k, last.* FROM x JOIN last ON l_orderkey = src),
+texts AS (SELECT coalesce(a.k, b.k) AS k, row_number() OVER (PARTITION BY coalesce(a.k, b.k) ORDER BY coalesce(a.l_linenumber, b.l_linenumber)) AS r,
+    CASE WHEN a.k IS NULL THEN 'missing field at offset ' || b.l_linenumber WHEN b.k IS NULL THEN 'extra field at offset ' || a.l_linenumber
+    ELSE 'field at offset ' || a.l_linenumber || ': ' || a.s || '(' || a.f || ') vs ' || b.s || '(' || b.f || ')' END AS t
+    FROM a FULL JOIN b ON a.k = b.k AND a.l_linenumber = b.l_linenumber WHERE a.k IS NULL OR b.k IS NULL OR a.s <> b.s OR a.f <> b.f OR a.q <> b.q),
+tops AS (SELECT k, count(*) AS mismatch_count, string_agg(t, '; ' ORDER BY r) FILTER (r <= 3) AS shown FROM texts GROUP BY k)
+SELECT e AS entity, src AS l_orderkey, win AS winning_source, wn - n AS field_count_diff, mismatch_count,
+    CASE WHEN wn <> n THEN 'field count differs by ' || (wn - n) || '; ' ELSE '' END || shown ||
+    CASE WHEN mismatch_count > 3 THEN '; ...and ' || (mismatch_count - 3) || ' more differences' ELSE '' END AS summary
+FROM x LEFT JOIN tops ON k = src""")
+def outlier_report(spark, folder):
+    """Four orders describe one entity; those that differ from the winner, with their differences."""
+    rows = lines(spark, folder).withColumn("entity", F.floor(F.col("l_orderkey") / 4))
+    return flows.outlier_report(rows, ["entity"], "l_orderkey", "l_linestatus", "l_linenumber", "l_returnflag", "size", LAST)
+
+
 @query("""
 WITH e AS (SELECT user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_type, event_id, value FROM events),
 f AS (SELECT user_id, k % 7 AS o, CASE WHEN k < 8 THEN 'version' WHEN k < 12 THEN 'msgVer' ELSE event_type END AS name,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import keys, merge
+from . import flows
 from .base import query, table
 
 
@@ -17,7 +18,7 @@ def merge_superset(spark, folder):
 
 
 @query("""
-WITH owned AS (SELECT DISTINCT p_brand, p_type FROM part WHERE p_size = 7)
+WITH owned AS (SELECT DISTINCT p_brand, CASE WHEN p_type = 'SMALL' THEN 'none' ELSE p_type END AS p_type FROM part)
 SELECT p_brand, p_type, p_size, p_name, p_partkey FROM part JOIN owned USING (p_brand, p_type) WHERE p_name NOT LIKE '%bolt%'
 QUALIFY row_number() OVER (PARTITION BY p_brand, p_type, p_size ORDER BY length(p_name) DESC, p_partkey) = 1""")
 def merge_children(spark, folder):
@@ -25,7 +26,7 @@ def merge_children(spark, folder):
     parts = table(spark, folder, "part")
     items = parts.withColumn("label", F.replace("p_name", F.lit("bolt"), F.lit("reserved")))
     out = merge.merge_children(
-        parts.where("p_size = 7"), items, ["p_brand"], ["p_type"], ["p_size"], "p_name", ["p_partkey"],
+        parts.withColumn("p_type", F.when(F.col("p_type") == "SMALL", F.lit("none")).otherwise(F.col("p_type"))), items, ["p_brand"], ["p_type"], ["p_size"], "p_name", ["p_partkey"],
         ["p_name", "p_partkey"], drop_reserved="label",
     )
     return out
@@ -145,8 +146,8 @@ VARIANTS = """
 WITH messages AS (SELECT p_brand || '-' || p_type AS name, arg_min(lower(p_name), p_partkey) AS message_type,
         'type 0x' || lpad(lower(hex(min(p_size))), 2, '0') AS text, min(p_size) AS d FROM part GROUP BY 1
     UNION ALL SELECT p_brand, 'base', '', NULL FROM part GROUP BY 1),
-families AS (SELECT DISTINCT p_brand AS base_name, p_type AS variant, '-' || p_type AS suffix, p_type AS position
-    FROM part WHERE p_brand <> 'Brand#2' AND p_type <> 'SMALL'),
+families AS (SELECT DISTINCT p_brand AS base_name, p_type AS variant, '-' || p_type || CASE WHEN p_brand = 'Brand#2' OR p_type = 'SMALL' THEN '-x' ELSE '' END AS suffix, p_type AS position
+    FROM part),
 variants AS (SELECT base_name, variant, position, name, message_type, CAST(d AS BIGINT) AS discriminator,
     row_number() OVER (PARTITION BY base_name ORDER BY coalesce(d, 999), position) - 1 AS variant_index
     FROM families JOIN messages ON name = base_name || suffix)
@@ -160,9 +161,9 @@ def variant_tables(spark, folder):
         F.format_string("type 0x%02x", F.min("p_size")).alias("discriminator_text"),
     )
     bases = parts.select(F.col("p_brand").alias("name")).distinct().select("name", F.lit("base").alias("message_type"), F.lit("").alias("discriminator_text"))
-    kept = parts.where("p_brand <> 'Brand#2' and p_type <> 'SMALL'")
-    families = kept.select(F.col("p_brand").alias("base_name"), "p_type").distinct().select(
-        "base_name", F.col("p_type").alias("variant"), F.concat(F.lit("-"), "p_type").alias("suffix"),
+    strange = (F.col("base_name") == "Brand#2") | (F.col("p_type") == "SMALL")
+    families = parts.select(F.col("p_brand").alias("base_name"), "p_type").distinct().select(
+        "base_name", F.col("p_type").alias("variant"), F.concat(F.lit("-"), "p_type", F.when(strange, F.lit("-x")).otherwise(F.lit(""))).alias("suffix"),
         F.lit(None).cast("bigint").alias("value"), F.col("p_type").alias("position"),
     )
     return suffixed.unionByName(bases), families
@@ -182,33 +183,35 @@ def variant_list(spark, folder):
 
 
 @query("""
-WITH dim AS (SELECT DISTINCT p_type AS parent, p_type || '-' || p_size AS variant FROM part WHERE p_size < 4)
+WITH dim AS (SELECT DISTINCT CASE WHEN p_type = 'SMALL' THEN 'none' ELSE p_type END AS parent, p_type || '-' || p_size % 3 AS variant FROM part)
 SELECT p_partkey, coalesce(variant, p_type) AS p_type FROM part LEFT JOIN dim ON parent = p_type""")
 def expand_variants(spark, folder):
     parts = table(spark, folder, "part")
-    dim = parts.where("p_size < 4").select(F.col("p_type").alias("parent"), F.concat_ws("-", "p_type", F.col("p_size").cast("string")).alias("variant"))
+    parent = F.when(F.col("p_type") == "SMALL", F.lit("none")).otherwise(F.col("p_type"))
+    dim = parts.select(parent.alias("parent"), F.concat_ws("-", "p_type", (F.col("p_size") % 3).cast("string")).alias("variant"))
     return merge.expand_variants(parts.select("p_partkey", "p_type"), dim, "p_type", "parent", "variant")
 
 
 @query("""
-WITH p AS (SELECT o_custkey AS c_custkey, max(o_orderpriority) AS seg FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
+WITH p AS (SELECT o_custkey AS c_custkey, max(o_orderpriority) AS seg FROM orders GROUP BY 1)
 SELECT c_custkey, c_name, coalesce(seg, c_mktsegment) AS c_mktsegment, seg IS NOT NULL AND seg <> c_mktsegment AS patched
 FROM customer LEFT JOIN p USING (c_custkey)""")
 def patch_registry(spark, folder):
-    patches = table(spark, folder, "orders").where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderpriority").alias("c_mktsegment"))
+    patches = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderpriority").alias("c_mktsegment"))
     return merge.patch(table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment"), patches, ["c_custkey"], ["c_mktsegment"])
 
 
 @query("""
-WITH cur AS (SELECT p_brand, p_type, min(p_partkey) AS v FROM part WHERE p_size < 25 GROUP BY ALL),
-ext AS (SELECT p_brand, p_type, max(p_partkey) AS v FROM part WHERE p_size < 35 GROUP BY ALL),
+WITH cur AS (SELECT p_brand, CASE WHEN p_brand = 'Brand#3' AND p_size >= 25 THEN 'old' ELSE p_type END AS p_type, min(p_partkey) AS v FROM part GROUP BY ALL),
+ext AS (SELECT p_brand, CASE WHEN p_brand = 'Brand#3' AND p_size >= 35 THEN 'new' ELSE p_type END AS p_type, max(p_partkey) AS v FROM part GROUP BY ALL),
 rep AS (SELECT DISTINCT p_brand FROM ext ANTI JOIN cur USING (p_brand, p_type))
 SELECT p_brand, p_type, v, false AS replaced FROM cur WHERE p_brand NOT IN (FROM rep)
 UNION ALL SELECT p_brand, p_type, v, true FROM ext WHERE p_brand IN (FROM rep)""")
 def replace_lists(spark, folder):
     parts = table(spark, folder, "part")
-    current = parts.where("p_size < 25").groupBy("p_brand", "p_type").agg(F.min("p_partkey").alias("v"))
-    extracted = parts.where("p_size < 35").groupBy("p_brand", "p_type").agg(F.max("p_partkey").alias("v"))
+    named = lambda least, name: F.when((F.col("p_brand") == "Brand#3") & (F.col("p_size") >= least), F.lit(name)).otherwise(F.col("p_type")).alias("p_type")
+    current = parts.groupBy("p_brand", named(25, "old")).agg(F.min("p_partkey").alias("v"))
+    extracted = parts.groupBy("p_brand", named(35, "new")).agg(F.max("p_partkey").alias("v"))
     return merge.replace_lists(current, extracted, ["p_brand"], "p_type")
 
 
@@ -216,3 +219,18 @@ def replace_lists(spark, folder):
 def deduplicate_keys(spark, folder):
     rows = table(spark, folder, "part").select(F.col("p_name").alias("name"), "p_partkey", "p_brand")
     return keys.deduplicate(rows, "name", ["p_partkey"])
+
+
+@query("""
+WITH t AS (SELECT l_orderkey, l_linestatus AS v, count(*) AS n, min(struct_pack(a := l_shipdate, b := l_linenumber)) AS f FROM lineitem GROUP BY ALL),
+w AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY n DESC, f, v) = 1),
+g AS (SELECT l.*, w.f FROM lineitem l JOIN w ON w.l_orderkey = l.l_orderkey AND w.v = l.l_linestatus),
+o AS (SELECT DISTINCT l_orderkey, l_returnflag FROM g WHERE l_shipdate = f.a AND l_linenumber = f.b)
+SELECT l_orderkey, l_returnflag, l_linenumber, l_partkey FROM g JOIN o USING (l_orderkey, l_returnflag) WHERE l_suppkey % 5 <> 0
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_returnflag, l_linenumber ORDER BY length(CAST(l_partkey AS VARCHAR)) DESC, l_shipdate, l_linenumber, l_partkey) = 1""")
+def consensus_merged(spark, folder):
+    """Lines of the flags that the winning line has, over all lines that agree with it; some are marked reserved."""
+    items = table(spark, folder, "lineitem").withColumns({"label": F.col("l_partkey").cast("string"), "is_reserved": F.col("l_suppkey") % 5 == 0})
+    return flows.consensus_merged(
+        items, ["l_orderkey"], "l_linestatus", ["l_shipdate", "l_linenumber"], ["l_returnflag"], ["l_linenumber"], "label", ["l_partkey"], reserved="is_reserved"
+    )

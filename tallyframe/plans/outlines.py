@@ -130,11 +130,10 @@ def page_batches(spark, folder):
 @query("""
 WITH p AS (SELECT source, doc_id % 40 AS page, CASE doc_id % 5 WHEN 0 THEN 'HPG 1.' || (n_chars % 90 + 10) || ' EXT CORE 1.00 (ab' || doc_id || ') 27.' || (n_chars % 90 + 10)
     WHEN 1 THEN 'SPG 5.10 ROM SPG 5.10 (7b202e) 34.' || (n_chars % 90 + 10) ELSE 'nothing here' END AS t, n_chars, doc_id FROM documents),
-one AS (SELECT source, page, min(t) AS t FROM p WHERE page BETWEEN 1 AND 30 GROUP BY ALL),
-ext AS (SELECT source, min(page) AS page FROM one WHERE t LIKE 'HPG%' GROUP BY 1),
-rom AS (SELECT source, min(page) AS page FROM one WHERE t LIKE 'SPG%' GROUP BY 1),
-f AS (SELECT o.source, o.t, 'ext_core_table' AS method FROM one o JOIN ext USING (source, page)
-    UNION ALL SELECT o.source, o.t, 'rom_prefix_table' FROM one o JOIN rom USING (source, page) WHERE o.source NOT IN (SELECT source FROM ext))
+one AS (SELECT source, t, row_number() OVER (PARTITION BY source, t[1] ORDER BY page, t) AS k FROM p WHERE page BETWEEN 1 AND 30),
+ext AS (SELECT source, t FROM one WHERE t LIKE 'HPG%' AND k = 1),
+f AS (SELECT source, t, 'ext_core_table' AS method FROM ext
+    UNION ALL SELECT source, t, 'rom_prefix_table' FROM one WHERE t LIKE 'SPG%' AND k = 1 AND source NOT IN (SELECT source FROM ext))
 SELECT source, split_part(t, ' ', 1) || ' ' || split_part(t, ' ', 2) AS firmware_version,
     CASE method WHEN 'ext_core_table' THEN regexp_extract(t, '(EXT CORE 1.00 \\([^)]*\\))', 1) ELSE 'ROM SPG 5.10 (7b202e)' END AS version_identifier,
     regexp_extract(t, '([0-9.]+)$', 1) AS protocol_version, method,

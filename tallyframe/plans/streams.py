@@ -12,16 +12,25 @@ from . import captures, voting
 from .base import query, table
 
 
-def file_stream(spark, folder, name):
-    schema = table(spark, folder, name).schema
-    # A glob, because a stream's plain path must be a folder and the table may be one file.
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
+def file_stream(rows, path, files=3):
+    """A table written as ``files`` files, read as a stream of one file for each micro-batch."""
+    rows.repartition(files).write.parquet(path)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def orders_by_time(orders, path):
+    """Orders as a stream of three micro-batches: those before two dates, and the rest."""
+    for number, part in enumerate((F.col("o_orderdate") < voting.CUT, F.col("o_orderdate") >= voting.CUT)):
+        orders.where(part).coalesce(1).write.parquet(f"{path}/in/part={number}")
+    stream = orders.sparkSession.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1)
+    return stream.parquet(f"{path}/in/part=*")
 
 
 @query(voting.INCREMENTAL)
 def stream_consensus(spark, folder):
-    rows = file_stream(spark, folder, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate", "o_orderkey")
     path = run_dir(spark, "consensus")
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate", "o_orderkey")
+    rows = orders_by_time(orders, path)
     consensus_stream.consensus(
         rows, f"{path}/table", f"{path}/checkpoint", ["o_custkey"], "o_orderpriority", "o_orderstatus", ["o_orderdate", "o_orderkey"]
     ).awaitTermination()
@@ -38,8 +47,8 @@ def stream_frames(spark, folder):
     chunks = captures.chunks(spark, folder)
     counted = skew.ordered(chunks.select("capture", "seq"), ["capture"], ["seq"], {"n": ("sum_before", F.lit(1).cast("bigint"))})
     numbered = chunks.join(counted, ["capture", "seq"]).select("capture", F.coalesce("n", F.lit(0).cast("bigint")).alias("seq"), "data")
-    numbered.write.parquet(f"{path}/in")
-    stream = spark.readStream.schema(numbered.schema).parquet(f"{path}/in")
+    # Dealt over several micro-batches at random, so chunks arrive late and early.
+    stream = file_stream(numbered, f"{path}/in")
     found = frame_stream.frames(stream, "capture", "seq", "data")
     found.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
     return spark.read.schema(found.schema).parquet(f"{path}/out").select("capture", "offset", F.length("frame").alias("size"))

@@ -297,12 +297,12 @@ def annotations(spark, folder):
     return out.select(key.alias("l_orderkey"), "fingerprint", "confidence_score", F.col("annotation.note").alias("note"), "file_key")
 
 
-@query(VOTES + """
-, r AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_linenumber, l_suppkey) AS k FROM lineitem)
-SELECT l_orderkey, count(*) AS sources_count, CASE WHEN count(*) <= 3 THEN string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY k) END AS sources
-FROM r GROUP BY l_orderkey""")
+@query("""
+WITH r AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_linenumber, l_suppkey) - 1 AS k FROM lineitem)
+SELECT l_orderkey, CAST(k // 3 AS BIGINT) AS part, count(*) AS sources_count, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY k) AS sources
+FROM r GROUP BY l_orderkey, k // 3""")
 def listed_sources(spark, folder):
-    """Sources listed in one row where they are few; the count is always whole."""
+    """All sources of each order, in lists of up to three."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
     out = skew.listed(lines, ["l_orderkey"], ["l_partkey", "l_linenumber", "l_suppkey"], F.col("l_partkey").cast("string"), "sources", 3)
     return out.withColumn("sources", F.array_join("sources", ","))

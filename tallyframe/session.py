@@ -24,9 +24,16 @@ def local_session(cores: str = "*", partitions: int = 8, **conf) -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir.
+
+    Where it is unset, a session on one machine (tests) gets a temporary folder; on a cluster that is an error,
+    as executors would write to their own disks.
+    """
     held = spark.conf.get("spark.checkpoint.dir", None)
     if not held:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         held = tempfile.mkdtemp(prefix="tallyframe-")
         spark.conf.set("spark.checkpoint.dir", held)
     return held

@@ -5,11 +5,12 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators.codec import _frame_starts
 
-STATE = "carry binary, at bigint, next_seq bigint"
+STATE = "carry binary, at bigint, next_seq bigint, numbers array<bigint>, held array<binary>"
 
 
 def _advance(buffer: bytes):
@@ -35,33 +36,50 @@ def _advance(buffer: bytes):
         position = int(ends[i])
 
 
-def frames(chunks: DataFrame, device: str, seq: str, data: str) -> DataFrame:
-    """(device, offset, frame) as chunks arrive; at most one unfinished frame is kept per device.
+def frames(chunks: DataFrame, device: str, seq: str, data: str, first: int = 0, give_up_ms: int | None = None) -> DataFrame:
+    """(device, offset, frame, rejected) as chunks arrive, from chunks numbered by ``seq`` without gaps from ``first`` on.
 
-    Chunks of a device are numbered by ``seq`` without gaps; after a gap the unfinished frame is
-    dropped. Chunks of one micro-batch are put in order, a chunk older than the state is skipped.
+    Chunks may arrive in any order over any micro-batches: one that is early waits in the state until those
+    before it have come; one that has been used already is a repetition and is passed over. ``rejected`` is null
+    for frames. With ``give_up_ms`` a device whose next chunk has not come for that long gives the gap up:
+    every waiting chunk comes out as a row with its ``seq`` as ``rejected``, its bytes as ``frame`` and no
+    offset; scanning goes on behind them, and as the length of the gap is unknown, later frames have no offset.
+    Without it chunks wait for as long as it takes. The state holds one unfinished frame and the waiting chunks.
     """
     key_type = dict(chunks.dtypes)[device]
 
     def step(key, batches, state):
-        rows = pd.concat(list(batches)).sort_values(seq)
-        carry, at, expected = state.get if state.exists else (b"", 0, None)
+        carry, at, expected, numbers, held = state.get if state.exists else (b"", 0, first, [], [])
         carry = bytes(carry)
-        offsets, found = [], []
-        for number, chunk in zip(rows[seq], rows[data]):
-            if expected is not None and number < expected:
-                continue
-            if expected is not None and number != expected:
-                at, carry = at + len(carry), b""
-            buffer = carry + bytes(chunk)
-            cut, rest = _advance(buffer)
-            offsets += [at + start for start, _ in cut]
-            found += [buffer[start:end] for start, end in cut]
-            at, carry, expected = at + rest, buffer[rest:], int(number) + 1
-        state.update((carry, at, expected))
-        yield pd.DataFrame({device: [key[0]] * len(found), "offset": offsets, "frame": found})
+        waiting = dict(zip(numbers, held))
+        offsets, found, rejected = [], [], []
+        if state.hasTimedOut:
+            for number in sorted(waiting):
+                offsets.append(None)
+                found.append(bytes(waiting[number]))
+                rejected.append(number)
+            if waiting:
+                carry, at, expected, waiting = b"", None, max(waiting) + 1, {}
+        for rows in batches:
+            for number, chunk in zip(rows[seq].tolist(), rows[data]):
+                if number >= expected:
+                    waiting[number] = chunk
+            while expected in waiting:
+                buffer = carry + bytes(waiting.pop(expected))
+                cut, rest = _advance(buffer)
+                offsets += [None if at is None else at + start for start, _ in cut]
+                found += [buffer[start:end] for start, end in cut]
+                rejected += [None] * len(cut)
+                at, carry, expected = None if at is None else at + rest, buffer[rest:], expected + 1
+        state.update((carry, at, expected, list(waiting), [bytes(c) for c in waiting.values()]))
+        if give_up_ms is not None and waiting:
+            state.setTimeoutDuration(give_up_ms)
+        yield pd.DataFrame({
+            device: [key[0]] * len(found), "offset": pd.array(offsets, "Int64"), "frame": found, "rejected": pd.array(rejected, "Int64"),
+        })
 
-    slim = chunks.select(device, seq, data)
+    slim = chunks.select(device, F.col(seq).cast("bigint").alias(seq), data)
     return slim.groupBy(device).applyInPandasWithState(
-        step, f"`{device}` {key_type}, offset bigint, frame binary", STATE, "append", "NoTimeout"
+        step, f"`{device}` {key_type}, offset bigint, frame binary, rejected bigint", STATE, "append",
+        "NoTimeout" if give_up_ms is None else "ProcessingTimeTimeout",
     )

@@ -62,5 +62,4 @@ ORDERED_OR_JOINED = [
 def test_query_matches_sql_when_keys_are_hot(spark, duck, name, monkeypatch):
     """The same results when every key with a few rows is treated as hot."""
     monkeypatch.setattr(skew, "HOT_FLOOR", 5)
-    monkeypatch.setattr(skew, "HOT_SHARE", 0.0)
     check(spark, duck, name)

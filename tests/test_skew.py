@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import sections, skew
 
-HOT = {"floor": 50, "share": 0.0, "pieces": 7}
+HOT = {"floor": 50, "pieces": 7}
 
 
 @pytest.fixture(scope="module")
@@ -53,23 +53,23 @@ def test_ordered_equals_windows(rows, chunking):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_equals_join(spark, rows, how):
-    right = spark.createDataFrame([("hot", 1), ("k3", 2), ("k5", 3), ("zz", 4)], "key string, w int")
-    found = skew.spread_join(rows, right, ["key"], how, **{**HOT, "floor": 20})
-    assert sorted(map(str, found.collect())) == sorted(map(str, rows.join(right, "key", how).select(found.columns).collect()))
-
-
-def test_null_keys_are_kept(spark):
-    left = spark.createDataFrame([(None, i) for i in range(100)] + [("a", 1)], "key string, v int")
+def test_null_keys_match(spark, how):
+    left = spark.createDataFrame([(None, i) for i in range(100)] + [("a", 1), ("b", 2)], "key string, v int")
     right = spark.createDataFrame([(None, 5), ("a", 6)], "key string, w int")
-    assert skew.spread_join(left, right, ["key"], "inner", floor=10, share=0.0, pieces=4).count() == 101
+    found = skew.null_safe_join(left, right, ["key"], how)
+    assert found.count() == {"inner": 101, "left": 102, "left_semi": 101, "left_anti": 1}[how]
 
 
-def test_lists_stop_at_the_limit(rows):
-    out = {r.key: r for r in skew.listed(rows, ["key"], ["id"], F.col("v"), "vs", 100).collect()}
-    assert out["hot"].vs is None and out["hot"].vs_count > 1500
-    some = out["k3"]
-    assert some.vs == [r.v for r in rows.where("key = 'k3'").orderBy("id").collect()] and some.vs_count == len(some.vs)
+@pytest.mark.parametrize("chunking", [{}, HOT])
+def test_lists_hold_every_row(rows, chunking):
+    out = {}
+    for r in skew.listed(rows, ["key"], ["id"], F.col("v"), "vs", 100, **chunking).collect():
+        assert r.vs_count == len(r.vs) <= 100
+        out.setdefault(r.key, []).append((r.part, r.vs))
+    for key in ("hot", "k3"):
+        expected = [r.v for r in rows.where(F.col("key") == key).orderBy("id").collect()]
+        assert [v for _, part in sorted(out[key]) for v in part] == expected
+    assert len(out["hot"]) > 15
 
 
 def pack_in_one_pass(ranges, limit):
@@ -93,3 +93,11 @@ def test_packing_hot_sources(spark, seed):
     for source in ("hot", "cold"):
         expected = pack_in_one_pass([(s, e, i) for k, s, e, i in data if k == source], 15)
         assert {r.id: r.batch for r in found.where(F.col("source") == source).collect()} == expected
+
+
+@pytest.mark.parametrize("chunking", [{}, HOT])
+def test_packing_tied_and_textual_orders(spark, chunking):
+    data = [("s", 1, 2, "a"), ("s", 1, 2, "a"), ("s", 30, 31, "b"), ("t", 5, 5, None)]
+    found = sections.pack(spark.createDataFrame(data, "source string, s int, e int, id string"), "source", "s", "e", "id", 15, **chunking)
+    assert sorted((r.source, r.s, r.batch) for r in found.collect() if r.source == "s") == [("s", 1, "a"), ("s", 1, "a"), ("s", 30, "b")]
+    assert found.count() == 4
