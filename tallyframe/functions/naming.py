@@ -322,6 +322,24 @@ def discriminator_value(description) -> Column:
 # -- second-registry types -------------------------------------------------------------------
 
 
+def registry_form(text) -> Column:
+    """Struct (kind, type, scale, bits, count_field, fields) of a second-registry type, given as JSON.
+
+    A text is a plain type, ["I004", 1e-07] a scaled one, ["X001", {..}] a bitfield and ["count", {..}] a group;
+    bits and fields stay JSON.
+    """
+    v = F.try_parse_json(_col(text))
+    first, second = F.try_variant_get(v, "$[0]", "string"), F.try_variant_get(v, "$[1]", "variant")
+    listed, nested = F.schema_of_variant(v).startswith("ARRAY"), F.schema_of_variant(second).startswith("OBJECT")
+    bits = listed & nested & first.startswith("X")
+    kind = F.when(bits, "bitfield").when(listed & nested, "group").when(listed, "scaled").when(v.isNotNull(), "plain")
+    return F.struct(
+        kind.alias("kind"), F.when(kind == "group", F.lit("group")).when(listed, first).otherwise(v.try_cast("string")).alias("type"),
+        F.when(kind == "scaled", F.try_variant_get(v, "$[1]", "double")).alias("scale"), F.when(bits, F.to_json(second)).alias("bits"),
+        F.when(kind == "group", first).alias("count_field"), F.when(kind == "group", F.to_json(second)).alias("fields"),
+    )
+
+
 def registry_type(c) -> Column:
     """'U004' -> 'U4', 'CH[30]' -> 'C30'."""
     c = _col(c)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import naming as n
-from ..session import cut_lineage
 from . import skew
 
+#: Distinct (name, value) pairs of one enumeration.
+MOST_PAIRS = 1 << 20
+
 
 def superset(items: DataFrame, entity, key, text: str, order, columns, drop_reserved: str | None = None, reserved: str | None = None) -> DataFrame:
     """Union of child items by ``key``; the longest ``text`` wins, the first on a tie.
@@ -64,37 +68,39 @@ def members(df: DataFrame, key, source: str) -> DataFrame:
 def enum_union(items: DataFrame, key, name: str, value: str, order, columns=()) -> DataFrame:
     """Union of enumeration values by name, in source order.
 
-    A name is added by the first source that has it with a number no earlier source's accepted
-    value uses; a name already there stays. Which pairs are accepted depends on the order, so they
-    are settled in rounds: a pair with no undecided rival before it (same name, or same number
-    from an earlier source) is accepted, and its rivals are dropped. ``order`` ranks sources.
+    A name is added by the first source that has it with a number no earlier source's accepted value uses; a
+    name already there stays. Which pairs are accepted depends on the order, so the distinct pairs of a key are
+    settled by one pass over them, sorted by source, name and value. ``order`` ranks sources. A key with more
+    than ``MOST_PAIRS`` distinct pairs is no enumeration and fails the job.
     """
     rank = F.struct(*order)
     pairs = items.groupBy(*key, name, value).agg(
         F.min(rank).alias("_at"), *([F.min_by(F.struct(*columns), rank).alias("_cols")] if columns else [])
     )
-    open_pairs = cut_lineage(pairs)
-    accepted = None
-    while True:  # every round settles at least the earliest open pair of each key
-        by_name = open_pairs.groupBy(*key, name).agg(F.min(F.struct("_at", value)).alias("_first_name"))
-        by_value = open_pairs.groupBy(*key, value).agg(F.min("_at").alias("_first_value"))
-        judged = skew.null_safe_join(open_pairs, by_name, [*key, name], "inner")
-        judged = skew.null_safe_join(judged, by_value, [*key, value], "inner")
-        judged = judged.withColumn(
-            "_now",
-            (F.col("_first_name") == F.struct("_at", value)) & (F.col("_first_value") == F.col("_at")),
-        )
-        won = cut_lineage(judged.where("_now").select(*open_pairs.columns))
-        accepted = won if accepted is None else accepted.unionByName(won)
-        rest = skew.null_safe_join(open_pairs, won.select(*key, name), [*key, name], "left_anti")
-        taken = won.groupBy(*key, value).agg(F.min("_at").alias("_taken"))
-        rest = skew.null_safe_join(rest, taken, [*key, value], "left")
-        rest = rest.where(F.col("_taken").isNull() | (F.col("_taken") == F.col("_at"))).drop("_taken")
-        open_pairs = cut_lineage(rest)
-        if open_pairs.isEmpty():
-            break
+    place = W.partitionBy(*key).orderBy("_at", name, value)
+    ranked = pairs.withColumns({"_n": F.row_number().over(place), "_source": F.dense_rank().over(W.partitionBy(*key).orderBy("_at"))})
+    # A pair with all it takes to judge it; the rest of its row stays in Spark.
+    judged = ranked.select(*key, "_n", "_source", F.col(name).cast("string").alias("_name"), F.col(value).cast("string").alias("_value"))
+
+    def accepted(key_values, group):
+        if len(group) > MOST_PAIRS:
+            raise ValueError(f"{len(group)} distinct pairs of one enumeration; the most is {MOST_PAIRS}")
+        names, taken, now, source, out = set(), set(), [], None, []
+        for n, at, one, number in group.sort_values("_n")[["_n", "_source", "_name", "_value"]].itertuples(index=False):
+            if at != source:
+                taken.update(now)
+                now, source = [], at
+            if one not in names and number not in taken:
+                names.add(one)
+                now.append(number)
+                out.append(n)
+        return pd.DataFrame({**{k: [v] * len(out) for k, v in zip(key, key_values)}, "_n": out})
+
+    kinds = dict(ranked.dtypes)
+    chosen = judged.groupBy(*key).applyInPandas(accepted, ", ".join([*[f"`{k}` {kinds[k]}" for k in key], "_n int"]))
+    kept = skew.null_safe_join(ranked, chosen, [*key, "_n"], "left_semi")
     shown = ["_cols.*"] if columns else []
-    return accepted.select(*key, name, value, F.col("_at").alias("added_at"), *shown)
+    return kept.select(*key, name, value, F.col("_at").alias("added_at"), *shown)
 
 
 def enum_sources(items: DataFrame, union: DataFrame, key, name: str, source: str, order) -> DataFrame:

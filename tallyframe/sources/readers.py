@@ -6,6 +6,8 @@ parsed as VARIANT; what cannot be used goes to a second DataFrame with the reaso
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -249,6 +251,29 @@ def validation_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def captures(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Capture files as (capture, data), one row per file."""
+    """Capture files as (capture, data), one row per file of at most 2 GiB; larger ones: :func:`capture_pieces`."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     return files.select(F.col("path").alias("capture"), F.col("content").alias("data"))
+
+
+def capture_pieces(spark: SparkSession, path: str, pattern: str = "*", piece: int = 1 << 22) -> DataFrame:
+    """Capture files of any length as (capture, seq, data), a row for each ``piece`` bytes.
+
+    Spark lists the files and their lengths; tasks read their ranges through pyarrow, so the address must be
+    one that pyarrow and all executors reach.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "length").where("length > 0")
+    last = F.floor((F.col("length") - 1) / piece)
+    wanted = files.select(F.col("path").alias("capture"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("seq"))
+
+    def read(batches):
+        for batch in batches:
+            for capture, seq in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                store, place = pyarrow.fs.FileSystem.from_uri(capture)
+                with store.open_input_file(place) as file:
+                    file.seek(seq * piece)
+                    data = file.read(piece)
+                yield pa.RecordBatch.from_pylist([{"capture": capture, "seq": seq, "data": data}])
+
+    dealt = wanted.repartition(max(1, spark.sparkContext.defaultParallelism))
+    return dealt.mapInArrow(read, "capture string, seq bigint, data binary")

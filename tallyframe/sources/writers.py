@@ -7,14 +7,27 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import naming as n
-from ..operators import rules, vote
-
-
-def write_canonical(votes: DataFrame, path: str, name: str, version: str, require=True, min_confidence: str | None = None) -> DataFrame:
-    """Write accepted votes and the manifest; returns the counters as one row."""
-    accepted = vote.filter_consensus(votes, require, min_confidence)
+from ..operators import rules, skew, vote
+from ..session import cut_lineage
+
+
+def write_canonical(
+    votes: DataFrame, path: str, name: str, version: str, require=True, min_confidence: str | None = None,
+    ballots: DataFrame | None = None, source: str | None = None, value: str | None = None,
+) -> DataFrame:
+    """Write accepted votes by confidence, their sources and the manifest; returns the counters as one row.
+
+    The votes are worked out once. ``ballots`` (from :func:`vote.ballots`, with the columns ``source`` and
+    ``value``) gives the sources of each record and its outliers with their fingerprints, as a table of its own
+    partitioned by ``agrees``.
+    """
+    held = cut_lineage(votes)
+    accepted = vote.filter_consensus(held, require, min_confidence)
     keyed = accepted.withColumn("file_key", n.canonical_key(name, version))
-    keyed.drop("winning_order").write.mode("overwrite").json(f"{path}/messages")
+    keyed.drop("winning_order").write.mode("overwrite").partitionBy("confidence").json(f"{path}/messages")
+    if ballots is not None:
+        members = skew.null_safe_join(ballots, accepted.select(name, version), [name, version], "left_semi")
+        members.select(name, version, F.col(source).alias("source"), F.col(value).alias("fingerprint"), "agrees").write.mode("overwrite").partitionBy("agrees").json(f"{path}/sources")
     manifest = keyed.select(
         "file_key", F.col("winning_value").alias("fingerprint"), "confidence",
         F.bround("confidence_score", 3).alias("confidence_score"),
@@ -22,7 +35,7 @@ def write_canonical(votes: DataFrame, path: str, name: str, version: str, requir
         (F.col("total_count") - F.col("agreement_count")).alias("outliers"),
     )
     manifest.write.mode("overwrite").json(f"{path}/manifest")
-    return canonical_counters(votes, require, min_confidence)
+    return canonical_counters(held, require, min_confidence)
 
 
 def canonical_counters(votes: DataFrame, require=True, min_confidence: str | None = None) -> DataFrame:
@@ -37,19 +50,22 @@ def canonical_counters(votes: DataFrame, require=True, min_confidence: str | Non
 
 
 def write_preliminary(results: DataFrame, path: str) -> DataFrame:
-    """Write preliminary votes and return how many there are per status."""
-    results.drop("winning_order").write.mode("overwrite").partitionBy("status").json(f"{path}/by_status")
-    return results.groupBy("status").agg(F.count(F.lit(1)).alias("messages"))
+    """Write preliminary votes by status and return how many there are of each."""
+    held = cut_lineage(results)
+    held.drop("winning_order").write.mode("overwrite").partitionBy("status").json(f"{path}/by_status")
+    return held.groupBy("status").agg(F.count(F.lit(1)).alias("messages"))
+
+
+#: Where decisions go.
+FOLDERS = {"accepted": "canonical", "accepted_with_corrections": "canonical", "valid_variations": "variations", "needs_manual_review": "manual_review"}
 
 
 def write_final(decisions: DataFrame, path: str) -> DataFrame:
-    """Write accepted decisions and the manual-review list; returns the summary by decision."""
-    accepted = F.col("decision").isin("accepted", "accepted_with_corrections")
-    flat = decisions.drop("winning_order")
-    flat.where(accepted).write.mode("overwrite").json(f"{path}/canonical")
-    flat.where(F.col("decision") == "valid_variations").write.mode("overwrite").json(f"{path}/variations")
-    flat.where(F.col("decision") == "needs_manual_review").write.mode("overwrite").json(f"{path}/manual_review")
-    return decisions.groupBy("decision", "confidence").agg(F.count(F.lit(1)).alias("messages"))
+    """Write decisions, worked out once, below ``list=canonical``, ``variations`` and ``manual_review``; returns the summary."""
+    held = cut_lineage(decisions)
+    place = F.create_map(*[F.lit(x) for pair in FOLDERS.items() for x in pair])[F.col("decision")]
+    held.drop("winning_order").withColumn("list", place).write.mode("overwrite").partitionBy("list").json(path)
+    return held.groupBy("decision", "confidence").agg(F.count(F.lit(1)).alias("messages"))
 
 
 def write_keys(keys: DataFrame, groups: DataFrame, path: str) -> None:
@@ -66,7 +82,7 @@ def append_new(new: DataFrame, held: DataFrame, path: str, key, force=False) ->
     """Append rows whose key is not held yet (all of them with ``force``); returns what was appended."""
     from ..operators import compare
 
-    added = compare.remaining(new, held, key, force)
+    added = cut_lineage(compare.remaining(new, held, key, force))
     added.write.mode("append").parquet(path)
     return added
 
@@ -76,7 +92,8 @@ def record_variation(variations: DataFrame, path: str) -> None:
 
 
 def write_report(votes: DataFrame, path: str, entity) -> None:
-    """The validation report: summary, results and the results with issues."""
+    """The validation report: summary, results and the results with issues, of votes worked out once."""
+    votes = cut_lineage(votes)
     rules.validation_summary(votes).write.mode("overwrite").json(f"{path}/summary")
     rules.serialized(votes, entity).write.mode("overwrite").json(f"{path}/results")
     rules.serialized(rules.problem_votes(votes), entity).write.mode("overwrite").json(f"{path}/issues")

@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.operators import codec, keys, merge, vote
+from tallyframe.functions import naming
+from tallyframe.operators import codec, keys, merge, rules, vote
 from tallyframe.plans import flows
 from tallyframe.sources import readers, writers
 
@@ -63,13 +64,16 @@ def test_flow_from_store_to_decisions(spark, store, tmp_path):
     row = decisions.first()
     assert (row.decision, row.confidence, row.agreement_count) == ("accepted_with_corrections", "high", 3)
     assert writers.write_final(decisions, str(tmp_path / "final")).first().messages == 1
-    assert spark.read.json(str(tmp_path / "final" / "canonical")).count() == 1
+    assert spark.read.json(str(tmp_path / "final" / "list=canonical")).count() == 1
 
 
 def test_canonical_and_report(spark, tmp_path):
     rows = spark.createDataFrame([("A", 0, "x", i) for i in range(4)] + [("B", 0, "x", 1), ("B", 0, "y", 2)], "name string, version int, fp string, seq int")
     votes = vote.vote(rows, ["name", "version"], "fp", ["seq"])
-    counters = writers.write_canonical(votes, str(tmp_path / "c"), "name", "version").first()
+    ballots = vote.ballots(rows, votes, ["name", "version"], "fp")
+    counters = writers.write_canonical(votes, str(tmp_path / "c"), "name", "version", ballots=ballots, source="seq", value="fp").first()
+    assert spark.read.json(str(tmp_path / "c" / "messages" / "confidence=high")).count() == 1
+    assert spark.read.json(str(tmp_path / "c" / "sources" / "agrees=true")).count() == 4
     assert (counters.written, counters.skipped_no_consensus, counters.skipped_low_confidence) == (1, 1, 0)
     manifest = spark.read.json(str(tmp_path / "c" / "manifest")).first()
     assert (manifest.file_key, manifest.confidence, manifest.sources) == ("A-v0", "high", 4)
@@ -136,6 +140,38 @@ def test_capture_files(spark, tmp_path):
     assert [(r.offset, len(r.frame)) for r in found.collect()] == [(1, 10)]
 
 
+def test_captures_in_pieces(spark, tmp_path):
+    (tmp_path / "caps").mkdir()
+    data = bytes(range(256)) * 40 + bytes.fromhex("B5620501020006010F38") + b"tail"
+    (tmp_path / "caps" / "a.bin").write_bytes(data)
+    (tmp_path / "caps" / "empty.bin").write_bytes(b"")
+    rows = readers.capture_pieces(spark, str(tmp_path / "caps"), piece=1000)
+    assert b"".join(bytes(r.data) for r in rows.orderBy("seq").collect()) == data
+    found = codec.scan(rows, "capture", "data", "seq").collect()
+    assert [(r.offset, len(r.frame)) for r in found] == [(256 * 40, 10)]
+
+
+def test_conflicts_are_written(spark, tmp_path):
+    conflicts = spark.createDataFrame([("k", "name", 2)], "key string, field string, n int")
+    writers.write_conflicts(conflicts, conflicts.where("n > 5"), str(tmp_path / "x"))
+    assert spark.read.json(str(tmp_path / "x" / "conflicts")).collect() == [("name", "k", 2)]
+
+
+def test_second_registry_forms(spark):
+    texts = ['"U004"', '["I004", 1e-07]', '["X001", {"a": "U001"}]', '["numSvs", {"b": "U002"}]', "broken"]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(naming.registry_form("t").alias("f")).collect()
+    assert [(r.f.kind, r.f.type, r.f.scale, r.f.bits, r.f.count_field, r.f.fields) for r in found] == [
+        ("plain", "U004", None, None, None, None), ("scaled", "I004", 1e-07, None, None, None), ("bitfield", "X001", None, '{"a":"U001"}', None, None),
+        ("group", "group", None, None, "numSvs", '{"b":"U002"}'), (None, None, None, None, None, None),
+    ]
+
+
+def test_message_rules_and_fixed_length(spark):
+    rows = spark.createDataFrame([("0x01", "0x02", "input"), (None, "0x02", None)], "class_id string, message_id string, message_type string")
+    found = {r.rule: (r.checked, r.violations) for r in rules.expect(rows, rules.message_rules()).collect()}
+    assert found == {"has_class_id": (2, 1), "has_message_id": (2, 0), "has_message_type": (2, 1)}
+
+
 def test_version_sets(spark):
     pairs = spark.createDataFrame([("M", "a"), ("M", "b"), ("N", "c")], "entity string, source string")
     meta = spark.createDataFrame([("a", 2700), ("b", 1800), ("c", 0)], "source string, version int")
