@@ -163,7 +163,7 @@ _held: dict[str, Automaton] = {}
 
 
 def _automaton(key: str, items, window: int) -> Automaton:
-    """The automaton of a block, built once in each Python worker, which holds one at a time."""
+    """The automaton of a block, built once in each task."""
     if key not in _held:
         _held.clear()
         _held[key] = Automaton([(name, words.split()) for name, words in items], window)
@@ -173,7 +173,7 @@ def _automaton(key: str, items, window: int) -> Automaton:
 class Blocks:
     """The normalised items, dealt by hash into blocks of about ``block_words`` words.
 
-    The driver and each Python worker hold one block at a time.
+    The driver and each task hold one block at a time.
     """
 
     def __init__(self, benchmark: DataFrame, item: str, text: str, window: int, block_words: int):

@@ -151,11 +151,11 @@ def predict(df: DataFrame, model: Model, text: str = "text", into: str = "langua
     where nothing was learnt get ``und`` in both with score 0. Rows are judged one by one. A column of that
     name is replaced.
     """
-    held = df.sparkSession.sparkContext.broadcast(model)
+    held = df.sparkSession.sparkContext.broadcast(vars(model))
 
     @by_arrow(_FOUND)
     def found(texts: pa.Array) -> pa.Array:
-        model, rows = held.value, []
+        model, rows = Model(**held.value), []
         for t in raw(texts):
             if not model.languages or not has_letter(t):
                 rows.append(("und", 0.0, "und", True))

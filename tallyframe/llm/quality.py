@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from bisect import bisect_right
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -66,18 +65,17 @@ def band(size: int, bands=BANDS) -> tuple[float, float]:
     return bands[bisect_right([b[0] for b in bands], size) - 1][1:]
 
 
-@lru_cache(maxsize=2)
-def _compressor(level: int):
-    return zstandard.ZstdCompressor(level=level, write_checksum=False, write_content_size=False)
+def compressor(level: int = LEVEL):
+    return zstandard.ZstdCompressor(level=level, write_checksum=False, write_content_size=False).compress
 
 
-def measure(text: bytes | None, level: int = LEVEL, chunk: int = CHUNK) -> tuple:
+def measure(text: bytes | None, squeeze=None, chunk: int = CHUNK) -> tuple:
     """The values of ``FIELDS`` for one text."""
+    squeeze = squeeze or compressor()
     text = text or b""
     words = text.split()
     letters = text.translate(None, SPACE)
     lines = [line for line in text.split(b"\n") if line and not line.isspace()]
-    squeeze = _compressor(level).compress
     ratio = len(squeeze(text)) / len(text) if text else None
     low, high = band(chunk)
     whole = len(text) // chunk
@@ -90,7 +88,8 @@ def measure(text: bytes | None, level: int = LEVEL, chunk: int = CHUNK) -> tuple
 
 @by_arrow(_MEASURE)
 def _measured(texts: pa.Array) -> pa.Array:
-    return structs(_MEASURE, [measure(t) for t in raw(texts)])
+    squeeze = compressor()
+    return structs(_MEASURE, [measure(t, squeeze) for t in raw(texts)])
 
 
 def _inside(size: Column, ratio: Column, bands=BANDS) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -58,8 +57,7 @@ def wallet_checksum(match: re.Match) -> bool:
     return hashlib.sha256(hashlib.sha256(data[:78]).digest()).digest()[:4] == data[78:]
 
 
-@lru_cache(maxsize=1)
-def _automaton() -> ahocorasick.Automaton:
+def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for kind, words in KEYWORDS.items():
         for word in words:
@@ -77,13 +75,13 @@ CHECKS = {
 }
 
 
-def scan(text: bytes) -> list[tuple[int, int, int]]:
+def scan(text: bytes, keywords: ahocorasick.Automaton | None = None) -> list[tuple[int, int, int]]:
     """(start, kind's number, end) in bytes, by start and kind; leftmost and not overlapping within a kind."""
     found, free = [], dict.fromkeys(CHECKS, 0)
     # Lower case of ASCII only, and a character for each byte: places are those of the bytes.
     lowered = text.lower().decode("latin-1")
     # Keywords are reported by their end; their starts are in order within a kind only after sorting.
-    hits = sorted((end - size + 1, kind) for end, (kind, size) in _automaton().iter(lowered))
+    hits = sorted((end - size + 1, kind) for end, (kind, size) in (keywords or automaton()).iter(lowered))
     for start, kind in hits:
         if start < free[kind]:
             continue
@@ -128,9 +126,9 @@ _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int6
 
 @by_arrow(pa.list_(_SPAN))
 def _spans(texts: pa.Array) -> pa.Array:
-    rows = []
+    rows, keywords = [], automaton()
     for text in raw(texts):
-        found = scan(text or b"")
+        found = scan(text or b"", keywords)
         if found:
             found = in_code_points(text, found)
         rows.append([{"kind": KINDS[kind], "start": start, "end": end} for start, kind, end in found])
@@ -154,7 +152,8 @@ def redacted(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
 
     @by_arrow(pa.string())
     def clean(texts: pa.Array) -> pa.Array:
-        rows = [t if t is None or not (found := scan(t)) else redact(t, found, replacement) for t in raw(texts)]
+        keywords = automaton()
+        rows = [t if t is None or not (found := scan(t, keywords)) else redact(t, found, replacement) for t in raw(texts)]
         return pa.array(rows, pa.binary()).cast(pa.string())
 
     return small_batches(df).withColumn(text, clean(F.col(f"`{text}`").cast("string")))

@@ -35,7 +35,7 @@ GRAMS = (4, 6, 8)
 LEAST_SHARE, LEAST_LIFT = 0.005, 8.0
 LARGEST = 24  # differences are counted from -LARGEST to LARGEST
 THRESHOLD = 0.7
-#: Lengths a Python worker remembers.
+#: Lengths a task remembers.
 REMEMBERED = 400_000
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -180,11 +180,11 @@ def fit(documents: DataFrame, labels: DataFrame, key: str, text: str, learn: Col
 
 def _calibrate(spark: SparkSession, model: Model, rows: list[tuple[bytes, int]]) -> None:
     """Weights and curve from the training rows, whose windows are measured in tasks."""
-    held = spark.sparkContext.broadcast(model)
+    held = spark.sparkContext.broadcast(vars(model))
 
     @by_arrow(pa.list_(pa.int64()))
     def measured(texts: pa.Array) -> pa.Array:
-        ruler = _ruler(held.value)
+        ruler = _ruler(Model(**held.value))
         return pa.array([ruler.histogram(t).astype(int).tolist() for t in raw(texts)], pa.list_(pa.int64()))
 
     data = pa.table({"text": pa.array([t.decode(errors="replace") for t, _ in rows]), "label": [label for _, label in rows]})
@@ -227,11 +227,11 @@ def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity
     row without windows. Rows are scored one by one, so repeated rows get equal results. A column of that name
     is replaced.
     """
-    held = df.sparkSession.sparkContext.broadcast(model)
+    held = df.sparkSession.sparkContext.broadcast(vars(model))
 
     @by_arrow(_SCORED)
     def scored(texts: pa.Array) -> pa.Array:
-        model, rows = held.value, []
+        model, rows = Model(**held.value), []
         if not model.ordinary:
             return structs(_SCORED, [(0.0, 0, len(windows(t))) for t in raw(texts)])
         ruler, weights = _ruler(model), np.array(model.weights)
