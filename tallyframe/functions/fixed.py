@@ -103,6 +103,9 @@ ENUM_SUBSTITUTIONS = [
     (r"enable pio.*output", "pio_enabled"), (r"low means inside", "inside"),
     (r"low means outside.*", "outside"),
 ]
+# then, with regard to case, these, and after lower-casing the last ones
+ENUM_SIGNS = [(r"^(\d)D[-\s]?", "_$1d_"), (r"<(\d)g", "$1g"), (r"\s*\+\s*", "_")]
+ENUM_SPELLING = [(r"[-\s]+", "_"), (r"[^a-z0-9_]", ""), (r"_+", "_"), (r"^_+|_+$", "")]
 ENUM_HEX_PAIR = r"0x([0-9a-fA-F]+)\s*=\s*([^,•\n]+?)(?:,|•|\n|$)"
 ENUM_DEC_PAIR = r"(?<!x)(?<![0-9a-fA-F])(\d+)\s*=\s*([^,•\n\d][^,•\n]*?)(?:,|•|\n|$)"
 
@@ -112,6 +115,21 @@ ID_SYNONYMS = {
     "message_id": ["message_id", "ubx_id", "messageId", "msg_id", "id"],
 }
 WRAPPER = "ubx_message"
+# Reasons for leaving a definition out
+REJECTED_STRING = "canonical_structure is string"
+REJECTED_SHAPE = "canonical_structure not dict"
+REJECTED_CLASS = "no class_id"
+REJECTED_MESSAGE = "no message_id"
+# Wording of conflicts between sources
+CONFLICT_NAME = "Key name conflict"
+CONFLICT_NAME_SURE = "Key name mismatch - likely OCR/Unicode error"
+CONFLICT_TYPE = "Data type mismatch"
+CONFLICT_SCALE = "Scale value differs"
+CONFLICT_UNIT = "Unit differs"
+CONFLICT_OTHER = "Value differs"
+CONFLICT_MISREAD = "Likely OCR error (I vs 1)"
+CONFLICT_PREFER_VALUE = " - prefer actual value over '-'"
+NO_WINNER = "No winning message available"
 MESSAGE_TYPES = {
     "output": "output", "input": "input", "command": "command", "set": "set", "get": "get",
     "get/set": "get_set", "get_set": "get_set", "poll": "poll_request",

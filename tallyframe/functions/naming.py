@@ -296,12 +296,11 @@ def enum_name(description, max_length: int = 30) -> Column:
         c = F.regexp_replace(c, f"(?i){pattern}", "")
     for pattern, replacement in fixed.ENUM_SUBSTITUTIONS:
         c = F.regexp_replace(c, f"(?i){pattern}", replacement)
-    c = F.regexp_replace(c, r"^(\d)D[-\s]?", "_$1d_")
-    c = F.regexp_replace(c, r"<(\d)g", "$1g")
-    c = F.regexp_replace(c, r"\s*\+\s*", "_")
-    c = F.regexp_replace(F.lower(c), r"[-\s]+", "_")
-    c = F.regexp_replace(c, r"[^a-z0-9_]", "")
-    c = F.regexp_replace(F.regexp_replace(c, r"_+", "_"), r"^_+|_+$", "")
+    for pattern, replacement in fixed.ENUM_SIGNS:
+        c = F.regexp_replace(c, pattern, replacement)
+    c = F.lower(c)
+    for pattern, replacement in fixed.ENUM_SPELLING:
+        c = F.regexp_replace(c, pattern, replacement)
     c = F.when(c.rlike(r"^\d"), F.concat(F.lit("_"), c)).otherwise(c)
     # Longest run of whole words that fits, counting one separator per word.
     fitting = F.regexp_extract(c, rf"^(.{{0,{max_length - 1}}}_)", 1)

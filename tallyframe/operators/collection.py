@@ -127,10 +127,10 @@ def normalize(documents: DataFrame, document: str = "document", name: str = "mes
     reason = (
         F.when(F.col("_d").isNull(), F.lit("not JSON"))
         .when(blank, F.lit("no canonical structure"))
-        .when(F.schema_of_variant(raw) == "STRING", F.lit("canonical_structure is string"))
-        .when(~F.coalesce(F.schema_of_variant(c).startswith("OBJECT"), F.lit(False)), F.lit("canonical_structure not dict"))
-        .when(F.col("_class").isNull(), F.lit("no class_id"))
-        .when(F.col("_msg").isNull(), F.lit("no message_id"))
+        .when(F.schema_of_variant(raw) == "STRING", F.lit(fixed.REJECTED_STRING))
+        .when(~F.coalesce(F.schema_of_variant(c).startswith("OBJECT"), F.lit(False)), F.lit(fixed.REJECTED_SHAPE))
+        .when(F.col("_class").isNull(), F.lit(fixed.REJECTED_CLASS))
+        .when(F.col("_msg").isNull(), F.lit(fixed.REJECTED_MESSAGE))
     )
     # A generated column: filters on it are not rewritten into copies of all the parsing above.
     rows = rows.select("*", F.explode(F.array(reason)).alias("reason"))
@@ -215,7 +215,7 @@ def canonical(votes: DataFrame, entity_name: str, version: str, annotations: Dat
         F.bround("confidence_score", 3).alias("confidence_score"),
         *([structure] if structure else []),
         "annotation",
-        F.when(missing, F.lit("No winning message available")).alias("error"),
+        F.when(missing, F.lit(fixed.NO_WINNER)).alias("error"),
         n.canonical_key(entity_name, version).alias("file_key"),
     )
 

@@ -26,18 +26,16 @@ class Attribute:
     skip_blank: bool = False
     prefer_value: bool = False
     misread: bool = False
-    reason: str = "Value differs"
+    reason: str = fixed.CONFLICT_OTHER
     sure_reason: str | None = None
 
 
 KEY_ATTRIBUTES = [
-    Attribute("name", reason="Key name conflict", sure_reason="Key name mismatch - likely OCR/Unicode error"),
-    Attribute("data_type", misread=True, reason="Data type mismatch"),
-    Attribute("scale", skip_blank=True, prefer_value=True, reason="Scale value differs"),
-    Attribute("unit", skip_blank=True, prefer_value=True, reason="Unit differs"),
+    Attribute("name", reason=fixed.CONFLICT_NAME, sure_reason=fixed.CONFLICT_NAME_SURE),
+    Attribute("data_type", misread=True, reason=fixed.CONFLICT_TYPE),
+    Attribute("scale", skip_blank=True, prefer_value=True, reason=fixed.CONFLICT_SCALE),
+    Attribute("unit", skip_blank=True, prefer_value=True, reason=fixed.CONFLICT_UNIT),
 ]
-MISREAD_REASON = "Likely OCR error (I vs 1)"
-PREFER_SUFFIX = " - prefer actual value over '-'"
 
 
 def candidates(df: DataFrame, entity, attributes, order) -> DataFrame:
@@ -81,8 +79,8 @@ def detect(df: DataFrame, entity, attributes, order, threshold=fixed.THRESHOLD)
         if a.sure_reason:
             sure = F.when(field == a.name, F.lit(a.sure_reason)).otherwise(sure)
     reason = (
-        F.when(field.isin(flags["misread"]) & F.col("_misread"), F.lit(MISREAD_REASON))
-        .when(field.isin(flags["prefer_value"]) & F.col("_dash"), F.concat(reason, F.lit(PREFER_SUFFIX)))
+        F.when(field.isin(flags["misread"]) & F.col("_misread"), F.lit(fixed.CONFLICT_MISREAD))
+        .when(field.isin(flags["prefer_value"]) & F.col("_dash"), F.concat(reason, F.lit(fixed.CONFLICT_PREFER_VALUE)))
         .when(F.col("confidence") >= threshold, F.coalesce(sure, reason))
         .otherwise(reason)
     )

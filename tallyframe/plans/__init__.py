@@ -5,7 +5,7 @@ from importlib import import_module
 from . import base
 
 MODULES = [
-    "voting", "layouts", "conflicts", "merging", "comparing", "auditing", "outlines", "normalising", "captures", "streams",
+    "voting", "layouts", "conflicts", "merging", "comparing", "auditing", "outlines", "normalising", "captures", "streams", "files",
 ]
 
 
