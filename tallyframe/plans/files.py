@@ -263,12 +263,12 @@ def appended_rows(spark, folder):
 
 
 @query(VOTES + """
-SELECT l_orderkey, winning_value FROM votes WHERE NOT has_consensus OR agreement_count < total_count""")
+SELECT l_orderkey, winning_value AS fingerprint FROM votes WHERE NOT has_consensus OR agreement_count < total_count""")
 def written_report(spark, folder):
     votes = line_votes(spark, folder)
     path = run_dir(spark, "report")
     writers.write_report(votes, path, ["l_orderkey"])
-    return spark.read.schema("l_orderkey bigint, winning_value string").json(f"{path}/issues")
+    return spark.read.schema("l_orderkey bigint, fingerprint string").json(f"{path}/issues")
 
 
 # -- functions without a query of their own ---------------------------------------------------

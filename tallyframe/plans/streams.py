@@ -19,7 +19,7 @@ def file_stream(rows, path, files=3):
 
 
 def orders_by_time(orders, path):
-    """Orders as a stream of three micro-batches: those before two dates, and the rest."""
+    """Orders as a stream of two micro-batches: those before a date, and the rest."""
     for number, part in enumerate((F.col("o_orderdate") < voting.CUT, F.col("o_orderdate") >= voting.CUT)):
         orders.where(part).coalesce(1).write.parquet(f"{path}/in/part={number}")
     stream = orders.sparkSession.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1)

@@ -23,32 +23,51 @@ def _schemas(new: T.StructType, entity, source: str, value: str):
     return canonical, members
 
 
-def consensus(stream: DataFrame, table: str, checkpoint: str, entity, source: str, value: str, order, compat=True, trigger=None):
-    """Start a query that folds each micro-batch into the snapshot below ``table``.
+def _bucket(entity, buckets: int):
+    return F.pmod(F.xxhash64(*entity), F.lit(buckets)).cast("int")
 
-    The state after batch N is written to ``batch=N`` and read by batch N+1 only, so a repeated
-    batch overwrites its own result and nothing is counted twice.
+
+def _places(spark: SparkSession, table: str, number: int) -> dict[int, int]:
+    """After batch ``number``: the batch that wrote each bucket last."""
+    if number < 0:
+        return {}
+    return {r.bucket: r.batch for r in spark.read.schema("bucket int, batch bigint").parquet(f"{table}/places/{number:012d}").collect()}
+
+
+def _read(spark: SparkSession, table: str, kind: str, schema, places: dict[int, int]) -> DataFrame:
+    paths = [f"{table}/{kind}/batch={batch}/bucket={bucket}" for bucket, batch in sorted(places.items())]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def consensus(stream: DataFrame, table: str, checkpoint: str, entity, source: str, value: str, order, compat=True, trigger=None, buckets=64):
+    """Start a query that folds each micro-batch into the state below ``table``.
+
+    Entities are dealt over ``buckets``; a batch reads and rewrites only those its rows fall into, below its own
+    number, and writes which batch holds each bucket. Batch N reads what batch N - 1 left, so a repeated batch
+    overwrites its own result and nothing is counted twice.
     """
     canonical_schema, members_schema = _schemas(stream.schema, entity, source, value)
 
     def fold(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        if number == 0:
-            canonical = spark.createDataFrame([], canonical_schema)
-            members = spark.createDataFrame([], members_schema)
-        else:
-            canonical = spark.read.schema(canonical_schema).parquet(f"{table}/canonical/batch={number - 1}")
-            members = spark.read.schema(members_schema).parquet(f"{table}/members/batch={number - 1}")
+        places = _places(spark, table, number - 1)
+        touched = {r[0] for r in batch.select(_bucket(entity, buckets)).distinct().collect()}  # ``buckets`` rows at most
+        before = {b: n for b, n in places.items() if b in touched}
+        canonical = _read(spark, table, "canonical", canonical_schema, before)
+        members = _read(spark, table, "members", members_schema, before)
         updated, held = vote.incremental(canonical, members, batch, entity, source, value, order, compat)
-        updated.write.mode("overwrite").parquet(f"{table}/canonical/batch={number}")
-        held.write.mode("overwrite").parquet(f"{table}/members/batch={number}")
+        for kind, rows in (("canonical", updated), ("members", held)):
+            rows.withColumn("bucket", _bucket(entity, buckets)).write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/{kind}/batch={number}")
+        now = places | dict.fromkeys(touched, number)
+        spark.createDataFrame(sorted(now.items()), "bucket int, batch bigint").coalesce(1).write.mode("overwrite").parquet(f"{table}/places/{number:012d}")
 
     writer = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def latest(spark: SparkSession, table: str, kind: str = "canonical") -> DataFrame:
-    """The newest snapshot."""
-    states = spark.read.parquet(f"{table}/{kind}")
-    newest = states.agg(F.max("batch")).scalar()
-    return states.where(F.col("batch") == newest).drop("batch")
+    """The state after the last batch."""
+    newest = spark.read.parquet(f"{table}/places/*").agg(F.max("_metadata.file_path")).first()[0].split("/")[-2]
+    places = _places(spark, table, int(newest))
+    first, *rest = [f"{table}/{kind}/batch={batch}/bucket={bucket}" for bucket, batch in sorted(places.items())]
+    return spark.read.parquet(first, *rest)
