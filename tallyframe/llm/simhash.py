@@ -9,6 +9,7 @@ so the pair meets at the home of either.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -36,25 +37,43 @@ PAIRS = 1 << 20
 _SHINGLES = 1 << 16
 
 
-def fingerprint(text: bytes | None, words: int = WORDS) -> int:
-    """The SimHash of all shingles, as a signed 64-bit number; 0 for a text without words."""
+def sketch(text: bytes | None, words: int = WORDS, numbers: int = 1) -> bytes:
+    """The SimHash of all shingles in ``numbers`` times 64 bits, highest bit first; all zero for a text without words.
+
+    The first 64 bits are of the shingles' hashes, each further number of the hashes mixed once more.
+    """
     parts = (text or b"").lower().split()
     if not parts:
-        return 0
+        return bytes(8 * numbers)
     joined = b" ".join(parts)
-    if len(parts) <= words:
-        return int.from_bytes(xxhash.xxh64_digest(joined, SEED), "big", signed=True)
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     ends = np.cumsum(sizes + 1) - 1
     starts = ends - sizes
-    n = len(parts) - words + 1
-    ones = np.zeros(64, np.int64)
+    n = max(1, len(parts) - words + 1)
+    ends = ends[min(words, len(parts)) - 1 :]
+    ones = np.zeros((numbers, 64), np.int64)
     digest = xxhash.xxh64_digest
     for at in range(0, n, _SHINGLES):
-        some = zip(starts[at : min(n, at + _SHINGLES)].tolist(), ends[at + words - 1 : at + words - 1 + _SHINGLES].tolist(), strict=True)
-        hashes = np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in some]), np.uint8)
-        ones += np.unpackbits(hashes.reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
+        some = zip(starts[at : min(n, at + _SHINGLES)].tolist(), ends[at : at + _SHINGLES].tolist(), strict=True)
+        hashes = np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in some]), ">u8")
+        for number in range(numbers):
+            if number:
+                hashes = _mixed(hashes.astype(np.uint64)).astype(">u8")
+            ones[number] += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > n).tobytes()
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """Other hashes, as good as independent, of the same shingles."""
+    hashes = hashes + np.uint64(0x9E3779B97F4A7C15)
+    hashes = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    hashes = (hashes ^ (hashes >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return hashes ^ (hashes >> np.uint64(31))
+
+
+def fingerprint(text: bytes | None, words: int = WORDS) -> int:
+    """The SimHash of all shingles, as a signed 64-bit number; 0 for a text without words."""
+    return int.from_bytes(sketch(text, words), "big", signed=True)
 
 
 def fingerprints(df: DataFrame, text: str = "text", into: str = "fingerprint", words: int = WORDS) -> DataFrame:
@@ -140,8 +159,8 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[some], nodes[label[some]]
 
 
-def _linked(groups: np.ndarray, prints: np.ndarray, home: np.ndarray, most: int):
-    """Links among rows sorted by group, between homes and all rows of a group, as stars."""
+def _pairs(groups: np.ndarray, home: np.ndarray):
+    """Rows, sorted by group, to compare: (homes, rows of their groups), some PAIRS at a time."""
     starts = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(groups)])))
     homes = np.flatnonzero(home)
@@ -153,15 +172,15 @@ def _linked(groups: np.ndarray, prints: np.ndarray, home: np.ndarray, most: int)
         some, of = homes[at:end], group_of[at:end]
         n = sizes[of]
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        a, b = np.repeat(prints[some], n), prints[np.repeat(starts[of], n) + offset]
-        near = (np.bitwise_count((a ^ b).view(np.uint64)) <= most) & (a != b)
-        if near.any():
-            yield _stars(a[near], b[near])
+        yield np.repeat(some, n), np.repeat(starts[of], n) + offset
         at = end
 
 
-def _compared(cells: DataFrame, most: int) -> DataFrame:
-    """(u, v), u > v: links within each cell; rows arrive sorted by cell."""
+def _compared(cells: DataFrame, near) -> DataFrame:
+    """(u, v), u > v: links within each cell, as stars; rows arrive sorted by cell.
+
+    ``near(table)`` gives the numbers of a table's rows and a function that tells which of some pairs are linked.
+    """
 
     def compare(batches):
         rest = None
@@ -172,10 +191,12 @@ def _compared(cells: DataFrame, most: int) -> DataFrame:
             changes = np.zeros(table.num_rows, bool)
             for k in keys:
                 changes[1:] |= k[1:] != k[:-1]
-            groups = np.cumsum(changes)
-            home = table.column("home").to_numpy(zero_copy_only=False)
-            for u, v in _linked(groups, table.column("fingerprint").to_numpy(), home, most):
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+            numbers, linked = near(table)
+            for a, b in _pairs(np.cumsum(changes), table.column("home").to_numpy(zero_copy_only=False)):
+                hit = linked(a, b)
+                if hit.any():
+                    u, v = _stars(numbers[a[hit]], numbers[b[hit]])
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
@@ -196,30 +217,92 @@ def _compared(cells: DataFrame, most: int) -> DataFrame:
     return cells.mapInArrow(compare, "u bigint, v bigint")
 
 
-def links(prints: DataFrame, most: int = MOST_BITS) -> DataFrame:
-    """(u, v), u > v: enough links between distinct fingerprints that differ in ``most`` bits or fewer to connect
-    all that are linked. ``prints`` has one column of distinct values.
+def _cells(visits: DataFrame, spread: str) -> DataFrame:
+    """Visits (anchor, home, others) with row and col: those of crowded anchors dealt over a grid of blocks.
 
-    Rows of an anchor with more than BLOCK visitors are dealt over a grid of blocks of homes and visitors. Each
-    task gives its links as stars, never all pairs of a group.
+    ``spread`` is the column by whose hash rows are dealt over blocks. Rows come sorted by cell.
     """
-    if most // len(BANDS) > BAND_BITS:
-        raise ValueError(f"the bands find pairs of up to {len(BANDS) * (BAND_BITS + 1) - 1} bits")
-    visits = _visits(prints)
+    others = [c for c in visits.columns if c not in ("anchor", "home")]
     counts = visits.groupBy("anchor").agg(F.sum(F.col("home").cast("int")).alias("homes"), F.count(F.lit(1)).alias("visitors"))
     crowded = cut_lineage(counts.where((F.col("visitors") > BLOCK) & (F.col("homes") > 0)))
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    mine = lambda n: F.pmod(F.xxhash64("fingerprint"), blocks(n)).cast("int")
+    mine = lambda n: F.pmod(F.xxhash64(spread), blocks(n)).cast("int")
     cell = lambda row, col, home: F.struct(row.alias("row"), col.alias("col"), home.alias("home"))
     # In a crowded anchor a home is compared in every block of its row and is a visitor to the other homes.
     as_visitor = F.transform(F.sequence(F.lit(0), blocks("homes") - 1), lambda r: cell(r, mine("visitors"), F.lit(False)))
     as_home = F.transform(F.sequence(F.lit(0), blocks("visitors") - 1), lambda c: cell(mine("homes"), c, F.lit(True)))
     alone = F.array(cell(F.lit(0), F.lit(0), F.col("home")))
     cells = F.when(F.col("homes").isNull(), alone).when(F.col("home"), F.concat(as_home, as_visitor)).otherwise(as_visitor)
-    dealt = visits.join(crowded, "anchor", "left").select("anchor", "fingerprint", F.explode(cells).alias("cell"))
-    cells = dealt.select("anchor", "cell.row", "cell.col", "fingerprint", "cell.home")
-    cells = cells.repartition("anchor", "row", "col").sortWithinPartitions("anchor", "row", "col")
-    return _compared(cells, most)
+    dealt = visits.join(crowded, "anchor", "left").select("anchor", *others, F.explode(cells).alias("cell"))
+    dealt = dealt.select("anchor", "cell.row", "cell.col", *others, "cell.home")
+    return dealt.repartition("anchor", "row", "col").sortWithinPartitions("anchor", "row", "col")
+
+
+def links(prints: DataFrame, most: int = MOST_BITS) -> DataFrame:
+    """(u, v), u > v: enough links between distinct fingerprints that differ in ``most`` bits or fewer to connect
+    all that are linked. ``prints`` has one column of distinct values.
+
+    Rows of an anchor with more than BLOCK visitors are dealt over a grid of blocks of homes and visitors. Each
+    task gives its links as stars, never all pairs of a group.
+    """
+    if most // len(BANDS) > BAND_BITS:
+        raise ValueError(f"the bands find pairs of up to {len(BANDS) * (BAND_BITS + 1) - 1} bits")
+
+    def near(table):
+        values = table.column("fingerprint").to_numpy()
+        return values, lambda a, b: (np.bitwise_count((values[a] ^ values[b]).view(np.uint64)) <= most) & (values[a] != values[b])
+
+    return _compared(_cells(_visits(prints), "fingerprint"), near)
+
+
+#: For similarities, sketches of NUMBERS * 64 bits meet where all bits of one of their bands are equal: the code
+#: is then the whole space of a band, of radius 0. Bits differ at a rate of acos(2s / (1 + s)) / pi for shingle sets
+#: of similarity s, 0.15 at 0.8, so that one of 39 bands of 13 bits is equal with 99.2 %, at 0.85 with 99.9 %.
+#: Wider bands meet fewer strangers and need more of them: a larger corpus takes more NUMBERS and a greater BAND.
+SIMILAR_WORDS, SIMILARITY = 5, 0.8
+NUMBERS, BAND = 8, 13
+#: How many deviations beyond the expected number of differing bits still count as similar.
+LEEWAY = 1.5
+
+
+def most_differing(similarity: float, bits: int = 64 * NUMBERS) -> int:
+    """Differing bits up to which sketches count as similar."""
+    rate = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * rate + LEEWAY * math.sqrt(bits * rate * (1 - rate)))
+
+
+def similar_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(u, v), u > v: as :func:`links`, for the nodes of (node, sketch) rows that are similar by their sketches."""
+    most = most_differing(similarity)
+
+    def bands(batches):
+        count = 64 * NUMBERS // BAND
+        for batch in batches:
+            for at in range(0, batch.num_rows, 5_000):
+                some = batch.slice(at, 5_000)
+                data = np.frombuffer(b"".join(some.column("sketch").to_pylist()), np.uint8).reshape(-1, 8 * NUMBERS)
+                bits = np.unpackbits(data, axis=1)[:, : count * BAND].reshape(len(data), count, BAND)
+                keys = bits @ (1 << np.arange(BAND, dtype=np.int64)) | np.arange(count) << 32
+                row = pa.array(np.repeat(np.arange(len(data)), count))
+                home = pa.array(np.ones(keys.size, bool))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), some.column("node").take(row), some.column("sketch").take(row), home], ["anchor", "node", "sketch", "home"])
+
+    def near(table):
+        data = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, NUMBERS)
+        numbers, first = table.column("node").to_numpy(), np.ascontiguousarray(data[:, 0])
+
+        def linked(a, b):
+            hit = (np.bitwise_count(first[a] ^ first[b]) <= 24) & (a != b)  # nearly all strangers go by one number
+            some = np.flatnonzero(hit)
+            for at in range(0, len(some), 1 << 16):
+                part = some[at : at + (1 << 16)]
+                hit[part] = np.bitwise_count(data[a[part]] ^ data[b[part]]).sum(1, dtype=np.int64) <= most
+            return hit & (numbers[a] != numbers[b])
+
+        return numbers, linked
+
+    visits = nodes.mapInArrow(bands, "anchor bigint, node bigint, sketch binary, home boolean")
+    return _compared(_cells(visits, "node"), near)
 
 
 def _named(marked: DataFrame, most: int) -> DataFrame:
@@ -244,17 +327,28 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     return found.select(F.col("key").alias(key), F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component")
 
 
-def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, most: int = MOST_BITS) -> DataFrame:
-    """``df`` with one row of each group: that of the least key, null keys last, the first of equal keys.
+def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """``df`` with one row of each group of similar texts: that of the least key, null keys last, the first of equal keys.
 
-    The rows are written once with their fingerprints, so that every later reader sees the same rows.
+    Texts are similar if their sets of shingles of ``words`` words have a similarity of ``similarity`` or more, as
+    told by their sketches; groups are connected by such links, and equal sketches, those of empty and null texts
+    among them, are one group. The rows are written once with their sketches, so that every later reader sees the
+    same rows.
     """
-    row, mark = free_name(df, "_row"), free_name(df, "_print")
-    rows = cut_lineage(fingerprints(df, text, mark, words).withColumn(row, F.monotonically_increasing_id()))
-    marked = rows.select(F.col(f"`{key}`").alias("key"), F.col(mark).alias("print"), F.col(row).alias("row"))
-    rooted = marked.join(_named(marked, most), "print")
+    row, mark = free_name(df, "_row"), free_name(df, "_sketch")
+
+    @by_arrow(pa.binary())
+    def sketched(texts: pa.Array) -> pa.Array:
+        return pa.array([sketch(t, words, NUMBERS) for t in raw(texts)], pa.binary())
+
+    marked = small_batches(df).withColumn(mark, sketched(F.col(f"`{text}`").cast("string")))
+    rows = cut_lineage(marked.withColumn(row, F.monotonically_increasing_id()))
+    light = rows.select(F.col(f"`{key}`").alias("key"), F.col(mark).alias("sketch"), F.col(row).alias("row"))
+    nodes = cut_lineage(light.groupBy("sketch").agg(F.min("row").alias("node")))
+    roots = components(similar_links(nodes, similarity)).select(F.col("u").alias("node"), F.col("v").alias("root"))
+    rooted = nodes.join(roots, "node", "left").select("sketch", F.coalesce("root", "node").alias("root"))
     first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row"))["row"]
-    keepers = rooted.groupBy("root").agg(first.alias("row")).select("row")
+    keepers = light.join(rooted, "sketch").groupBy("root").agg(first.alias("row")).select("row")
     # The rows to drop are few as a rule; their written size lets Spark choose how to join.
-    drops = cut_lineage(marked.select("row").join(keepers, "row", "left_anti"))
+    drops = cut_lineage(light.select("row").join(keepers, "row", "left_anti"))
     return rows.join(drops.withColumnRenamed("row", row), row, "left_anti").select(*own(df))
