@@ -28,8 +28,9 @@ def hot_keys(df: DataFrame, keys, counts: DataFrame | None = None, floor=None) -
     if counts is None:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     limit = HOT_FLOOR if floor is None else floor
-    hot = cut_lineage(counts.where(F.col("_n") > limit).select(*keys, "_n"))
-    return None if hot.isEmpty() else hot
+    if (counts.agg(F.max("_n")).first()[0] or 0) <= limit:
+        return None
+    return cut_lineage(counts.where(F.col("_n") > limit).select(*keys, "_n"))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
