@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,8 +28,8 @@ def raw(column: pa.Array, at_once: int = 128) -> Iterator[bytes | None]:
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, in whose session Arrow batches now hold at most BATCH_BYTES, so that long texts do not add up."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    held = int(df.sparkSession.conf.get(name).rstrip("b"))
-    if not 0 < held <= BATCH_BYTES:
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", df.sparkSession.conf.get(name).lower()).groups()
+    if not 0 < int(number) << 10 * " kmgt".index(unit or " ") <= BATCH_BYTES:
         df.sparkSession.conf.set(name, str(BATCH_BYTES))
     return df
 

@@ -283,9 +283,9 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame
                 data = np.frombuffer(b"".join(some.column("sketch").to_pylist()), np.uint8).reshape(-1, 8 * NUMBERS)
                 bits = np.unpackbits(data, axis=1)[:, : count * BAND].reshape(len(data), count, BAND)
                 keys = bits @ (1 << np.arange(BAND, dtype=np.int64)) | np.arange(count) << 32
-                row = pa.array(np.repeat(np.arange(len(data)), count))
+                row = pa.array(np.tile(np.arange(len(data)), count))  # band by band: copies of a sketch stand apart
                 home = pa.array(np.ones(keys.size, bool))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), some.column("node").take(row), some.column("sketch").take(row), home], ["anchor", "node", "sketch", "home"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.T.ravel()), some.column("node").take(row), some.column("sketch").take(row), home], ["anchor", "node", "sketch", "home"])
 
     def near(table):
         data = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, NUMBERS)
