@@ -15,14 +15,17 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import by_arrow, raw, remainder, small_batches, structs
 
 #: The model is fitted on at most this many training rows of either label, the first by hash of the id, and on
-#: at most this many characters of each, from a place drawn by hash.
+#: at most this many characters of each, from a place drawn by hash. Weights and curve are read off more ordinary
+#: rows than the dictionaries, as their rare words decide what is taken for toxic by mistake.
 FIT_TOXIC, FIT_ORDINARY, FIT_CHARS = 2000, 4000, 16384
+CALIBRATE_ORDINARY = 12_000
 #: Windows of ordinary rows, evenly drawn, that the ordinary dictionary is trained on.
 FIT_WINDOWS = 300_000
 ORDINARY_BYTES, TOXIC_BYTES = 65536, 8192
@@ -103,20 +106,21 @@ def _ruler(model: Model) -> Ruler:
     return _held[model.key]
 
 
-def _training(documents: DataFrame, labels: DataFrame, key: str, text: str, learn: Column) -> list[tuple[bytes, int]]:
-    """The bounded sample: (text, label), at most FIT_TOXIC + FIT_ORDINARY rows of FIT_CHARS characters."""
-    marks = labels.where("toxic in (0, 1)").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic"))
+def _training(documents: DataFrame, labels: DataFrame, key: str, text: str, learn: Column) -> DataFrame:
+    """The bounded sample (piece, toxic, fit): at most FIT_TOXIC + CALIBRATE_ORDINARY rows of FIT_CHARS characters."""
+    marks = labels.where("toxic in (0, 1)").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("toxic"))
     ids = documents.where(learn).select(F.col(f"`{key}`").alias("_id")).distinct().join(marks, "_id")
     order = [F.xxhash64("_id"), F.col("_id")]
-    parts = [ids.where(F.col("_toxic") == label).orderBy(*order).limit(most) for label, most in ((1, FIT_TOXIC), (0, FIT_ORDINARY))]
-    chosen = parts[0].union(parts[1])
+    first = lambda label, most: ids.where(F.col("toxic") == label).orderBy(*order).limit(most)
+    fit = first(1, FIT_TOXIC).union(first(0, FIT_ORDINARY)).withColumn("fit", F.lit(True))
+    chosen = cut_lineage(first(1, FIT_TOXIC).union(first(0, CALIBRATE_ORDINARY)).join(F.broadcast(fit.select("_id", "fit")), "_id", "left"))
     words = F.col(f"`{text}`").cast("string")
     start = F.pmod(F.xxhash64(F.col(f"`{key}`"), F.lit(1)), F.greatest(F.char_length(words) - FIT_CHARS, F.lit(1)))
     piece = F.when(F.char_length(words) <= FIT_CHARS, words).otherwise(F.substring(words, start.cast("int") + 1, F.lit(FIT_CHARS)))
-    # The chosen ids are bounded by the two limits.
-    rows = documents.where(words.isNotNull()).select(F.col(f"`{key}`").alias("_id"), piece.alias("_piece")).join(F.broadcast(chosen), "_id")
-    order = [F.xxhash64("_id"), F.col("_id"), F.col("_piece")]
-    return [(r._piece.encode(), r._toxic) for r in rows.orderBy(*order).limit(FIT_TOXIC + FIT_ORDINARY).select("_piece", "_toxic").collect()]
+    rows = documents.where(words.isNotNull()).select(F.col(f"`{key}`").alias("_id"), piece.alias("piece"))
+    # The chosen ids are bounded by the limits.
+    rows = rows.join(F.broadcast(chosen), "_id").select(F.xxhash64("_id").alias("order"), "piece", "toxic", F.coalesce("fit", F.lit(False)).alias("fit"))
+    return cut_lineage(rows.orderBy("order", "piece").limit(FIT_TOXIC + CALIBRATE_ORDINARY))
 
 
 def _grams(word: bytes):
@@ -160,8 +164,8 @@ def fit(documents: DataFrame, labels: DataFrame, key: str, text: str, learn: Col
     The toxic dictionary is the one of ordinary text followed by the fragments typical of toxic text, the most
     frequent last: both then shrink ordinary words alike, and lengths differ where such fragments stand.
     """
-    spark = documents.sparkSession
-    rows = _training(documents, labels, key, text, learn)
+    sample = _training(small_batches(documents), labels, key, text, learn)
+    rows = [(r.piece.encode(), r.toxic) for r in sample.where("fit").orderBy("order", "piece").collect()]
     if len({label for _, label in rows}) < 2:
         return Model()
     words = [w for t, label in rows if not label for w in windows(t)]
@@ -174,12 +178,13 @@ def fit(documents: DataFrame, labels: DataFrame, key: str, text: str, learn: Col
             break
         content.append(coded(fragment))
     model = Model(ordinary, ordinary + b"".join(reversed(content)))
-    _calibrate(spark, model, rows)
+    _calibrate(model, sample)
     return model
 
 
-def _calibrate(spark: SparkSession, model: Model, rows: list[tuple[bytes, int]]) -> None:
-    """Weights and curve from the training rows, whose windows are measured in tasks."""
+def _calibrate(model: Model, sample: DataFrame) -> None:
+    """Weights and curve from the sample, whose windows are measured in tasks."""
+    spark = sample.sparkSession
     held = spark.sparkContext.broadcast(vars(model))
 
     @by_arrow(pa.list_(pa.int64()))
@@ -187,9 +192,8 @@ def _calibrate(spark: SparkSession, model: Model, rows: list[tuple[bytes, int]])
         ruler = _ruler(Model(**held.value))
         return pa.array([ruler.histogram(t).astype(int).tolist() for t in raw(texts)], pa.list_(pa.int64()))
 
-    data = pa.table({"text": pa.array([t.decode(errors="replace") for t, _ in rows]), "label": [label for _, label in rows]})
-    frame = spark.createDataFrame(data).repartition(max(8, spark.sparkContext.defaultParallelism))
-    found = frame.select(measured("text").alias("counts"), "label", F.xxhash64("text").alias("order")).orderBy("order", "label").collect()
+    dealt = sample.repartition(max(8, spark.sparkContext.defaultParallelism))
+    found = dealt.select(measured("piece").alias("counts"), F.col("toxic").alias("label"), "order").orderBy("order", "label").collect()
     counts, labels = np.array([r.counts for r in found], float), np.array([r.label for r in found], float)
     shares = [(counts[labels == y].sum(0) + 0.5) / (counts[labels == y].sum() + 0.5 * counts.shape[1]) for y in (0, 1)]
     weights = np.log(shares[1] / shares[0])
