@@ -39,9 +39,21 @@ def shared_dir(spark: SparkSession) -> str:
     return held
 
 
+_made: list[str] = []
+
+
 def run_dir(spark: SparkSession, kind: str) -> str:
-    """A new folder below the shared one."""
-    return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    """A new folder below the shared one; :func:`clear` removes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove the folders that this process had made below the shared one, once all results on them have been read."""
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
