@@ -34,28 +34,30 @@ RADIUS, BAND_BITS = 1, 1
 BLOCK = 4096
 #: Pairs that a task compares at once.
 PAIRS = 1 << 20
-_SHINGLES = 1 << 16
+_AT_ONCE = 1 << 16
 
 
-def sketch(text: bytes | None, words: int = WORDS, numbers: int = 1) -> bytes:
-    """The SimHash of all shingles in ``numbers`` times 64 bits, highest bit first; all zero for a text without words.
-
-    The first 64 bits are of the shingles' hashes, each further number of the hashes mixed once more.
-    """
+def _shingles(text: bytes | None, words: int):
+    """The hashes of all shingles in order, some at a time; none for a text without words."""
     parts = (text or b"").lower().split()
     if not parts:
-        return bytes(8 * numbers)
+        return
     joined = b" ".join(parts)
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     ends = np.cumsum(sizes + 1) - 1
     starts = ends - sizes
     n = max(1, len(parts) - words + 1)
     ends = ends[min(words, len(parts)) - 1 :]
-    ones = np.zeros((numbers, 64), np.int64)
     digest = xxhash.xxh64_digest
-    for at in range(0, n, _SHINGLES):
-        some = zip(starts[at : min(n, at + _SHINGLES)].tolist(), ends[at : at + _SHINGLES].tolist(), strict=True)
-        hashes = np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in some]), ">u8")
+    for at in range(0, n, _AT_ONCE):
+        some = zip(starts[at : min(n, at + _AT_ONCE)].tolist(), ends[at : at + _AT_ONCE].tolist(), strict=True)
+        yield np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in some]), ">u8")
+
+
+def _majority(parts, numbers: int) -> bytes:
+    ones, n = np.zeros((numbers, 64), np.int64), 0
+    for hashes in parts:
+        n += len(hashes)
         for number in range(numbers):
             if number:
                 hashes = _mixed(hashes.astype(np.uint64)).astype(">u8")
@@ -63,6 +65,26 @@ def sketch(text: bytes | None, words: int = WORDS, numbers: int = 1) -> bytes:
     return np.packbits(2 * ones > n).tobytes()
 
 
+def sketch(text: bytes | None, words: int = WORDS, numbers: int = 1) -> bytes:
+    """The SimHash of all shingles in ``numbers`` times 64 bits, highest bit first; all zero for a text without words.
+
+    The first 64 bits are of the shingles' hashes, each further number of the hashes mixed once more.
+    """
+    return _majority(_shingles(text, words), numbers)
+
+
+def shingle_set(text: bytes | None, words: int) -> np.ndarray:
+    """The hashes of the distinct shingles, in order."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *(h.astype(np.uint64) for h in _shingles(text, words))]))
+
+
+def set_sketch(text: bytes | None, words: int, numbers: int) -> bytes:
+    """As :func:`sketch`, but each distinct shingle counts once, and 128 bits more that tell the set of shingles."""
+    found = shingle_set(text, words)
+    parts = (found[at : at + _AT_ONCE].astype(">u8") for at in range(0, len(found), _AT_ONCE))
+    return _majority(parts, numbers) + xxhash.xxh3_128_digest(found.tobytes())
+
+
 def _mixed(hashes: np.ndarray) -> np.ndarray:
     """Other hashes, as good as independent, of the same shingles."""
     hashes = hashes + np.uint64(0x9E3779B97F4A7C15)
@@ -217,15 +239,15 @@ def _compared(cells: DataFrame, near) -> DataFrame:
     return cells.mapInArrow(compare, "u bigint, v bigint")
 
 
-def _cells(visits: DataFrame, spread: str) -> DataFrame:
-    """Visits (anchor, home, others) with row and col: those of crowded anchors dealt over a grid of blocks.
+def _cells(visits: DataFrame, spread: str, block: int) -> DataFrame:
+    """Visits (anchor, home, others) with row and col: those of anchors with more than ``block`` dealt over a grid of blocks.
 
     ``spread`` is the column by whose hash rows are dealt over blocks. Rows come sorted by cell.
     """
     others = [c for c in visits.columns if c not in ("anchor", "home")]
     counts = visits.groupBy("anchor").agg(F.sum(F.col("home").cast("int")).alias("homes"), F.count(F.lit(1)).alias("visitors"))
-    crowded = cut_lineage(counts.where((F.col("visitors") > BLOCK) & (F.col("homes") > 0)))
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    crowded = cut_lineage(counts.where((F.col("visitors") > block) & (F.col("homes") > 0)))
+    blocks = lambda n: F.ceil(F.col(n) / block).cast("int")
     mine = lambda n: F.pmod(F.xxhash64(spread), blocks(n)).cast("int")
     cell = lambda row, col, home: F.struct(row.alias("row"), col.alias("col"), home.alias("home"))
     # In a crowded anchor a home is compared in every block of its row and is a visitor to the other homes.
@@ -252,7 +274,7 @@ def links(prints: DataFrame, most: int = MOST_BITS) -> DataFrame:
         values = table.column("fingerprint").to_numpy()
         return values, lambda a, b: (np.bitwise_count((values[a] ^ values[b]).view(np.uint64)) <= most) & (values[a] != values[b])
 
-    return _compared(_cells(_visits(prints), "fingerprint"), near)
+    return _compared(_cells(_visits(prints), "fingerprint", BLOCK), near)
 
 
 #: For similarities, sketches of NUMBERS * 64 bits meet where all bits of one of their bands are equal: the code
@@ -261,19 +283,22 @@ def links(prints: DataFrame, most: int = MOST_BITS) -> DataFrame:
 #: Wider bands meet fewer strangers and need more of them: a larger corpus takes more NUMBERS and a greater BAND.
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
 NUMBERS, BAND = 8, 13
-#: How many deviations beyond the expected number of differing bits still count as similar.
-LEEWAY = 1.5
+#: How many deviations beyond the expected number of differing bits still count as similar, and how many make a
+#: candidate whose sets of shingles are compared.
+LEEWAY, CANDIDATE_LEEWAY = 1.5, 4
+#: Texts of one group of candidates that are compared by their shingles at once.
+SET_BLOCK = 512
 
 
-def most_differing(similarity: float, bits: int = 64 * NUMBERS) -> int:
+def most_differing(similarity: float, bits: int = 64 * NUMBERS, leeway: float = LEEWAY) -> int:
     """Differing bits up to which sketches count as similar."""
     rate = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * rate + LEEWAY * math.sqrt(bits * rate * (1 - rate)))
+    return int(bits * rate + leeway * math.sqrt(bits * rate * (1 - rate)))
 
 
 def similar_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(u, v), u > v: as :func:`links`, for the nodes of (node, sketch) rows that are similar by their sketches."""
-    most = most_differing(similarity)
+    """(u, v), u > v: as :func:`links`, for the nodes of (node, sketch) rows that may be similar by their sketches."""
+    most = most_differing(similarity, leeway=CANDIDATE_LEEWAY)
 
     def bands(batches):
         count = 64 * NUMBERS // BAND
@@ -302,7 +327,59 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         return numbers, linked
 
     visits = nodes.mapInArrow(bands, "anchor bigint, node bigint, sketch binary, home boolean")
-    return _compared(_cells(visits, "node"), near)
+    return _compared(_cells(visits, "node", BLOCK), near)
+
+
+def _enough(common, one, other, similarity: float):
+    """Whether sets of these sizes are similar with so many common members."""
+    return common >= similarity * (one + other - common) - 1e-9
+
+
+def confirmed_links(sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(u, v), u > v: enough links between nodes of similar sets to connect all that are linked within a root.
+
+    ``sets`` are (node, root, shingles) rows, written, ``root`` the least of a group of candidates. Most members are
+    similar to the root itself; only the others are compared with all members, in blocks of SET_BLOCK.
+    """
+
+    @by_arrow(pa.bool_())
+    def like_root(ours: pa.Array, roots: pa.Array) -> pa.Array:
+        out = []
+        for a, b in zip(raw(ours), raw(roots), strict=True):
+            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            out.append(bool(_enough(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), similarity)))
+        return pa.array(out, pa.bool_())
+
+    bases = sets.where("node = root").select("root", F.col("shingles").alias("base"))
+    judged = cut_lineage(sets.join(bases, "root").select("node", "root", like_root("shingles", "base").alias("direct")))
+
+    def near(table):
+        numbers, held = table.column("node").to_numpy(), table.column("shingles").to_pylist()
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 8
+        edges = np.concatenate(([0], np.cumsum(sizes)))
+        ids = np.unique(np.frombuffer(b"".join(held), np.uint64), return_inverse=True)[1]
+
+        def linked(a, b):
+            hit, mark = np.zeros(len(a), bool), np.zeros(len(ids), bool)
+            starts = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1]))).tolist()
+            for start, end in zip(starts, [*starts[1:], len(a)], strict=True):
+                # The rows of a home's group stand side by side.
+                home, first, last = a[start], b[start], b[end - 1] + 1
+                mine = ids[edges[home] : edges[home + 1]]
+                mark[mine] = True
+                found = np.concatenate(([0], np.cumsum(mark[ids[edges[first] : edges[last]]])))
+                mark[mine] = False
+                common = np.diff(found[edges[first : last + 1] - edges[first]])
+                hit[start:end] = _enough(common, sizes[home], sizes[first:last], similarity)
+            return hit & (numbers[a] != numbers[b])
+
+        return numbers, linked
+
+    open_roots = judged.where("not direct").select("root").distinct()
+    visits = sets.join(judged.select("node", "direct"), "node").join(open_roots, "root", "left_semi")
+    visits = visits.select(F.col("root").alias("anchor"), "node", "shingles", (~F.col("direct")).alias("home"))
+    direct = judged.where("direct and node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+    return direct.union(_compared(_cells(visits, "node", min(BLOCK, SET_BLOCK)), near))
 
 
 def _named(marked: DataFrame, most: int) -> DataFrame:
@@ -330,22 +407,32 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", words: int =
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``df`` with one row of each group of similar texts: that of the least key, null keys last, the first of equal keys.
 
-    Texts are similar if their sets of shingles of ``words`` words have a similarity of ``similarity`` or more, as
-    told by their sketches; groups are connected by such links, and equal sketches, those of empty and null texts
-    among them, are one group. The rows are written once with their sketches, so that every later reader sees the
-    same rows.
+    Texts are similar if their sets of distinct shingles of ``words`` words have a similarity of ``similarity`` or
+    more; groups are connected by such links, and texts with equal sets, empty and null texts among them, are one
+    group. Sketches of the sets only find the candidates: each link is confirmed by the sets themselves. The rows are
+    written once with their sketches, so that every later reader sees the same rows.
     """
     row, mark = free_name(df, "_row"), free_name(df, "_sketch")
 
     @by_arrow(pa.binary())
     def sketched(texts: pa.Array) -> pa.Array:
-        return pa.array([sketch(t, words, NUMBERS) for t in raw(texts)], pa.binary())
+        return pa.array([set_sketch(t, words, NUMBERS) for t in raw(texts)], pa.binary())
+
+    @by_arrow(pa.binary())
+    def shingled(texts: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t, words).tobytes() for t in raw(texts)], pa.binary())
 
     marked = small_batches(df).withColumn(mark, sketched(F.col(f"`{text}`").cast("string")))
     rows = cut_lineage(marked.withColumn(row, F.monotonically_increasing_id()))
     light = rows.select(F.col(f"`{key}`").alias("key"), F.col(mark).alias("sketch"), F.col(row).alias("row"))
     nodes = cut_lineage(light.groupBy("sketch").agg(F.min("row").alias("node")))
-    roots = components(similar_links(nodes, similarity)).select(F.col("u").alias("node"), F.col("v").alias("root"))
+    bits = nodes.select("node", F.substring("sketch", 1, 8 * NUMBERS).alias("sketch"))
+    candidates = components(similar_links(bits, similarity)).select(F.col("u").alias("node"), F.col("v").alias("root"))
+    candidates = candidates.union(candidates.select(F.col("root").alias("node"), "root").distinct())
+    texts = rows.select(F.col(row).alias("node"), F.col(f"`{text}`").cast("string").alias("text"))
+    # Written, as only the texts of candidates are taken apart and several readers need their sets.
+    sets = cut_lineage(texts.join(candidates, "node").select("node", "root", shingled("text").alias("shingles")))
+    roots = components(confirmed_links(sets, similarity)).select(F.col("u").alias("node"), F.col("v").alias("root"))
     rooted = nodes.join(roots, "node", "left").select("sketch", F.coalesce("root", "node").alias("root"))
     first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row"))["row"]
     keepers = light.join(rooted, "sketch").groupBy("root").agg(first.alias("row")).select("row")

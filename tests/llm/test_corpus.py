@@ -100,6 +100,40 @@ def test_similar_texts_are_one_group(spark, monkeypatch, block):
     assert sorted(r.doc_id for r in kept) == sorted(min(v) for v in truth.values())
 
 
+def plain_similarity(a, b):
+    sets = []
+    for text in (a, b):
+        words = text.split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+@pytest.mark.parametrize("block", [4096, 5])
+def test_repeated_lines_do_not_make_texts_similar(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    footer = " ".join(word() for _ in range(7))
+    pages = [" ".join(" ".join(word() for _ in range(26)) + " " + footer for _ in range(150)) for _ in range(4)]
+    near = []
+    for changed in range(1, 40, 2):  # similarities from 0.96 down to 0.3 around the bound, a chain among them
+        words = pages[0].split()[:230]
+        for place in range(2, 5 * changed, 5):
+            words[place] = word()
+        near.append(" ".join(words))
+    texts = pages + near
+    most = simhash.most_differing(0.8)
+    weighed = [int.from_bytes(simhash.sketch(t.encode(), 5, 8), "big") for t in pages]
+    assert all((a ^ b).bit_count() <= most for a in weighed for b in weighed)  # what used to drop all pages but one
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if plain_similarity(texts[i], texts[j]) >= 0.8:
+                group = [group[j] if g == group[i] else g for g in group]
+    kept = simhash.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted({min(i for i, g in enumerate(group) if g == h) for h in group})
+
+
 def test_simhash_query(spark, folder, documents):
     rows = [(r.doc_id, r.fingerprint, r.component_id) for r in queries.op2_simhash_near_dedup(spark, folder).collect()]
     assert sorted(rows) == plain_groups([(i, plain_print(t)) for i, t in documents])
