@@ -314,15 +314,19 @@ def similar_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 
     def near(table):
         data = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, NUMBERS)
-        numbers, first = table.column("node").to_numpy(), np.ascontiguousarray(data[:, 0])
+        numbers, columns = table.column("node").to_numpy(), np.ascontiguousarray(data.T)
 
         def linked(a, b):
-            hit = (np.bitwise_count(first[a] ^ first[b]) <= 24) & (a != b)  # nearly all strangers go by one number
+            hit = numbers[a] != numbers[b]
             some = np.flatnonzero(hit)
-            for at in range(0, len(some), 1 << 16):
-                part = some[at : at + (1 << 16)]
-                hit[part] = np.bitwise_count(data[a[part]] ^ data[b[part]]).sum(1, dtype=np.int64) <= most
-            return hit & (numbers[a] != numbers[b])
+            total = np.zeros(len(some), np.int64)
+            for column in columns:  # a pair goes as soon as its bits so far are too many
+                total = total + np.bitwise_count(column[a[some]] ^ column[b[some]])
+                near = total <= most
+                some, total = some[near], total[near]
+            hit[:] = False
+            hit[some] = True
+            return hit
 
         return numbers, linked
 

@@ -134,6 +134,19 @@ def test_repeated_lines_do_not_make_texts_similar(spark, monkeypatch, block):
     assert sorted(r.doc_id for r in kept) == sorted({min(i for i, g in enumerate(group) if g == h) for h in group})
 
 
+def test_no_near_sketch_is_left_out(spark):
+    rng = random.Random(9)
+    most = simhash.most_differing(0.8)
+    rows = []
+    for pair in range(20):  # all differing bits in the first number, the last band alike
+        value = rng.getrandbits(512)
+        other = value ^ sum(1 << b for b in rng.sample(range(448, 512), rng.randrange(25, 64)))
+        rows += [(2 * pair, value.to_bytes(64, "big")), (2 * pair + 1, other.to_bytes(64, "big"))]
+    assert all((int.from_bytes(a[1], "big") ^ int.from_bytes(b[1], "big")).bit_count() <= most for a, b in zip(rows[::2], rows[1::2], strict=True))
+    found = {(r.u, r.v) for r in simhash.similar_links(spark.createDataFrame(rows, "node bigint, sketch binary")).collect()}
+    assert found == {(2 * pair + 1, 2 * pair) for pair in range(20)}
+
+
 def test_simhash_query(spark, folder, documents):
     rows = [(r.doc_id, r.fingerprint, r.component_id) for r in queries.op2_simhash_near_dedup(spark, folder).collect()]
     assert sorted(rows) == plain_groups([(i, plain_print(t)) for i, t in documents])
