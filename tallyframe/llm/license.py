@@ -107,6 +107,15 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PART = r"([.!?;])[ \t\r\n]+"
 _OTHER = r"[^a-z0-9.+]+"
 _EDGE = r"^[ .]+|[ .]+$"
+#: Sentences of wrapped paragraphs count with this one too; it has none of the other keywords.
+_KEYWORDS = KEYWORDS + "|copy of the mpl"
+#: The same with any marks and line ends between words.
+_ANYWHERE = _KEYWORDS.replace(" ", "[^a-z0-9.+]+")
+#: Lines without letters or digits, comment marks among them, part paragraphs.
+_PARAGRAPH = r"\n(?:[^a-z0-9\n]*\n)+"
+#: Within paragraphs: a line end with the marks that begin the next line, and the ends of sentences, the point in
+#: "v. 2.0" not among them; a colon ends one at the end of a line.
+_WRAP, _END = r"\r?\n[^a-z0-9\n]*", r"((?<!\bv)[.!?;]|:(?=[ \t]*\r?\n))[^a-z0-9.+]*[ \t\r\n][^a-z0-9.+]*"
 
 
 def _named(sentence: Column) -> Column:
@@ -121,18 +130,27 @@ def scan(df: DataFrame, text: str = "text", into: str = "licenses") -> DataFrame
     """All columns of ``df`` and the struct ``into``: sentences, licenses, n_unmatched.
 
     ``sentences`` are the identifiers of the licence sentences of the whole text in order, ``Unknown`` where
-    none is known; ``licenses`` the licences whose rules they meet, in order of their names, each once;
+    none is known. Each paragraph is read line by line and with its lines, without comment marks, as one; the second
+    reading counts where it has more known sentences, as in wrapped notices. ``licenses`` are the licences whose rules they meet, in order of their names, each once;
     ``n_unmatched`` the number of sentences that met no rule. Null and empty texts have none. Rows are scanned
     one by one. A column of that name is replaced.
     """
     words = F.translate(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), _UPPER, _LOWER)
     none = F.array().cast("array<string>")
-    parts = F.split(F.regexp_replace(words, _PART, "$1\n"), "\n")
-    normal = F.transform(parts, lambda s: F.regexp_replace(F.regexp_replace(s, _OTHER, " "), _EDGE, ""))
-    names = F.transform(F.filter(normal, lambda s: s.rlike(KEYWORDS)), _named)
+    normal = lambda s: F.regexp_replace(F.regexp_replace(s, _OTHER, " "), _EDGE, "")
+    named = lambda parts, keywords: F.transform(F.filter(F.transform(parts, normal), lambda s: s.rlike(keywords)), _named)
+    known = lambda names: F.size(F.filter(names, lambda n: n != UNKNOWN))
+
+    def readings(paragraph: Column) -> Column:
+        lines = F.split(F.regexp_replace(paragraph, _PART, "$1\n"), "\n")
+        whole = F.split(F.regexp_replace(F.regexp_replace(paragraph, _END, "$1\u0001"), _WRAP, " "), "\u0001")
+        return F.struct(named(lines, KEYWORDS).alias("lines"), named(whole, _KEYWORDS).alias("whole"))
+
+    both = F.transform(F.split(words, _PARAGRAPH), readings)
+    names = F.flatten(F.transform(both, lambda r: F.when(known(r["whole"]) > known(r["lines"]), r["whole"]).otherwise(r["lines"])))
     # Texts without a keyword, nearly all, are not taken apart.
     sentences, left = free_name(df, "_sentences"), free_name(df, "_left")
-    found = df.withColumn(sentences, F.when(words.rlike(KEYWORDS), names).otherwise(none))
+    found = df.withColumn(sentences, F.when(words.rlike(_ANYWHERE), names).otherwise(none))
     # Each identifier in angle brackets; a rule's identifiers become its licence in braces, which no rule meets.
     rest = F.array_join(F.transform(sentences, lambda n: F.concat(F.lit("<"), n, F.lit(">"))), "")
     for licence, ids in RULES:

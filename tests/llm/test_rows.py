@@ -238,6 +238,73 @@ def test_license_sequences(spark, tricky, nothing):
     assert license.scan(nothing).collect() == []
 
 
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+ * Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+ * Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer.
+ * Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT DAMAGES.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+}
+
+
+def test_wrapped_notices(spark):
+    texts = [(name, mark + text.replace("\n", end + mark)) for name, text in WRAPPED.items() for mark in ("", "# ", " * ", "// ") for end in ("\n", "\r\n")]
+    rows = license.scan(spark.createDataFrame(texts, "name string, text string")).collect()
+    assert [(r.licenses.licenses, r.text) for r in rows] == [([r.name], r.text) for r in rows]
+    known = {r.name: [s for s in r.licenses.sentences if s != "Unknown"] for r in rows}
+    assert known["MIT"] == ["MitPermission", "MitNotice", "MitAsIs", "MitLiable"] and known["ISC"] == ["IscPermission", "IscAsIs"]
+    assert known["BSD-3-Clause"] == ["BsdPermission", "BsdSource", "BsdBinary", "BsdEndorse", "BsdAsIs", "BsdLiable"]
+    assert known["Apache-2.0"] == ["ApacheVersion", "ApacheComply", "ApacheCopy", "ApacheAsIs", "ApacheSee"] and known["MPL-2.0"] == ["MplName", "MplCopy"]
+
+
 def test_license_plan_is_native(spark, folder):
     plan = queries.op1_license_scans(spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange|Join", plan)
