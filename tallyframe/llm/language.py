@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -12,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import by_arrow, raw, remainder, small_batches, structs
+from ..session import cut_lineage
+from .common import by_arrow, free_name, raw, remainder, small_batches, structs
 
 BUCKETS = 1 << 13
 #: Lengths of n-grams, in UTF-8 bytes.
@@ -22,8 +24,7 @@ ROUNDS = 12
 #: Centroids are clustered on at most this many training rows of a language, the first by hash of the id. The
 #: document frequencies behind the IDF are counted over all training rows.
 FIT_ROWS = 1500
-#: Languages with the most training rows that are learnt; vectors of the sample stay in their own tasks, the
-#: driver gets LANGUAGES * CENTROIDS centroids.
+#: Languages whose centroids the driver and each task hold at once; more are learnt and scored in blocks.
 LANGUAGES = 200
 #: A text less similar than this to every centroid is rejected.
 LEAST_SIMILARITY = 0.15
@@ -65,9 +66,18 @@ def has_letter(text: bytes | None) -> bool:
 
 @dataclass
 class Model:
+    """The centroids of the first LANGUAGES languages in order of their names, and further blocks of them as tables."""
+
     languages: list[str] = field(default_factory=list)  # of each centroid
     centroids: np.ndarray = field(default_factory=lambda: np.zeros((0, BUCKETS), np.float32))
     idf: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS))
+    further: list[DataFrame] = field(default_factory=list)
+
+    def blocks(self) -> Iterator[Model]:
+        """Models without further blocks, one loaded at a time."""
+        yield Model(self.languages, self.centroids, self.idf)
+        for rows in self.further:
+            yield _loaded(rows, self.idf)
 
 
 def clustered(vectors: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> np.ndarray:
@@ -108,6 +118,11 @@ def _idf(rows: DataFrame) -> tuple[np.ndarray, int]:
     return idf, n
 
 
+def _loaded(rows: DataFrame, idf: np.ndarray) -> Model:
+    found = rows.orderBy("lang", "n").collect()  # LANGUAGES * CENTROIDS rows at most
+    return Model([r.lang for r in found], np.stack([np.frombuffer(r.centroid, np.float32) for r in found]), idf)
+
+
 def fit(df: DataFrame, key: str, text: str, lang: str, learn: Column) -> Model:
     """Centroids of the rows for which ``learn`` holds, with a language, a key and a letter in the text."""
     spark = df.sparkSession
@@ -117,12 +132,11 @@ def fit(df: DataFrame, key: str, text: str, lang: str, learn: Column) -> Model:
     if not n:
         return Model()
     ids = usable.select(F.col(f"`{key}`").alias("_id"), language.alias("_lang"))
-    common = ids.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(LANGUAGES).select("_lang")
     first = W.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
     # Only ids are ranked, and each task drops those beyond the bound before the shuffle.
-    chosen = ids.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= FIT_ROWS).join(F.broadcast(common), "_lang", "left_semi")
+    chosen = ids.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= FIT_ROWS)
     sample = usable.select(F.col(f"`{key}`").alias("_id"), language.alias("_lang"), words.alias("text"))
-    sample = sample.join(F.broadcast(chosen.select("_id", "_lang").distinct()), ["_id", "_lang"], "left_semi")
+    sample = sample.join(chosen.select("_id", "_lang").distinct(), ["_id", "_lang"], "left_semi")
     held = spark.sparkContext.broadcast(idf)
 
     @by_arrow(pa.binary())
@@ -135,8 +149,14 @@ def fit(df: DataFrame, key: str, text: str, lang: str, learn: Column) -> Model:
         return pd.DataFrame({"lang": group["_lang"].iloc[0], "n": range(len(found)), "centroid": [c.tobytes() for c in found]})
 
     grouped = sample.select("_lang", F.xxhash64("_id").alias("_order"), vectors("text").alias("vector")).groupBy("_lang")
-    rows = grouped.applyInPandas(centroids, "lang string, n int, centroid binary").orderBy("lang", "n").collect()
-    return Model([r.lang for r in rows], np.stack([np.frombuffer(r.centroid, np.float32) for r in rows]), idf)
+    rows = cut_lineage(grouped.applyInPandas(centroids, "lang string, n int, centroid binary"))
+    # Every LANGUAGES-th name begins a block.
+    names = W.orderBy("lang")
+    edges = [r.lang for r in rows.select("lang").distinct().withColumn("_place", F.row_number().over(names)).where(F.col("_place") % LANGUAGES == 1 % LANGUAGES).orderBy("lang").collect()]
+    parts = [rows.where((F.col("lang") >= a) & (F.col("lang") < b if b is not None else F.lit(True))) for a, b in zip(edges, [*edges[1:], None], strict=True)]
+    model = _loaded(parts[0], idf)
+    model.further = parts[1:]
+    return model
 
 
 _FOUND = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("nearest", pa.string()), ("rejected", pa.bool_())])
@@ -151,7 +171,20 @@ def predict(df: DataFrame, model: Model, text: str = "text", into: str = "langua
     where nothing was learnt get ``und`` in both with score 0. Rows are judged one by one. A column of that
     name is replaced.
     """
-    held = df.sparkSession.sparkContext.broadcast(vars(model))
+    df, best = small_batches(df).drop(into), free_name(df, "_best")
+    for number, block in enumerate(model.blocks()):
+        now = _scorer(df.sparkSession, block, least)(F.col(f"`{text}`").cast("string"))
+        if not number:
+            df = df.withColumn(into, now)
+            continue
+        # Names of later blocks come after those of earlier ones, which stay the first of equals.
+        df = cut_lineage(df).withColumn(best, now)
+        df = df.withColumn(into, F.when(F.col(best)["score"] > F.col(into)["score"], F.col(best)).otherwise(F.col(into))).drop(best)
+    return df
+
+
+def _scorer(spark, model: Model, least: float):
+    held = spark.sparkContext.broadcast({"languages": model.languages, "centroids": model.centroids, "idf": model.idf})
 
     @by_arrow(_FOUND)
     def found(texts: pa.Array) -> pa.Array:
@@ -167,7 +200,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", into: str = "langua
             rows.append((name if score >= least else "und", score, name, score < least))
         return structs(_FOUND, rows)
 
-    return small_batches(df).withColumn(into, found(F.col(f"`{text}`").cast("string")))
+    return found
 
 
 def held_out(key: Column) -> Column:

@@ -340,6 +340,22 @@ def test_language_on_tricky_rows(spark, tricky, nothing):
     assert language.predict(strange, model).first().language.rejected
 
 
+def test_every_language_is_learnt(spark, monkeypatch):
+    names = [f"l{chr(97 + i)}" for i in range(7)]
+    stems = [["bakor", "tilun"], ["wexiq", "yozph"], ["chugra", "smeld"], ["pfaud", "jinkv"], ["ruolei", "nnaee"], ["thrys", "glynm"], ["ziqqa", "hobwu"]]
+    rows = [(10 * i + k, " ".join(stems[i] * (2 + k)), n) for i, n in enumerate(names) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    whole = language.fit(docs, "doc_id", "text", "lang", language.F.lit(True))
+    expected = sorted((r.doc_id, r.language.lang, round(r.language.score, 5)) for r in language.predict(docs, whole).collect())
+    monkeypatch.setattr(language, "LANGUAGES", 3)
+    model = language.fit(docs, "doc_id", "text", "lang", language.F.lit(True))
+    assert [set(b.languages) for b in model.blocks()] == [set(names[:3]), set(names[3:6]), set(names[6:])]
+    found = language.predict(docs, model).collect()
+    assert all(r.language.nearest == r.lang for r in found)
+    assert [(a, b) for a, b, _ in expected] == sorted((r.doc_id, r.language.lang) for r in found)
+    assert [s for _, _, s in expected] == pytest.approx([r.language.score for r in sorted(found)], abs=1e-4)
+
+
 def test_language_counts_in_stretches(monkeypatch):
     text = "the quick brown fox jumps over the lazy dog ".encode() * 50
     whole = language.counts(text)
