@@ -131,12 +131,14 @@ def fit(df: DataFrame, key: str, text: str, lang: str, learn: Column) -> Model:
     idf, n = _idf(usable.select(words.alias("text")))
     if not n:
         return Model()
-    ids = usable.select(F.col(f"`{key}`").alias("_id"), language.alias("_lang"))
+    named = usable.select(F.col(f"`{key}`").alias("_id"), language.alias("_lang"), words.alias("text"))
     first = W.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    # Only ids are ranked, and each task drops those beyond the bound before the shuffle.
-    chosen = ids.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= FIT_ROWS)
-    sample = usable.select(F.col(f"`{key}`").alias("_id"), language.alias("_lang"), words.alias("text"))
-    sample = sample.join(chosen.select("_id", "_lang").distinct(), ["_id", "_lang"], "left_semi")
+    # Only ids are ranked, each once, and each task drops those beyond the bound before the shuffle. Of an id that is
+    # repeated one row is kept, by the hash of its text, combined before the shuffle.
+    ids = named.groupBy("_id", "_lang").agg(F.min(F.xxhash64("text")).alias("_hash"))
+    chosen = ids.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= FIT_ROWS).select("_id", "_lang", "_hash")
+    sample = named.withColumn("_hash", F.xxhash64("text")).join(chosen, ["_id", "_lang", "_hash"], "left_semi")
+    sample = sample.groupBy("_id", "_lang").agg(F.min("text").alias("text"))
     held = spark.sparkContext.broadcast(idf)
 
     @by_arrow(pa.binary())

@@ -356,6 +356,14 @@ def test_every_language_is_learnt(spark, monkeypatch):
     assert [s for _, _, s in expected] == pytest.approx([r.language.score for r in sorted(found)], abs=1e-4)
 
 
+def test_a_repeated_id_is_learnt_once(spark, monkeypatch):
+    monkeypatch.setattr(language, "FIT_ROWS", 5)
+    texts = ["bakor tilun", "wexiq yozph", "chugra smeld", "pfaud jinkv", "ruolei nnaee"]
+    rows = [(i, texts[i], f"l{hot}") for hot in range(5) for i in range(5) for _ in range(40 if i == hot else 1)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), "doc_id", "text", "lang", language.F.lit(True))
+    assert model.languages == [f"l{hot}" for hot in range(5) for _ in range(language.CENTROIDS)]
+
+
 def test_language_counts_in_stretches(monkeypatch):
     text = "the quick brown fox jumps over the lazy dog ".encode() * 50
     whole = language.counts(text)
