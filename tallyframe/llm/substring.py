@@ -16,26 +16,40 @@ from .common import by_arrow, free_name, raw, small_batches
 
 #: A span is the shortest run of at least two sentences from its first on that has this many words.
 SPAN_WORDS = 20
-#: Where no sentence ends within this many words on either side of a word, there is a cut after that word if it
-#: has the least hash among these: cuts depend on the words around them only, so equal passages are cut alike.
-REACH = 6
+#: In each run of this many words within a sentence there is a cut after the word with the least hash, the last of
+#: equals, so cuts depend on the words around them only and equal passages are cut alike. Cuts that lie REACH - 1 words
+#: inside a passage are the same wherever it stands and at most REACH apart, so any passage of 4 * REACH + SPAN_WORDS - 3
+#: words, 49, without line ends holds a whole span.
+REACH = 8
 #: Spans that a task gives at once.
 BATCH = 100_000
 
 _ENDS = np.isin(np.arange(256), list(b".!?"))
+#: Characters of scripts without spaces between words (Chinese, Japanese, Thai, Lao, Burmese, Khmer) and full-width
+#: forms: each is a word. Any other run without white space is one.
+_SINGLE = rb"[\xe3-\xe9][\x80-\xbf]{2}|\xe0[\xb8-\xbb][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf]|\xef[\xa4-\xab\xbc-\xbe][\x80-\xbf]|\xf0[\xa0-\xaf][\x80-\xbf]{2}"
+_SINGLES, _WORD = re.compile(_SINGLE), re.compile(rb"(?:" + _SINGLE + rb")|(?:(?!" + _SINGLE + rb")\S)+")
+_FULL_ENDS = {c.encode() for c in "。！？．｡"}
 _CLOSING = np.isin(np.arange(256), list(b"\"')]}"))
 
 
+def _pattern(text: bytes) -> re.Pattern | None:
+    """What finds the words of a text, none where white space parts them all."""
+    return _WORD if _SINGLES.search(text) else None
+
+
 class Sentences:
     """The words of a text, in lower case with one space between them, and the sentences that they make.
 
-    A sentence ends after a word that ends with . ! or ?, at the end of a line, at a cut, and with the text.
+    A sentence ends after a word that ends with . ! or ?, after their full-width forms, at the end of a line, at a
+    cut, and with the text.
     """
 
     def __init__(self, text: bytes | None):
         words, line_ends = [], []
+        pattern = _pattern(text or b"")
         for line in (text or b"").lower().split(b"\n"):
-            words += line.split()
+            words += pattern.findall(line) if pattern else line.split()
             line_ends.append(len(words) - 1)
         n = len(words)
         self.joined = b" ".join(words)
@@ -51,18 +65,30 @@ class Sentences:
         stop = _ENDS[final] | (_CLOSING[final] & _ENDS[before])
         stop[[i for i in line_ends if i >= 0]] = True
         stop[-1] = True
-        hashes = np.pad(np.fromiter(map(zlib.crc32, words), np.int64, n), REACH, constant_values=1 << 40)
-        mine, earlier, later = hashes[REACH : REACH + n], None, None
-        for k in range(1, REACH + 1):
-            a, b = hashes[REACH - k : REACH - k + n], hashes[REACH + k : REACH + k + n]
-            earlier, later = (a, b) if earlier is None else (np.minimum(earlier, a), np.minimum(later, b))
-        total = np.concatenate(([0], np.cumsum(stop)))
-        at = np.arange(n)
-        near = total[np.minimum(at + REACH + 1, n)] > total[np.maximum(at - REACH, 0)]
+        if pattern:
+            stop |= np.fromiter(map(_FULL_ENDS.__contains__, words), bool, n)
+        stop |= self._cuts(words, stop)
         #: The first and the last word of each sentence.
-        self.lasts = np.flatnonzero(stop | (~near & (mine < earlier) & (mine <= later)))
+        self.lasts = np.flatnonzero(stop)
         self.firsts = np.concatenate(([0], self.lasts[:-1] + 1))
 
+    @staticmethod
+    def _cuts(words: list[bytes], stop: np.ndarray) -> np.ndarray:
+        """Words that are the least, the last of equals, of some REACH words within their sentence."""
+        n = len(words)
+        hashes = np.fromiter(map(zlib.crc32, words), np.int64, n)
+        sentence = np.cumsum(stop) - stop
+        earlier, later = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        left, right = np.ones(n, bool), np.ones(n, bool)
+        for k in range(1, min(REACH, n)):
+            same = sentence[k:] == sentence[:-k]
+            left[:k] = right[n - k :] = False
+            left[k:] &= same & (hashes[:-k] >= hashes[k:])
+            right[: n - k] &= same & (hashes[k:] > hashes[: n - k])
+            earlier += left
+            later += right
+        return earlier + later + 1 >= REACH
+
     def spans(self) -> tuple[np.ndarray, np.ndarray]:
         """(first, last) sentence of every span."""
         n = len(self.firsts)
@@ -121,7 +147,7 @@ def removed(text: bytes | None, firsts: list[int] | None) -> tuple[bytes | None,
     np.add.at(edges, last[chosen] + 1, -1)
     covered = np.cumsum(edges[:-1]) > 0
     # A sentence reaches from its first word to the first word of the next.
-    begins = [m.start() for m in re.finditer(rb"\S+", text)]
+    begins = [m.start() for m in (_pattern(text) or re.compile(rb"\S+")).finditer(text)]
     cuts = [begins[i] for i in found.firsts.tolist()] + [len(text)]
     kept = [text[: cuts[0]], *(text[cuts[i] : cuts[i + 1]] for i in np.flatnonzero(~covered).tolist())]
     return b"".join(kept), len(found.firsts), int(covered.sum())

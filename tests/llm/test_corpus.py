@@ -255,6 +255,33 @@ def test_passages_are_cut_alike_wherever_they_stand():
         assert spans[0] & spans[1]
 
 
+@pytest.mark.parametrize("every", [0, 10, 25])
+@pytest.mark.parametrize("single", [False, True])
+def test_passages_of_51_words_hold_a_span(every, single):
+    rng = random.Random(every + single)
+    word = lambda: chr(rng.randrange(0x4E00, 0x9F00)) if single else "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8)))
+    end, space = ("。", "") if single else (".", " ")
+    words = lambda n: space.join(word() + (end if every and rng.randrange(every) == 0 else "") for _ in range(n))
+    for _ in range(300):
+        passage, spans = words(51), []
+        for _ in range(2):
+            found = substring.Sentences(space.join([words(rng.randrange(1, 40)), passage, words(rng.randrange(1, 40))]).encode())
+            spans.append({tuple(h) for h in found.hashes()[1].tolist()})
+        assert spans[0] & spans[1]
+
+
+def test_text_without_spaces_is_cut_where_it_repeats():
+    rng = random.Random(2)
+    some = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(n))
+    text = (some(30) + "。" + some(40)).encode()
+    found = substring.Sentences(text)
+    assert text.decode()[30] == "。" and 30 in found.lasts.tolist()
+    first, last = (x.tolist() for x in found.spans())
+    kept, n, gone = substring.removed(text, first[:1])
+    a, b = found.firsts[first[0]], found.lasts[last[0]] + 1
+    assert kept.decode() == text.decode()[:a] + text.decode()[b:] and n == len(found.firsts) and gone == last[0] - first[0] + 1
+
+
 def test_substring_on_tricky_rows(spark, tricky, nothing):
     rows = substring.deduplicated(tricky).collect()
     names = [c for c in OWN if c != "text"]
