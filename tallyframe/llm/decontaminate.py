@@ -176,7 +176,7 @@ class Blocks:
     The driver and each task hold one block at a time.
     """
 
-    def __init__(self, benchmark: DataFrame, item: str, text: str, window: int, block_words: int):
+    def __init__(self, benchmark: DataFrame, item: str, text: str, window: int, block_words: int, least_words: int = 1):
         @by_arrow(pa.list_(_PIECE))
         def cut(texts: pa.Array) -> pa.Array:
             rows = []
@@ -189,7 +189,7 @@ class Blocks:
 
         named = benchmark.select(F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{text}`").cast("string").alias("text"))
         pieces = named.select("item", F.explode(cut("text")).alias("piece")).select("item", "piece.words", "piece.n").distinct()
-        self.window, self.pieces = window, cut_lineage(pieces)
+        self.window, self.pieces = window, cut_lineage(pieces.where(F.col("n") >= min(least_words, window)))
         words = self.pieces.agg(F.sum("n")).first()[0] or 0
         self.count = max(1, math.ceil(words / block_words))
 
@@ -292,14 +292,15 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def cleaned(
     df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW,
-    max_coverage: float = MAX_COVERAGE, block_words: int = BLOCK_WORDS,
+    max_coverage: float = MAX_COVERAGE, block_words: int = BLOCK_WORDS, least_words: int = 1,
 ) -> DataFrame:
     """``df`` without the hit spans of its texts, and without rows of which more than ``max_coverage`` of the words are hit.
 
     What is left of a text is scanned again until nothing is hit, as the words around a removed span meet.
-    Null texts and texts without hits stay as they are.
+    Null texts and texts without hits stay as they are. Items of fewer than ``least_words`` words, a window at most,
+    are left in the texts and count for nothing here.
     """
-    blocks = Blocks(benchmark, item, item_text, window, block_words)
+    blocks = Blocks(benchmark, item, item_text, window, block_words, least_words)
     state, latest = free_name(df, "_state"), free_name(df, "_latest")
     df = small_batches(df).withColumn(state, F.lit(None).cast(from_arrow_type(_STATE)))
     again = True

@@ -203,6 +203,14 @@ def test_decontamination_in_blocks(spark, tricky, nothing, block_words):
     assert not any(r.hits.spans for r in untouched) and len(untouched) == len(texts)
 
 
+def test_short_items_stay_in_texts(spark):
+    items = spark.createDataFrame([(1, "yes"), (2, "what is it"), (3, "one two three four five")], "item_id int, text string")
+    docs = spark.createDataFrame([(1, "Yes yes, what is it yes"), (2, "so one two three four five they counted to the very end")], "doc_id int, text string")
+    found = {r.doc_id: r.text for r in decontaminate.cleaned(docs, items, least_words=5).collect()}
+    assert found[1] == "Yes yes, what is it yes" and "three" not in found[2] and "counted" in found[2]
+    assert all(r.hits.spans for r in decontaminate.find(docs, items).collect())
+
+
 def test_long_items_keep_their_windows(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "PIECE_WORDS", 12)
     words = [f"w{i}" for i in range(100)]
