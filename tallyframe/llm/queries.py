@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import table
-from . import decontaminate, language, license, pieces, quality, secrets, simhash, substring, toxicity, warc
+from . import decontaminate, interactions, language, license, pieces, quality, repair, secrets, simhash, substring, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +114,104 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = language.fit(documents, "doc_id", "text", "lang", ~held)
     found = language.predict(documents.select("doc_id", "text"), model)
     return found.select("doc_id", held.alias("held_out"), F.col("language.nearest").alias("lang_pred"), "language.score", "language.rejected")
+
+
+ORACLES["op11_filter_interactions"] = """
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS words FROM t),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY 1),
+f AS (
+    SELECT doc_id, part, if(len(words) < 50, 'A', '') || if(100 * len(list_distinct(words)) < 65 * len(words), 'B', '')
+        || if(100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text), 'C', '') || if(regexp_matches(text, '[#$%&*|]'), 'D', '')
+        || if(coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false), 'E', '') AS failed
+    FROM w),
+cells AS (
+    SELECT part, failed, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+    FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (
+    SELECT a.c || b.c || d.c || e.c || g.c AS filter_order FROM x a, x b, x d, x e, x g
+    WHERE len(list_distinct([a.c, b.c, d.c, e.c, g.c])) = 5),
+steps AS (
+    SELECT filter_order, step, filter_order[step] AS name, string_split(filter_order[1:step - 1], '') AS earlier
+    FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+told AS (
+    SELECT part, filter_order, step, name, failed, good, toxic, n, contains(failed, name) AS fails,
+        len(list_filter(earlier, lambda e: e <> '' AND contains(failed, e))) > 0 AS gone
+    FROM cells, steps),
+sums AS (
+    SELECT part, filter_order, step, name,
+        coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0) AS kept, coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS removed,
+        coalesce(sum(n) FILTER (fails AND gone), 0) AS redundant, coalesce(sum(n) FILTER (failed = name), 0) AS unique_fails,
+        coalesce(sum(n) FILTER (fails AND NOT gone AND good), 0) AS good_lost, coalesce(sum(n) FILTER (fails AND NOT gone AND toxic), 0) AS toxic_lost
+    FROM told GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+    CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, name) AS BIGINT) AS shapley
+FROM sums"""
+
+
+@query
+def op11_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return interactions.audit(interactions.masks(table(spark, folder, "documents"), table(spark, folder, "labels")))
+
+
+ORACLES["op12_conversation_repair"] = """
+WITH RECURSIVE k AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+    FROM conversations),
+crc AS (
+    SELECT *, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(1, length(key) + 1), lambda i: ascii(key[i])::BIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda v, n: xor(v >> 1, 3988292384 * (v & 1))))) % 20 AS kind
+    FROM k),
+d AS (
+    SELECT conv_id, turn, if(kind = 4, 'user', role) AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(if(kind = 3, 2, 1)))
+    FROM crc WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+m AS (
+    SELECT *, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+        NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS cut, role[1:1] AS initial,
+        lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] NOT IN ('su', 'ua', 'au') AS illegal
+    FROM o),
+run AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, '' AS state, {cost: 0::BIGINT, audit: '', body: ''} AS best FROM conversations
+    UNION ALL
+    SELECT conv_id, i, option.state, min(option.best) FROM (
+        SELECT conv_id, i, unnest([
+            {state: spot, best: {cost: cost + 4, audit: audit || 'D', body: body}},
+            if(NOT goes AND (initial = nxt OR initial = 's' AND spot = ''),
+                {state: initial, best: {cost: cost + extra, audit: audit || 'K', body: body || sep || role || ':' || text}}, NULL),
+            if(NOT goes, {state: nxt, best: {cost: cost + 3 + extra, audit: audit || 'R',
+                body: body || sep || if(nxt = 'u', 'user', 'assistant') || ':' || text}}, NULL)]) AS option
+        FROM (
+            SELECT *, if(spot = 'u', 'a', 'u') AS nxt, if(body = '', '', chr(10)) AS sep FROM (
+                SELECT r.conv_id, m.i, m.role, m.text, m.initial, m.blank OR m.again AS goes, if(m.cut, 3, 0) AS extra,
+                    CASE n WHEN 0 THEN r.state WHEN 1 THEN if(r.state = 'u', 'a', 'u') ELSE if(r.state = 'u', 'u', 'a') END AS spot,
+                    r.best.cost + 3 * n AS cost, r.best.audit || repeat('I', n) AS audit,
+                    r.best.body || if(n > 0, if(r.best.body = '', '', chr(10)) || if(r.state = 'u', 'assistant:', 'user:'), '')
+                        || if(n > 1, chr(10) || if(r.state = 'u', 'user:', 'assistant:'), '') AS body
+                FROM run r JOIN m ON m.conv_id IS NOT DISTINCT FROM r.conv_id AND m.i = r.i + 1, (SELECT unnest([0, 1, 2]) AS n))))
+    WHERE option IS NOT NULL GROUP BY ALL),
+sums AS (
+    SELECT c.conv_id, count(m.i) AS n, coalesce(max(m.turn) - min(m.turn) + 1 - count(DISTINCT m.turn), 0) AS gaps, count(*) FILTER (m.blank) AS blank,
+        count(*) FILTER (NOT m.blank AND m.again) AS duplicate, count(*) FILTER (NOT m.blank AND NOT m.again AND m.cut) AS truncated,
+        count(*) FILTER (m.illegal) AS illegal
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY ALL),
+done AS (
+    SELECT r.conv_id, min(CASE r.state
+        WHEN 'u' THEN {cost: r.best.cost + 3, audit: r.best.audit || 'I', body: r.best.body || chr(10) || 'assistant:'}
+        WHEN 's' THEN {cost: r.best.cost + 6, audit: r.best.audit || 'II', body: r.best.body || chr(10) || 'user:' || chr(10) || 'assistant:'}
+        ELSE r.best END) AS best
+    FROM run r JOIN sums s ON s.conv_id IS NOT DISTINCT FROM r.conv_id AND s.n = r.i GROUP BY ALL)
+SELECT s.conv_id, CAST(gaps AS BIGINT) AS gaps, blank, duplicate, truncated, illegal, best.cost AS cost, best.audit AS audit, sha256(best.body) AS repaired_sha256
+FROM sums s JOIN done d ON d.conv_id IS NOT DISTINCT FROM s.conv_id"""
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = repair.damaged(table(spark, folder, "conversations"))
+    return repair.audited(rows, "conv", present="present").withColumnRenamed("conv", "conv_id")
