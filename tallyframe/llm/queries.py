@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import table
-from . import decontaminate, interactions, language, license, pieces, quality, repair, secrets, simhash, substring, toxicity, warc
+from . import decontaminate, interactions, language, license, pieces, quality, repair, secrets, simhash, substring, suffixes, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -215,3 +215,12 @@ FROM sums s JOIN done d ON d.conv_id IS NOT DISTINCT FROM s.conv_id"""
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     rows = repair.damaged(table(spark, folder, "conversations"))
     return repair.audited(rows, "conv", present="present").withColumnRenamed("conv", "conv_id")
+
+
+@query
+def op13_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "repeats.n_bytes", "repeats.n_removed", F.size("repeats.spans").cast("bigint").alias("n_spans"),
+        F.sha2("repeats.kept", 256).alias("kept_sha256"),
+    )
