@@ -237,15 +237,8 @@ def new_members(members: DataFrame, canonical: DataFrame, new: DataFrame, entity
     return skew.null_safe_join(once, members, [*entity, "source", "agrees"], "left_anti")
 
 
-def incremental(canonical: DataFrame, members: DataFrame, new: DataFrame, entity, source: str, value: str, order, compat=True):
-    """Fold new sources into a canonical table; returns (canonical, members).
-
-    ``canonical``: entity.., fingerprint, agreement_count, total_count, confidence, confidence_score.
-    ``members``: entity.., source, agrees, fingerprint. With ``compat`` a label is only set when a
-    source agrees and the ratio then is at least the threshold, and the score is the bare ratio;
-    otherwise both are computed as in :func:`vote`.
-    """
-    added = cut_lineage(new_members(members, canonical, new, entity, source, value, order))
+def fold(canonical: DataFrame, added: DataFrame, entity, order, compat=True) -> DataFrame:
+    """The canonical rows after ``added`` (of :func:`new_members`) has come in."""
     state = ["fingerprint", "agreement_count", "total_count", "confidence", "confidence_score"]
     one = F.lit(1).cast("bigint")
     agrees = F.col("agrees").cast("bigint")
@@ -283,7 +276,7 @@ def incremental(canonical: DataFrame, members: DataFrame, new: DataFrame, entity
     else:
         new_label = confidence(ratio, total)
         new_score = confidence_score(new_label, ratio)
-    updated = both.select(
+    return both.select(
         *keys,
         F.coalesce(F.col("_old.fingerprint"), F.col("_first")).alias("fingerprint"),
         agreement.alias("agreement_count"),
@@ -291,4 +284,15 @@ def incremental(canonical: DataFrame, members: DataFrame, new: DataFrame, entity
         new_label.alias("confidence"),
         new_score.alias("confidence_score"),
     )
-    return updated, members.unionByName(added.select(*members.columns))
+
+
+def incremental(canonical: DataFrame, members: DataFrame, new: DataFrame, entity, source: str, value: str, order, compat=True):
+    """Fold new sources into a canonical table; returns (canonical, members).
+
+    ``canonical``: entity.., fingerprint, agreement_count, total_count, confidence, confidence_score.
+    ``members``: entity.., source, agrees, fingerprint. With ``compat`` a label is only set when a
+    source agrees and the ratio then is at least the threshold, and the score is the bare ratio;
+    otherwise both are computed as in :func:`vote`.
+    """
+    added = cut_lineage(new_members(members, canonical, new, entity, source, value, order))
+    return fold(canonical, added, entity, order, compat), members.unionByName(added.select(*members.columns))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import collection, rules, vote
 from ..session import run_dir
 from ..sources import readers, writers
+from ..sources.store import Store
 from .base import query, table
 from .voting import VOTES, line_votes
 
@@ -192,8 +193,7 @@ def written_canonical(spark, folder):
     votes = line_votes(spark, folder).withColumns({"name": F.concat(F.lit("K-"), F.col("l_orderkey").cast("string")), "version": F.lit(0)})
     path = run_dir(spark, "canonical")
     writers.write_canonical(votes, path, "name", "version")
-    schema = "file_key string, fingerprint string, confidence string, confidence_score double, sources bigint, outliers bigint"
-    return spark.read.schema(schema).json(f"{path}/manifest")
+    return Store(spark, path).read("manifest")
 
 
 @query(VOTES + """
@@ -205,7 +205,7 @@ def written_sources(spark, folder):
     ballots = vote.ballots(lines, votes, ["l_orderkey", "version"], "l_linestatus")
     path = run_dir(spark, "canonical")
     writers.write_canonical(votes, path, "l_orderkey", "version", ballots=ballots, source="l_suppkey", value="l_linestatus")
-    return spark.read.schema("l_orderkey bigint, source bigint, fingerprint string, agrees boolean").json(f"{path}/sources")
+    return Store(spark, path).read("sources").select("l_orderkey", "source", "fingerprint", "agrees")
 
 
 PRELIMINARY = """
@@ -220,7 +220,7 @@ def written_preliminary(spark, folder):
     votes = vote.preliminary(table(spark, folder, "orders"), ["o_custkey"], "o_orderstatus", ["o_orderkey"])
     path = run_dir(spark, "preliminary")
     writers.write_preliminary(votes, path)
-    return spark.read.schema("o_custkey bigint, winning_value string, status string").json(f"{path}/by_status")
+    return Store(spark, path).read("by_status").select("o_custkey", "winning_value", "status")
 
 
 @query("""
@@ -233,7 +233,7 @@ def written_final(spark, folder):
     decisions = vote.determine(rows, ["o_custkey"], "o_orderstatus", "verdict", ["o_orderkey"])
     path = run_dir(spark, "final")
     writers.write_final(decisions, path)
-    return spark.read.schema("o_custkey bigint, winning_value string, list string").json(path)
+    return Store(spark, path).read("decisions").select("o_custkey", "winning_value", "list")
 
 
 @query("SELECT p_partkey, p_name AS name, p_brand AS kind FROM part UNION ALL SELECT min(p_partkey), p_type, 'group' FROM part GROUP BY p_type UNION ALL SELECT max(p_partkey), p_type, 'queue' FROM part GROUP BY p_type")
@@ -245,21 +245,23 @@ def written_keys_and_conflicts(spark, folder):
     keys = parts.select("p_partkey", F.col("p_name").alias("name"), F.col("p_brand").alias("kind"))
     writers.write_keys(keys, groups, path)
     writers.write_conflicts(keys, queue, f"{path}/x")
-    read = lambda place, kind: spark.read.schema("p_partkey bigint, name string, kind string").json(f"{path}/{place}").withColumn("kind", kind)
-    return read("x/conflicts", F.col("kind")).unionByName(read("groups", F.lit("group"))).unionByName(read("x/queue", F.lit("queue")))
+    read = lambda place, part, kind: Store(spark, place).read(part).select("p_partkey", "name", kind.alias("kind"))
+    conflicts = read(f"{path}/x", "conflicts", F.col("kind"))
+    return conflicts.unionByName(read(path, "groups", F.lit("group"))).unionByName(read(f"{path}/x", "queue", F.lit("queue")))
 
 
 @query("SELECT o_orderkey, o_custkey, CAST(CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS BIGINT) AS recorded FROM orders")
 def appended_rows(spark, folder):
-    """Orders appended to those that are held already, and a record of some written twice."""
+    """Orders appended to those that are held already, and a record of some twice; every write is repeated once."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     path = run_dir(spark, "held")
-    orders.where("o_orderstatus = 'F'").write.parquet(f"{path}/held")
-    writers.append_new(orders, spark.read.parquet(f"{path}/held"), f"{path}/held", ["o_orderkey"])
-    for rows in (orders, orders.where("o_orderstatus = 'P'")):
-        writers.record_variation(rows, f"{path}/variations")
-    times = spark.read.parquet(f"{path}/variations").where("recorded_at is not null").groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("recorded"))
-    return spark.read.parquet(f"{path}/held").select("o_orderkey", "o_custkey").join(times, "o_orderkey")
+    for _ in range(2):
+        writers.append_new(orders.where("o_orderstatus = 'F'"), f"{path}/held", ["o_orderkey"], force=True, batch=("first", 0))
+        writers.append_new(orders, f"{path}/held", ["o_orderkey"])
+        writers.record_variation(orders, f"{path}/variations", ("all", 0))
+        writers.record_variation(orders.where("o_orderstatus = 'P'"), f"{path}/variations", ("some", 0))
+    times = Store(spark, f"{path}/variations").read("rows").where("recorded_at is not null").groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("recorded"))
+    return Store(spark, f"{path}/held").read("rows").select("o_orderkey", "o_custkey").join(times, "o_orderkey")
 
 
 @query(VOTES + """
@@ -268,7 +270,7 @@ def written_report(spark, folder):
     votes = line_votes(spark, folder)
     path = run_dir(spark, "report")
     writers.write_report(votes, path, ["l_orderkey"])
-    return spark.read.schema("l_orderkey bigint, fingerprint string").json(f"{path}/issues")
+    return Store(spark, path).read("issues").select("l_orderkey", "fingerprint")
 
 
 # -- functions without a query of their own ---------------------------------------------------

@@ -18,22 +18,17 @@ def file_stream(rows, path, files=3):
     return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def orders_by_time(orders, path):
-    """Orders as a stream of two micro-batches: those before a date, and the rest."""
-    for number, part in enumerate((F.col("o_orderdate") < voting.CUT, F.col("o_orderdate") >= voting.CUT)):
-        orders.where(part).coalesce(1).write.parquet(f"{path}/in/part={number}")
-    stream = orders.sparkSession.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1)
-    return stream.parquet(f"{path}/in/part=*")
-
-
 @query(voting.INCREMENTAL)
 def stream_consensus(spark, folder):
+    """Orders before a date arrive, then the rest; the query runs after each arrival and takes up where it stopped."""
     path = run_dir(spark, "consensus")
     orders = table(spark, folder, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate", "o_orderkey")
-    rows = orders_by_time(orders, path)
-    consensus_stream.consensus(
-        rows, f"{path}/table", f"{path}/checkpoint", ["o_custkey"], "o_orderpriority", "o_orderstatus", ["o_orderdate", "o_orderkey"]
-    ).awaitTermination()
+    for number, part in enumerate((F.col("o_orderdate") < voting.CUT, F.col("o_orderdate") >= voting.CUT)):
+        orders.where(part).write.parquet(f"{path}/in/part={number}")
+        rows = spark.readStream.schema(orders.schema).parquet(f"{path}/in/part=*")
+        consensus_stream.consensus(
+            rows, f"{path}/table", f"{path}/checkpoint", ["o_custkey"], "o_orderpriority", "o_orderstatus", ["o_orderdate", "o_orderkey"]
+        ).awaitTermination()
     return consensus_stream.latest(spark, f"{path}/table")
 
 

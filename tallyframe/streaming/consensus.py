@@ -1,73 +1,125 @@
-"""Incremental consensus over a stream of new sources."""
+"""Incremental consensus over a stream of new sources, with its state in a log.
+
+A batch appends the entities that it changes and the members it adds, nothing else; readers take the newest row of each
+entity. When the rows appended since the last compaction outnumber those it left, the log is merged, so a row is rewritten
+a number of times that grows with the logarithm of the table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import vote
+from ..operators import skew, vote
+from ..session import cut_lineage
+from ..sources.store import Conflict, State, Store
+
+_STATE = ["fingerprint", "agreement_count", "total_count", "confidence", "confidence_score"]
+_MEMBER = ["source", "agrees", "fingerprint"]
 
 
-def _schemas(new: T.StructType, entity, source: str, value: str):
+def _schemas(new: T.StructType, entity, source: str, value: str) -> dict[str, T.StructType]:
     keys = [T.StructField(k, new[k].dataType) for k in entity]
+    written = T.StructField("batch", T.LongType())
     canonical = T.StructType([
         *keys, T.StructField("fingerprint", new[value].dataType), T.StructField("agreement_count", T.LongType()),
         T.StructField("total_count", T.LongType()), T.StructField("confidence", T.StringType()),
-        T.StructField("confidence_score", T.DoubleType()),
+        T.StructField("confidence_score", T.DoubleType()), written,
     ])
     members = T.StructType([
         *keys, T.StructField("source", new[source].dataType), T.StructField("agrees", T.BooleanType()),
-        T.StructField("fingerprint", new[value].dataType),
+        T.StructField("fingerprint", new[value].dataType), written,
     ])
-    return canonical, members
+    return {"canonical": canonical, "members": members}
 
 
-def _bucket(entity, buckets: int):
+def _bucket(entity, buckets: int) -> Column:
     return F.pmod(F.xxhash64(*entity), F.lit(buckets)).cast("int")
 
 
-def _places(spark: SparkSession, table: str, number: int) -> dict[int, int]:
-    """After batch ``number``: the batch that wrote each bucket last."""
-    if number < 0:
-        return {}
-    return {r.bucket: r.batch for r in spark.read.schema("bucket int, batch bigint").parquet(f"{table}/places/{number:012d}").collect()}
+def _newest(log: DataFrame, entity) -> DataFrame:
+    """The row of each entity that was written last."""
+    rows = log.groupBy(*entity).agg(F.max_by(F.struct(*_STATE, "batch"), "batch").alias("_r"))
+    return rows.select(*entity, "_r.*")
+
 
+def _commit(store: Store, parts: dict[str, DataFrame], entity, buckets: int, **how) -> State:
+    dealt = {name: rows.withColumn("bucket", _bucket(entity, buckets)).repartition("bucket") for name, rows in parts.items()}
+    return store.commit(dealt, partition_by=dict.fromkeys(parts, ["bucket"]), **how)
 
-def _read(spark: SparkSession, table: str, kind: str, schema, places: dict[int, int]) -> DataFrame:
-    paths = [f"{table}/{kind}/batch={batch}/bucket={bucket}" for bucket, batch in sorted(places.items())]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
+def _grown(state: State) -> bool:
+    """Whether the rows since the last compaction outnumber those it left."""
+    rows = state.rows("canonical")
+    return len(rows) > 1 and sum(rows[1:]) > rows[0]
 
-def consensus(stream: DataFrame, table: str, checkpoint: str, entity, source: str, value: str, order, compat=True, trigger=None, buckets=64):
+
+def compact(spark: SparkSession, table: str, entity, buckets=64, keep=1, older_than_ms=3_600_000) -> None:
+    """Merge the log into one row per entity, and remove the files that none of the newest ``keep`` commits holds.
+
+    Where another batch is committed meanwhile the log stays as it is.
+    """
+    store = Store(spark, table)
+    state = store.state()
+    canonical = _newest(store.read("canonical", state=state), entity)
+    members = store.read("members", state=state).drop("bucket")
+    try:
+        _commit(store, {"canonical": canonical, "members": members}, entity, buckets, after=state.version)
+    except Conflict:
+        return
+    store.clear(keep, older_than_ms)
+
+
+def consensus(
+    stream: DataFrame, table: str, checkpoint: str, entity, source: str, value: str, order, compat=True, trigger=None, buckets=64,
+    older_than_ms=3_600_000,
+):
     """Start a query that folds each micro-batch into the state below ``table``.
 
-    Entities are dealt over ``buckets``; a batch reads and rewrites only those its rows fall into, below its own
-    number, and writes which batch holds each bucket. Batch N reads what batch N - 1 left, so a repeated batch
-    overwrites its own result and nothing is counted twice.
+    State is partitioned by ``buckets`` of entities, so a batch reads the partitions that its entities are in. A
+    batch is committed under its number, and one that is repeated finds itself in the log and writes nothing.
     """
-    canonical_schema, members_schema = _schemas(stream.schema, entity, source, value)
+    schemas = _schemas(stream.schema, entity, source, value)
+    entity = list(entity)
 
     def fold(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        places = _places(spark, table, number - 1)
-        touched = {r[0] for r in batch.select(_bucket(entity, buckets)).distinct().collect()}  # ``buckets`` rows at most
-        before = {b: n for b, n in places.items() if b in touched}
-        canonical = _read(spark, table, "canonical", canonical_schema, before)
-        members = _read(spark, table, "members", members_schema, before)
-        updated, held = vote.incremental(canonical, members, batch, entity, source, value, order, compat)
-        for kind, rows in (("canonical", updated), ("members", held)):
-            rows.withColumn("bucket", _bucket(entity, buckets)).write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/{kind}/batch={number}")
-        now = places | dict.fromkeys(touched, number)
-        spark.createDataFrame(sorted(now.items()), "bucket int, batch bigint").coalesce(1).write.mode("overwrite").parquet(f"{table}/places/{number:012d}")
+        store = Store(spark, table)
+        state, writer = store.state(), (checkpoint, number)
+        if state.holds(writer):
+            return
+        touched = cut_lineage(batch.select(*entity).distinct())
+        numbers = [r[0] for r in touched.select(_bucket(entity, buckets)).distinct().collect()]  # ``buckets`` rows at most
+        if not numbers:
+            return
+
+        def held(part: str) -> DataFrame:
+            if part not in state.parts:
+                return spark.createDataFrame([], schemas[part])
+            log = store.read(part, state=state).where(F.col("bucket").isin(numbers)).drop("bucket")
+            return skew.null_safe_join(log, touched, entity, "left_semi")
+
+        canonical = cut_lineage(_newest(held("canonical"), entity)).drop("batch")
+        members = held("members").drop("batch")
+        added = cut_lineage(vote.new_members(members, canonical, batch, entity, source, value, order))
+        changed = skew.null_safe_join(canonical, added.select(*entity).distinct(), entity, "left_semi")
+        now = F.lit(number).cast("bigint")
+        parts = {
+            "canonical": vote.fold(changed, added, entity, order, compat).select(*entity, *_STATE, now.alias("batch")),
+            "members": added.select(*entity, *_MEMBER, now.alias("batch")),
+        }
+        if _grown(_commit(store, parts, entity, buckets, batch=writer, append=True)):
+            compact(spark, table, entity, buckets, older_than_ms=older_than_ms)
 
     writer = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def latest(spark: SparkSession, table: str, kind: str = "canonical") -> DataFrame:
-    """The state after the last batch."""
-    newest = spark.read.parquet(f"{table}/places/*").agg(F.max("_metadata.file_path")).first()[0].split("/")[-2]
-    places = _places(spark, table, int(newest))
-    first, *rest = [f"{table}/{kind}/batch={batch}/bucket={bucket}" for bucket, batch in sorted(places.items())]
-    return spark.read.parquet(first, *rest)
+def latest(spark: SparkSession, table: str, kind: str = "canonical", entity=None, version: int | None = None) -> DataFrame:
+    """The state after the last batch, or as of a version: ``canonical`` has one row per entity, ``members`` all sources."""
+    log = Store(spark, table).read(kind, version).drop("bucket")
+    if kind == "members":
+        return log.drop("batch")
+    keys = list(entity) if entity else [c for c in log.columns if c not in (*_STATE, "batch")]
+    return _newest(log, keys).drop("batch")

@@ -9,6 +9,7 @@ from tallyframe.functions import naming
 from tallyframe.operators import codec, keys, merge, rules, vote
 from tallyframe.plans import flows
 from tallyframe.sources import readers, writers
+from tallyframe.sources.store import Store
 
 
 def put(path, name, content):
@@ -64,7 +65,7 @@ def test_flow_from_store_to_decisions(spark, store, tmp_path):
     row = decisions.first()
     assert (row.decision, row.confidence, row.agreement_count) == ("accepted_with_corrections", "high", 3)
     assert writers.write_final(decisions, str(tmp_path / "final")).first().messages == 1
-    assert spark.read.json(str(tmp_path / "final" / "list=canonical")).count() == 1
+    assert Store(spark, str(tmp_path / "final")).read("decisions").where("list = 'canonical'").count() == 1
 
 
 def test_canonical_and_report(spark, tmp_path):
@@ -72,13 +73,14 @@ def test_canonical_and_report(spark, tmp_path):
     votes = vote.vote(rows, ["name", "version"], "fp", ["seq"])
     ballots = vote.ballots(rows, votes, ["name", "version"], "fp")
     counters = writers.write_canonical(votes, str(tmp_path / "c"), "name", "version", ballots=ballots, source="seq", value="fp").first()
-    assert spark.read.json(str(tmp_path / "c" / "messages" / "confidence=high")).count() == 1
-    assert spark.read.json(str(tmp_path / "c" / "sources" / "agrees=true")).count() == 4
+    written = Store(spark, str(tmp_path / "c"))
+    assert written.read("messages").where("confidence = 'high'").count() == 1
+    assert written.read("sources").where("agrees").count() == 4
     assert (counters.written, counters.skipped_no_consensus, counters.skipped_low_confidence) == (1, 1, 0)
-    manifest = spark.read.json(str(tmp_path / "c" / "manifest")).first()
+    manifest = written.read("manifest").first()
     assert (manifest.file_key, manifest.confidence, manifest.sources) == ("A-v0", "high", 4)
     writers.write_report(votes, str(tmp_path / "r"), ["name", "version"])
-    assert spark.read.json(str(tmp_path / "r" / "issues")).count() == 1
+    assert Store(spark, str(tmp_path / "r")).read("issues").count() == 1
 
 
 def test_keys_from_bundles_to_registry(spark, tmp_path):
@@ -100,7 +102,7 @@ def test_keys_from_bundles_to_registry(spark, tmp_path):
     assert {(r.key_id, r.source) for r in members.collect()} == {("0x30210001", "F9-HPG-1.51"), ("0x30210001", "M10-SPG-5.30"), ("0x12", "M10-SPG-5.30")}
     assert keys.complete_bits(readers.key_bits(loaded)).select("data_type", "bit_start", "bit_end").collect() == [("U", 0, 0)]
     writers.write_keys(merged, keys.groups(merged, ["key_id"]), str(tmp_path / "out"))
-    assert spark.read.json(str(tmp_path / "out" / "groups")).count() == 2
+    assert Store(spark, str(tmp_path / "out")).read("groups").count() == 2
 
 
 def test_registry_metadata_and_reports(spark, tmp_path):
@@ -126,11 +128,28 @@ def test_registry_metadata_and_reports(spark, tmp_path):
 def test_append_skips_what_is_held(spark, tmp_path):
     path = str(tmp_path / "held")
     rows = spark.createDataFrame([("a", "M", 1), ("a", "N", 2)], "manual string, message string, v int")
-    rows.where("v = 1").write.parquet(path)
-    writers.append_new(rows, spark.read.parquet(path), path, ["manual", "message"])
-    assert spark.read.parquet(path).count() == 2
-    writers.record_variation(rows, str(tmp_path / "variations"))
-    assert spark.read.parquet(str(tmp_path / "variations")).where("recorded_at is not null").count() == 2
+    assert writers.append_new(rows.where("v = 1"), path, ["manual", "message"]).count() == 1
+    assert writers.append_new(rows, path, ["manual", "message"]).collect() == [("a", "N", 2)]
+    assert Store(spark, path).read("rows").count() == 2
+    for _ in range(2):
+        writers.record_variation(rows, str(tmp_path / "variations"), ("check", 1))
+    assert Store(spark, str(tmp_path / "variations")).read("rows").where("recorded_at is not null").count() == 2
+
+
+def test_rows_of_another_writer_are_not_appended_again(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "held")
+    rows = spark.createDataFrame([("a", "M", 1), ("a", "N", 2)], "manual string, message string, v int")
+    publish, raced = Store._publish, []
+
+    def race(self, state):
+        if not raced:  # another writer is first, with one of the rows
+            raced.append(True)
+            Store(spark, path).commit({"rows": rows.where("v = 1")}, append=True)
+        return publish(self, state)
+
+    monkeypatch.setattr(Store, "_publish", race)
+    assert writers.append_new(rows, path, ["manual", "message"]).collect() == [("a", "N", 2)]
+    assert Store(spark, path).read("rows").count() == 2
 
 
 def test_capture_files(spark, tmp_path):
@@ -154,7 +173,8 @@ def test_captures_in_pieces(spark, tmp_path):
 def test_conflicts_are_written(spark, tmp_path):
     conflicts = spark.createDataFrame([("k", "name", 2)], "key string, field string, n int")
     writers.write_conflicts(conflicts, conflicts.where("n > 5"), str(tmp_path / "x"))
-    assert spark.read.json(str(tmp_path / "x" / "conflicts")).collect() == [("name", "k", 2)]
+    assert Store(spark, str(tmp_path / "x")).read("conflicts").collect() == [("k", "name", 2)]
+    assert Store(spark, str(tmp_path / "x")).read("queue").collect() == []
 
 
 def test_second_registry_forms(spark):
