@@ -2,8 +2,8 @@
 
 Suffixes are sorted into buckets by their first GRAM bytes. A bucket whose members go on differently is refined by the
 identifiers of the buckets that later offsets of its members are in, and these longer identifiers are used in turn, up
-to WINDOW bytes: 37 bytes from the grams at one offset, 85 from those at four, 100 from two of 85. What is asked is
-which strings of WINDOW bytes are equal, so buckets are left as soon as they hold one suffix or one text.
+to WINDOW bytes: 85 bytes from the grams of 37 at four offsets, 97 from four of 85, 100 from four of 97. What is asked
+is which strings of WINDOW bytes are equal, so buckets are left as soon as they hold one suffix or one text.
 
 Only suffixes that start at an anchor, the gram with the least hash within a string of WINDOW bytes, are sorted: equal
 strings have the same anchor at the same place, so an anchor stands for all strings it is the anchor of. There is one
@@ -13,8 +13,6 @@ in about thirty bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,10 +26,13 @@ WINDOW = 100
 #: Bytes of the first buckets. A string of WINDOW bytes has 64 of them.
 GRAM = 37
 PLACES = WINDOW - GRAM + 1
-#: Starts of strings that an identifier of the next round stands for: 16 of the 64 around an anchor, of WINDOW - 16 + 1 bytes.
-STEP = 16
-#: Bytes that are worked on at once; longer texts are cut into overlapping pieces.
-BLOCK = 1 << 20
+#: Starts of strings, of the PLACES around an anchor, that a bucket of each round stands for. Its bytes are those which
+#: all these strings have: WINDOW - step + 1.
+STEPS = [16, 4, 1]
+#: Bytes that are worked on at once, so that numbers stay in the processor's cache; longer texts are cut into overlapping pieces.
+BLOCK = 1 << 17
+#: Bytes of a text whose spans are brought together in one row.
+PART = 1 << 20
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LOW = np.uint64((1 << 32) - 1)
@@ -60,21 +61,19 @@ class Identifiers:
         self.short = ids
         self.gram = _mixed(ids[: -(GRAM - 32)], ids[GRAM - 32 :])
 
-    def long(self, at: np.ndarray) -> np.ndarray:
-        """Of WINDOW - STEP + 1 bytes: the grams at every STEP-th offset."""
-        first, second, third, fourth = (self.gram[at + k * STEP] for k in range(PLACES // STEP))
+    def round(self, step: int) -> np.ndarray:
+        """Of the buckets of a round, WINDOW - step + 1 bytes, from four later offsets of the round before."""
+        ids = self.gram if step * 4 == PLACES else self.round(step * 4)
+        end = len(ids) - 3 * step
+        first, second, third, fourth = (ids[k * step : k * step + end] for k in range(4))
         return _mixed(_mixed(first, second), _mixed(third, fourth))
 
-    def whole(self, at: np.ndarray) -> np.ndarray:
-        """Of WINDOW bytes, from the last bucket that is refined."""
-        return _mixed(self.long(at), self.long(at + (STEP - 1)))
-
     def check(self, at: np.ndarray) -> np.ndarray:
         """Another identifier of WINDOW bytes, so that equal strings are told by 128 bits."""
         return _mixed(_mixed(self.short[at + (WINDOW - 32)], self.short[at + 64]), _mixed(self.short[at + 32], self.short[at]))
 
     def text(self, first: np.ndarray, last: np.ndarray, form: np.ndarray) -> np.ndarray:
-        """Of the bytes from ``first`` to the end of the string at ``last``, at most PLACES later."""
+        """Of the bytes from ``first`` to the end of the string at ``last``, less than PLACES later."""
         return _mixed(_mixed(self.check(first), self.check(last)), form.astype(np.uint64))
 
 
@@ -161,91 +160,92 @@ def _members(df: DataFrame) -> DataFrame:
     return small_batches(df).mapInArrow(found, f"bucket bigint, text bigint, doc {dict(df.dtypes)['doc']}, mark bigint, at int, form int")
 
 
-def _contexts(df: DataFrame) -> DataFrame:
-    """(bucket, text, doc, mark, at, form, bytes) of (doc, mark, text, members) rows: the second buckets.
+def _runs_of(step: int, data: np.ndarray, starts: np.ndarray, form: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, bucket, text, first, last, form) of the next round: strings dealt by their distance to the anchor.
 
-    The strings of each member, at and form as in _members(), are dealt by their distance to the anchor into runs of
-    STEP; the bucket of a run is that of the bytes which all strings of the run have.
+    Rows are the bytes of some strings of one anchor each, from ``starts`` on; first and last are places in them.
     """
+    ids = Identifiers(data)
+    round_ids = ids.round(step)
+    gap, more = form // PLACES, form % PLACES
+    anchor = starts + gap
+    # The runs of a row: from that of its last string, which is next to the anchor, to that of its first.
+    low_run = (gap - more) // step
+    counts = gap // step - low_run + 1
+    row = np.repeat(np.arange(len(form)), counts)
+    place = (low_run[row] + np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)) * step
+    first = anchor[row] - np.minimum(gap[row], place + step - 1)
+    last = anchor[row] - np.maximum(gap[row] - more[row], place)
+    shape = (anchor[row] - first) * PLACES + (last - first)
+    bucket = _mixed(round_ids[anchor[row] - place], place.astype(np.uint64))
+    return row, bucket, ids.text(first, last, shape), first - starts[row], last - starts[row], shape
+
+
+def _split(df: DataFrame, step: int) -> DataFrame:
+    """(bucket, text, doc, mark, at, form, bytes) of the next round.
+
+    Of (doc, mark, members, text) rows, with at and form of members as in _members(), or of (doc, mark, at, form, bytes)
+    rows of an earlier round. ``bytes`` are those of the strings, and are left out in the last round.
+    """
+    from_text = "members" in df.columns
+
+    def pieces(batch):
+        """(row, place, form, bytes) of each member."""
+        if not from_text:
+            columns = [batch.column(c).to_pylist() for c in ("at", "form", "bytes")]
+            yield from zip(range(batch.num_rows), *columns, strict=True)
+            return
+        for row, (text, members) in enumerate(zip(raw(batch.column("text")), batch.column("members"), strict=True)):
+            for member in members.as_py():
+                at, form = member["at"], member["form"]
+                yield row, at, form, text[at : at + form % PLACES + WINDOW]
 
     def found(batches):
         for batch in batches:
-            listed = batch.column("members")
-            values = listed.flatten()
-            sizes = np.diff(listed.offsets.to_numpy())
-            at_all, form_all = (values.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
-            edges, row = np.concatenate(([0], np.cumsum(sizes))), 0
-            for row, text in enumerate(raw(batch.column("text"))):
-                for begin in range(edges[row], edges[row + 1], BLOCK // 128):
-                    end = min(begin + BLOCK // 128, edges[row + 1])
-                    yield runs(batch, row, text, at_all[begin:end], form_all[begin:end])
-
-    def runs(batch, row, text, at, form):
-        gap, more = form // PLACES, form % PLACES
-        pieces = [text[a : a + m + WINDOW] for a, m in zip(at.tolist(), more.tolist(), strict=True)]
-        joined = b"".join(pieces)
-        starts = np.cumsum(more + WINDOW) - (more + WINDOW)
-        ids = Identifiers(np.frombuffer(joined, np.uint8))
-        anchor, last = starts + gap, starts + more
-        columns = [[] for _ in range(5)]
-        for place in range(0, PLACES, STEP):
-            low, high = np.maximum(anchor - last, place), np.minimum(gap, place + STEP - 1)
-            some = np.flatnonzero(low <= high)
-            begin, end = (anchor - high)[some], (anchor - low)[some]
-            shape = (anchor[some] - begin) * PLACES + (end - begin)
-            bucket = _mixed(ids.long(anchor[some] - place), np.full(len(some), place, np.uint64))
-            for column, part in zip(columns, (bucket, ids.text(begin, end, shape), at[some] + begin - starts[some], begin, end), strict=True):
-                column.append(part)
-        bucket, mark, place, begin, end = map(np.concatenate, columns)
-        own = pa.array(np.full(len(bucket), row))
-        cut = pa.array([joined[a : b + WINDOW] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())
-        out = [_signed(bucket), _signed(mark), batch.column("doc").take(own), batch.column("mark").take(own)]
-        out += [pa.array(place.astype(np.int32)), pa.array((end - begin).astype(np.int32)), cut]
-        return pa.RecordBatch.from_arrays(out, [*_MEMBER, "bytes"])
-
-    kind = dict(df.dtypes)["doc"]
-    return small_batches(df).mapInArrow(found, f"bucket bigint, text bigint, doc {kind}, mark bigint, at int, form int, bytes binary")
-
-
-def _strings(df: DataFrame) -> DataFrame:
-    """(bucket, text, doc, mark, at, form): every string of WINDOW bytes of (doc, mark, at, bytes) rows; form is 0."""
-
-    def found(batches):
-        for batch in batches:
-            pieces = batch.column("bytes").to_pylist()
-            if not pieces:
-                continue
-            sizes = np.array([len(p) for p in pieces], np.int64)
-            starts = np.cumsum(sizes) - sizes
-            counts = sizes - WINDOW + 1
-            own = np.repeat(np.arange(len(pieces)), counts)
-            offset = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
-            ids = Identifiers(np.frombuffer(b"".join(pieces), np.uint8))
-            at = starts[own] + offset
-            place = batch.column("at").to_numpy()[own] + offset
-            rows = pa.array(own)
-            columns = [_signed(ids.whole(at)), _signed(ids.check(at)), batch.column("doc").take(rows), batch.column("mark").take(rows)]
-            columns += [pa.array(place.astype(np.int32)), pa.array(np.zeros(len(own), np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, _MEMBER)
-
-    return small_batches(df).mapInArrow(found, f"bucket bigint, text bigint, doc {dict(df.dtypes)['doc']}, mark bigint, at int, form int")
-
-
-def _refined(members: DataFrame, last: Column, carried: list[str]) -> tuple[DataFrame, DataFrame]:
+            held, size = [], 0
+            for piece in pieces(batch):
+                held.append(piece)
+                size += len(piece[3])
+                if size >= BLOCK:
+                    yield dealt(batch, held)
+                    held, size = [], 0
+            if held:
+                yield dealt(batch, held)
+
+    def dealt(batch, held):
+        rows, places, forms = (np.array([h[k] for h in held], np.int64) for k in range(3))
+        joined = b"".join([h[3] for h in held])
+        sizes = forms % PLACES + WINDOW
+        starts = np.cumsum(sizes) - sizes
+        row, bucket, text, first, last, form = _runs_of(step, np.frombuffer(joined, np.uint8), starts, forms)
+        own = pa.array(rows[row])
+        columns = [_signed(bucket), _signed(text), batch.column("doc").take(own), batch.column("mark").take(own)]
+        columns += [pa.array((places[row] + first).astype(np.int32)), pa.array(form.astype(np.int32))]
+        if step > 1:
+            begin, end = (starts[row] + first).tolist(), (starts[row] + last + WINDOW).tolist()
+            columns.append(pa.array([joined[a:b] for a, b in zip(begin, end, strict=True)], pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, [*_MEMBER, "bytes"][: len(columns)])
+
+    carried = ", bytes binary" if step > 1 else ""
+    schema = f"bucket bigint, text bigint, doc {dict(df.dtypes)['doc']}, mark bigint, at int, form int{carried}"
+    return small_batches(df).mapInArrow(found, schema)
+
+
+def _refined(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(repeated strings, members that are to be refined) of the members of buckets.
 
     Members with equal texts repeat the first of them, by key and place. The first of each text goes on if its bucket
     holds other texts. Firsts are counted before the shuffle and joined back by equality, so that a bucket or a text
     of very many members is split.
     """
-    here = ["doc", "mark", "at"]
+    here, carried = ["doc", "mark", "at"], [c for c in members.columns if c == "bytes"]
     texts = members.groupBy("bucket", "text").agg(F.min(F.struct(*here, "form", *carried)).alias("first"), F.count(F.lit(1)).alias("n"))
     texts = cut_lineage(texts)
     firsts = texts.where("n > 1").select("bucket", "text", F.struct(*[F.col(f"first.{c}").alias(c) for c in here]).alias("first"))
     repeated = members.drop(*carried).join(firsts, ["bucket", "text"]).where(~F.struct(*here).eqNullSafe(F.col("first")))
     mixed = texts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     open_ = texts.join(mixed, "bucket", "left_semi").select("first.*")
-    return repeated.select(*here, (last + 1).alias("n")), open_
+    return repeated.select(*here, (F.col("form") % PLACES + 1).alias("n")), open_
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
@@ -298,7 +298,7 @@ def _done(texts: pa.Array, ranges: pa.Array) -> pa.Array:
 def repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, mark, ranges): for each text with bytes of repeated strings, the ranges of these bytes; see deduplicated().
 
-    ``mark`` is that of _rows(); ranges are runs within each part of about BLOCK bytes and may overlap from part to part.
+    ``mark`` is that of _rows(); ranges are runs within each part of about PART bytes and may overlap from part to part.
     """
     rows = _rows(df, key, text)
     members = _members(rows)
@@ -306,15 +306,16 @@ def repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     # A gram that stands once in all texts is in no repeated string.
     held = cut_lineage(members.join(often, F.col("bucket") == F.col("_bucket"), "left").where("_bucket IS NOT NULL OR form < 0").drop("_bucket"))
     known = held.where("form < 0").select("doc", "mark", "at", (-F.col("form")).alias("n"))
-    first, some = _refined(held.where("form >= 0"), F.col("form") % PLACES, [])
+    found, some = _refined(held.where("form >= 0"))
+    found = known.unionByName(found)
     lists = some.groupBy(F.col("doc").alias("_doc"), F.col("mark").alias("_mark")).agg(F.collect_list(F.struct("at", "form")).alias("members"))
     same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))
-    runs = cut_lineage(_contexts(rows.join(lists, same).select("doc", "mark", "text", "members")))
-    second, some = _refined(runs, F.col("form"), ["bytes"])
-    third, _ = _refined(_strings(cut_lineage(some)), F.lit(0), [])
-    found = reduce(DataFrame.unionByName, [known, first, second, third])
+    some = rows.join(lists, same).select("doc", "mark", "text", "members")
+    for step in STEPS:
+        more, some = _refined(cut_lineage(_split(some, step)))
+        found = found.unionByName(more)
     start = F.col("at").cast("bigint")
-    spans = found.select("doc", "mark", (F.col("at") / BLOCK).cast("int").alias("part"), F.struct(start.alias("start"), (start + F.col("n") + (WINDOW - 1)).alias("end")).alias("span"))
+    spans = found.select("doc", "mark", (F.col("at") / PART).cast("int").alias("part"), F.struct(start.alias("start"), (start + F.col("n") + (WINDOW - 1)).alias("end")).alias("span"))
     parts = spans.groupBy("doc", "mark", "part").agg(_runs(F.collect_list("span")).alias("ranges"))
     return parts.groupBy("doc", "mark").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
