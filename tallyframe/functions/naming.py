@@ -327,15 +327,22 @@ def registry_form(text) -> Column:
     A text is a plain type, ["I004", 1e-07] a scaled one, ["X001", {..}] a bitfield and ["count", {..}] a group;
     bits and fields stay JSON.
     """
-    v = F.try_parse_json(_col(text))
-    first, second = F.try_variant_get(v, "$[0]", "string"), F.try_variant_get(v, "$[1]", "variant")
-    listed, nested = F.schema_of_variant(v).startswith("ARRAY"), F.schema_of_variant(second).startswith("OBJECT")
+    text = _col(text)
+    v = F.try_parse_json(text)
+    # Read as texts: an object keeps the order of its entries, which a VARIANT does not.
+    parts = F.from_json(text, "array<string>")
+    listed = F.schema_of_variant(v).startswith("ARRAY")
+    first, second = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    nested = F.schema_of_variant(F.try_variant_get(v, "$[1]", "variant")).startswith("OBJECT")
     bits = listed & nested & first.startswith("X")
     kind = F.when(bits, "bitfield").when(listed & nested, "group").when(listed, "scaled").when(v.isNotNull(), "plain")
+    # A text within a map of texts has lost its quotes.
+    plain = F.coalesce(v.try_cast("string"), F.when(v.isNull() & ~text.rlike(r"^\s*[\[{]"), text))
+    kind = F.coalesce(kind, F.when(plain.isNotNull() & text.rlike(r"^[A-Z]+[0-9\[]"), F.lit("plain")))
     return F.struct(
-        kind.alias("kind"), F.when(kind == "group", F.lit("group")).when(listed, first).otherwise(v.try_cast("string")).alias("type"),
-        F.when(kind == "scaled", F.try_variant_get(v, "$[1]", "double")).alias("scale"), F.when(bits, F.to_json(second)).alias("bits"),
-        F.when(kind == "group", first).alias("count_field"), F.when(kind == "group", F.to_json(second)).alias("fields"),
+        kind.alias("kind"), F.when(kind == "group", F.lit("group")).when(listed, first).when(kind == "plain", plain).alias("type"),
+        F.when(kind == "scaled", F.try_variant_get(v, "$[1]", "double")).alias("scale"), F.when(bits, second).alias("bits"),
+        F.when(kind == "group", first).alias("count_field"), F.when(kind == "group", second).alias("fields"),
     )
 
 

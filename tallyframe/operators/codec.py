@@ -46,30 +46,41 @@ def _frame_starts(data: np.ndarray, block_bytes: int):
     return at[whole], end[whole]
 
 
+def _last(following: np.ndarray) -> np.ndarray:
+    """For each number the end of the chain that begins with it; the end of a chain follows itself.
+
+    All chains are halved at once, so the number of steps grows with the logarithm of the longest.
+    """
+    while True:
+        further = following[following]
+        if np.array_equal(further, following):
+            return following
+        following = further
+
+
+def _chain(following: np.ndarray, first: int) -> np.ndarray:
+    """The chain that begins with ``first``, without its end, in steps that double."""
+    own, chain = following, np.array([first], dtype=np.int64)
+    while following[chain[-1]] != chain[-1]:
+        chain = np.concatenate((chain, following[chain]))
+        following = following[following]
+    return chain[own[chain] != chain]
+
+
 def _exits(data: np.ndarray, block_bytes: int):
     """Where scanning leaves the block for each place it may enter: (last entry of a run, exit) pairs.
 
     Entries are offsets below the largest frame, exits are offsets from the block's end.
     """
     at, end = _frame_starts(data, block_bytes)
-    following = np.searchsorted(at, end)
-    leave = np.empty(len(at), dtype=np.int64)
-    for i in range(len(at) - 1, -1, -1):
-        if end[i] >= block_bytes:
-            leave[i] = end[i] - block_bytes
-        else:
-            leave[i] = leave[following[i]] if following[i] < len(at) else 0
+    own = np.arange(len(at) + 1)
+    # A frame that runs over the block's end is the last, and so is the place behind all frames.
+    following = np.append(np.where(end >= block_bytes, own[:-1], np.searchsorted(at, end)), len(at))
+    leave = np.append(np.maximum(end - block_bytes, 0), 0)[_last(following)[:-1]]
     reach = int(np.searchsorted(at, HALO))
-    uppers, exits = [], []
-    for position, value in zip(at[: reach + 1].tolist(), leave[: reach + 1].tolist()):
-        if exits and exits[-1] == value:
-            uppers[-1] = position
-        else:
-            uppers.append(position)
-            exits.append(value)
-    uppers.append(max(HALO, block_bytes))
-    exits.append(0)
-    return uppers, exits
+    position, value = at[: reach + 1], leave[: reach + 1]
+    ends = np.append(np.flatnonzero(value[1:] != value[:-1]), len(value) - 1) if len(value) else np.zeros(0, dtype=np.int64)
+    return [*position[ends].tolist(), max(HALO, block_bytes)], [*value[ends].tolist(), 0]
 
 
 def _leave(uppers, exits, entry: int) -> int:
@@ -79,13 +90,8 @@ def _leave(uppers, exits, entry: int) -> int:
 def _cut(data: np.ndarray, block_bytes: int, entry: int):
     """The frames of a block whose scan enters at ``entry``, as (start, end)."""
     at, end = _frame_starts(data, block_bytes)
-    i = int(np.searchsorted(at, entry))
-    following, starts, ends = np.searchsorted(at, end).tolist(), at.tolist(), end.tolist()
-    out = []
-    while i < len(starts):
-        out.append((starts[i], ends[i]))
-        i = following[i]
-    return out
+    chain = _chain(np.append(np.searchsorted(at, end), len(at)), int(np.searchsorted(at, entry)))
+    return list(zip(at[chain].tolist(), end[chain].tolist()))
 
 
 def _cut_whole(data: np.ndarray, block_bytes: int):

@@ -7,17 +7,21 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import collection, rules, vote
+from ..operators import collection, compare, rules, vote
 from ..session import run_dir
-from ..sources import readers, writers
+from ..sources import ingest, readers, writers
 from ..sources.store import Store
 from .base import query, table
 from .voting import VOTES, line_votes
 
 
-def put(rows: DataFrame, spark, kind: str) -> str:
-    """Write (name, data) rows as files below a new shared folder, a file for each row; returns the folder."""
-    folder = run_dir(spark, kind)
+#: Keys of rows that are put into one file, so that files grow in number and not in size.
+PER_FILE = 1000
+
+
+def put(rows: DataFrame, spark, kind: str, folder: str | None = None) -> str:
+    """Write (name, data) rows as files below a shared folder, by default a new one, a file for each row; returns the folder."""
+    folder = folder or run_dir(spark, kind)
 
     def write(batches):
         for batch in batches:
@@ -43,17 +47,45 @@ def listed(rows: DataFrame, by, item, path: str, order) -> DataFrame:
 SELECT p_name AS message_name, p_brand AS brand, CASE p_brand WHEN 'Brand#1' THEN 0 ELSE 1 END AS suffix, count(*) AS n, CAST(sum(1 + p_size % 3) AS BIGINT) AS fields
 FROM part WHERE p_size % 10 <> 0 GROUP BY ALL""")
 def extraction_bundles(spark, folder):
-    """Parts as bundles of extractions, a file per brand; messages without a name are left out by the reader."""
+    """Parts as bundles of extractions by brand; messages without a name are left out by the reader."""
+    rows = readers.extractions(spark, put(bundle_files(spark, folder), spark, "bundles"))
+    return rows.groupBy("message_name", brand(), F.col("seq.suffix").alias("suffix")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("field_count").cast("bigint").alias("fields"))
+
+
+def brand(file: str = "file"):
+    """The brand in a file's name."""
+    return F.concat(F.lit("Brand#"), F.regexp_extract(file, "^Brand-([0-9]+)_", 1)).alias("brand")
+
+
+def bundle_files(spark, folder):
+    """(name, data, p_brand): parts as bundles, PER_FILE keys of a brand in each."""
     size = F.col("p_size")
     field = F.transform(F.sequence(F.lit(0), size % 3), lambda i: F.struct(F.concat(F.lit("f"), i.cast("string")).alias("name"), i.alias("byte_offset"), F.lit("U1").alias("data_type")))
     item = F.struct(F.when(size % 10 != 0, F.col("p_name")).alias("name"), field.alias("fields"))
-    files = listed(table(spark, folder, "part"), ["p_brand"], item, "messages", ["p_partkey"])
+    part = F.floor(F.col("p_partkey") / PER_FILE).alias("part")
+    files = listed(table(spark, folder, "part").withColumn("part", part), ["p_brand", "part"], item, "messages", ["p_partkey"])
     suffix = F.when(F.col("p_brand") == "Brand#1", F.lit(readers.BUNDLE_SUFFIXES[0])).otherwise(F.lit(readers.BUNDLE_SUFFIXES[1]))
-    path = put(files.select(F.concat(F.replace("p_brand", F.lit("#"), F.lit("-")), suffix).alias("name"), "data"), spark, "bundles")
-    rows = readers.extractions(spark, path)
-    brand = F.concat(F.lit("Brand#"), F.regexp_extract("file", "^Brand-([0-9]+)_", 1))
-    return rows.groupBy("message_name", brand.alias("brand"), F.col("seq.suffix").alias("suffix")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("field_count").cast("bigint").alias("fields"))
+    name = F.concat(F.replace("p_brand", F.lit("#"), F.lit("-")), F.lit("_"), F.col("part").cast("string"), suffix)
+    return files.select(name.alias("name"), "data", "p_brand")
+
+
+@query("""
+SELECT p_brand AS brand, CAST(CASE WHEN p_brand < 'Brand#3' THEN 0 ELSE 1 END AS BIGINT) AS batch, count(*) AS messages, CAST(sum(1 + p_size % 3) AS BIGINT) AS fields,
+    CAST(sum(CASE p_size % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 3 END) AS BIGINT) AS offsets
+FROM part WHERE p_size % 10 <> 0 GROUP BY ALL""")
+def ingested_bundles(spark, folder):
+    """Bundles that arrive in two lots; the third run finds no new file."""
+    files, path = bundle_files(spark, folder), run_dir(spark, "ingest")
+    for lot in (F.col("p_brand") < "Brand#3", F.col("p_brand") >= "Brand#3", None):
+        if lot is not None:
+            put(files.where(lot), spark, "ingest", f"{path}/in")
+        ingest.ingest(spark, f"{path}/in", f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    held = Store(spark, f"{path}/table")
+    extraction = held.read("extraction").groupBy(brand(), "batch").agg(F.count(F.lit(1)).alias("messages"))
+    field = held.read("field").groupBy(brand("place.file")).agg(
+        F.count(F.lit(1)).alias("fields"), F.sum("byte_offset").cast("bigint").alias("offsets"))
+    return extraction.join(field, "brand")
 
 
 def store(spark, folder):
@@ -100,7 +132,7 @@ def reviewed_store(spark, folder):
 @query("""
 SELECT '0x' || lpad(lower(hex(p_partkey)), 8, '0') AS key_id, p_name AS name, CASE WHEN p_size % 2 = 0 THEN 's' END AS unit, 1 + p_size % 3 AS n_values, p_size % 2 AS n_bits FROM part""")
 def key_bundles(spark, folder):
-    """Parts as bundles of keys, a file per brand, with values listed or mapped and some bits."""
+    """Parts as bundles of keys by brand, with values listed or mapped and some bits."""
     size = F.col("p_size")
     numbers = F.sequence(F.lit(0), size % 3)
     as_list = F.to_json(F.transform(numbers, lambda i: F.struct(F.concat(F.lit("V"), i.cast("string")).alias("name"), i.alias("value"))))
@@ -110,9 +142,11 @@ def key_bundles(spark, folder):
     item = F.concat(
         F.lit('{"name":'), F.to_json(F.struct(F.col("p_name").alias("n"))).substr(F.lit(6), F.length("p_name") + 2), F.lit(',"key_id":"'), F.format_string("0x%08x", "p_partkey"),
         F.lit('","inline_enum":{"values":'), F.when(F.col("p_partkey") % 2 == 0, as_list).otherwise(as_map), F.lit("}"), bits, unit, F.lit("}"))
-    grouped = table(spark, folder, "part").groupBy("p_brand").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", item.alias("t")))), lambda x: x["t"]), ",").alias("items"))
+    part = F.floor(F.col("p_partkey") / PER_FILE)
+    grouped = table(spark, folder, "part").groupBy("p_brand", part.alias("part")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", item.alias("t")))), lambda x: x["t"]), ",").alias("items"))
     data = F.concat(F.lit('{"keys":['), "items", F.lit("]}"))
-    path = put(grouped.select(F.concat(F.replace("p_brand", F.lit("#"), F.lit("-")), F.lit(readers.KEY_BUNDLE_SUFFIX)).alias("name"), data.alias("data")), spark, "keys")
+    name = F.concat(F.replace("p_brand", F.lit("#"), F.lit("-")), F.lit("_"), F.col("part").cast("string"), F.lit(readers.KEY_BUNDLE_SUFFIX))
+    path = put(grouped.select(name.alias("name"), data.alias("data")), spark, "keys")
     keys = readers.config_keys(spark, path)
     values = readers.key_enum_items(keys).groupBy("key_id").agg(F.count(F.lit(1)).cast("int").alias("n_values"))
     marks = readers.key_bits(keys).groupBy("key_id").agg(F.count(F.lit(1)).cast("int").alias("n_bits"))
@@ -156,6 +190,78 @@ def registry_files(spark, folder):
     return messages.select("name", "class_id").join(found, "name", "left")
 
 
+# -- two registries as raw JSON ----------------------------------------------------------------
+
+
+def two_registries(spark, folder):
+    """A message for each customer in our registry and in the other: (our fields, our bits, their fields, their bits)."""
+    customers = table(spark, folder, "customer").withColumn("part", F.floor(F.col("c_custkey") / PER_FILE))
+    k, name = F.col("c_custkey") % 8, F.to_json(F.struct(F.col("c_name").alias("n"))).substr(F.lit(6), F.length("c_name") + 2)
+    when = lambda number, text: F.when(k == number, F.lit(text)).otherwise(F.lit(""))
+    ours = F.concat(
+        F.lit('{"name":'), name, F.lit(',"class_id":"0x01","message_id":"0x02","payload":{"fields":[{"name":"zz","data_type":"U4"},{"name":"flags","data_type":"X1"'),
+        F.when(k != 6, F.concat(
+            F.lit(',"bitfield":[{"name":"valid","bit_offset":0,"bit_width":3},{"name":"moved","width":1,"bit_offset":'), F.when(k == 7, F.lit("4")).otherwise(F.lit("3")), F.lit("}"),
+            when(3, ',{"name":"mine","bit_offset":6,"width":1}'), F.lit("]"))).otherwise(F.lit("")),
+        F.lit('},{"name":"height","data_type":"I4"},{"name":"reserved0","data_type":"U1"}'), when(5, ',{"name":"own","data_type":"U1"}'), F.lit("]}}"))
+    theirs = F.concat(
+        name, F.lit(':{"zz":'), F.when(k == 1, F.lit('"I004"')).otherwise(F.lit('"U004"')),
+        F.lit(',"flags":["X001",{"valid":"U003","a_moved":"'), F.when(k == 2, F.lit("U002")).otherwise(F.lit("U001")), F.lit('"'), when(1, ',"aa":"U002"'),
+        F.lit('}],"hMSL":["I004",1e-07],"reserved1":"U001","group":["numSvs",{"svId":"U001","bits":["X001",{"b":"U001","a":"U002"}]}]'),
+        when(3, ',"extra":"U001"'), when(4, ',"svs_1":"U001"'), F.lit("}"))
+
+    def put_all(item, start, end, kind):
+        items = customers.groupBy("c_mktsegment", "part").agg(F.array_sort(F.collect_list(F.struct("c_custkey", item.alias("t")))).alias("l"))
+        data = F.concat(F.lit(start), F.array_join(F.transform("l", lambda x: x["t"]), ","), F.lit(end))
+        return put(items.select(F.concat("c_mktsegment", F.lit("_"), F.col("part").cast("string"), F.lit(".json")).alias("name"), data.alias("data")), spark, kind)
+
+    mine = readers.registry_fields(readers.registry(spark, put_all(ours, '{"messages":[', "]}", "ours")))
+    fields, bits = readers.second_registry(spark, put_all(theirs, "{", "}", "theirs"))
+    return mine.withColumnRenamed("name", "message"), readers.registry_bits(mine).withColumnRenamed("name", "message"), fields, bits
+
+
+ALIASES = "our_name string, other_name string"
+
+
+@query("""
+SELECT c_name AS message, field, issue, our_type, other_type FROM customer, (VALUES
+    (1, 'zz', 'type_mismatch', 'U4', 'I004'), (3, 'extra', 'library_only', NULL, 'U001'), (4, 'svs_1', 'ignored', NULL, 'U001'), (5, 'own', 'our_only', 'U1', NULL)) v(k, field, issue, our_type, other_type)
+WHERE c_custkey % 8 = k""")
+def registries_compared(spark, folder):
+    """Both registries read from raw JSON and compared; every kind of issue comes up."""
+    ours, _, theirs, _ = two_registries(spark, folder)
+    aliases = spark.createDataFrame([("height", "hMSL")], ALIASES)
+    top = theirs.where("size(path) = 0").withColumnRenamed("type", "data_type")
+    return compare.cross(ours, top, "message", "field", "data_type", aliases, ignore_patterns=["svs_"])
+
+
+@query("""
+SELECT c_name AS message, 'flags' AS field, bit, issue, CAST(our_offset AS BIGINT) AS our_offset, CAST(other_offset AS BIGINT) AS other_offset, CAST(our_width AS BIGINT) AS our_width, CAST(other_width AS BIGINT) AS other_width
+FROM customer, (VALUES (6, NULL, 'missing_bitfield', NULL, NULL, NULL, NULL), (7, 'moved', 'offset_mismatch', 4, 3, 1, 1), (2, 'moved', 'width_mismatch', 3, 3, 1, 2),
+    (1, 'aa', 'only_theirs', NULL, 4, NULL, 2), (3, 'mine', 'only_ours', 6, NULL, 1, NULL)) v(k, bit, issue, our_offset, other_offset, our_width, other_width)
+WHERE c_custkey % 8 = k""")
+def registries_bits_compared(spark, folder):
+    """Bits of the matched fields; those of the other registry begin where the ones before them in the text end."""
+    ours, our_bits, theirs, bits = two_registries(spark, folder)
+    placed = compare.bit_offsets(bits.where("size(path) = 0"), ["message", "field"], ["pos"], "width")
+    top = theirs.where("size(path) = 0").withColumnRenamed("type", "data_type")
+    return compare.cross_bits(
+        ours, top, our_bits, placed.select("message", "field", "bit", "bit_offset", "width"), "message", "field", "data_type", "bit",
+        spark.createDataFrame([("height", "hMSL")], ALIASES), spark.createDataFrame([("moved", "a_moved")], ALIASES))
+
+
+@query("""
+SELECT c_name AS message, path, pos, field, kind, type, scale, count_field FROM customer, (VALUES
+    ('', 0, 'zz', 'plain', NULL, NULL, NULL), ('', 1, 'flags', 'bitfield', 'X001', NULL, NULL), ('', 2, 'hMSL', 'scaled', 'I004', CAST(1e-07 AS DOUBLE), NULL), ('', 3, 'reserved1', 'plain', 'U001', NULL, NULL),
+    ('', 4, 'group', 'group', 'group', NULL, 'numSvs'), ('group', 0, 'svId', 'plain', 'U001', NULL, NULL), ('group', 1, 'bits', 'bitfield', 'X001', NULL, NULL)) v(path, pos, field, kind, ptype, scale, count_field),
+    (SELECT CASE WHEN field = 'zz' THEN CASE WHEN c_custkey % 8 = 1 THEN 'I004' ELSE 'U004' END ELSE ptype END AS type)
+UNION ALL SELECT c_name, '', 5, CASE c_custkey % 8 WHEN 3 THEN 'extra' ELSE 'svs_1' END, 'plain', 'U001', NULL, NULL FROM customer WHERE c_custkey % 8 IN (3, 4)""")
+def second_registry(spark, folder):
+    """The other registry as rows, members of groups among them, in the order of the text."""
+    found = two_registries(spark, folder)[2]
+    return found.withColumn("path", F.array_join("path", ".")).drop("rest")
+
+
 @query("""
 SELECT source AS message, CAST(doc_id AS VARCHAR) AS manual, CASE WHEN quality IS NULL THEN NULL ELSE quality = 1 END AS matches, CASE WHEN quality = 0 THEN 'size ' || n_chars END AS issue
 FROM documents LEFT JOIN labels USING (doc_id)""")

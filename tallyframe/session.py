@@ -56,11 +56,14 @@ def clear(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back, so that loops keep short plans and survive lost executors."""
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that loops keep short plans and survive lost executors.
+
+    ``compression`` is that of the files; by default the session's.
+    """
     spark = df.sparkSession
     path = run_dir(spark, "cut")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,6 +6,8 @@ parsed as VARIANT; what cannot be used goes to a second DataFrame with the reaso
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,9 +22,12 @@ KEY_BUNDLE_SUFFIX = "_gemini_config_keys.json"
 VALIDATION_SUFFIX = "_validation.json"
 
 
-def documents(spark: SparkSession, path: str, pattern: str = "*.json", recursive=False) -> DataFrame:
-    """(file, folder, stem, text, document): one row per JSON file; document is null for bad JSON."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", pattern)
+def documents(spark: SparkSession, path: str, pattern: str = "*.json", recursive=False, stream=False) -> DataFrame:
+    """(file, folder, stem, text, document): one row per JSON file; document is null for bad JSON.
+
+    With ``stream`` the files are a stream, of which each comes once.
+    """
+    reader = (spark.readStream if stream else spark.read).option("wholetext", True).option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     parts = F.split(F.col("_metadata.file_path"), "/")
@@ -49,7 +54,11 @@ def extractions(spark: SparkSession, path: str) -> DataFrame:
 
     ``seq`` is the reading order: suffix, file name, position.
     """
-    files = documents(spark, path, "*.json")
+    return extraction_rows(documents(spark, path, "*.json"))
+
+
+def extraction_rows(files: DataFrame) -> DataFrame:
+    """:func:`extractions` of documents."""
     rank = F.lit(None).cast("int")
     for i, suffix in enumerate(BUNDLE_SUFFIXES):
         rank = F.when(F.col("file").endswith(suffix), F.lit(i)).otherwise(rank)
@@ -78,7 +87,11 @@ def conversations(spark: SparkSession, path: str, reviewed=False) -> tuple[DataF
 
     With ``reviewed`` the version is 0 and the review is kept.
     """
-    files = documents(spark, path, "*.json", recursive=True)
+    return conversation_rows(documents(spark, path, "*.json", recursive=True), reviewed)
+
+
+def conversation_rows(files: DataFrame, reviewed=False) -> tuple[DataFrame, DataFrame]:
+    """:func:`conversations` of documents."""
     rows = files.select(
         F.col("folder").alias("manual"), "file",
         F.col("document").isNull().alias("_bad"),
@@ -127,7 +140,12 @@ def adjudication_input(extracted: DataFrame) -> DataFrame:
 
 def config_keys(spark: SparkSession, path: str) -> DataFrame:
     """Key bundles as one row per key that has an id, in file order."""
-    files = documents(spark, path, f"*{KEY_BUNDLE_SUFFIX}").select("file", _items("$.keys"))
+    return key_rows(documents(spark, path, f"*{KEY_BUNDLE_SUFFIX}"))
+
+
+def key_rows(files: DataFrame) -> DataFrame:
+    """:func:`config_keys` of documents."""
+    files = files.select("file", _items("$.keys"))
     part = lambda name: F.try_variant_get("item", f"$.{name}", "string")
     blank = F.lit("")
     rows = files.select(
@@ -175,7 +193,11 @@ def key_bits(keys: DataFrame) -> DataFrame:
 
 def registry(spark: SparkSession, path: str, key: str = "messages", pattern: str = "*.json") -> DataFrame:
     """Registry files as one row per message; a file without the list is one message."""
-    files = documents(spark, path, pattern)
+    return registry_rows(documents(spark, path, pattern), key)
+
+
+def registry_rows(files: DataFrame, key: str = "messages") -> DataFrame:
+    """:func:`registry` of documents."""
     many = _get(f"$.{key}", "array<variant>")
     rows = files.select("file", F.posexplode(F.coalesce(many, F.array("document"))).alias("pos", "item"))
     part = lambda name, kind="string": F.try_variant_get("item", f"$.{name}", kind)
@@ -187,6 +209,54 @@ def registry(spark: SparkSession, path: str, key: str = "messages", pattern: str
     ).where("name is not null")
 
 
+def registry_fields(messages: DataFrame) -> DataFrame:
+    """(name, pos, field, data_type, bits) of registry rows; bits are JSON, null where a field has none."""
+    rows = messages.select("name", F.posexplode(F.try_variant_get(F.parse_json("structure"), "$.payload.fields", "array<variant>")).alias("pos", "item"))
+    part = lambda name, kind: F.try_variant_get("item", f"$.{name}", kind)
+    bits = F.to_json(part("bitfield", "variant"))
+    return rows.select(
+        "name", "pos", part("name", "string").alias("field"), part("data_type", "string").alias("data_type"), F.when(~bits.isin("[]", "{}", "null"), bits).alias("bits"),
+    ).where("field is not null")
+
+
+def registry_bits(fields: DataFrame) -> DataFrame:
+    """(name, field, bit, bit_offset, width) of the bits listed in :func:`registry_fields`."""
+    listed = F.try_variant_get(F.try_parse_json("bits"), "$", "array<variant>")
+    rows = fields.select("name", "field", F.explode(listed).alias("item"))
+    part = lambda name, kind="bigint": F.try_variant_get("item", f"$.{name}", kind)
+    return rows.select(
+        "name", "field", part("name", "string").alias("bit"), part("bit_offset").alias("bit_offset"),
+        F.coalesce(F.when(part("bit_width") != 0, part("bit_width")), part("width")).alias("width"),
+    ).where("bit is not null")
+
+
+def second_registry(spark: SparkSession, path: str, pattern: str = "*.json", depth: int = 4) -> tuple[DataFrame, DataFrame]:
+    """The other registry, files of {message: {field: type}}, as (fields, bits), both in the order of the text.
+
+    ``fields``: message, path (the groups around a field), pos, field, kind, type, scale, count_field, rest. Members of
+    groups have rows of their own; a group below ``depth`` others keeps its members as JSON in ``rest``.
+    ``bits``: message, path, field, pos, bit, width. Objects are read as maps of texts, which keep their order.
+    """
+    mapped = "map<string,string>"
+    level = documents(spark, path, pattern).select(F.explode(F.from_json("text", mapped)).alias("message", "_members"))
+    level = level.withColumn("path", F.array().cast("array<string>"))
+    levels = []
+    for number in range(1, depth + 1):
+        entries = F.posexplode(F.map_entries(F.from_json("_members", mapped))).alias("pos", "_e")
+        rows = level.select("message", "path", entries)
+        rows = rows.select("message", "path", "pos", F.col("_e.key").alias("field"), n.registry_form("_e.value").alias("form"))
+        # Deeper groups are not taken apart.
+        levels.append(rows.withColumn("rest", F.col("form.fields") if number == depth else F.lit(None).cast("string")))
+        level = rows.where("form.kind = 'group'").select("message", F.array_append("path", F.col("field")).alias("path"), F.col("form.fields").alias("_members"))
+    found = reduce(DataFrame.unionByName, levels)
+    fields = found.select("message", "path", "pos", "field", "form.kind", "form.type", "form.scale", "form.count_field", "rest")
+    entries = F.posexplode(F.map_entries(F.from_json("form.bits", mapped))).alias("pos", "_b")
+    bits = found.where("form.bits is not null").select("message", "path", "field", entries)
+    width = F.col("_b.value")
+    sized = F.when(width.rlike("^U[0-9]+$"), F.substring(width, 2, 9).cast("bigint")).otherwise(F.lit(1).cast("bigint"))
+    return fields, bits.select("message", "path", "field", "pos", F.col("_b.key").alias("bit"), sized.alias("width"))
+
+
 def registry_variants(messages: DataFrame) -> DataFrame:
     """Variants of registry rows with their discriminators."""
     rows = messages.select(

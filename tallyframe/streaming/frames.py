@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions import fixed
-from ..operators.codec import _frame_starts
+from ..operators.codec import _chain, _frame_starts
 
-STATE = "carry binary, at bigint, next_seq bigint, numbers array<bigint>, held array<binary>"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Bytes of early chunks that a device may have waiting.
+MOST_WAITING = 1 << 26
 
 
 def _advance(buffer: bytes):
@@ -19,67 +25,128 @@ def _advance(buffer: bytes):
     if len(data) < fixed.FRAME_OVERHEAD:
         return [], 0
     starts, ends = _frame_starts(data, len(data))
-    sync = np.flatnonzero((data[:-1] == fixed.SYNC[0]) & (data[1:] == fixed.SYNC[1]))
-    waiting = np.setdiff1d(sync, starts)
-    found, position = [], 0
-    while True:
-        i = int(np.searchsorted(starts, position))
-        w = int(np.searchsorted(waiting, position))
-        start = int(starts[i]) if i < len(starts) else None
-        wait = int(waiting[w]) if w < len(waiting) else None
-        if wait is not None and (start is None or wait < start):
-            return found, wait  # a sync whose frame may still be arriving
-        if start is None:
-            tail = len(data) - 1 if data[-1] == fixed.SYNC[0] else len(data)
-            return found, max(position, tail)
-        found.append((start, int(ends[i])))
-        position = int(ends[i])
-
-
-def frames(chunks: DataFrame, device: str, seq: str, data: str, first: int = 0, give_up_ms: int | None = None) -> DataFrame:
-    """(device, offset, frame, rejected) as chunks arrive, from chunks numbered by ``seq`` without gaps from ``first`` on.
+    marks = np.flatnonzero((data[:-1] == fixed.SYNC[0]) & (data[1:] == fixed.SYNC[1]))
+    # A mark whose frame may still be arriving ends the chain, and so does the place behind all marks.
+    following = np.arange(len(marks) + 1)
+    whole = np.searchsorted(marks, starts)
+    following[whole] = np.searchsorted(marks, ends)
+    chain = _chain(following, 0)
+    at = np.searchsorted(starts, marks[chain])
+    found = list(zip(starts[at].tolist(), ends[at].tolist()))
+    end = int(following[chain[-1]]) if len(chain) else 0
+    if end < len(marks):
+        return found, int(marks[end])
+    tail = len(data) - 1 if data[-1] == fixed.SYNC[0] else len(data)
+    return found, max(found[-1][1] if found else 0, tail)
+
+
+def _digest(chunk: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(chunk, digest_size=8).digest(), "little", signed=True)
 
-    Chunks may arrive in any order over any micro-batches: one that is early waits in the state until those
-    before it have come; one that has been used already is a repetition and is passed over. ``rejected`` is null
-    for frames. With ``give_up_ms`` a device whose next chunk has not come for that long gives the gap up:
-    every waiting chunk comes out as a row with its ``seq`` as ``rejected``, its bytes as ``frame`` and no
-    offset; scanning goes on behind them, and as the length of the gap is unknown, later frames have no offset.
-    Without it chunks wait for as long as it takes. The state holds one unfinished frame and the waiting chunks.
-    """
-    key_type = dict(chunks.dtypes)[device]
 
-    def step(key, batches, state):
-        carry, at, expected, numbers, held = state.get if state.exists else (b"", 0, first, [], [])
+class Reassembly(StatefulProcessor):
+    """Chunks of one device. Early chunks are entries of a map: each is written once, read once and removed."""
+
+    def __init__(self, device: str, seq: str, data: str, first: int, give_up_ms: int | None, most_waiting: int):
+        self.device, self.seq, self.data = device, seq, data
+        self.first, self.give_up_ms, self.most_waiting = first, give_up_ms, most_waiting
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.front = handle.getValueState("front", "carry binary, at bigint, next bigint, waiting bigint, timer bigint")
+        self.held = handle.getMapState("held", "seq bigint", "data binary")
+        self.used = handle.getMapState("used", "seq bigint", "digest bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        carry, at, expected, waiting, timer = self.front.get() if self.front.exists() else (b"", 0, self.first, 0, None)
         carry = bytes(carry)
-        waiting = dict(zip(numbers, held))
-        offsets, found, rejected = [], [], []
-        if state.hasTimedOut:
-            for number in sorted(waiting):
-                offsets.append(None)
-                found.append(bytes(waiting[number]))
-                rejected.append(number)
-            if waiting:
-                carry, at, expected, waiting = b"", None, max(waiting) + 1, {}
-        for rows in batches:
-            for number, chunk in zip(rows[seq].tolist(), rows[data]):
-                if number >= expected:
-                    waiting[number] = chunk
-            while expected in waiting:
-                buffer = carry + bytes(waiting.pop(expected))
+        for batch in rows:
+            out = []
+
+            def take(chunk: bytes) -> None:
+                nonlocal carry, at, expected
+                self.used.updateValue((expected,), (_digest(chunk),))
+                buffer = carry + chunk
                 cut, rest = _advance(buffer)
-                offsets += [None if at is None else at + start for start, _ in cut]
-                found += [buffer[start:end] for start, end in cut]
-                rejected += [None] * len(cut)
+                out.extend((None if at is None else at + start, buffer[start:end], None, None) for start, end in cut)
                 at, carry, expected = None if at is None else at + rest, buffer[rest:], expected + 1
-        state.update((carry, at, expected, list(waiting), [bytes(c) for c in waiting.values()]))
-        if give_up_ms is not None and waiting:
-            state.setTimeoutDuration(give_up_ms)
-        yield pd.DataFrame({
-            device: [key[0]] * len(found), "offset": pd.array(offsets, "Int64"), "frame": found, "rejected": pd.array(rejected, "Int64"),
+
+            for number, chunk in zip(batch[self.seq].tolist(), batch[self.data]):
+                chunk = bytes(chunk or b"")
+                if number < expected:
+                    known = self.used.getValue((number,)) if self.used.containsKey((number,)) else None
+                    if known is None or known[0] != _digest(chunk):
+                        out.append((None, chunk, number, "late" if known is None else "differs"))
+                elif number == expected:
+                    take(chunk)
+                    while waiting and self.held.containsKey((expected,)):
+                        early = bytes(self.held.getValue((expected,))[0])
+                        self.held.removeKey((expected,))
+                        waiting -= len(early) + 1
+                        take(early)
+                elif self.held.containsKey((number,)):
+                    if bytes(self.held.getValue((number,))[0]) != chunk:
+                        out.append((None, chunk, number, "differs"))
+                elif waiting + len(chunk) + 1 > self.most_waiting:
+                    out.append((None, chunk, number, "no room"))
+                else:
+                    self.held.updateValue((number,), (chunk,))
+                    waiting += len(chunk) + 1
+            yield self._rows(key, out)
+        if self.give_up_ms is not None:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            timer = timerValues.getCurrentProcessingTimeInMs() + self.give_up_ms if waiting else None
+            if timer is not None:
+                self.handle.registerTimer(timer)
+        self.front.update((carry, at, expected, waiting, timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        _, _, expected, waiting, timer = self.front.get()
+        if timer != expiredTimerInfo.getExpiryTimeInMs() or not waiting:
+            return
+        for number in sorted(k[0] for k in self.held.keys()):
+            yield self._rows(key, [(None, bytes(self.held.getValue((number,))[0]), number, "gap")])
+            expected = number + 1
+        self.held.clear()
+        self.front.update((b"", None, expected, 0, None))
+
+    def _rows(self, key, out: list[tuple]) -> pd.DataFrame:
+        offsets, frames, numbers, reasons = zip(*out) if out else ((), (), (), ())
+        return pd.DataFrame({
+            self.device: pd.Series([key[0]] * len(out), dtype=object), "offset": pd.array(offsets, "Int64"), "frame": pd.Series(frames, dtype=object),
+            "rejected": pd.array(numbers, "Int64"), "reason": pd.Series(reasons, dtype=object),
         })
 
-    slim = chunks.select(device, F.col(seq).cast("bigint").alias(seq), data)
-    return slim.groupBy(device).applyInPandasWithState(
-        step, f"`{device}` {key_type}, offset bigint, frame binary, rejected bigint", STATE, "append",
-        "NoTimeout" if give_up_ms is None else "ProcessingTimeTimeout",
+    def close(self) -> None:
+        pass
+
+
+def frames(
+    chunks: DataFrame, device: str, seq: str, data: str, first: int = 0, give_up_ms: int | None = None, most_waiting: int = MOST_WAITING,
+) -> DataFrame:
+    """(device, offset, frame, rejected, reason) as chunks arrive, from chunks numbered by ``seq`` without gaps from ``first`` on.
+
+    Chunks may arrive in any order over any micro-batches: one that is early waits in the state until those
+    before it have come; a repetition of one that has come is passed over. ``rejected`` is null for frames. Chunks
+    that cannot be used come out with their ``seq`` as ``rejected``, their bytes as ``frame`` and a ``reason``:
+
+    * ``differs``: a chunk of that number with other bytes has come before; that one counts;
+    * ``no room``: more than ``most_waiting`` bytes of the device would wait; the chunk may be sent again;
+    * ``gap``: with ``give_up_ms``, the next chunk has not come for that long and the gap is given up. Scanning goes on
+      behind the waiting chunks, and as the length of the gap is unknown, later frames have no offset;
+    * ``late``: the chunk belongs to a gap that was given up.
+
+    The state of a device holds one unfinished frame, the waiting chunks and eight bytes for each chunk used. It needs
+    the RocksDB state store, which is set for the session where another one is.
+    """
+    spark = chunks.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    kind = dict(chunks.dtypes)[device]
+    slim = chunks.select(device, F.col(seq).cast("bigint").alias(seq), F.col(data).cast("binary").alias(data))
+    return slim.groupBy(device).transformWithStateInPandas(
+        Reassembly(device, seq, data, first, give_up_ms, most_waiting),
+        f"`{device}` {kind}, offset bigint, frame binary, rejected bigint, reason string", "append",
+        "None" if give_up_ms is None else "ProcessingTime",
     )

@@ -1,8 +1,11 @@
 """Scanning against a single pass, and values against struct."""
 
+import os
 import random
 import struct
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +147,61 @@ def test_frames_over_chunk_borders_in_any_order(spark, tmp_path):
     assert seen == expected[: len(seen)] and len(seen) > 0
 
 
+def test_differing_and_too_many_chunks_are_rejected(spark, tmp_path):
+    frames = [make(1, n, bytes([n] * 40)) for n in range(6)]
+    rows = [("d", n, f) for n, f in enumerate(frames)]
+    batches = [
+        [rows[0], rows[2], ("e", 0, frames[0][:20])],
+        [("d", 0, b"other"), ("d", 2, b"other"), rows[2]],  # differ from one used and from one waiting
+        [rows[3], rows[4]],  # 4 has no room beside 2 and 3
+        [rows[1], ("e", 1, frames[0][20:])],
+        [rows[4], rows[3], rows[5]],
+    ]
+    found = late_stream(spark, tmp_path, batches, most_waiting=120)
+    good = {(r.device, r.offset, bytes(r.frame)) for r in found if r.rejected is None}
+    assert good == {("d", at, f) for at, f in scan_in_one_pass(b"".join(frames))} | {("e", 0, frames[0])}
+    assert sorted((r.rejected, r.reason, bytes(r.frame)) for r in found if r.rejected is not None) == [
+        (0, "differs", b"other"), (2, "differs", b"other"), (4, "no room", frames[4])]
+
+
+def test_a_gap_is_given_up_after_a_time(spark, tmp_path):
+    frames = [make(1, n, bytes([n] * 4)) for n in range(5)]
+    rows = [("d", n, f) for n, f in enumerate(frames)]
+    folder, schema = str(tmp_path / "in"), "device string, seq bigint, data binary"
+    spark.createDataFrame([rows[0], rows[2]], schema).coalesce(1).write.parquet(f"{folder}/b0")
+    found = stream_frames(spark.readStream.schema(schema).parquet(f"{folder}/b*"), "device", "seq", "data", give_up_ms=1)
+    query = found.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="1 second").start(str(tmp_path / "out"))
+    try:
+        out = lambda: spark.read.schema(found.schema).parquet(str(tmp_path / "out")) if os.path.exists(tmp_path / "out") else None
+
+        def wait(until):  # a query with timers never runs out of batches
+            deadline = time.time() + 60
+            while time.time() < deadline and not (out() is not None and until(out())):
+                time.sleep(0.5)
+
+        wait(lambda seen: seen.where("reason = 'gap'").count())
+        spark.createDataFrame([rows[1], rows[3]], schema).coalesce(1).write.parquet(f"{folder}/b1")
+        wait(lambda seen: seen.where("offset IS NULL AND rejected IS NULL OR reason = 'late'").count() == 2)
+    finally:
+        query.stop()
+    out = out().collect()
+    assert sorted((r.rejected, r.reason) for r in out if r.rejected is not None) == [(1, "late"), (2, "gap")]
+    assert sorted((r.offset, bytes(r.frame)) for r in out if r.rejected is None and r.offset is not None) == [(0, frames[0])]
+    assert [bytes(r.frame) for r in out if r.rejected is None and r.offset is None] == [frames[3]]
+
+
+def test_chains_by_doubling():
+    rng = random.Random(4)
+    for n in (0, 1, 2, 50, 333):
+        following = np.array([rng.choice([i, *range(i + 1, min(n, i + 4) + 1)]) for i in range(n)] + [n])
+        for first in range(n + 1):
+            chain, at = [], first
+            while following[at] != at:
+                chain.append(at)
+                at = int(following[at])
+            assert codec._chain(following, first).tolist() == chain and codec._last(following)[first] == at
+
+
 def test_stream_advance_matches_one_pass():
     rng = random.Random(9)
     data = b"".join(make(1, 2, rng.randbytes(rng.randrange(60))) + rng.choice([b"", b"\x00\xb5", b"noise"]) for _ in range(200))

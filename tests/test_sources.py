@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions import naming
 from tallyframe.operators import codec, keys, merge, rules, vote
 from tallyframe.plans import flows
-from tallyframe.sources import readers, writers
+from tallyframe.sources import ingest, readers, writers
 from tallyframe.sources.store import Store
 
 
@@ -207,3 +207,58 @@ def test_variant_order_puts_unknown_last(spark):
     assert {(r.name, r.variant_count) for r in merged.collect()} == {("C", 0), ("B", 2)}
     assert {(r.variant, r.discriminator, r.variant_index) for r in variants.collect()} == {("X", 4, 0), ("Y", None, 1)}
     assert aliases.where(F.col("alias") == "B-Z").count() == 1
+
+
+def test_ingestion_reads_new_files_only(spark, tmp_path, monkeypatch):
+    read = []
+    parse = ingest.extractions
+
+    def noted(files):
+        read.append(sorted(r.file for r in files.select("file").collect()))
+        return parse(files)
+
+    run = lambda: ingest.ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c"), noted).awaitTermination()
+    put(tmp_path / "in", "u-blox-F9-HPG-1.51_a_gemini.json", {"messages": [{"name": "M", "fields": FIELDS}, {"fields": FIELDS}]})
+    put(tmp_path / "in", "bad_gemini.json", "{broken")
+    run()
+    put(tmp_path / "in", "u-blox-M10-SPG-5.30_a_anthropic.json", {"messages": [{"name": "M", "fields": OTHER}]})
+    put(tmp_path / "in", "unlisted_gemini.json", {"other": 1})
+    run()
+    run()
+    assert read == [["bad_gemini.json", "u-blox-F9-HPG-1.51_a_gemini.json"], ["u-blox-M10-SPG-5.30_a_anthropic.json", "unlisted_gemini.json"]]
+    store = Store(spark, str(tmp_path / "t"))
+    assert sorted((r.batch, r.message_name, r.family) for r in store.read("extraction").collect()) == [(0, "M", "F9"), (1, "M", "M10")]
+    assert sorted((r.file, r.reason) for r in store.read("reject").collect()) == [("bad_gemini.json", "malformed JSON"), ("unlisted_gemini.json", "no list")]
+    fields = store.read("field")
+    assert fields.where("batch = 0").count() == len(FIELDS) and fields.where("family = 'M10'").count() == len(OTHER)
+    whole = readers.extractions(spark, str(tmp_path / "in")).select("message_name", "fingerprint").collect()
+    assert sorted(whole) == sorted(store.read("extraction").select("message_name", "fingerprint").collect())
+
+
+def test_a_batch_of_files_that_is_repeated_adds_nothing(spark, tmp_path):
+    put(tmp_path / "in", "r.json", {"messages": [{"name": "N", "class_id": "0x01", "message_id": "0x07", "payload": {"fields": [
+        {"name": "f", "data_type": "X1", "bitfield": [{"name": "b", "bit_offset": 0, "bit_width": 2}]}]}}]})
+    run = lambda: ingest.ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c"), ingest.registry).awaitTermination()
+    run()
+    for name in ("0", ".0.crc"):
+        if (tmp_path / "c" / "commits" / name).exists():
+            (tmp_path / "c" / "commits" / name).unlink()
+    run()
+    store = Store(spark, str(tmp_path / "t"))
+    assert [store.read(part).count() for part in ("message", "field", "bit", "variant")] == [1, 1, 1, 0]
+    assert store.read("bit").first()[:5] == ("N", "f", "b", 0, 2)
+
+
+def test_second_registry_keeps_the_order_of_the_text(spark, tmp_path):
+    text = '{"M": {"z": "U001", "a": ["X002", {"q": "U003", "b": "U001", "odd": 7}], "g": ["num", {"y": "U004", "x": ["n2", {"d": ["n3", {"e": "U001"}]}]}], "s": ["I004", 0.01], "c": "CH[4]"}, "E": {}}'
+    put(tmp_path / "o", "o.json", text)
+    put(tmp_path / "o", "bad.json", "{broken")
+    fields, bits = readers.second_registry(spark, str(tmp_path / "o"), depth=2)
+    rows = sorted((tuple(r.path), r.pos, r.field, r.kind, r.type, r.count_field, r.rest) for r in fields.collect())
+    assert rows == [
+        ((), 0, "z", "plain", "U001", None, None), ((), 1, "a", "bitfield", "X002", None, None), ((), 2, "g", "group", "group", "num", None),
+        ((), 3, "s", "scaled", "I004", None, None), ((), 4, "c", "plain", "CH[4]", None, None),
+        (("g",), 0, "y", "plain", "U004", None, None), (("g",), 1, "x", "group", "group", "n2", '{"d":["n3",{"e":"U001"}]}')]
+    assert [(r.field, r.bit, r.width) for r in bits.orderBy("pos").collect()] == [("a", "q", 3), ("a", "b", 1), ("a", "odd", 1)]
+    deep, _ = readers.second_registry(spark, str(tmp_path / "o"))
+    assert {(tuple(r.path), r.field) for r in deep.collect()} >= {(("g", "x"), "d"), (("g", "x", "d"), "e")}
