@@ -164,6 +164,63 @@ def expect(df: DataFrame, rules) -> DataFrame:
     return counted.select("rule", "checked", "violations", met.alias("passed"))
 
 
+@dataclass(frozen=True)
+class Keyed:
+    """A rule over the rows of one key; rows where ``where`` does not hold are passed over.
+
+    ``unique``: no key has two rows. ``group``: a key has at least ``least`` different items, null ones not counted.
+    ``reference``: every key is among those of the ``known`` rows of the same rule name, mostly of another table.
+    ``total``: there are at least ``least`` different items in all.
+    """
+
+    name: str
+    kind: str
+    key: tuple[Column, ...] = ()
+    item: Column | None = None
+    least: int = 1
+    where: Column | None = None
+
+
+def check(*tables: tuple[DataFrame, list[Rule | Keyed]]) -> DataFrame:
+    """One row per rule of whole rule sets, as of :func:`expect`: each table is read once, for rules of every kind.
+
+    A row gives one entry (rule, key, item) for each of its rules; the entries are counted by all three, by rule and key, and
+    by rule. Entries without a key are counted before the shuffle, and a key of very many rows is a few partial counts.
+    """
+
+    def entry(rule: Rule | Keyed) -> Column:
+        keyed = isinstance(rule, Keyed)
+        text = lambda columns: F.to_json(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)]), {"ignoreNullFields": "false"})
+        none, item = F.lit(None).cast("string"), getattr(rule, "item", None)
+        fields = F.struct(
+            F.lit(rule.name).alias("rule"), F.lit("row" if not keyed else "reference" if rule.kind == "known" else rule.kind).alias("kind"),
+            F.lit(1.0 if keyed else float(rule.share)).alias("share"), F.lit(rule.least if keyed else 1).alias("least"),
+            (text(rule.key) if keyed and rule.key else none).alias("key"),
+            (none if item is None else F.when(item.isNotNull(), text((item,)))).alias("item"),
+            (F.lit(True) if keyed else F.coalesce(rule.condition, F.lit(False))).alias("ok"), F.lit(keyed and rule.kind == "known").alias("known"),
+        )
+        where = rule.where if keyed else None
+        return fields if where is None else F.when(where, fields)
+
+    entries = [df.select(F.inline(F.array_compact(F.array(*[entry(r) for r in rules])))) for df, rules in tables]
+    of = ["rule", "kind", "share", "least", "key"]
+    # The known side says nothing about how many items a rule wants.
+    items = reduce(DataFrame.unionByName, entries).groupBy(*of, "item").agg(
+        F.count_if(~F.col("known")).alias("n"), F.count_if(~F.col("ok")).alias("bad"), F.max("known").alias("known")
+    )
+    keys = items.groupBy(*of).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.max("known").alias("known"), F.count("item").alias("items"))
+    kind, used = F.col("kind"), (F.col("n") > 0).cast("bigint")
+    short = F.greatest(F.lit(0).cast("bigint"), F.col("least") - F.col("items"))
+    checked = F.when(kind == "row", F.col("n")).when(kind == "total", F.col("items")).otherwise(used)
+    broken = (
+        F.when(kind == "row", F.col("bad")).when(kind == "unique", (F.col("n") > 1).cast("bigint"))
+        .when(kind == "group", (short > 0).cast("bigint")).when(kind == "total", short).otherwise(used * (~F.col("known")).cast("bigint"))
+    )
+    counted = keys.groupBy("rule", "kind").agg(F.sum(checked).alias("checked"), F.sum(broken).alias("violations"), F.max("share").alias("share"))
+    met = F.when(F.col("kind") == "row", F.col("checked") - F.col("violations") >= F.col("share") * F.col("checked")).otherwise(F.col("violations") == 0)
+    return counted.select("rule", "checked", "violations", met.alias("passed"))
+
+
 def violations(df: DataFrame, rule: Rule) -> DataFrame:
     return df.where(~F.coalesce(rule.condition, F.lit(False)))
 
@@ -233,6 +290,49 @@ def enum_rules() -> list[Rule]:
     ]
 
 
+#: Types of enumerations, the contexts of the one that depends on them, and how many enumerations there are at least
+ENUM_TYPES = ["U1", "U2", "U4", "U8", "I1", "I2", "I4", "I8"]
+CONTEXTS = ["gps", "galileo", "beidou", "glonass"]
+CONTEXT_ENUM = "sigId"
+LEAST_ENUMS = 20
+
+
+def enum_value_set() -> list[Rule | Keyed]:
+    """All rules of enumeration values (enum, context, type, value, name, description); context is null where there is none."""
+    plain = F.col("context").isNull()
+    return [
+        Rule("value_present", F.col("value").isNotNull() & F.col("name").isNotNull()),
+        Rule("value_fits_type", ~plain | (F.col("value").isNotNull() & fits_type("value", "type"))),
+        Rule("described", F.length(F.coalesce("description", F.lit(""))) > 0, share=0.8),
+        Keyed("duplicate_value", "unique", (F.col("enum"), F.col("context"), F.col("value")), where=F.col("value").isNotNull()),
+        Keyed("duplicate_name", "unique", (F.col("enum"), F.col("name")), where=plain & F.col("name").isNotNull()),
+        Keyed("contexts", "group", (F.col("enum"),), F.when(F.col("context").isin(CONTEXTS), F.col("context")), 2, F.col("enum") == CONTEXT_ENUM),
+        Keyed("enumerations", "total", (), F.col("enum"), LEAST_ENUMS),
+    ]
+
+
+def enum_set() -> list[Rule | Keyed]:
+    """All rules of enumerations (enum, type, values, occurrences, messages, per_context); messages counts those listed, null without a list."""
+    apart = F.col("per_context")
+    listed = F.coalesce(F.col("messages") > 0, F.lit(False))
+    return [
+        Rule("has_type_and_values", apart | (F.col("type").isNotNull() & F.col("values").isNotNull())),
+        Rule("type_known", apart | F.col("type").isin(ENUM_TYPES)),
+        Rule("occurrences_tracked", apart | F.col("occurrences").isNotNull() | F.col("messages").isNotNull()),
+        Rule("occurrences_listed", apart | (F.coalesce("occurrences", F.lit(0)) <= 0) | listed),
+    ]
+
+
+def enum_references() -> list[Keyed]:
+    """Messages that enumerations name: rows (enum, message)."""
+    return [Keyed("message_known", "reference", (F.col("message"),))]
+
+
+def known_messages() -> list[Keyed]:
+    """The messages there are: rows (message)."""
+    return [Keyed("message_known", "known", (F.col("message"),))]
+
+
 def message_rules() -> list[Rule]:
     return [Rule(f"has_{c}", F.col(c).isNotNull()) for c in ("class_id", "message_id", "message_type")]
 

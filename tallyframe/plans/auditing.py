@@ -164,14 +164,43 @@ def key_rules(spark, folder):
     return rules.expect(keys, rules.key_rules()).select("rule", "violations")
 
 
-@query("""
-WITH v AS (SELECT CASE p_size % 3 WHEN 0 THEN 'U1' WHEN 1 THEN 'I1' ELSE 'U2' END AS t, p_partkey - 300 AS v FROM part)
-SELECT 'value_fits_type' AS rule, count(*) AS checked, count(*) FILTER (CASE t WHEN 'U1' THEN v < 0 OR v > 255 WHEN 'I1' THEN v < -128 OR v > 127 ELSE v < 0 OR v > 65535 END) AS violations FROM v
-UNION ALL SELECT unnest(['value_present', 'described']), count(*), 0 FROM part""")
+ENUMS = """
+WITH v AS (SELECT CASE WHEN p_size % 9 = 0 THEN 'sigId' ELSE p_brand END AS enum, CASE WHEN p_size % 9 = 0 THEN CASE p_size % 2 WHEN 0 THEN 'gps' ELSE 'other' END END AS context,
+    CASE p_size % 3 WHEN 0 THEN 'U1' WHEN 1 THEN 'I1' ELSE 'U2' END AS type, CASE WHEN p_size <> 1 THEN p_partkey % 90 - 10 END AS value, p_type AS name,
+    CASE WHEN p_size % 4 <> 0 THEN p_name END AS description, p_size FROM part),
+e AS (SELECT n_name AS enum, CASE WHEN n_nationkey % 5 <> 0 THEN CASE WHEN n_nationkey % 7 = 0 THEN 'Z1' ELSE 'U1' END END AS type, CASE WHEN n_nationkey % 6 <> 0 THEN 1 END AS values,
+    CASE WHEN n_nationkey % 4 = 0 THEN 2 WHEN n_nationkey % 4 = 1 THEN 0 END AS occurrences, CASE WHEN n_nationkey % 3 = 0 THEN n_nationkey % 2 END AS messages, n_nationkey = 10 AS per_context FROM nation)
+"""
+
+
+@query(ENUMS + """
+SELECT 'value_present' AS rule, count(*) AS checked, count(*) FILTER (value IS NULL) AS violations, count(*) FILTER (value IS NULL) = 0 AS passed FROM v
+UNION ALL SELECT 'value_fits_type', count(*), count(*) FILTER (bad), count(*) FILTER (bad) = 0 FROM (
+    SELECT context IS NULL AND (value IS NULL OR CASE type WHEN 'U1' THEN value < 0 OR value > 255 WHEN 'I1' THEN value < -128 OR value > 127 ELSE value < 0 OR value > 65535 END) AS bad FROM v)
+UNION ALL SELECT 'described', count(*), count(*) FILTER (description IS NULL), count(description) >= 0.8 * count(*) FROM v
+UNION ALL SELECT 'duplicate_value', count(*), count(*) FILTER (n > 1), count(*) FILTER (n > 1) = 0 FROM (SELECT count(*) AS n FROM v WHERE value IS NOT NULL GROUP BY enum, context, value)
+UNION ALL SELECT 'duplicate_name', count(*), count(*) FILTER (n > 1), count(*) FILTER (n > 1) = 0 FROM (SELECT count(*) AS n FROM v WHERE context IS NULL GROUP BY enum, name)
+UNION ALL SELECT 'contexts', 1, CAST(count(DISTINCT context) FILTER (context = 'gps') < 2 AS BIGINT), count(DISTINCT context) FILTER (context = 'gps') >= 2 FROM v WHERE enum = 'sigId'
+UNION ALL SELECT 'enumerations', count(DISTINCT enum), greatest(0, 20 - count(DISTINCT enum)), count(DISTINCT enum) >= 20 FROM v
+UNION ALL SELECT 'has_type_and_values', count(*), count(*) FILTER (bad), count(*) FILTER (bad) = 0 FROM (SELECT NOT per_context AND (type IS NULL OR values IS NULL) AS bad FROM e)
+UNION ALL SELECT 'type_known', count(*), count(*) FILTER (bad), count(*) FILTER (bad) = 0 FROM (SELECT NOT per_context AND type IS DISTINCT FROM 'U1' AS bad FROM e)
+UNION ALL SELECT 'occurrences_tracked', count(*), count(*) FILTER (bad), count(*) FILTER (bad) = 0 FROM (SELECT NOT per_context AND occurrences IS NULL AND messages IS NULL AS bad FROM e)
+UNION ALL SELECT 'occurrences_listed', count(*), count(*) FILTER (bad), count(*) FILTER (bad) = 0 FROM (SELECT NOT per_context AND coalesce(occurrences, 0) > 0 AND coalesce(messages, 0) = 0 AS bad FROM e)
+UNION ALL SELECT 'message_known', count(*), count(*) FILTER (n IS NULL), count(*) FILTER (n IS NULL) = 0 FROM (SELECT DISTINCT s_nationkey % 40 + s_suppkey % 3 AS k FROM supplier) LEFT JOIN (SELECT n_nationkey AS n FROM nation) ON k = n""")
 def enum_value_rules(spark, folder):
-    kind = F.element_at(F.array(F.lit("U1"), F.lit("I1"), F.lit("U2")), F.col("p_size") % 3 + 1)
-    values = table(spark, folder, "part").select(kind.alias("type"), (F.col("p_partkey") - 300).alias("value"), F.col("p_name").alias("name"), F.col("p_type").alias("description"))
-    return rules.expect(values, rules.enum_rules()).select("rule", "checked", "violations")
+    """Whole rule sets of enumerations, their values and the messages they name; every table is read once."""
+    size, key = F.col("p_size"), F.col("n_nationkey")
+    apart = size % 9 == 0
+    values = table(spark, folder, "part").select(
+        F.when(apart, F.lit("sigId")).otherwise(F.col("p_brand")).alias("enum"), F.when(apart, F.when(size % 2 == 0, F.lit("gps")).otherwise(F.lit("other"))).alias("context"),
+        F.element_at(F.array(F.lit("U1"), F.lit("I1"), F.lit("U2")), size % 3 + 1).alias("type"), F.when(size != 1, F.col("p_partkey") % 90 - 10).alias("value"),
+        F.col("p_type").alias("name"), F.when(size % 4 != 0, F.col("p_name")).alias("description"))
+    nations = table(spark, folder, "nation").select(
+        F.col("n_name").alias("enum"), F.when(key % 5 != 0, F.when(key % 7 == 0, F.lit("Z1")).otherwise(F.lit("U1"))).alias("type"), F.when(key % 6 != 0, F.lit(1)).alias("values"),
+        F.when(key % 4 == 0, F.lit(2)).when(key % 4 == 1, F.lit(0)).alias("occurrences"), F.when(key % 3 == 0, key % 2).alias("messages"), (key == 10).alias("per_context"),
+        key.cast("bigint").alias("message"))
+    named = table(spark, folder, "supplier").select((F.col("s_nationkey") % 40 + F.col("s_suppkey") % 3).cast("bigint").alias("message"))
+    return rules.check((values, rules.enum_value_set()), (nations, [*rules.enum_set(), *rules.known_messages()]), (named, rules.enum_references()))
 
 
 # -- roll-ups --------------------------------------------------------------------------------

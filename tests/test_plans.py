@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyframe.operators import layout, skew
-from tallyframe.plans import voting
+from tallyframe.plans import auditing, voting
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -40,3 +40,11 @@ def test_no_hot_key_leaves_the_plain_plan(spark):
 def test_documents_are_read_without_a_shuffle(spark):
     rows = spark.createDataFrame([('{"fields":[{"name":"a"}]}',)], "structure string")
     assert "Exchange" not in plan_of(layout.add_fingerprint(layout.add_fields(rows)))
+
+
+def test_rule_sets_read_each_table_once(spark):
+    found = auditing.enum_value_rules(spark, FOLDER)
+    plan = plan_of(found)
+    assert plan.count("FileScan parquet") == 3 and plan.count("Exchange hashpartitioning") == 3
+    # The two messages that no nation has are few here; every other rule is broken somewhere, too, but for one.
+    assert {r.rule for r in found.collect() if not r.violations} <= {"enumerations", "message_known"}

@@ -262,3 +262,15 @@ def test_second_registry_keeps_the_order_of_the_text(spark, tmp_path):
     assert [(r.field, r.bit, r.width) for r in bits.orderBy("pos").collect()] == [("a", "q", 3), ("a", "b", 1), ("a", "odd", 1)]
     deep, _ = readers.second_registry(spark, str(tmp_path / "o"))
     assert {(tuple(r.path), r.field) for r in deep.collect()} >= {(("g", "x"), "d"), (("g", "x", "d"), "e")}
+
+
+def test_rule_sets_count_keys_items_and_references(spark):
+    rows = spark.createDataFrame(
+        [("a", None, "U1", 1, "x", "d"), ("a", None, "U1", 1, "x", ""), ("a", None, "U1", 300, None, None), ("sigId", "gps", "U1", 1, "x", "d"), ("sigId", "galileo", "U1", 1, "x", "d"), ("sigId", "gps", "U1", None, "y", "d")],
+        "enum string, context string, type string, value int, name string, description string")
+    named = spark.createDataFrame([("M",), ("M",), ("N",), (None,)], "message string")
+    known = spark.createDataFrame([("M",), ("O",)], "message string")
+    found = {r.rule: (r.checked, r.violations, r.passed) for r in rules.check((rows, rules.enum_value_set()), (named, rules.enum_references()), (known, rules.known_messages())).collect()}
+    assert found == {
+        "value_present": (6, 2, False), "value_fits_type": (6, 1, False), "described": (6, 2, False), "duplicate_value": (4, 1, False), "duplicate_name": (1, 1, False),
+        "contexts": (1, 0, True), "enumerations": (2, 18, False), "message_known": (3, 2, False)}
