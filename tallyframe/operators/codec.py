@@ -396,23 +396,9 @@ def decode_groups(identified: DataFrame, groups: DataFrame, group_fields: DataFr
     nested = group_fields.groupBy(*names).agg(F.array_sort(F.collect_list(body)).alias("_members"))
     dim = skew.null_safe_join(groups, nested, names, "inner").withColumnsRenamed({"variant": "_gv"})
     rows = identified.where("parsed").join(dim, IDS, "inner").where(F.col("variant").eqNullSafe(F.col("_gv")))
-    total = F.length("payload").cast("bigint")
-    base = F.col("base") + F.aggregate(
-        F.coalesce("products", F.array().cast("array<struct<field:string,multiplier:bigint>>")),
-        F.lit(0).cast("bigint"),
-        lambda acc, p: acc + integer_at(F.col("fields"), F.col("payload"), p["field"]) * p["multiplier"],
-    )
-    rows = rows.withColumn("_base", base)
-    room = F.greatest(F.lit(0).cast("bigint"), F.floor((total - F.col("_base")) / F.col("size")))
-    times = (
-        F.when(F.col("repetition") == "count_field", integer_at(F.col("fields"), F.col("payload"), F.col("count_field")))
-        .when(F.col("repetition") == "constant", F.col("count"))
-        .when(F.col("repetition") == "optional", F.least(room, F.lit(1).cast("bigint")))
-        .otherwise(room)
-    )
-    # A count field may claim more than the payload holds; instances start inside the payload.
-    held = F.ceil((total - F.col("_base")) / F.col("size"))
-    rows = rows.withColumn("_times", F.least(times, held))
+    # A struct of the dimension's columns, as in the nested form.
+    base, times = _repeats({c: F.col(c) for c in ("base", "products", "size", "repetition", "count_field", "count")}, F.col("fields"), F.col("payload"))
+    rows = rows.withColumns({"_base": base, "_times": times})
     numbers = F.when(F.col("_times") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("_times") - 1))
     keys = [*keys, "message", "group_name", "instance"]
     long = rows.select(
@@ -425,6 +411,115 @@ def decode_groups(identified: DataFrame, groups: DataFrame, group_fields: DataFr
     return _typed(long, keys, at)
 
 
+# -- one row per message -----------------------------------------------------------------------
+
+
+def _element(payload: Column, f: Column, at: Column) -> Column:
+    """One element as a VARIANT: as in :func:`decode`, numbers past the end are 0 and texts are cut."""
+    is_text, is_real = f["base"] == "CH", f["base"].isin("R4", "R8")
+    raw = wire.slice_bytes(payload, at, F.when(is_text, f["count"]).otherwise(f["size"]))
+    whole = F.length(raw) == f["size"]
+    number = F.when(whole, wire.integer_value(raw, f["base"])).otherwise(F.lit(0).cast(wire.WORD))
+    real = F.when(whole, wire.float_value(raw)).otherwise(F.lit(0.0))
+    return F.when(is_text, wire.text_value(raw).cast("variant")).when(is_real, real.cast("variant")).otherwise(number.cast("variant"))
+
+
+def _entries(payload: Column, fields: Column, base: Column) -> Column:
+    """(name, VARIANT) of the fields that begin inside the payload; a type with a count of elements gives an array."""
+    here = lambda f: base + f["byte_offset"]
+    many = lambda f: f["data_type"].contains("[") & (f["base"] != "CH")
+
+    def value(f):
+        listed = F.transform(_elements(f), lambda i: _element(payload, f, here(f) + i * f["size"]))
+        return F.when(many(f), F.to_variant_object(listed)).otherwise(_element(payload, f, here(f)))
+
+    held = F.filter(fields, lambda f: (f["byte_offset"] >= 0) & (here(f) < F.length(payload)) & (many(f) | (f["count"] > 0)))
+    return F.transform(held, lambda f: F.struct(f["field"].alias("key"), value(f).alias("value")))
+
+
+def _object(entries: Column) -> Column:
+    """A VARIANT object; of entries with one name the first counts."""
+    fresh = F.filter(entries, lambda e, i: F.array_position(F.transform(entries, lambda x: x["key"]), e["key"]) == i + 1)
+    return F.to_variant_object(F.map_from_entries(fresh))
+
+
+def wide(identified: DataFrame, keys, groups: DataFrame | None = None, group_fields: DataFrame | None = None) -> DataFrame:
+    """One row per parsed frame: (keys.., message, variant, view); all messages in one pass and without a shuffle of frames.
+
+    ``view`` is a VARIANT object from field name to value: numbers, texts, arrays of elements, and for a repeated group
+    an array of objects, one per instance. Values are those of :func:`decode` and :func:`decode_groups`. A group that does
+    not occur is an empty array; a field beyond the payload has no entry.
+    """
+    rows = identified.where("parsed").withColumn("_entries", _entries(F.col("payload"), F.col("fields"), F.lit(0)))
+    if groups is not None:
+        names = [*IDS, "variant", "group_name"]
+        members = group_fields.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("pos", "field", "byte_offset", "data_type", *_shape()))).alias("members"))
+        body = F.struct("variant", "group_name", "repetition", "count_field", "count", "base", "products", "size", "members")
+        nested = skew.null_safe_join(groups, members, names, "inner").groupBy(*IDS).agg(F.array_sort(F.collect_list(body)).alias("_groups"))
+        rows = rows.join(cut_lineage(nested), IDS, "left")
+        mine = F.filter(F.coalesce("_groups", F.array().cast(nested.schema["_groups"].dataType)), lambda g: g["variant"].eqNullSafe(F.col("variant")))
+
+        def placed(g):
+            base, times = _repeats(g, F.col("fields"), F.col("payload"))
+            return F.struct(g["group_name"].alias("name"), g["size"].alias("size"), g["members"].alias("members"), base.alias("base"), times.alias("times"))
+
+        def instances(g):
+            numbers = F.when(g["times"] > 0, F.sequence(F.lit(0).cast("bigint"), g["times"] - 1)).otherwise(F.array().cast("array<bigint>"))
+            return F.transform(numbers, lambda i: F.struct(g["name"].alias("name"), g["members"].alias("members"), (g["base"] + i * g["size"]).alias("at")))
+
+        def listed(g):
+            held = F.filter("_objects", lambda o: o["name"] == g["name"])
+            return F.struct(g["name"].alias("key"), F.to_variant_object(F.transform(held, lambda o: o["value"])).alias("value"))
+
+        # Column by column: functions within functions would take the analyzer many rounds.
+        rows = rows.withColumn("_placed", F.transform(mine, placed)).withColumn("_instances", F.flatten(F.transform("_placed", instances)))
+        rows = rows.withColumn("_parts", F.transform("_instances", lambda x: F.struct(x["name"].alias("name"), _entries(F.col("payload"), x["members"], x["at"]).alias("entries"))))
+        rows = rows.withColumn("_objects", F.transform("_parts", lambda x: F.struct(x["name"].alias("name"), _object(x["entries"]).alias("value"))))
+        rows = rows.withColumn("_entries", F.concat("_entries", F.transform("_placed", listed)))
+    return rows.select(*keys, "message", "variant", _object(F.col("_entries")).alias("view"))
+
+
+def _repeats(g, fields: Column, payload: Column) -> tuple[Column, Column]:
+    """(first byte, instances) of a repeated group in a payload."""
+    total = F.length(payload).cast("bigint")
+    none = F.array().cast("array<struct<field:string,multiplier:bigint>>")
+    base = g["base"] + F.aggregate(
+        F.coalesce(g["products"], none), F.lit(0).cast("bigint"), lambda acc, p: acc + integer_at(fields, payload, p["field"]) * p["multiplier"]
+    )
+    room = F.greatest(F.lit(0).cast("bigint"), F.floor((total - base) / g["size"]))
+    times = (
+        F.when(g["repetition"] == "count_field", integer_at(fields, payload, g["count_field"]))
+        .when(g["repetition"] == "constant", g["count"])
+        .when(g["repetition"] == "optional", F.least(room, F.lit(1).cast("bigint")))
+        .otherwise(room)
+    )
+    # A count field may claim more than the payload holds; instances start inside the payload.
+    return base, F.least(times, F.ceil((total - base) / g["size"]))
+
+
+def _sql_type(dtype: str) -> str:
+    base, _, count = dtype.partition("[")
+    plain = "string" if base == "CH" else "double" if base in ("R4", "R8") else "decimal(20,0)" if base in ("U8", "X8") else "bigint"
+    return f"array<{plain}>" if count and base != "CH" else plain
+
+
+def typed(views: DataFrame, message: str, keys, fields: DataFrame, groups: DataFrame | None = None, group_fields: DataFrame | None = None, variant: str | None = None) -> DataFrame:
+    """The frames of one message as a table: keys.., a column per field, and an array of structs per group.
+
+    Column types come from the registry rows of the message (as many as it has fields), which are read at once.
+    """
+    def named(rows):  # noqa: ANN001
+        here = rows.where(F.col("message").eqNullSafe(message) & F.col("variant").eqNullSafe(variant))
+        return {r.field: _sql_type(r.data_type) for r in here.orderBy("pos").collect()}
+
+    columns = named(fields)
+    for g in groups.where(F.col("message") == message).orderBy("base").collect() if groups is not None else []:
+        inner = named(group_fields.where(F.col("group_name") == g.group_name))
+        columns[g.group_name] = f"array<struct<{','.join(f'`{k}`:{t}' for k, t in inner.items())}>>"
+    picked = [F.try_variant_get("view", f"$['{name}']", kind).alias(name) for name, kind in columns.items()]
+    return views.where((F.col("message") == message) & F.col("variant").eqNullSafe(variant)).select(*keys, *picked)
+
+
 # -- meaning of values -----------------------------------------------------------------------
 
 

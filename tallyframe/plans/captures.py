@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import wire
 from ..operators import codec, registry
-from ..session import cut_lineage, spread
+from ..session import cut_lineage, run_dir, spread
+from ..sources import writers
+from ..sources.store import Store
 from .base import query, table
 
 # class, message and layout of the events' frames: (column, type, offset)
@@ -259,12 +261,19 @@ GROUPED = """WITH e AS (SELECT user_id, event_id, value, row_number() OVER (PART
 
 
 @query("""
-WITH e AS (SELECT event_id, user_id, event_id % 4 AS n, event_id % 3 AS kind FROM events)
-SELECT event_id, CAST(i AS BIGINT) AS instance, 'id' AS field, (user_id + i) % 256 AS v FROM e, range(4) r(i) WHERE i < n
-UNION ALL SELECT event_id, CAST(i AS BIGINT), 'w', (user_id * 3 + i) % 65536 FROM e, range(4) r(i) WHERE i < n""")
+WITH e AS (SELECT event_id, user_id, event_id % 4 AS n, event_id // 4 % 4 AS kind FROM events)
+SELECT event_id, CAST(i AS BIGINT) AS instance, 'id' AS field, (user_id + i) % 256 AS v FROM e, range(4) r(i) WHERE i < if(kind = 3, least(n, 1), n)
+UNION ALL SELECT event_id, CAST(i AS BIGINT), 'w', (user_id * 3 + i) % 65536 FROM e, range(4) r(i) WHERE i < if(kind = 3, least(n, 1), n)""")
 def repeated_groups(spark, folder):
-    """Groups repeated as often as a field, or the room that is left, says."""
-    n_groups, kind, user = F.col("event_id") % 4, F.col("event_id") % 3, F.col("user_id")
+    """Groups repeated as often as a field, or the room that is left, says; an optional one occurs once where there is room."""
+    found, _, groups, members = grouped(spark, folder)
+    values = codec.decode_groups(found, groups.drop("message"), members.drop("message"), ["event_id"])
+    return values.select("event_id", "instance", "field", F.col("int_value").cast("bigint").alias("v"))
+
+
+def grouped(spark, folder):
+    """(identified frames with a repeated group, their fields, groups, members of groups); a message for each kind of repetition."""
+    n_groups, kind, user = F.col("event_id") % 4, F.floor(F.col("event_id") / 4) % 4, F.col("user_id")
     rows = table(spark, folder, "events").select("event_id", "user_id")
     head = F.unhex(F.concat(F.lit("0A"), wire.little_endian_hex(n_groups, F.lit(1))))
     prefixes = rows.select("event_id", kind.alias("kind"), head.alias("payload"))
@@ -276,17 +285,42 @@ def repeated_groups(spark, folder):
     instances = one.select("event_id", F.col("i").cast("bigint").alias("instance"), F.inline(parts))
     payloads = codec.encode_groups(prefixes, instances, ["event_id"], F.lit(4), F.lit(6))
     sent = payloads.select("event_id", wire.frame(F.lit(9), F.col("kind"), F.col("payload")).alias("frame"))
-    messages = spark.createDataFrame([(9, i, f"G{i}") for i in range(3)], "class_id int, message_id int, message string")
-    fields = spark.createDataFrame([(9, i, None, 0, "n", 1, "U1") for i in range(3)], "class_id int, message_id int, variant string, pos int, field string, byte_offset int, data_type string")
+    messages = spark.createDataFrame([(9, i, f"G{i}") for i in range(4)], "class_id int, message_id int, message string")
+    fields = spark.createDataFrame([(9, i, None, 0, "n", 1, "U1") for i in range(4)], "class_id int, message_id int, variant string, pos int, field string, byte_offset int, data_type string")
     groups = spark.createDataFrame(
-        [(9, 0, None, "g", "count_field", "n", None, 4, 6), (9, 1, None, "g", "fill_remaining", None, None, 4, 6), (9, 2, None, "g", "constant", None, 4, 4, 6)],
+        [(9, 0, None, "g", "count_field", "n", None, 4, 6), (9, 1, None, "g", "fill_remaining", None, None, 4, 6), (9, 2, None, "g", "constant", None, 4, 4, 6), (9, 3, None, "g", "optional", None, None, 4, 6)],
         "class_id int, message_id int, variant string, group_name string, repetition string, count_field string, count bigint, base bigint, size bigint",
     ).withColumn("products", F.lit(None).cast("array<struct<field:string,multiplier:bigint>>"))
-    members = spark.createDataFrame([(9, i, None, "g", j, f, at, t) for i in range(3) for j, (f, at, t) in enumerate([("id", 0, "U1"), ("w", 2, "U2")])],
+    members = spark.createDataFrame([(9, i, None, "g", j, f, at, t) for i in range(4) for j, (f, at, t) in enumerate([("id", 0, "U1"), ("w", 2, "U2")])],
                                     "class_id int, message_id int, variant string, group_name string, pos int, field string, byte_offset int, data_type string")
-    found = codec.identify(codec.header(sent), codec.layouts(messages, fields))
-    values = codec.decode_groups(found, groups, members, ["event_id"])
-    return values.select("event_id", "instance", "field", F.col("int_value").cast("bigint").alias("v"))
+    named = lambda rows: rows.join(messages, codec.IDS)
+    return codec.identify(codec.header(sent), codec.layouts(messages, fields)), named(fields), named(groups), named(members)
+
+
+@query("""
+WITH e AS (SELECT event_id, user_id, event_id % 4 AS n, event_id // 4 % 4 AS kind, value, event_type, CAST(json_extract(props, '$.k') AS BIGINT) * 5 AS flags FROM events),
+i AS (SELECT *, list_transform(range(if(kind = 3, least(n, 1), n)), lambda i: '{"id":' || (user_id + i) % 256 || ',"w":' || (user_id * 3 + i) % 65536 || '}') AS l FROM e)
+SELECT event_id, 'G' || kind AS message, '{"g":[' || coalesce(array_to_string(l, ','), '') || '],"n":' || n || '}' AS view FROM i
+UNION ALL SELECT event_id, 'EVENT', '{"event_id":' || event_id || ',"event_type":"' || event_type || '","flags":' || flags || ',"user_id":' || -user_id || '}' FROM e""")
+def wide_view(spark, folder):
+    """Frames of five messages, one row each, written with a partition per message and read back."""
+    found, _, groups, members = grouped(spark, folder)
+    path = run_dir(spark, "views")
+    writers.write_views(codec.wide(found, ["event_id"], groups.drop("message"), members.drop("message")), path)
+    plain = codec.layouts(tables(spark)[0], tables(spark)[1].where("field NOT IN ('value', 'single')"))
+    writers.write_views(codec.wide(codec.identify(codec.header(frames(spark, folder).select("event_id", "frame")), plain), ["event_id"]), path, append=True)
+    return Store(spark, path).read("views").select("event_id", "message", F.to_json("view").alias("view"))
+
+
+@query("""
+WITH e AS (SELECT event_id, user_id, event_id % 4 AS n FROM events WHERE event_id // 4 % 4 = 1)
+SELECT event_id, n, i AS instance, (user_id + i) % 256 AS id, (user_id * 3 + i) % 65536 AS w FROM e, range(4) r(i) WHERE i < n""")
+def typed_view(spark, folder):
+    """One message as a table with typed columns, its group as an array of structs."""
+    found, fields, groups, members = grouped(spark, folder)
+    views = codec.wide(found, ["event_id"], groups.drop("message"), members.drop("message"))
+    rows = codec.typed(views, "G1", ["event_id"], fields, groups, members)
+    return rows.select("event_id", "n", F.posexplode("g").alias("instance", "_g")).select("event_id", "n", F.col("instance").cast("bigint").alias("instance"), "_g.*")
 
 
 @query("""

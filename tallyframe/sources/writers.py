@@ -121,3 +121,8 @@ def write_report(votes: DataFrame, path: str, entity, batch=None) -> None:
         "issues": rules.serialized(rules.problem_votes(votes), entity),
     }
     Store(votes.sparkSession, path).commit(parts, batch, format="json")
+
+
+def write_views(views: DataFrame, path: str, batch=None, append=False) -> None:
+    """Write the wide view of decoded frames (:func:`codec.wide`) as ``views``, a partition per message."""
+    Store(views.sparkSession, path).commit({"views": views}, batch, append=append, partition_by={"views": ["message"]})
