@@ -13,6 +13,8 @@ in about thirty bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,6 +33,8 @@ PLACES = WINDOW - GRAM + 1
 STEPS = [16, 4, 1]
 #: Bytes that are worked on at once, so that numbers stay in the processor's cache; longer texts are cut into overlapping pieces.
 BLOCK = 1 << 17
+#: A place holds the first string of a member and, in so many low bits, its form: how far the anchor and the last string are.
+FORM_BITS = 20
 #: Bytes of a text whose spans are brought together in one row.
 PART = 1 << 20
 
@@ -122,16 +126,32 @@ def _signed(ids: np.ndarray) -> pa.Array:
     return pa.array(ids.view(np.int64))
 
 
-_MEMBER = ["bucket", "text", "doc", "mark", "at", "form"]
+def _keys(df: DataFrame) -> list[str]:
+    """The columns that name a text, of those of a table."""
+    return [c for c in ("doc", "mark") if c in df.columns]
+
+
+def _schema(df: DataFrame, carried: str = "") -> str:
+    kinds = dict(df.dtypes)
+    return f"bucket bigint, text bigint, {', '.join(f'{k} {kinds[k]}' for k in _keys(df))}, place bigint{carried}"
+
+
+def _batch(bucket, text, keys: dict[str, pa.Array], place, **carried: pa.Array) -> pa.RecordBatch:
+    """A batch of what _schema() names."""
+    return pa.RecordBatch.from_pydict({"bucket": _signed(bucket), "text": _signed(text), **keys, "place": pa.array(place), **carried})
+
+
+def _form() -> Column:
+    return F.col("place").bitwiseAND((1 << FORM_BITS) - 1)
 
 
 def _members(df: DataFrame) -> DataFrame:
-    """(bucket, text, doc, mark, at, form): a row for each anchor of (doc, mark, text) rows.
+    """(bucket, text, keys.., place): a row for each anchor of (keys.., text) rows.
 
-    ``at`` is the first string of the anchor; ``form`` holds how far the anchor and the last string are from it. In
-    ``text`` is the identifier of all bytes of these strings. Where that stands earlier in the same piece the strings
-    are known to be repeated: runs of them come out once, with ``form`` less than 0, the number of strings.
+    In ``text`` is the identifier of all bytes of the strings of the anchor. Where that stands earlier in the same piece
+    the strings are known to be repeated: runs of them come out once, with their number and PLACES squared as the form.
     """
+    keys = _keys(df)
 
     def found(batches):
         for batch in batches:
@@ -147,17 +167,16 @@ def _members(df: DataFrame) -> DataFrame:
                 goes_on = known[1:] & known[:-1] & (piece[1:] == piece[:-1])
                 begins = np.flatnonzero(known & ~np.concatenate(([False], goes_on)))
                 ends = np.flatnonzero(known & ~np.concatenate((goes_on, [False])))
-                form[begins] = first[begins] - last[ends] - 1
+                form[begins] = last[ends] - first[begins] + 1 + PLACES * PLACES
                 chosen = np.flatnonzero(~known | np.isin(np.arange(len(known)), begins))
-                bucket, text = bucket[chosen], text[chosen]
-                passed = form[chosen] < 0
+                bucket, text, form = bucket[chosen], text[chosen], form[chosen]
+                passed = form >= PLACES * PLACES
                 bucket[passed] = _mixed(text[passed], first[chosen][passed].astype(np.uint64))  # deals them out evenly
                 own, piece = pa.array(rows[piece[chosen]]), piece[chosen]
-                columns = [_signed(bucket), _signed(text), batch.column("doc").take(own), batch.column("mark").take(own)]
-                columns += [pa.array((first[chosen] - starts[piece] + bases[piece]).astype(np.int32)), pa.array(form[chosen].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, _MEMBER)
+                place = first[chosen] - starts[piece] + bases[piece]
+                yield _batch(bucket, text, {k: batch.column(k).take(own) for k in keys}, place << FORM_BITS | form)
 
-    return small_batches(df).mapInArrow(found, f"bucket bigint, text bigint, doc {dict(df.dtypes)['doc']}, mark bigint, at int, form int")
+    return small_batches(df).mapInArrow(found, _schema(df))
 
 
 def _runs_of(step: int, data: np.ndarray, starts: np.ndarray, form: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -182,30 +201,30 @@ def _runs_of(step: int, data: np.ndarray, starts: np.ndarray, form: np.ndarray)
 
 
 def _split(df: DataFrame, step: int) -> DataFrame:
-    """(bucket, text, doc, mark, at, form, bytes) of the next round.
+    """(bucket, text, keys.., place, bytes) of the next round.
 
-    Of (doc, mark, members, text) rows, with at and form of members as in _members(), or of (doc, mark, at, form, bytes)
-    rows of an earlier round. ``bytes`` are those of the strings, and are left out in the last round.
+    Of (keys.., text, places) rows with the places of members, or of (keys.., place, bytes) rows of an earlier round.
+    ``bytes`` are those of the strings, and are left out in the last round.
     """
-    from_text = "members" in df.columns
+    keys, low = _keys(df), (1 << FORM_BITS) - 1
+    from_text = "places" in df.columns
 
     def pieces(batch):
-        """(row, place, form, bytes) of each member."""
+        """(row, place, bytes) of each member."""
         if not from_text:
-            columns = [batch.column(c).to_pylist() for c in ("at", "form", "bytes")]
-            yield from zip(range(batch.num_rows), *columns, strict=True)
+            yield from zip(range(batch.num_rows), *(batch.column(c).to_pylist() for c in ("place", "bytes")), strict=True)
             return
-        for row, (text, members) in enumerate(zip(raw(batch.column("text")), batch.column("members"), strict=True)):
-            for member in members.as_py():
-                at, form = member["at"], member["form"]
-                yield row, at, form, text[at : at + form % PLACES + WINDOW]
+        for row, (text, places) in enumerate(zip(raw(batch.column("text")), batch.column("places"), strict=True)):
+            for place in places.as_py():
+                at = place >> FORM_BITS
+                yield row, place, text[at : at + (place & low) % PLACES + WINDOW]
 
     def found(batches):
         for batch in batches:
             held, size = [], 0
             for piece in pieces(batch):
                 held.append(piece)
-                size += len(piece[3])
+                size += len(piece[2])
                 if size >= BLOCK:
                     yield dealt(batch, held)
                     held, size = [], 0
@@ -213,22 +232,21 @@ def _split(df: DataFrame, step: int) -> DataFrame:
                 yield dealt(batch, held)
 
     def dealt(batch, held):
-        rows, places, forms = (np.array([h[k] for h in held], np.int64) for k in range(3))
-        joined = b"".join([h[3] for h in held])
+        rows, places = (np.array([h[k] for h in held], np.int64) for k in range(2))
+        joined = b"".join([h[2] for h in held])
+        forms = places & low
         sizes = forms % PLACES + WINDOW
         starts = np.cumsum(sizes) - sizes
         row, bucket, text, first, last, form = _runs_of(step, np.frombuffer(joined, np.uint8), starts, forms)
         own = pa.array(rows[row])
-        columns = [_signed(bucket), _signed(text), batch.column("doc").take(own), batch.column("mark").take(own)]
-        columns += [pa.array((places[row] + first).astype(np.int32)), pa.array(form.astype(np.int32))]
+        place = (places[row] >> FORM_BITS) + first << FORM_BITS | form
+        carried = {}
         if step > 1:
             begin, end = (starts[row] + first).tolist(), (starts[row] + last + WINDOW).tolist()
-            columns.append(pa.array([joined[a:b] for a, b in zip(begin, end, strict=True)], pa.binary()))
-        return pa.RecordBatch.from_arrays(columns, [*_MEMBER, "bytes"][: len(columns)])
+            carried["bytes"] = pa.array([joined[a:b] for a, b in zip(begin, end, strict=True)], pa.binary())
+        return _batch(bucket, text, {k: batch.column(k).take(own) for k in keys}, place, **carried)
 
-    carried = ", bytes binary" if step > 1 else ""
-    schema = f"bucket bigint, text bigint, doc {dict(df.dtypes)['doc']}, mark bigint, at int, form int{carried}"
-    return small_batches(df).mapInArrow(found, schema)
+    return small_batches(df).mapInArrow(found, _schema(df, ", bytes binary" if step > 1 else ""))
 
 
 def _refined(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -238,14 +256,14 @@ def _refined(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     holds other texts. Firsts are counted before the shuffle and joined back by equality, so that a bucket or a text
     of very many members is split.
     """
-    here, carried = ["doc", "mark", "at"], [c for c in members.columns if c == "bytes"]
-    texts = members.groupBy("bucket", "text").agg(F.min(F.struct(*here, "form", *carried)).alias("first"), F.count(F.lit(1)).alias("n"))
-    texts = cut_lineage(texts)
+    here, carried = [*_keys(members), "place"], [c for c in members.columns if c == "bytes"]
+    texts = members.groupBy("bucket", "text").agg(F.min(F.struct(*here, *carried)).alias("first"), F.count(F.lit(1)).alias("n"))
+    texts = cut_lineage(texts, "zstd")
     firsts = texts.where("n > 1").select("bucket", "text", F.struct(*[F.col(f"first.{c}").alias(c) for c in here]).alias("first"))
     repeated = members.drop(*carried).join(firsts, ["bucket", "text"]).where(~F.struct(*here).eqNullSafe(F.col("first")))
     mixed = texts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     open_ = texts.join(mixed, "bucket", "left_semi").select("first.*")
-    return repeated.select(*here, (F.col("form") % PLACES + 1).alias("n")), open_
+    return repeated.select(*here, (_form() % PLACES + 1).alias("n")), open_
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
@@ -296,40 +314,38 @@ def _done(texts: pa.Array, ranges: pa.Array) -> pa.Array:
 
 
 def repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, mark, ranges): for each text with bytes of repeated strings, the ranges of these bytes; see deduplicated().
+    """(doc, mark, ranges) or, where keys are unique, (doc, ranges): for each text with bytes of repeated strings, the ranges of these bytes; see deduplicated().
 
-    ``mark`` is that of _rows(); ranges are runs within each part of about PART bytes and may overlap from part to part.
+    ``mark`` is that of _rows(). Ranges are runs within each part of about PART bytes and may overlap from part to part.
     """
     rows = _rows(df, key, text)
+    keys = _keys(rows)
     members = _members(rows)
     often = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("bucket").alias("_bucket"))
     # A gram that stands once in all texts is in no repeated string.
-    held = cut_lineage(members.join(often, F.col("bucket") == F.col("_bucket"), "left").where("_bucket IS NOT NULL OR form < 0").drop("_bucket"))
-    known = held.where("form < 0").select("doc", "mark", "at", (-F.col("form")).alias("n"))
-    found, some = _refined(held.where("form >= 0"))
-    found = known.unionByName(found)
-    lists = some.groupBy(F.col("doc").alias("_doc"), F.col("mark").alias("_mark")).agg(F.collect_list(F.struct("at", "form")).alias("members"))
-    same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))
-    some = rows.join(lists, same).select("doc", "mark", "text", "members")
+    known = _form() >= PLACES * PLACES
+    held = cut_lineage(members.join(often, F.col("bucket") == F.col("_bucket"), "left").where(F.col("_bucket").isNotNull() | known).drop("_bucket"), "zstd")
+    found, some = _refined(held.where(~known))
+    found = held.where(known).select(*keys, "place", (_form() - PLACES * PLACES).alias("n")).unionByName(found)
+    lists = some.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.collect_list("place").alias("places"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    some = rows.join(lists, same).select(*keys, "text", "places")
     for step in STEPS:
-        more, some = _refined(cut_lineage(_split(some, step)))
+        more, some = _refined(cut_lineage(_split(some, step), "zstd"))
         found = found.unionByName(more)
-    start = F.col("at").cast("bigint")
-    spans = found.select("doc", "mark", (F.col("at") / PART).cast("int").alias("part"), F.struct(start.alias("start"), (start + F.col("n") + (WINDOW - 1)).alias("end")).alias("span"))
-    parts = spans.groupBy("doc", "mark", "part").agg(_runs(F.collect_list("span")).alias("ranges"))
-    return parts.groupBy("doc", "mark").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    start = F.shiftright("place", FORM_BITS)
+    span = F.struct(start.alias("start"), (start + F.col("n") + (WINDOW - 1)).alias("end"))
+    spans = found.select(*keys, (start / PART).cast("int").alias("part"), span.alias("span"))
+    parts = spans.groupBy(*keys, "part").agg(_runs(F.collect_list("span")).alias("ranges"))
+    return parts.groupBy(*keys).agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
 
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, mark, text): rows with their key and what tells rows with equal keys apart."""
+    """(doc, mark, text): rows with their key and, where keys are not unique or null, a 64-bit hash of the text."""
     content = F.col(f"`{text}`").cast("string")
-    return df.select(F.col(f"`{key}`").alias("doc"), _mark(df, key, content).alias("mark"), content.alias("text"))
-
-
-def _mark(df: DataFrame, key: str, content: Column) -> Column:
-    """0 where keys are unique and not null, else a 64-bit hash of the text."""
-    clear = df.groupBy(F.col(f"`{key}`").alias("k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR k IS NULL").isEmpty()
-    return F.lit(0).cast("bigint") if clear else F.xxhash64(content)
+    rows = df.select(F.col(f"`{key}`").alias("doc"), F.xxhash64(content).alias("mark"), content.alias("text"))
+    clear = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc IS NULL").isEmpty()
+    return rows.drop("mark") if clear else rows
 
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", into: str = "repeats") -> DataFrame:
@@ -346,9 +362,10 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", into: s
     Every string is looked at, however often it stands; equal strings are told by 128 bits.
     """
     found = repeats(df, key, text)
-    doc, mark, ranges = (free_name(df, name) for name in ("_doc", "_mark", "_ranges"))
-    found = found.select(F.col("doc").alias(doc), F.col("mark").alias(mark), F.col("ranges").alias(ranges))
+    names = {k: free_name(df, f"_{k}") for k in found.columns}
+    found = found.withColumnsRenamed(names)
     content = F.col(f"`{text}`").cast("string")
-    same = df[f"`{key}`"].eqNullSafe(found[doc]) & (_mark(df, key, content) == found[mark])
+    own = {"doc": df[f"`{key}`"], "mark": F.xxhash64(content)}
+    same = reduce(Column.__and__, [own[k].eqNullSafe(found[names[k]]) for k in names if k in own])
     joined = small_batches(df).join(found, same, "left")
-    return joined.withColumn(into, _done(content, F.col(ranges))).drop(doc, mark, ranges)
+    return joined.withColumn(into, _done(content, F.col(names["ranges"]))).drop(*names.values())
