@@ -1,6 +1,8 @@
 """Operators that judge each row by itself: quality, secrets, decontamination, licences, pieces."""
 
+import base64
 import hashlib
+import random
 import re
 import zlib
 
@@ -39,9 +41,10 @@ def plain_quality(text):
     if data:
         low, high = quality.band(len(data))
         inside = low <= len(squeeze(data)) / len(data) <= high
-        chunks = [data[i : i + 4096] for i in range(0, len(data) - 4095, 4096)]
-        low, high = quality.band(4096)
-        inside &= sum(not low <= len(squeeze(c)) / 4096 <= high for c in chunks) <= 0.5 * len(chunks)
+        chunks = [data[i : i + 4096] for i in range(0, len(data), 4096)] if len(data) > 4096 else []
+        chunks = [c for c in chunks if len(c) >= 512]
+        bad = [c for c in chunks if not quality.band(len(c))[0] <= len(squeeze(c)) / len(c) <= quality.band(len(c))[1]]
+        inside &= len(bad) <= 0.5 * len(chunks)
     return (
         len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), sum(x in lines[:i] for i, x in enumerate(lines)) if len(lines) < 500 else len(lines) - len(set(lines)),
         len(hit), failed, not failed and inside,
@@ -79,6 +82,32 @@ def test_bands_reject_noise_and_repetition():
     assert quality.measure(b"abc def " * 4000)[6] < quality.band(32_000)[0]
 
 
+def spaced(data, n=7):
+    """Noise as words of a few letters, so that only the bands see it."""
+    return " ".join(data[i : i + n] for i in range(0, len(data), n))
+
+
+def test_bands_alone_reject_noise_and_repetition(spark, documents):
+    rng = random.Random(3)
+    noise = [spaced(base64.b64encode(rng.randbytes(n)).decode(), 40) for n in (800, 2000, 4000, 9000, 30_000, 90_000)]
+    noise += [spaced(rng.randbytes(n).hex(), 60) for n in (4500, 9000, 20_000, 60_000)]
+    noise += [spaced("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)), 6) for n in (3000, 9000, 40_000)]
+    lines = [f"Item {rng.randrange(1000)} was sold for {rng.randrange(100)} coins today by {rng.randrange(1000)}" for _ in range(900)]
+    repetition = ["\n".join(lines[:n]) for n in (120, 900)]
+    prose = [t for _, t in documents if not plain_quality(t)[5]]
+    half = prose[0] + " " + spaced(base64.b64encode(rng.randbytes(30_000)).decode(), 40)
+    texts = [*noise, *repetition, half, *prose]
+    rows = quality.rules(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).orderBy("doc_id").collect()
+    bad = len(texts) - len(prose)
+    assert [r.doc_id for r in rows if r.quality.base_failed] == []
+    assert [(r.doc_id, r.quality.ratio) for r in rows[:bad] if r.quality.kept] == []
+    assert sum(r.quality.kept for r in rows[bad:]) >= 0.99 * len(prose)
+    # Noise between long stretches of prose shows in the chunks only; noise at the end shows in the rest.
+    mixed = quality.measure((" ".join(prose)[:6000] + spaced(base64.b64encode(rng.randbytes(12_000)).decode(), 40)).encode())
+    assert mixed[9] > 0.5 * mixed[7]
+    assert quality.measure((" ".join(prose)[:4096] + spaced(base64.b64encode(rng.randbytes(2000)).decode(), 40)).encode())[7:] == (2, 0, 1)
+
+
 # --- secrets
 
 def plain_secrets(text):
