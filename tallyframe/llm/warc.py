@@ -29,6 +29,8 @@ DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A member whose header is longer than this is no record.
 MOST_HEADER = 1 << 20
+#: How a gzip member begins.
+MEMBER = b"\x1f\x8b\x08"
 
 READ = "record_type string, record_id string, refers_to string, target_uri string, payload_bytes bigint, payload_digest string, payload binary, error string"
 
@@ -119,11 +121,13 @@ class _Framed:
             part = b""
             if at >= 0:
                 self.in_payload, part, self.http = True, self.http[at + 4 :], self.http[:at]
+            elif len(self.http) > MOST_HEADER:
+                raise ValueError("an HTTP header does not end")
         self.payload.update(part)
         self.size += len(part)
         if self.keep and part:
             self.kept.append(part)
-        self.tail += rest
+        self.tail = (self.tail + rest)[:5]  # more than an end mark is wrong, whatever it is
 
     def row(self, whole: bool) -> tuple:
         fields = self.fields or {}
@@ -145,28 +149,53 @@ class _Framed:
         )
 
 
+def _unpacked(member, data: bytes) -> Iterator[bytes]:
+    """What a member holds of ``data``, at most PIECE bytes at once however much it swells."""
+    while True:
+        out = member.decompress(data, PIECE)
+        yield out
+        data = member.unconsumed_tail
+        if member.eof or not data and len(out) < PIECE:
+            return
+
+
 def read(pieces: Iterable[bytes], keep: bool = False) -> Iterator[tuple]:
     """Records of an archive that arrives in pieces, as tuples of ``READ``: one gzip member each.
 
-    A record that breaks off, whose frame is wrong or whose digests differ carries an error; what is no gzip
-    member or no record ends the reading with an error. ``keep``: payloads are returned, else only hashed.
+    A record that breaks off, whose frame is wrong or whose digests differ carries an error. What is no gzip member or no
+    record gives one error, and reading goes on at the next member that begins a record. ``keep``: payloads are
+    returned, else only hashed.
     """
-    member, framed = zlib.decompressobj(31), _Framed(keep)
-    begun = False
+    member = framed = None
+    held, again, lost = b"", b"", False
     for piece in pieces:
-        while piece:
-            begun = True
+        data, held = held + piece, b""
+        # Where to look for the next member if this one is damaged: in what came behind its beginning, PIECE bytes at least.
+        again = (again + data)[-2 * PIECE :] if member else b""
+        while data:
+            if member is None:
+                if lost:
+                    at = data.find(MEMBER)
+                    if at < 0:
+                        held = data[-len(MEMBER) + 1 :]
+                        break
+                    data = data[at:]
+                member, framed, again = zlib.decompressobj(31), _Framed(keep), data[1:]
             try:
-                framed.feed(member.decompress(piece))
+                for out in _unpacked(member, data):
+                    framed.feed(out)
             except (zlib.error, ValueError) as wrong:
-                yield (None, None, None, None, None, None, None, str(wrong))
-                return
-            piece = b""
+                if not lost:
+                    yield (None, None, None, None, None, None, None, str(wrong))
+                data, member, lost = again, None, True
+                continue
+            lost = lost and framed.fields is None
+            data = b""
             if member.eof:
-                yield framed.row(True)
-                piece, begun = member.unused_data, False
-                member, framed = zlib.decompressobj(31), _Framed(keep)
-    if begun:
+                if not lost:
+                    yield framed.row(True)
+                data, member = member.unused_data, None
+    if member is not None and not lost:
         yield framed.row(False)
 
 

@@ -1,6 +1,8 @@
 """WARC archives."""
 
 import hashlib
+import random
+import tracemalloc
 import zlib
 
 from tallyframe.llm import queries, warc
@@ -73,3 +75,33 @@ def test_reader_reports_damage():
     assert [r[7] for r in warc.read([squeeze(plain_text[:-20])])] == ["truncated"]
     assert list(warc.read([b"no archive"]))[0][7] and list(warc.read([squeeze(b"no record\r\n\r\n")]))[0][7]
     assert list(warc.read([])) == []
+
+
+def test_reading_goes_on_behind_damage():
+    rng = random.Random(1)
+    bodies = [rng.randbytes(3000) for _ in range(4)]
+    first, second, third, fourth = (warc.record("response", str(i), None, b) for i, b in enumerate(bodies))
+    broken = second[:1500] + bytes(40) + second[1540:]
+    alien = zlib.compressobj(6, zlib.DEFLATED, 31)
+    alien = alien.compress(b"no record\r\n\r\n" + rng.randbytes(500)) + alien.flush()
+    for data in (first + broken + third + b"junk" * 99 + fourth, first + second[:700] + third + alien + fourth):
+        for n in (1, 100, 2999, 1 << 20):
+            rows = list(warc.read(sliced(data, n), keep=True))
+            good = [(warc.page_key(r[1]), r[6]) for r in rows if not r[7]]
+            assert good == [("0", bodies[0]), ("2", bodies[2]), ("3", bodies[3])]
+            assert 1 <= sum(bool(r[7]) for r in rows) <= 3
+
+
+def test_members_that_swell_are_read_in_little_room():
+    data = warc.record("response", "1", None, bytes(100 << 20))
+    headers = zlib.compressobj(6, zlib.DEFLATED, 31)
+    text = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: application/http\r\nContent-Length: %d\r\n\r\n" % (50 << 20)
+    headers = headers.compress(text + b"x" * (50 << 20)) + headers.flush()
+    assert len(data) < 200_000 and len(headers) < 200_000
+    tracemalloc.start()
+    try:
+        assert [(r[4], r[7]) for r in warc.read([data])] == [(100 << 20, None)]
+        assert [r[7] for r in warc.read([headers, warc.record("response", "2", None, b"")])] == ["an HTTP header does not end", None]
+        assert tracemalloc.get_traced_memory()[1] < 30 << 20
+    finally:
+        tracemalloc.stop()
