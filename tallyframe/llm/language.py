@@ -24,6 +24,8 @@ ROUNDS = 12
 #: Centroids are clustered on at most this many training rows of a language, the first by hash of the id. The
 #: document frequencies behind the IDF are counted over all training rows.
 FIT_ROWS = 1500
+#: Shares by which the ids of a language are ranked first.
+RANK_SHARES = 64
 #: Languages whose centroids the driver and each task hold at once; more are learnt and scored in blocks.
 LANGUAGES = 200
 #: A text less similar than this to every centroid is rejected.
@@ -132,11 +134,14 @@ def fit(df: DataFrame, key: str, text: str, lang: str, learn: Column) -> Model:
     if not n:
         return Model()
     named = usable.select(F.col(f"`{key}`").alias("_id"), language.alias("_lang"), words.alias("text"))
-    first = W.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    # Only ids are ranked, each once, and each task drops those beyond the bound before the shuffle. Of an id that is
-    # repeated one row is kept, by the hash of its text, combined before the shuffle.
+    # Only ids are ranked, each once: first within shares of a language, which drop those beyond the bound, so that the
+    # second ranking has RANK_SHARES * FIT_ROWS ids of a language at most. Of an id that is repeated one row is kept, by
+    # the hash of its text, combined before the shuffle.
     ids = named.groupBy("_id", "_lang").agg(F.min(F.xxhash64("text")).alias("_hash"))
-    chosen = ids.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= FIT_ROWS).select("_id", "_lang", "_hash")
+    ids = ids.withColumn("_order", F.xxhash64("_id")).withColumn("_share", F.pmod(F.xxhash64("_order"), F.lit(RANK_SHARES)))
+    for by in (["_lang", "_share"], ["_lang"]):
+        ids = ids.withColumn("_rank", F.row_number().over(W.partitionBy(*by).orderBy("_order", "_id"))).where(F.col("_rank") <= FIT_ROWS)
+    chosen = ids.select("_id", "_lang", "_hash")
     sample = named.withColumn("_hash", F.xxhash64("text")).join(chosen, ["_id", "_lang", "_hash"], "left_semi")
     sample = sample.groupBy("_id", "_lang").agg(F.min("text").alias("text"))
     held = spark.sparkContext.broadcast(idf)
