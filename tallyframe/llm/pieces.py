@@ -286,8 +286,8 @@ class Segmenter:
             if "".join([texts[i] for i in mine]) == chunk:
                 self._kept(chunk, struct.pack(_HEAD, score, cost) + array("i", mine).tobytes())
 
-    def encode(self, text: str, n: int = BEST) -> tuple[np.ndarray, list[tuple[float, int]]]:
-        """The ids of the best segmentation of a text, and (score, number of ids) of the ``n`` best."""
+    def encode(self, text: str, n: int = BEST) -> tuple[np.ndarray, list[tuple[float, np.ndarray]]]:
+        """The ids of the best segmentation of a text, and (score, ids) of the ``n`` best, of which it is the first."""
         return next(self.encode_all([text], n))
 
     def encode_all(self, texts: list[str], n: int = BEST):
@@ -301,7 +301,7 @@ class Segmenter:
         for chunks in lists:
             yield self._joined(chunks, n) if chunks else (np.zeros(0, np.int32), [])
 
-    def _joined(self, chunks: list[str], n: int) -> tuple[np.ndarray, list[tuple[float, int]]]:
+    def _joined(self, chunks: list[str], n: int) -> tuple[np.ndarray, list[tuple[float, np.ndarray]]]:
         known, make = self.known.get, self._chunk
         found = [known(c) or make(c) for c in chunks]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
@@ -312,14 +312,19 @@ class Segmenter:
         rest[heads.ravel()] = False
         ids, score = flat[rest], float(scores.sum())
         if n < 2:
-            return ids, [(score, len(ids))]
+            return ids, [(score, ids)]
         # The n best of all differ from the best in those chunks only whose second segmentation costs least.
         limit = np.partition(costs, min(n - 1, len(costs)) - 1)[min(n - 1, len(costs)) - 1]
         places = [p for p in np.flatnonzero(costs <= limit).tolist() if costs[p] < np.inf]
-        places = sorted(places, key=lambda p: (costs[p], p))[: n - 1]
-        ranked = [self._ranked(chunks[p], n) for p in places]
-        others = len(ids) - sum(int(sizes[p]) - _HEAD_BYTES // 4 for p in places)
-        return ids, _merged(ranked, score, others, n)
+        places = sorted(sorted(places, key=lambda p: (costs[p], p))[: n - 1])
+        ends = np.cumsum(sizes - _HEAD_BYTES // 4)
+        spans = [(int(ends[p] - sizes[p] + _HEAD_BYTES // 4), int(ends[p])) for p in places]
+        ranked = []
+        for p, (a, b) in zip(places, spans, strict=True):
+            listed, mine = self._ranked(chunks[p], n), tuple(ids[a:b].tolist())
+            # Of equal segmentations the one in ``ids`` is the first.
+            ranked.append([(listed[0][0], mine), *(x for x in listed if x[1] != mine)][:n])
+        return ids, [(total, _spliced(ids, spans, ranked, choice)) for total, choice in _merged(ranked, score, n)]
 
     def decode(self, ids) -> str:
         """The text of ids; the space that encoding puts first is taken off."""
@@ -327,20 +332,29 @@ class Segmenter:
         return (found[1:] if found[:1] == b" " else found).decode(errors="replace")
 
 
-def _merged(ranked: list[list[tuple[float, tuple]]], score: float, size: int, n: int) -> list[tuple[float, int]]:
-    """(score, size) of the ``n`` best choices of one segmentation for each chunk; ``size`` is that of the rest."""
-    out, heap = [], [(0.0, (0,) * len(ranked), 0, size + sum(len(r[0][1]) for r in ranked))]
+def _merged(ranked: list[list[tuple[float, tuple]]], score: float, n: int) -> list[tuple[float, tuple[int, ...]]]:
+    """(score, choice) of the ``n`` best choices of one segmentation for each chunk."""
+    out, heap = [], [(0.0, (0,) * len(ranked), 0)]
     while heap and len(out) < n:
-        cost, choice, last, total = heapq.heappop(heap)
-        out.append((score - cost, total))
+        cost, choice, last = heapq.heappop(heap)
+        out.append((score - cost, choice))
         for k in range(last, len(ranked)):
             i = choice[k] + 1
             if i < len(ranked[k]):
-                (before, ids), (after, others) = ranked[k][i - 1 : i + 1]
-                heapq.heappush(heap, (cost + before - after, (*choice[:k], i, *choice[k + 1 :]), k, total + len(others) - len(ids)))
+                heapq.heappush(heap, (cost + ranked[k][i - 1][0] - ranked[k][i][0], (*choice[:k], i, *choice[k + 1 :]), k))
     return out
 
 
+def _spliced(ids: np.ndarray, spans: list[tuple[int, int]], ranked: list[list[tuple[float, tuple]]], choice: tuple[int, ...]) -> np.ndarray:
+    """``ids`` with the chosen segmentations in the places of some chunks."""
+    parts, at = [], 0
+    for (a, b), others, i in zip(spans, ranked, choice, strict=True):
+        if i:
+            parts += [ids[at:a], np.array(others[i][1], np.int32)]
+            at = b
+    return np.concatenate([*parts, ids[at:]]) if parts else ids
+
+
 _held: dict[str, Segmenter] = {}
 
 
@@ -351,14 +365,26 @@ def _segmenter(model: Model) -> Segmenter:
     return _held[model.key]
 
 
-_RANKED = pa.list_(pa.struct([("score", pa.float64()), ("n_pieces", pa.int64())]))
+_BEST = pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int32()))])
+_RANKED = pa.list_(_BEST)
 _ENCODED = pa.struct([("ids", pa.list_(pa.int32())), ("nbest", _RANKED), ("round_trip", pa.bool_())])
 
 
+def _flat(arrays: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, np.int32)
+
+
+def _lists(sizes, values: pa.Array, null: list[bool] | None = None) -> pa.ListArray:
+    """Values as lists of these sizes; those marked as null are."""
+    ends = [0, *np.cumsum(np.fromiter(sizes, np.int64)).tolist()]
+    offsets = [None if n else e for e, n in zip(ends, [*(null or [False] * (len(ends) - 1)), False], strict=True)]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
 def encoded(df: DataFrame, model: Model, text: str = "text", into: str = "pieces", best: int = BEST) -> DataFrame:
-    """All columns of ``df`` and the struct ``into``: ids of the best segmentation, nbest (score, n_pieces), round_trip.
+    """All columns of ``df`` and the struct ``into``: ids of the best segmentation, nbest (score, ids), round_trip.
 
-    ``nbest`` lists the ``best`` best segmentations of the whole text, best first. An empty text has no ids
+    ``nbest`` lists the ``best`` best segmentations of the whole text, best first, ``ids`` being the first. An empty text has no ids
     and no segmentations, a null text null in both. Characters outside the vocabulary become their bytes. The ids
     are decoded again in the same task, and ``round_trip`` tells whether they give the text. Rows are encoded one
     by one. A column of that name is replaced.
@@ -368,17 +394,18 @@ def encoded(df: DataFrame, model: Model, text: str = "text", into: str = "pieces
     @by_arrow(_ENCODED)
     def found(texts: pa.Array) -> pa.Array:
         segmenter = _segmenter(Model(**held.value))
-        ids, ends, ranked, whole = [], [0], [], []
+        ids, scores, paths, counts, whole = [], [], [], [], []
         rows = [None if t is None else t.decode() for t in raw(texts)]
-        for t, (mine, scores) in zip(rows, segmenter.encode_all(rows, best), strict=True):
+        for t, (mine, ranked) in zip(rows, segmenter.encode_all(rows, best), strict=True):
             ids.append(mine)
-            ends.append(ends[-1] + len(mine))
-            ranked.append(None if t is None else [{"score": s, "n_pieces": k} for s, k in scores])
+            counts.append(len(ranked))
+            scores += [s for s, _ in ranked]
+            paths += [p for _, p in ranked]
             whole.append(segmenter.decode(mine.tolist()) == (t or ""))
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        offsets = pa.array([None if null and i < len(texts) else e for i, (e, null) in enumerate(zip(ends, [*texts.is_null().to_pylist(), False], strict=True))], pa.int32())
-        lists = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
-        return pa.StructArray.from_arrays([lists, pa.array(ranked, _RANKED), pa.array(whole, pa.bool_())], fields=list(_ENCODED))
+        null = texts.is_null().to_pylist()
+        listed = pa.StructArray.from_arrays([pa.array(scores, pa.float64()), _lists(map(len, paths), pa.array(_flat(paths), pa.int32()))], fields=list(_BEST))
+        columns = [_lists(map(len, ids), pa.array(_flat(ids), pa.int32()), null), _lists(counts, listed, null), pa.array(whole, pa.bool_())]
+        return pa.StructArray.from_arrays(columns, fields=list(_ENCODED))
 
     return small_batches(df).withColumn(into, found(F.col(f"`{text}`").cast("string")))
 
