@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import collection, compare, rules, vote
 from ..session import run_dir
-from ..sources import ingest, readers, writers
+from ..sources import captures, ingest, readers, writers
 from ..sources.store import Store
 from .base import query, table
 from .voting import VOTES, line_votes
@@ -289,6 +289,26 @@ def capture_files(spark, folder):
     return pieces.join(whole, "capture")
 
 
+@query("SELECT 'doc-' || doc_id AS capture, CAST(strlen(text) AS BIGINT) AS bytes, CAST((strlen(text) + 999) // 1000 AS BIGINT) AS pieces, sha256(text) AS digest, true AS same FROM documents WHERE strlen(text) > 0")
+def capture_source(spark, folder):
+    """Texts as capture files, read as byte ranges in a batch and as a stream of two arrivals; both give the same pieces."""
+    rows = table(spark, folder, "documents").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"), F.col("text").alias("data"), "doc_id")
+    path = run_dir(spark, "captures")
+    captures.register(spark)
+    for lot in (F.col("doc_id") % 2 == 0, F.col("doc_id") % 2 == 1):
+        put(rows.where(lot).drop("doc_id"), spark, "captures", f"{path}/in")
+        stream = spark.readStream.format("capture_pieces").option("piece", 1000).load(f"{path}/in")
+        query_ = stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+        query_.start(f"{path}/out").awaitTermination()
+    whole = lambda pieces: pieces.groupBy(F.substring_index("capture", "/", -1).alias("capture")).agg(
+        F.sum(F.length("data")).cast("bigint").alias("bytes"), F.count(F.lit(1)).alias("pieces"),
+        F.sha2(F.expr("listagg(data) WITHIN GROUP (ORDER BY seq)"), 256).alias("digest"))
+    batch = whole(spark.read.format("capture_pieces").option("piece", 1000).option("split", 5000).load(f"{path}/in"))
+    streamed = whole(spark.read.schema(captures.SCHEMA).parquet(f"{path}/out")).select("capture", F.struct("bytes", "pieces", "digest").alias("_streamed"))
+    both = batch.join(streamed, "capture", "left").withColumn("same", F.col("_streamed").eqNullSafe(F.struct("bytes", "pieces", "digest")))
+    return both.drop("_streamed")
+
+
 # -- writers ---------------------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions import naming
 from tallyframe.operators import codec, keys, merge, rules, vote
 from tallyframe.plans import flows
-from tallyframe.sources import ingest, readers, writers
+from tallyframe.sources import captures, ingest, readers, writers
 from tallyframe.sources.store import Store
 
 
@@ -274,3 +274,30 @@ def test_rule_sets_count_keys_items_and_references(spark):
     assert found == {
         "value_present": (6, 2, False), "value_fits_type": (6, 1, False), "described": (6, 2, False), "duplicate_value": (4, 1, False), "duplicate_name": (1, 1, False),
         "contexts": (1, 0, True), "enumerations": (2, 18, False), "message_known": (3, 2, False)}
+
+
+def test_a_growing_capture_is_followed(spark, tmp_path):
+    captures.register(spark)
+    (tmp_path / "in").mkdir()
+    data = bytes(range(256)) * 9
+
+    def run(settle):
+        stream = spark.readStream.format("capture_pieces").option("piece", 100).option("pattern", "*.bin").option("settle", settle).load(str(tmp_path / "in"))
+        stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+        rows = spark.read.schema(captures.SCHEMA).parquet(str(tmp_path / "out")).orderBy("capture", "seq").collect()
+        return [(r.seq, bytes(r.data)) for r in rows if r.capture.endswith("a.bin")]
+
+    (tmp_path / "in" / "a.bin").write_bytes(data[:260])
+    (tmp_path / "in" / "empty.bin").write_bytes(b"")
+    (tmp_path / "in" / "other.txt").write_bytes(b"x")
+    pieces = [(n, data[at : at + 100]) for n, at in enumerate(range(0, len(data), 100))]
+    assert run(3600) == pieces[:2] == run(3600)
+    (tmp_path / "in" / "a.bin").write_bytes(data)
+    assert run(3600) == pieces[:-1]
+    assert run(0) == pieces
+    batch = spark.read.format("capture_pieces").option("piece", 100).option("split", 250).option("pattern", "*.bin").load(f"file://{tmp_path}/in")
+    assert batch.rdd.getNumPartitions() == 12
+    assert sorted((r.seq, bytes(r.data)) for r in batch.collect()) == pieces
+    (tmp_path / "in" / "a.bin").write_bytes(data + b"more")
+    with pytest.raises(Exception, match="has grown"):
+        run(0)
