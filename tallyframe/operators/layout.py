@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -233,12 +235,17 @@ def last_per_offset(fields: DataFrame, keys, offset: str, columns, order) -> Dat
 
 def differences(first: DataFrame, second: DataFrame, keys, offset: str, name: str, dtype: str, size: str, order) -> DataFrame:
     """Field by field difference of two layouts: ``kind`` is missing_in_first, missing_in_second or field_differs."""
+    mark = F.lit(True)
+    return sided_differences(first.withColumn("_first", mark).unionByName(second.withColumn("_first", ~mark), True), "_first", keys, offset, name, dtype, size, order)
+
+
+def sided_differences(fields: DataFrame, is_first: str, keys, offset: str, name: str, dtype: str, size: str, order) -> DataFrame:
+    """:func:`differences` of the rows where ``is_first`` holds and those where it does not, in one aggregation."""
     columns = [name, dtype, size]
-    # Both sides in one aggregation: the last row of each side per (key, offset).
-    sided = lambda df, first: df.select(*keys, offset, F.struct(*columns).alias("_row"), F.struct(*order).alias("_order"), F.lit(first).alias("_first"))
-    tagged = sided(first, True).unionByName(sided(second, False))
-    last = lambda side: F.max_by("_row", F.when(side, F.col("_order")))
-    both = tagged.groupBy(*keys, offset).agg(last(F.col("_first")).alias("first"), last(~F.col("_first")).alias("second"))
+    row, side = F.struct(*columns), F.col(is_first)
+    # The last row of each side per (key, offset).
+    last = lambda side: F.max_by(row, F.when(side, F.struct(*order)))
+    both = fields.groupBy(*keys, offset).agg(last(side).alias("first"), last(~side).alias("second"))
     kind = (
         F.when(F.col("first").isNull(), F.lit("missing_in_first"))
         .when(F.col("second").isNull(), F.lit("missing_in_second"))
@@ -265,28 +272,36 @@ def difference_text(offset: str, name: str, dtype: str) -> Column:
     )
 
 
-def summarize(diff: DataFrame, keys, offset: str, name: str, dtype: str, count_diff: DataFrame | None = None) -> DataFrame:
+def summarize(diff: DataFrame, keys, offset: str, name: str, dtype: str, count_diff: DataFrame | None = None, carried=None) -> DataFrame:
     """One line per key: the field count difference, three differences, and how many more there are.
 
-    ``count_diff`` has the keys and ``field_count_diff``. The rank limit keeps three rows per key
-    in each task before the shuffle, whatever the number of differences.
+    ``count_diff`` has the keys and ``field_count_diff``; with ``carried``, a list of further columns of it, all its keys come
+    out, those without a difference too. The rank limit keeps three rows per key in each task before the shuffle, whatever
+    the number of differences. Texts, counts and ``count_diff`` meet in one aggregation of a few rows a key.
     """
     texts = diff.select(*keys, offset, difference_text(offset, name, dtype).alias("_text"))
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(offset))
     top = texts.withColumn("_rank", rank).where(F.col("_rank") <= 3)
-    lines = top.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_rank", "_text"))).alias("_lines"))
-    counts = texts.groupBy(*keys).agg(F.count(F.lit(1)).alias("mismatch_count"))
-    out = null_safe_join(counts, lines, keys, "left")
-    lead = F.lit(None).cast("string")
+    parts = [
+        top.select(*keys, F.struct("_rank", "_text").alias("_line")),
+        texts.groupBy(*keys).agg(F.count(F.lit(1)).alias("mismatch_count")),
+    ]
     if count_diff is not None:
-        out = null_safe_join(out, count_diff.select(*keys, "field_count_diff"), keys, "left")
-        lead = F.when(
-            F.col("field_count_diff") != 0,
-            F.concat(F.lit("field count differs by "), F.col("field_count_diff").cast("string")),
-        )
+        kept = F.struct("field_count_diff", *(carried or []))
+        parts.append(count_diff.select(*keys, kept.alias("_sized")))
+    joined = reduce(lambda x, y: x.unionByName(y, True), parts)
+    if count_diff is None:
+        joined = joined.withColumn("_sized", F.lit(None).cast("struct<field_count_diff:bigint>"))
+    # Three lines a key at most, as ranks are of all tasks.
+    out = joined.groupBy(*keys).agg(F.array_sort(F.collect_list("_line")).alias("_lines"), F.max("mismatch_count").alias("mismatch_count"), F.max("_sized").alias("_sized"))
+    out = out.where(F.col("mismatch_count").isNotNull() if carried is None else F.col("_sized").isNotNull())
+    sized = F.col("_sized.field_count_diff")
+    lead = F.when(sized != 0, F.concat(F.lit("field count differs by "), sized.cast("string")))
     more = F.when(
         F.col("mismatch_count") > 3,
         F.concat(F.lit("...and "), (F.col("mismatch_count") - 3).cast("string"), F.lit(" more differences")),
     )
-    shown = F.array_join(F.transform("_lines", lambda x: x["_text"]), "; ")
-    return out.withColumn("summary", F.concat_ws("; ", lead, shown, more)).drop("_lines")
+    shown = F.when(F.size("_lines") > 0, F.array_join(F.transform("_lines", lambda x: x["_text"]), "; "))
+    text = F.when(F.col("mismatch_count").isNotNull(), F.concat_ws("; ", lead, shown, more))
+    extra = ["field_count_diff"] * (count_diff is not None) + list(carried or [])
+    return out.select(*keys, "mismatch_count", *[F.col(f"_sized.{c}").alias(c) for c in extra], text.alias("summary"))

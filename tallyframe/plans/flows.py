@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import codec, keys, layout, merge, skew, vote
+from ..session import cut_lineage
 from ..sources import readers
 
 
@@ -28,19 +29,20 @@ def outlier_report(fields: DataFrame, entity, source: str, name: str, offset: st
     that does not agree is compared, field by field, with the first source that does.
     """
     keys = [*entity, source]
-    prints = layout.fingerprint(fields, keys, name, offset, dtype, size)
+    prints = cut_lineage(layout.fingerprint(fields, keys, name, offset, dtype, size))
     votes = vote.vote(prints, entity, "fingerprint", [source])
     won = votes.select(*entity, "winning_value", F.col("winning_order")[source].alias("winning_source"))
-    out = skew.null_safe_join(prints, won, entity, "inner").where(~F.col("fingerprint").eqNullSafe(F.col("winning_value")))
-    pairs = out.select(*entity, F.col(source).alias("_outlier"), F.col("winning_source").alias(source))
-    first = skew.null_safe_join(pairs, fields, keys, "inner").drop(source).withColumnRenamed("_outlier", source)
-    second = skew.null_safe_join(fields, out.select(*keys), keys, "left_semi")
-    counts = prints.select(*entity, F.col(source).alias("winning_source"), F.col("field_count").alias("_n"))
-    sized = skew.null_safe_join(out, counts, [*entity, "winning_source"], "left")
-    sized = sized.select(*keys, "winning_source", (F.col("_n") - F.col("field_count")).alias("field_count_diff"))
-    diff = layout.differences(first, second, keys, offset, name, dtype, size, order)
-    lines = layout.summarize(diff, keys, offset, name, dtype, sized.drop("winning_source"))
-    return skew.null_safe_join(sized, lines.drop("field_count_diff"), keys, "left")
+    # Sources that agree have equally many fields.
+    ballots = skew.null_safe_join(prints, won, entity, "inner").withColumn("_agrees", F.col("fingerprint").eqNullSafe(F.col("winning_value")))
+    counts = ballots.where("_agrees").groupBy(*entity).agg(F.min("field_count").alias("_n"))
+    out = skew.null_safe_join(ballots.where("NOT _agrees"), counts, entity, "left")
+    sized = cut_lineage(out.select(*keys, "winning_source", (F.col("_n") - F.col("field_count")).alias("field_count_diff")))
+    # Each outlier names the two sources whose fields are compared; the fields are read once more for both.
+    sides = F.array(F.struct(F.col("winning_source").alias(source), F.lit(True).alias("_first")), F.struct(F.col(source).alias(source), F.lit(False).alias("_first")))
+    wanted = sized.select(*entity, F.col(source).alias("_outlier"), F.inline(sides))
+    compared = skew.null_safe_join(fields, wanted, keys, "inner")
+    diff = layout.sided_differences(compared, "_first", [*entity, "_outlier"], offset, name, dtype, size, order).withColumnRenamed("_outlier", source)
+    return layout.summarize(diff, keys, offset, name, dtype, sized, ["winning_source"])
 
 
 def consensus_merged(
