@@ -71,38 +71,34 @@ def config_section(outline: DataFrame, source: str, seq: str, level: str, title:
     Its introduction ends before the first reference entry; groups are the key groups after that.
     ``batched`` keeps groups in outline order and only on the level below the reference's.
     """
-    starts = outline.where(F.col(title).contains(section)).groupBy(source).agg(
-        F.min_by(F.struct(F.col(seq).alias("seq"), F.col(page).alias("page"), F.col(level).alias("level")), seq).alias("_s")
-    )
-    inside = skew.null_safe_join(outline, starts, [source], "inner").where(F.col(seq) > F.col("_s.seq"))
+    here = F.struct(F.col(seq).alias("seq"), F.col(page).alias("page"), F.col(level).alias("level"))
+    starts = outline.where(F.col(title).contains(section)).groupBy(source).agg(F.min_by(here, seq).alias("_s"))
+    # One row a source, written, so that Spark knows the size of what the outline is joined with.
+    inside = skew.null_safe_join(outline, cut_lineage(starts), [source], "inner").where(F.col(seq) > F.col("_s.seq"))
     same = F.col(level) == F.col("_s.level")
     closes = (same & (F.col(page) > F.col("_s.page"))) if batched else (F.col(level) <= F.col("_s.level"))
     refers = F.lower(title).contains("reference")
     if batched:
         refers = refers & F.col(title).contains("Configuration")
-    ends = inside.groupBy(source).agg(
-        F.min(F.when(closes, F.col(seq))).alias("end_seq"), F.min_by(page, F.when(closes, F.col(seq))).alias("end_page")
-    )
-    open_rows = skew.null_safe_join(inside, ends, [source], "left").where(
-        F.col("end_seq").isNull() | (F.col(seq) < F.col("end_seq"))
-    )
-    refs = open_rows.where(refers).groupBy(source).agg(
-        F.min_by(F.struct(F.col(seq).alias("seq"), F.col(page).alias("page"), F.col(level).alias("level")), seq).alias("_ref")
-    )
-    bounds = starts.join(ends, source, "left").join(refs, source, "left").select(
+    # The first reference counts if it stands before the end, so both are found at once.
+    marks = inside.groupBy(source).agg(F.min_by(here, F.when(closes, F.col(seq))).alias("_end"), F.min_by(here, F.when(refers, F.col(seq))).alias("_first"))
+    before = F.col("_end").isNull() | (F.col("_first.seq") < F.col("_end.seq"))
+    marks = cut_lineage(marks.withColumn("_ref", F.when(before, F.col("_first"))).drop("_first"))
+    bounds = skew.null_safe_join(starts, marks, [source], "left").select(
         source,
         F.col("_s.page").alias("section_start"),
-        (F.col("end_page") - 1).alias("section_end"),
+        (F.col("_end.page") - 1).alias("section_end"),
         F.when(F.col("_ref").isNotNull(), F.col("_s.page")).alias("intro_start"),
         (F.col("_ref.page") - 1).alias("intro_end"),
     )
-    named = skew.null_safe_join(open_rows, refs, [source], "inner").where(F.col(seq) > F.col("_ref.seq"))
+    open_rows = F.col("_end").isNull() | (F.col(seq) < F.col("_end.seq"))
+    named = skew.null_safe_join(inside, marks.where("_ref is not null"), [source], "inner").where(open_rows & (F.col(seq) > F.col("_ref.seq")))
     if batched:
         named = named.where(F.col(level) == F.col("_ref.level") + 1)
     named = named.withColumn("group", n.extract(title, fixed.GROUP_TITLE)).where("`group` is not null")
     order = [seq] if batched else [page, seq]
     listed = skew.ordered(named, [source], order, {"_next": ("lead", F.col(page))})
-    start, after = F.col(page), (F.col("end_page") - 1)
+    start, after = F.col(page), (F.col("_end.page") - 1)
     last = F.coalesce(after, start + (5 if batched else 10))
     between = F.greatest(start, F.col("_next") - 1)
     end = F.when(F.col("_next").isNotNull(), between).otherwise(last if batched else F.greatest(last, start))

@@ -8,7 +8,6 @@ shuffle, so an entity with a third of all rows reaches its reducer as a few part
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -242,10 +241,9 @@ def fold(canonical: DataFrame, added: DataFrame, entity, order, compat=True) ->
     state = ["fingerprint", "agreement_count", "total_count", "confidence", "confidence_score"]
     one = F.lit(1).cast("bigint")
     agrees = F.col("agrees").cast("bigint")
-    # Counts after each arrival, so that the label of the last agreeing arrival can be found. Rows are one per
-    # source by now, so an entity has no more of them than there are sources.
-    earlier = W.partitionBy(*entity).orderBy(*order, "source").rowsBetween(W.unboundedPreceding, -1)
-    arrivals = added.withColumns({"_agreed_before": F.sum(agrees).over(earlier), "_seen_before": F.sum(one).over(earlier)})
+    # Counts after each arrival, so that the label of the last agreeing arrival can be found.
+    counts = {"_agreed_before": ("sum_before", agrees), "_seen_before": ("sum_before", one)}
+    arrivals = skew.ordered(added, entity, [*order, "source"], counts)
     base = canonical.select(*entity, F.col("agreement_count").alias("_a0"), F.col("total_count").alias("_t0"))
     arrivals = skew.null_safe_join(arrivals, base, entity, "left")
     agreed = F.coalesce("_a0", F.lit(0)) + F.coalesce("_agreed_before", F.lit(0)) + agrees
