@@ -217,6 +217,20 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.audited(rows, "conv", present="present").withColumnRenamed("conv", "conv_id")
 
 
+ORACLES["op13_suffix_array_dedup"] = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+s AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS m FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM t WHERE n >= 100)),
+d AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY m ORDER BY doc_id, i) AS k FROM s) WHERE k > 1),
+b AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 100 THEN 0 ELSE 1 END AS opens FROM d WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS z FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM b) GROUP BY doc_id, run),
+p AS (
+    SELECT t.doc_id, coalesce(lag(z) OVER w, 0) AS a, r.a AS z, h FROM t JOIN r USING (doc_id) WINDOW w AS (PARTITION BY t.doc_id ORDER BY r.a)
+    UNION ALL SELECT t.doc_id, coalesce(max(z), 0), any_value(n), any_value(h) FROM t LEFT JOIN r USING (doc_id) GROUP BY t.doc_id),
+kept AS (SELECT doc_id, sha256(unhex(string_agg(substr(h, 2 * a + 1, 2 * (z - a)), '' ORDER BY a))) AS kept_sha256 FROM p GROUP BY doc_id)
+SELECT t.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, kept_sha256
+FROM t JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans FROM r GROUP BY doc_id) USING (doc_id)"""
+
+
 @query
 def op13_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixes.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))

@@ -97,3 +97,11 @@ def test_suffix_query_like_a_dictionary_of_all_strings(spark, folder, duck):
     mine = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found}
     plain = {k: (n, sum(b - a for a, b in s), len(s), hashlib.sha256(kept).hexdigest()) for (k, _), (n, s, kept) in plain_repeats(docs).items()}
     assert len(found) == len(docs) and mine == plain
+
+
+def test_suffix_query_like_its_sql(spark, folder, duck):
+    found = queries.QUERIES["op13_suffix_array_dedup"](spark, folder)
+    cursor = duck.execute(queries.ORACLES["op13_suffix_array_dedup"])
+    names = [d[0] for d in cursor.description]
+    assert sorted(names) == sorted(found.columns)
+    assert sorted(map(tuple, found.select(*names).collect())) == sorted(cursor.fetchall())
