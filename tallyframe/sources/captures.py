@@ -6,7 +6,7 @@
 
 Rows are (capture, seq, data): the address of the file, the number of the piece in it from 0 on without gaps, and its bytes:
 ``piece`` of them, fewer only in the last. Files are opened through pyarrow, so the address must be one that it and all executors
-reach; ``pattern`` chooses names. Batch tasks read ranges of ``split`` bytes, whatever the size of a file. Empty files have no rows.
+reach; ``pattern`` chooses names. Tasks read ranges of about ``split`` bytes: parts of large files, many small ones. Empty files have no rows.
 
 The stream's offset holds the bytes that have been read of each file, so a micro-batch that is repeated reads the same bytes.
 Files that appear whole are read at once. With ``settle``, a number of seconds, a file may grow: its whole pieces come as they
@@ -28,11 +28,11 @@ SCHEMA = "capture string, seq bigint, data binary"
 PIECE, SPLIT = 1 << 22, 1 << 26
 
 
-class Range(InputPartition):
-    """Bytes of a file, from the beginning of a piece on."""
+class Ranges(InputPartition):
+    """(capture, first byte, end) of byte ranges that begin with a piece each: one of a large file, or several small files."""
 
-    def __init__(self, capture: str, start: int, end: int):
-        self.capture, self.start, self.end = capture, start, end
+    def __init__(self, parts: list[tuple[str, int, int]]):
+        self.parts = parts
 
 
 class _Files:
@@ -56,29 +56,40 @@ class _Files:
         sizes = {f"{self.path}/{f.base_name}": ready(f) for f in sorted(files, key=lambda f: f.base_name)}
         return {capture: size for capture, size in sizes.items() if size}
 
-    def ranges(self, capture: str, start: int, end: int) -> list[Range]:
-        if start < end and start % self.piece:
-            raise ValueError(f"{capture} has grown after its last piece was read; give a time to settle")
-        return [Range(capture, at, min(end, at + self.split)) for at in range(start, end, self.split)]
-
-    def rows(self, part: Range) -> Iterator[pa.RecordBatch]:
-        store, place = pyarrow.fs.FileSystem.from_uri(part.capture)
-        with store.open_input_file(place) as file:
-            file.seek(part.start)
-            for at in range(part.start, part.end, self.piece):
-                data = file.read(min(self.piece, part.end - at))
-                columns = [pa.array([part.capture]), pa.array([at // self.piece], pa.int64()), pa.array([data], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["capture", "seq", "data"])
+    def ranges(self, start: dict[str, int], end: dict[str, int]) -> list[Ranges]:
+        """What has come between two states, in partitions of about ``split`` bytes."""
+        out, held, size = [], [], 0
+        for capture, last in sorted(end.items()):
+            first = start.get(capture, 0)
+            if first < last and first % self.piece:
+                raise ValueError(f"{capture} has grown after its last piece was read; give a time to settle")
+            for at in range(first, last, self.split):
+                held.append((capture, at, min(last, at + self.split)))
+                size += held[-1][2] - at
+                if size >= self.split:
+                    out.append(Ranges(held))
+                    held, size = [], 0
+        return [*out, Ranges(held)] if held else out
+
+    def rows(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        for capture, start, end in partition.parts:
+            store, place = pyarrow.fs.FileSystem.from_uri(capture)
+            with store.open_input_file(place) as file:
+                file.seek(start)
+                for at in range(start, end, self.piece):
+                    data = file.read(min(self.piece, end - at))
+                    columns = [pa.array([capture]), pa.array([at // self.piece], pa.int64()), pa.array([data], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["capture", "seq", "data"])
 
 
 class CaptureReader(DataSourceReader):
     def __init__(self, options):
         self.files = _Files(options)
 
-    def partitions(self) -> list[Range]:
-        return [r for capture, size in self.files.sizes().items() for r in self.files.ranges(capture, 0, size)]
+    def partitions(self) -> list[Ranges]:
+        return self.files.ranges({}, self.files.sizes())
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         return self.files.rows(partition)
 
 
@@ -94,10 +105,10 @@ class CaptureStreamReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         return self.files.sizes()
 
-    def partitions(self, start: dict, end: dict) -> list[Range]:
-        return [r for capture, size in sorted(end.items()) for r in self.files.ranges(capture, start.get(capture, 0), size)]
+    def partitions(self, start: dict, end: dict) -> list[Ranges]:
+        return self.files.ranges(start, end)
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         return self.files.rows(partition)
 
     def commit(self, end: dict) -> None:

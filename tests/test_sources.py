@@ -297,6 +297,11 @@ def test_a_growing_capture_is_followed(spark, tmp_path):
     assert run(0) == pieces
     batch = spark.read.format("capture_pieces").option("piece", 100).option("split", 250).option("pattern", "*.bin").load(f"file://{tmp_path}/in")
     assert batch.rdd.getNumPartitions() == 12
+    (tmp_path / "small").mkdir()
+    for name in "abcdefg":
+        (tmp_path / "small" / name).write_bytes(name.encode() * 30)
+    small = spark.read.format("capture_pieces").option("piece", 20).option("split", 60).load(str(tmp_path / "small"))
+    assert small.rdd.getNumPartitions() == 4 and sorted((r.capture[-1], r.seq, len(r.data)) for r in small.collect()) == [(n, k, 20 - 10 * k) for n in "abcdefg" for k in (0, 1)]
     assert sorted((r.seq, bytes(r.data)) for r in batch.collect()) == pieces
     (tmp_path / "in" / "a.bin").write_bytes(data + b"more")
     with pytest.raises(Exception, match="has grown"):
