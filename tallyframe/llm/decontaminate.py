@@ -298,7 +298,8 @@ def cleaned(
 
     What is left of a text is scanned again until nothing is hit, as the words around a removed span meet.
     Null texts and texts without hits stay as they are. Items of fewer than ``least_words`` words, a window at most,
-    are left in the texts and count for nothing here.
+    are left in the texts and count for nothing here. Rows are treated one by one, so repeated rows stay equal; columns
+    keep their names. An empty table gives no rows, and without items nothing changes.
     """
     blocks = Blocks(benchmark, item, item_text, window, block_words, least_words)
     state, latest = free_name(df, "_state"), free_name(df, "_latest")

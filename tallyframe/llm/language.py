@@ -126,7 +126,12 @@ def _loaded(rows: DataFrame, idf: np.ndarray) -> Model:
 
 
 def fit(df: DataFrame, key: str, text: str, lang: str, learn: Column) -> Model:
-    """Centroids of the rows for which ``learn`` holds, with a language, a key and a letter in the text."""
+    """Centroids of the rows for which ``learn`` holds, with a language, a key and a letter in the text.
+
+    Null and empty texts and null languages are not learnt from; null keys are one key. Of a repeated key of a language one
+    row counts, that of the least hash of its text, the document frequencies count every row. Equal hashes are ordered by
+    key. Other columns are not read. Without a usable row the model knows no language.
+    """
     spark = df.sparkSession
     words, language = F.col(f"`{text}`").cast("string"), F.col(f"`{lang}`").cast("string")
     usable = small_batches(df).where(learn & words.rlike(r"\p{L}") & language.isNotNull())
@@ -141,7 +146,8 @@ def fit(df: DataFrame, key: str, text: str, lang: str, learn: Column) -> Model:
     ids = ids.withColumn("_order", F.xxhash64("_id")).withColumn("_share", F.pmod(F.xxhash64("_order"), F.lit(RANK_SHARES)))
     for by in (["_lang", "_share"], ["_lang"]):
         ids = ids.withColumn("_rank", F.row_number().over(W.partitionBy(*by).orderBy("_order", "_id"))).where(F.col("_rank") <= FIT_ROWS)
-    chosen = ids.select("_id", "_lang", "_hash")
+    # Written, as its size is bounded: Spark then knows it before it deals out the texts.
+    chosen = cut_lineage(ids.select("_id", "_lang", "_hash"))
     sample = named.withColumn("_hash", F.xxhash64("text")).join(chosen, ["_id", "_lang", "_hash"], "left_semi")
     sample = sample.groupBy("_id", "_lang").agg(F.min("text").alias("text"))
     held = spark.sparkContext.broadcast(idf)

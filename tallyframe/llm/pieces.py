@@ -411,7 +411,11 @@ def encoded(df: DataFrame, model: Model, text: str = "text", into: str = "pieces
 
 
 def decoded(df: DataFrame, model: Model, ids: str = "pieces.ids", into: str = "decoded") -> DataFrame:
-    """All columns of ``df`` and ``into``, the text of the ids; null for null."""
+    """All columns of ``df`` and ``into``, the text of the ids; null for null, the empty text for no ids.
+
+    Rows are decoded one by one, so repeated rows get equal results. A column named ``into`` is replaced; an empty table
+    gives no rows.
+    """
     held = df.sparkSession.sparkContext.broadcast(vars(model))
 
     @by_arrow(pa.string())

@@ -147,7 +147,11 @@ def find(df: DataFrame, text: str = "text", into: str = "secrets") -> DataFrame:
 
 
 def redacted(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``df`` with every secret in ``text`` replaced by ``mark``; null texts stay null."""
+    """``df`` with every secret in ``text`` replaced by ``mark``.
+
+    Null texts stay null, empty ones empty; each row is treated by itself, so repeated rows stay equal. Columns keep their
+    names and order; an empty table gives no rows.
+    """
     replacement = mark.encode()
 
     @by_arrow(pa.string())

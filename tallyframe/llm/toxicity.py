@@ -161,6 +161,9 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
 def fit(documents: DataFrame, labels: DataFrame, key: str, text: str, learn: Column) -> Model:
     """A model of the training rows; one that scores next to 0 everywhere if a label has none.
 
+    Null texts and keys without a label of 0 or 1 are not learnt from; a key with both labels is toxic. Rows are chosen by
+    the hash of their key; repeated rows of a chosen key count each, up to the bound of rows. Other columns are not read.
+
     The toxic dictionary is the one of ordinary text followed by the fragments typical of toxic text, the most
     frequent last: both then shrink ordinary words alike, and lengths differ where such fragments stand.
     """

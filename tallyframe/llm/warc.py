@@ -225,7 +225,8 @@ def write(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -
 
     Tasks open the folder through pyarrow, so its address must be one that pyarrow and all executors reach.
     Every attempt of a task writes files of its own names; those of the attempt that counted are in the list,
-    which is written by Spark, and no others are read.
+    which is written by Spark, and no others are read. Every row is a record, repeated rows too; null keys and urls leave
+    their fields out, a null payload is not allowed (:func:`typed` makes it empty). No rows give no archives.
     """
 
     def archives(batches):
@@ -258,7 +259,7 @@ def read_archives(archives: DataFrame, keep: bool = False) -> DataFrame:
     """The records of the archives whose addresses are in the column ``archive``, as ``READ``, warcinfo left out.
 
     Each archive is read in sequence by one task, in pieces of ``PIECE`` bytes; payloads are only held if
-    ``keep`` is set.
+    ``keep`` is set. An address that is listed twice is read twice; other columns are not read. An empty table gives no rows.
     """
     spark = archives.sparkSession
     lanes = 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -291,7 +292,11 @@ def read_archives(archives: DataFrame, keep: bool = False) -> DataFrame:
 
 
 def roundtrip(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", folder: str | None = None) -> DataFrame:
-    """Pages written to archives and read back: (key, payload_bytes, payload_digest, record_type, refers_to, error)."""
+    """Pages written to archives and read back: (key, payload_bytes, payload_digest, record_type, refers_to, error).
+
+    One row per page, repeated pages and null keys included; null pages have empty payloads, and ties of equal payloads are
+    settled as in :func:`typed`. Other columns are not read; an empty table gives no rows.
+    """
     spark: SparkSession = pages.sparkSession
     found = read_archives(write(typed(pages, key, url, html), folder or run_dir(spark, "archives")))
     kind = dict(pages.dtypes)[key]

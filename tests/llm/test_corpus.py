@@ -352,6 +352,106 @@ def test_language_query(spark, folder, duck):
     assert sum(held) / len(held) > 0.9 and all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_counts(text):
+    """{bucket: number} of the two- and three-byte n-grams of a text, gram by gram."""
+    folded = "".join(c.lower() if "A" <= c <= "Z" else c if "a" <= c <= "z" or ord(c) >= 128 else " " for c in text)
+    data, out = f" {' '.join(folded.split(' '))} ".encode(), {}
+    data = b" " + b" ".join(w for w in data.split(b" ") if w) + b" "
+    for size in (2, 3):
+        for at in range(len(data) - size + 1):
+            code = int.from_bytes(data[at : at + size], "big")
+            bucket = (code * 2654435761 + size * 40503) % (1 << 32) >> 19
+            out[bucket] = out.get(bucket, 0) + 1
+    return out
+
+
+def plain_vector(found, idf):
+    weights = np.zeros(1 << 13)
+    for bucket, n in found.items():
+        weights[bucket] = (1 + np.log(n)) * idf[bucket]
+    return weights / (np.linalg.norm(weights) or 1)
+
+
+def plain_centroids(vectors, k=4, rounds=12):
+    chosen = [0]
+    while len(chosen) < k:
+        nearest = [max(float(v @ vectors[c]) for c in chosen) for v in vectors]
+        far = min(range(len(vectors)), key=nearest.__getitem__)
+        if nearest[far] > 0.999:
+            break
+        chosen.append(far)
+    centroids = [vectors[c] for c in chosen]
+    for _ in range(rounds):
+        groups = [[] for _ in centroids]
+        for v in vectors:
+            groups[max(range(len(centroids)), key=lambda c: float(v @ centroids[c]))].append(v)
+        sums = [sum(g) if g else c for g, c in zip(groups, centroids, strict=True)]
+        centroids = [s / np.linalg.norm(s) for s in sums]
+    return centroids
+
+
+def test_language_query_like_plain_loops(spark, folder, duck):
+    import zlib
+
+    docs = duck.execute("SELECT doc_id, text, lang FROM documents").fetchall()
+    found = {r.doc_id: r for r in queries.op10_language_id(spark, folder).collect()}
+    order = {r[0]: r[1] for r in spark.createDataFrame([(d[0],) for d in docs], "k bigint").selectExpr("k", "xxhash64(k)").collect()}
+    letters = lambda t: any(c.isalpha() for c in t or "")
+    learn = [d for d in docs if d[2] is not None and letters(d[1]) and zlib.crc32(str(d[0]).encode()) % 4 != 2]
+    grams = {d[0]: plain_counts(d[1] or "") for d in docs}
+    seen = {}
+    for d in learn:
+        for bucket in grams[d[0]]:
+            seen[bucket] = seen.get(bucket, 0) + 1
+    idf = np.array([np.log((len(learn) + 1) / (seen.get(b, 0) + 1)) + 1 for b in range(1 << 13)])
+    centroids = []
+    for lang in sorted({d[2] for d in learn}):
+        mine = sorted((d for d in learn if d[2] == lang), key=lambda d: order[d[0]])
+        vectors = [plain_vector(grams[d[0]], idf).astype(np.float16).astype(np.float64) for d in mine]
+        centroids += [(lang, c) for c in plain_centroids(vectors)]
+    for key, text, _ in docs:
+        if not letters(text):
+            assert (found[key].lang_pred, found[key].score) == ("und", 0.0)
+            continue
+        v = plain_vector(grams[key], idf)
+        scores = [(float(v @ c), lang) for lang, c in centroids]
+        best = max(s for s, _ in scores)
+        assert abs(found[key].score - best) < 1e-3
+        assert max(s for s, lang in scores if lang == found[key].lang_pred) > best - 1e-3
+
+
+def plain_toxicity(model, text):
+    """(score, windows): every word is compressed anew with both dictionaries."""
+    import zstandard
+
+    def length(content, data):
+        dictionary = zstandard.ZstdCompressionDict(content)
+        settings = zstandard.ZstdCompressionParameters.from_level(
+            19, source_size=256, dict_size=len(content), min_match=4, write_checksum=0, write_content_size=0, write_dict_id=0)
+        dictionary.precompute_compress(compression_params=settings)
+        return len(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=settings).compress(data))
+
+    words = "".join(c.lower() if "A" <= c <= "Z" else c if "a" <= c <= "z" or ord(c) >= 128 else " " for c in text or "").split(" ")
+    total, largest, n = 0.0, 0, 0
+    for word in filter(None, words):
+        data = toxicity.coded(f" {word} ".encode())
+        difference = max(-toxicity.LARGEST, min(toxicity.LARGEST, length(model.ordinary, data) - length(model.toxic, data)))
+        total, largest, n = total + model.weights[difference + toxicity.LARGEST], max(largest, difference), n + 1
+    z = model.curve[0] + model.curve[1] * max(-20.0, min(20.0, total)) / 4 + model.curve[2] * largest / 4
+    return 1 / (1 + np.exp(-z)), n
+
+
+def test_toxicity_scores_like_plain_loops(spark):
+    rows, labels = labelled(160)
+    docs, marks = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs, marks, "doc_id", "text", ~toxicity.held_out(docs.doc_id))
+    some = [*rows[:12], (900, None), (901, ""), (902, "GRUBWITZ, Flarchhead! ünd 12 snudge")]
+    found = toxicity.score(spark.createDataFrame(some, "doc_id bigint, text string"), model).collect()
+    for r in found:
+        score, n = plain_toxicity(model, r.text)
+        assert abs(r.toxicity.score - score) < 1e-9 and r.toxicity.n_windows == n and r.toxicity.predicted == (score >= 0.7)
+
+
 def test_language_on_tricky_rows(spark, tricky, nothing):
     docs = spark.createDataFrame(
         [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de"), ("le chat et le chien", "fr")] * 8)] + [(99, "x", None), (98, None, "en"), (None, "y", "xx")],
