@@ -312,7 +312,7 @@ class Segmenter:
         rest[heads.ravel()] = False
         ids, score = flat[rest], float(scores.sum())
         if n < 2:
-            return ids, [(score, ids)]
+            return ids, [(score, ids)][:n]
         # The n best of all differ from the best in those chunks only whose second segmentation costs least.
         limit = np.partition(costs, min(n - 1, len(costs)) - 1)[min(n - 1, len(costs)) - 1]
         places = [p for p in np.flatnonzero(costs <= limit).tolist() if costs[p] < np.inf]
@@ -384,7 +384,7 @@ def _lists(sizes, values: pa.Array, null: list[bool] | None = None) -> pa.ListAr
 def encoded(df: DataFrame, model: Model, text: str = "text", into: str = "pieces", best: int = BEST) -> DataFrame:
     """All columns of ``df`` and the struct ``into``: ids of the best segmentation, nbest (score, ids), round_trip.
 
-    ``nbest`` lists the ``best`` best segmentations of the whole text, best first, ``ids`` being the first. An empty text has no ids
+    ``nbest`` lists the ``best`` best segmentations of the whole text, best first, ``ids`` being the first; none with 0. An empty text has no ids
     and no segmentations, a null text null in both. Characters outside the vocabulary become their bytes. The ids
     are decoded again in the same task, and ``round_trip`` tells whether they give the text. Rows are encoded one
     by one. A column of that name is replaced.
