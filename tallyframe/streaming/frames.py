@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ from ..operators.codec import _chain, _frame_starts
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Bytes of early chunks that a device may have waiting.
 MOST_WAITING = 1 << 26
+#: Numbers of chunks whose digests are one entry of the state.
+BLOCK = 256
 
 
 def _advance(buffer: bytes):
@@ -55,37 +58,48 @@ class Reassembly(StatefulProcessor):
         self.handle = handle
         self.front = handle.getValueState("front", "carry binary, at bigint, next bigint, waiting bigint, timer bigint")
         self.held = handle.getMapState("held", "seq bigint", "data binary")
-        self.used = handle.getMapState("used", "seq bigint", "digest bigint")
+        self.used = handle.getMapState("used", "block bigint", "digests binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         carry, at, expected, waiting, timer = self.front.get() if self.front.exists() else (b"", 0, self.first, 0, None)
-        carry = bytes(carry)
+        carry, blocks = bytes(carry), {}
+
+        def used(number: int) -> dict[int, int]:
+            """The digests of the chunks of a block of numbers, read once a micro-batch."""
+            block = number // BLOCK
+            if block not in blocks:
+                held = self.used.getValue((block,))
+                blocks[block] = dict(struct.iter_unpack("<qq", bytes(held[0]))) if held else {}
+            return blocks[block]
+
+        changed = set()
         for batch in rows:
             out = []
 
             def take(chunk: bytes) -> None:
                 nonlocal carry, at, expected
-                self.used.updateValue((expected,), (_digest(chunk),))
+                used(expected)[expected] = _digest(chunk)
+                changed.add(expected // BLOCK)
                 buffer = carry + chunk
                 cut, rest = _advance(buffer)
                 out.extend((None if at is None else at + start, buffer[start:end], None, None) for start, end in cut)
                 at, carry, expected = None if at is None else at + rest, buffer[rest:], expected + 1
 
-            for number, chunk in zip(batch[self.seq].tolist(), batch[self.data]):
+            for number, chunk in sorted(zip(batch[self.seq].tolist(), batch[self.data]), key=lambda x: x[0]):
                 chunk = bytes(chunk or b"")
                 if number < expected:
-                    known = self.used.getValue((number,)) if self.used.containsKey((number,)) else None
-                    if known is None or known[0] != _digest(chunk):
+                    known = used(number).get(number)
+                    if known != _digest(chunk):
                         out.append((None, chunk, number, "late" if known is None else "differs"))
                 elif number == expected:
                     take(chunk)
-                    while waiting and self.held.containsKey((expected,)):
-                        early = bytes(self.held.getValue((expected,))[0])
+                    while waiting and (early := self.held.getValue((expected,))):
+                        early = bytes(early[0])
                         self.held.removeKey((expected,))
                         waiting -= len(early) + 1
                         take(early)
-                elif self.held.containsKey((number,)):
-                    if bytes(self.held.getValue((number,))[0]) != chunk:
+                elif waiting and (early := self.held.getValue((number,))):
+                    if bytes(early[0]) != chunk:
                         out.append((None, chunk, number, "differs"))
                 elif waiting + len(chunk) + 1 > self.most_waiting:
                     out.append((None, chunk, number, "no room"))
@@ -93,6 +107,8 @@ class Reassembly(StatefulProcessor):
                     self.held.updateValue((number,), (chunk,))
                     waiting += len(chunk) + 1
             yield self._rows(key, out)
+        for block in changed:
+            self.used.updateValue((block,), (b"".join(struct.pack("<qq", *x) for x in sorted(blocks[block].items())),))
         if self.give_up_ms is not None:
             if timer is not None:
                 self.handle.deleteTimer(timer)
@@ -137,7 +153,7 @@ def frames(
       behind the waiting chunks, and as the length of the gap is unknown, later frames have no offset;
     * ``late``: the chunk belongs to a gap that was given up.
 
-    The state of a device holds one unfinished frame, the waiting chunks and eight bytes for each chunk used. It needs
+    The state of a device holds one unfinished frame, the waiting chunks and 16 bytes for each chunk used. It needs
     the RocksDB state store, which is set for the session where another one is.
     """
     spark = chunks.sparkSession
