@@ -17,22 +17,31 @@ from .voting import VOTES, line_votes
 
 #: Keys of rows that are put into one file, so that files grow in number and not in size.
 PER_FILE = 1000
+#: Tasks for each core that write files.
+TASKS = 4
 
 
 def put(rows: DataFrame, spark, kind: str, folder: str | None = None) -> str:
-    """Write (name, data) rows as files below a shared folder, by default a new one, a file for each row; returns the folder."""
+    """Write (name, data) rows as files below a shared folder, by default a new one, a file for each row; returns the folder.
+
+    Rows are dealt over the tasks by name, whatever splits they were read in.
+    """
     folder = folder or run_dir(spark, kind)
 
     def write(batches):
+        store, base = pyarrow.fs.FileSystem.from_uri(folder)
+        made = set()
         for batch in batches:
-            for row in batch.to_pylist():
-                store, place = pyarrow.fs.FileSystem.from_uri(f"{folder}/{row['name']}")
-                store.create_dir(place.rpartition("/")[0], recursive=True)
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                place = f"{base}/{name}"
+                if (parent := place.rpartition("/")[0]) not in made:
+                    store.create_dir(parent, recursive=True)
+                    made.add(parent)
                 with store.open_output_stream(place, compression=None) as out:
-                    out.write(row["data"])
+                    out.write(data)
             yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
 
-    data = rows.select("name", F.col("data").cast("binary").alias("data"))
+    data = rows.select("name", F.col("data").cast("binary").alias("data")).repartition(TASKS * spark.sparkContext.defaultParallelism, "name")
     data.mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
     return folder
 
@@ -266,13 +275,16 @@ def second_registry(spark, folder):
 SELECT source AS message, CAST(doc_id AS VARCHAR) AS manual, CASE WHEN quality IS NULL THEN NULL ELSE quality = 1 END AS matches, CASE WHEN quality = 0 THEN 'size ' || n_chars END AS issue
 FROM documents LEFT JOIN labels USING (doc_id)""")
 def report_files(spark, folder):
-    """Validation reports, a file per source."""
+    """Validation reports, a file for each source and about PER_FILE of its rows."""
     labels = table(spark, folder, "labels").select("doc_id", "quality")
     rows = table(spark, folder, "documents").select("doc_id", "source", "n_chars").join(labels, "doc_id", "left")
+    # A source of many documents gives many files, so no file and no group grows with the table.
+    files = rows.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / PER_FILE).alias("files"))
+    rows = rows.join(files, "source").withColumn("part", F.pmod(F.xxhash64("doc_id", "n_chars", "quality"), "files"))
     found = F.when(F.col("quality") == 0, F.array(F.struct(F.lit("f").alias("field"), F.concat(F.lit("size "), F.col("n_chars").cast("string")).alias("issue"))))
     item = F.struct(F.col("doc_id").cast("string").alias("manual"), (F.col("quality") == 1).alias("matches"), found.alias("discrepancies"))
-    grouped = rows.groupBy("source").agg(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("i")))), lambda x: x["i"]).alias("results"))
-    data = grouped.select(F.concat("source", F.lit(readers.VALIDATION_SUFFIX)).alias("name"), F.to_json(F.struct(F.col("source").alias("message"), "results")).alias("data"))
+    grouped = rows.groupBy("source", "part").agg(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("i")))), lambda x: x["i"]).alias("results"))
+    data = grouped.select(F.concat("source", F.lit("_"), F.col("part").cast("string"), F.lit(readers.VALIDATION_SUFFIX)).alias("name"), F.to_json(F.struct(F.col("source").alias("message"), "results")).alias("data"))
     read = readers.validation_results(spark, put(data, spark, "reports"))
     return read.select("message", "manual", "matches", F.try_element_at("discrepancies", F.lit(1))["issue"].alias("issue"))
 

@@ -309,7 +309,9 @@ def name_mapping(spark: SparkSession, path: str, part: str) -> DataFrame:
 def validation_results(spark: SparkSession, path: str) -> DataFrame:
     """Validation reports as one row per (message, manual) with three-valued ``matches``."""
     files = documents(spark, path, f"*{VALIDATION_SUFFIX}")
-    rows = files.select(_get("$.message", "string").alias("message"), _items("$.results"))
+    # Taken out first, so that the rows of a file do not carry the whole file.
+    files = files.select(_get("$.message", "string").alias("message"), _get("$.results", "array<variant>").alias("results"))
+    rows = files.select("message", F.posexplode("results").alias("pos", "item"))
     part = lambda name, kind="string": F.try_variant_get("item", f"$.{name}", kind)
     listed = F.coalesce(part("discrepancies", "array<variant>"), F.array().cast("array<variant>"))
     names = ("field", "issue", "canonical_value", "pdf_value")

@@ -1,13 +1,14 @@
 """Readers and writers over small files written here."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.functions import naming
 from tallyframe.operators import codec, keys, merge, rules, vote
-from tallyframe.plans import flows
+from tallyframe.plans import files, flows
 from tallyframe.sources import captures, ingest, readers, writers
 from tallyframe.sources.store import Store
 
@@ -306,3 +307,29 @@ def test_a_growing_capture_is_followed(spark, tmp_path):
     (tmp_path / "in" / "a.bin").write_bytes(data + b"more")
     with pytest.raises(Exception, match="has grown"):
         run(0)
+
+
+def test_results_of_a_report_do_not_carry_their_file(spark, tmp_path):
+    put(tmp_path, f"x{readers.VALIDATION_SUFFIX}", {"message": "A", "results": [{"manual": "m1", "matches": True}, {"manual": "m2"}]})
+    rows = readers.validation_results(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    generate = next(line for line in plan.splitlines() if "Generate " in line)
+    assert "results" in generate and "document" not in generate
+    assert sorted((r.message, r.manual, r.matches) for r in rows.collect()) == [("A", "m1", True), ("A", "m2", None)]
+
+
+def test_reports_of_one_source_are_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "PER_FILE", 5)
+    spark.range(40).selectExpr("id AS doc_id", "'s' AS source", "id * 2 AS n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(20).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality").write.parquet(str(tmp_path / "labels.parquet"))
+    sizes = []
+    kept = readers.validation_results
+
+    def counted(spark, path):
+        sizes.append(len(os.listdir(path)))
+        return kept(spark, path)
+
+    monkeypatch.setattr(readers, "validation_results", counted)
+    found = {r.manual: (r.message, r.matches, r.issue) for r in files.report_files(spark, str(tmp_path)).collect()}
+    assert found == {str(i): ("s", None if i >= 20 else i % 2 == 1, f"size {2 * i}" if i < 20 and i % 2 == 0 else None) for i in range(40)}
+    assert sizes[0] > 4
