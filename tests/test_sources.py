@@ -333,3 +333,17 @@ def test_reports_of_one_source_are_many_files(spark, tmp_path, monkeypatch):
     found = {r.manual: (r.message, r.matches, r.issue) for r in files.report_files(spark, str(tmp_path)).collect()}
     assert found == {str(i): ("s", None if i >= 20 else i % 2 == 1, f"size {2 * i}" if i < 20 and i % 2 == 0 else None) for i in range(40)}
     assert sizes[0] > 4
+
+
+def test_many_capture_ranges_are_few_tasks_and_batches(tmp_path):
+    held = captures._Files({"path": str(tmp_path), "piece": "10", "split": "10"})
+    sizes = {f"c{i}": 95 for i in range(300)}
+    parts = held.ranges({}, sizes)
+    assert len(parts) <= captures.MOST_TASKS < 3000
+    assert sorted(p for part in parts for p in part.parts) == sorted((c, at, min(95, at + 10)) for c in sizes for at in range(0, 95, 10))
+    (tmp_path / "a#1").write_bytes(b"x" * 95)
+    assert held.sizes() == {"a#1": 95}
+    batches = list(held.rows(captures.Ranges([("a#1", 0, 50), ("a#1", 50, 95)])))
+    assert [b.num_rows for b in batches] == [10] and batches[0].column(0)[0].as_py() == f"file://{tmp_path}/a#1"
+    old = {f"file://{tmp_path}/c0": 10}
+    assert [p for part in held.ranges(old, {"c0": 15}) for p in part.parts] == [("c0", 10, 15)]
