@@ -151,6 +151,17 @@ def test_no_near_sketch_is_left_out(spark):
     assert found == {(2 * pair + 1, 2 * pair) for pair in range(20)}
 
 
+def test_similar_sketches_meet_at_an_anchor_of_bands_that_differ(spark):
+    # A bit differs in each 13 bits in a row; of the first band of 17 only one, which the covering code takes to one anchor.
+    places = [12, *range(20, 512, 13)]
+    differing = np.isin(simhash.PLACES, places).sum(1)
+    assert differing[0] == 1 and differing.min() > 0 and len(places) <= simhash.most_differing(0.8)
+    other = np.zeros(512, np.uint8)
+    other[places] = 1
+    rows = [(0, bytes(64)), (1, np.packbits(other).tobytes())]
+    assert [tuple(r) for r in simhash.similar_links(spark.createDataFrame(rows, "node bigint, sketch binary")).collect()][:1] == [(1, 0)]
+
+
 def test_simhash_query(spark, folder, documents):
     rows = [(r.doc_id, r.fingerprint, r.component_id) for r in queries.op2_simhash_near_dedup(spark, folder).collect()]
     assert sorted(rows) == plain_groups([(i, plain_print(t)) for i, t in documents])
