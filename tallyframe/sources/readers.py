@@ -6,6 +6,7 @@ parsed as VARIANT; what cannot be used goes to a second DataFrame with the reaso
 
 from __future__ import annotations
 
+import fnmatch
 from functools import reduce
 
 import pyarrow as pa
@@ -22,11 +23,123 @@ KEY_BUNDLE_SUFFIX = "_gemini_config_keys.json"
 VALIDATION_SUFFIX = "_validation.json"
 
 
+#: Tasks for each core that list and read files, and about how many bytes and files a task gives at once.
+TASKS = 4
+BATCH_BYTES, BATCH_FILES = 1 << 22, 1000
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's readers pass over."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _listed(spark: SparkSession, path: str, pattern: str, recursive=False) -> DataFrame | None:
+    """(place, size) of the files below a folder that pyarrow reaches, listed in tasks; None for paths that only Spark's readers know.
+
+    ``place`` begins behind the folder's own address. With ``recursive`` the folders in it are listed side by side. Spark's
+    readers list in the driver and give a task some thirty files; here tasks are as many as the cores need.
+    """
+    if any(c in path for c in "*?[]{}%#") or any(c in pattern for c in "{}[]\\^"):
+        return None
+    try:
+        store, base = pyarrow.fs.FileSystem.from_uri(_uri(path))
+        if store.get_file_info(base).type != pyarrow.fs.FileType.Directory:
+            return None
+    except (OSError, ValueError, NotImplementedError):
+        return None
+    tasks = TASKS * spark.sparkContext.defaultParallelism
+    address = _uri(path)
+    schema = "place string, size bigint"
+
+    def found(store, root: str, place: str, deep: bool):
+        base = f"{root}{place}"
+        held = store.get_file_info(pyarrow.fs.FileSelector(base, recursive=deep))
+        for at in range(0, len(held), BATCH_FILES):
+            places, sizes = [], []
+            for info in held[at : at + BATCH_FILES]:
+                below = f"{place}{info.path[len(base):]}"
+                if any(_hidden(name) for name in below.split("/")[1:]):
+                    continue
+                if info.type == pyarrow.fs.FileType.File and fnmatch.fnmatchcase(info.base_name, pattern):
+                    places.append(below)
+                    sizes.append(info.size)
+                elif info.type == pyarrow.fs.FileType.Directory and recursive and not deep:
+                    places.append(below)
+                    sizes.append(-1)
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.string()), pa.array(sizes, pa.int64())], ["place", "size"])
+
+    def top(batches):
+        store, root = pyarrow.fs.FileSystem.from_uri(address)
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                yield from found(store, root.rstrip("/"), "", False)
+
+    def below(batches):
+        store, root = pyarrow.fs.FileSystem.from_uri(address)
+        root = root.rstrip("/")
+        for batch in batches:
+            for place, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if size >= 0:
+                    yield pa.RecordBatch.from_arrays([pa.array([place]), pa.array([size], pa.int64())], ["place", "size"])
+                else:
+                    yield from found(store, root, place, True)
+
+    files = spark.range(0, 1, 1, 1).mapInArrow(top, schema)
+    return files.repartition(tasks, "place").mapInArrow(below, schema) if recursive else files
+
+
+def _uri(path: str) -> str:
+    """An address that pyarrow takes: Spark writes local ones with one slash."""
+    local = path.removeprefix("file:")
+    return f"file://{local}" if path.startswith("file:/") and not local.startswith("//") else path
+
+
+def _contents(spark: SparkSession, path: str, files: DataFrame) -> DataFrame:
+    """(place, content) of files of :func:`_listed`; as with Spark's readers, empty files have no row."""
+    address = _uri(path)
+
+    def read(batches):
+        store, root = pyarrow.fs.FileSystem.from_uri(address)
+        root = root.rstrip("/")
+        places, contents, size = [], [], 0
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(places, pa.string()), pa.array(contents, pa.binary())], ["place", "content"])
+
+        for some in batches:
+            for place in some.column(0).to_pylist():
+                with store.open_input_stream(f"{root}{place}", compression=None) as file:
+                    content = file.read()
+                if places and (size + len(content) > BATCH_BYTES or len(places) == BATCH_FILES):
+                    yield batch()
+                    places, contents, size = [], [], 0
+                places.append(place)
+                contents.append(content)
+                size += len(content)
+        if places:
+            yield batch()
+
+    dealt = files.where("size > 0").select("place").repartition(TASKS * spark.sparkContext.defaultParallelism, "place")
+    return dealt.mapInArrow(read, "place string, content binary")
+
+
 def documents(spark: SparkSession, path: str, pattern: str = "*.json", recursive=False, stream=False) -> DataFrame:
     """(file, folder, stem, text, document): one row per JSON file; document is null for bad JSON.
 
-    With ``stream`` the files are a stream, of which each comes once.
+    With ``stream`` the files are a stream, of which each comes once. Folders with folders, which may hold very many files, are
+    listed and read in tasks where pyarrow reaches them.
     """
+    files = _listed(spark, path, pattern, True) if recursive and not stream and pattern.endswith(".json") else None
+    if files is not None:
+        top = F.lit(_uri(path).rstrip("/").rpartition("/")[2])
+        parts = F.split("place", "/")
+        rows = _contents(spark, path, files).select(
+            F.element_at(parts, -1).alias("file"),
+            F.when(F.size(parts) > 2, F.get(parts, F.size(parts) - 2)).otherwise(top).alias("folder"),
+            F.col("content").cast("string").alias("text"),
+        )
+        stem = F.regexp_replace("file", r"\.[^.]*$", "")
+        return rows.select("file", "folder", stem.alias("stem"), "text", F.try_parse_json("text").alias("document"))
     reader = (spark.readStream if stream else spark.read).option("wholetext", True).option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
@@ -322,8 +435,17 @@ def validation_results(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _address(spark: SparkSession, path: str) -> str:
+    """A folder's address as Spark's readers give it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def captures(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Capture files as (capture, data), one row per file of at most 2 GiB; larger ones: :func:`capture_pieces`."""
+    files = _listed(spark, path, pattern)
+    if files is not None:
+        return _contents(spark, path, files).select(F.concat(F.lit(_address(spark, path)), "place").alias("capture"), F.col("content").alias("data"))
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     return files.select(F.col("path").alias("capture"), F.col("content").alias("data"))
 
@@ -331,21 +453,43 @@ def captures(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 def capture_pieces(spark: SparkSession, path: str, pattern: str = "*", piece: int = 1 << 22) -> DataFrame:
     """Capture files of any length as (capture, seq, data), a row for each ``piece`` bytes.
 
-    Spark lists the files and their lengths; tasks read their ranges through pyarrow, so the address must be
+    Files and their lengths are listed first; tasks read their ranges through pyarrow, so the address must be
     one that pyarrow and all executors reach.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "length").where("length > 0")
+    files, root = _listed(spark, path, pattern), None
+    if files is not None:
+        root = _address(spark, path), _uri(path)
+        files = files.select(F.concat(F.lit(root[0]), "place").alias("path"), F.col("size").alias("length"))
+    else:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "length")
     last = F.floor((F.col("length") - 1) / piece)
-    wanted = files.select(F.col("path").alias("capture"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("seq"))
+    wanted = files.where("length > 0").select(F.col("path").alias("capture"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("seq"))
 
     def read(batches):
-        for batch in batches:
-            for capture, seq in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                store, place = pyarrow.fs.FileSystem.from_uri(capture)
+        held, size = [], 0
+
+        def batch() -> pa.RecordBatch:
+            captures, numbers, pieces = zip(*held, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(captures), pa.array(numbers, pa.int64()), pa.array(pieces, pa.binary())], ["capture", "seq", "data"])
+
+        if root is not None:
+            store, base = pyarrow.fs.FileSystem.from_uri(root[1])
+        for some in batches:
+            for capture, seq in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+                if root is not None:
+                    place = f"{base.rstrip('/')}{capture[len(root[0]):]}"
+                else:
+                    store, place = pyarrow.fs.FileSystem.from_uri(capture)
                 with store.open_input_file(place) as file:
                     file.seek(seq * piece)
                     data = file.read(piece)
-                yield pa.RecordBatch.from_pylist([{"capture": capture, "seq": seq, "data": data}])
-
-    dealt = wanted.repartition(max(1, spark.sparkContext.defaultParallelism))
+                if held and (size + len(data) > BATCH_BYTES or len(held) == BATCH_FILES):
+                    yield batch()
+                    held, size = [], 0
+                held.append((capture, seq, data))
+                size += len(data)
+        if held:
+            yield batch()
+
+    dealt = wanted.repartition(TASKS * spark.sparkContext.defaultParallelism, "capture", "seq")
     return dealt.mapInArrow(read, "capture string, seq bigint, data binary")

@@ -347,3 +347,43 @@ def test_many_capture_ranges_are_few_tasks_and_batches(tmp_path):
     assert [b.num_rows for b in batches] == [10] and batches[0].column(0)[0].as_py() == f"file://{tmp_path}/a#1"
     old = {f"file://{tmp_path}/c0": 10}
     assert [p for part in held.ranges(old, {"c0": 15}) for p in part.parts] == [("c0", 10, 15)]
+
+
+def test_files_of_many_folders_are_listed_and_read_in_tasks(spark, tmp_path, monkeypatch):
+    """Names and texts as Spark's own reader gives them, and few tasks for many files."""
+    for folder in ("m#1", "m 2/deep", "_hidden", ".h"):
+        for i in range(40):
+            put(tmp_path / "s" / folder, f"a#{i} é%41.json", f"{{broken {i}")
+    put(tmp_path / "s", "top.json", {"message_name": "A"})
+    put(tmp_path / "s", "_no.json", {})
+    put(tmp_path / "s", "no.txt", {})
+    put(tmp_path / "s" / "m 3", "empty.json", "")
+    found = readers.documents(spark, f"file://{tmp_path}/s", recursive=True)
+    rows = sorted((r.folder, r.file, r.stem, r.text, r.document is None) for r in found.collect())
+    assert found.rdd.getNumPartitions() <= readers.TASKS * spark.sparkContext.defaultParallelism
+    assert "FileScan" not in found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(readers, "_listed", lambda *x: None)
+    theirs = readers.documents(spark, f"file://{tmp_path}/s", recursive=True)
+    assert rows == sorted((r.folder, r.file, r.stem, r.text, r.document is None) for r in theirs.collect()) and len(rows) == 81
+
+
+def test_captures_are_listed_and_read_in_tasks(spark, tmp_path, monkeypatch):
+    (tmp_path / "c").mkdir()
+    for i in range(30):
+        (tmp_path / "c" / f"c {i}.bin").write_bytes(bytes([i]) * 25 * (i % 3))
+    both = lambda: (
+        sorted((r.capture, bytes(r.data)) for r in readers.captures(spark, str(tmp_path / "c"), "*.bin").collect()),
+        sorted((r.capture, r.seq, bytes(r.data)) for r in readers.capture_pieces(spark, str(tmp_path / "c"), "*.bin", piece=10).collect()),
+    )
+    ours = both()
+    assert "FileScan" not in readers.captures(spark, str(tmp_path / "c"))._jdf.queryExecution().executedPlan().toString()
+    whole = {f"file:{tmp_path}/c/c {i}.bin": bytes([i]) * 25 * (i % 3) for i in range(30) if i % 3}
+    assert ours[0] == sorted(whole.items()) and len(ours[1]) == 10 * 3 + 10 * 5
+    monkeypatch.setattr(readers, "_listed", lambda *x: None)
+    assert ours[0] == sorted((r.capture, bytes(r.data)) for r in readers.captures(spark, str(tmp_path / "c"), "*.bin").collect())
+
+
+def test_files_keep_their_names(spark, tmp_path):
+    rows = spark.createDataFrame([("m/a#1.json", "x"), ("m/a#2.json", "y"), ("m/50%.json", "z")], "name string, data string")
+    folder = files.put(rows, spark, "names", f"file://{tmp_path}/in")
+    assert {r.file: r.text for r in readers.documents(spark, folder, recursive=True).collect()} == {"a#1.json": "x", "a#2.json": "y", "50%.json": "z"}
