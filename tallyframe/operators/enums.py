@@ -24,18 +24,22 @@ def enum_pairs(text) -> Column:
     pairs = F.concat(
         found(fixed.ENUM_HEX_PAIR, n.hex_to_long), found(fixed.ENUM_DEC_PAIR, lambda v: v.try_cast("bigint"))
     )
-    pairs = F.filter(pairs, lambda p: p["value"].isNotNull())
-    numbers = F.transform(pairs, lambda p: p["value"])
-    firsts = F.filter(pairs, lambda p, i: F.array_position(numbers, p["value"]) == i + 1)
-    cleaned = F.transform(
-        firsts,
-        lambda p: F.struct(
-            p["value"].alias("value"),
-            F.regexp_replace(F.regexp_replace(p["description"], r"^\s+|\s+$", ""), "^[ ,.]+|[ ,.]+$", "").alias("description"),
-        ),
-    )
-    labelled = F.array_sort(F.filter(cleaned, lambda p: p["description"] != ""))
-    return F.when(F.size(labelled) >= 2, labelled).otherwise(F.slice(labelled, 1, 0))
+
+    def first(pairs, numbers):
+        return F.filter(pairs, lambda p, i: F.array_position(numbers, p["value"]) == i + 1)
+
+    def cleaned(p):
+        trimmed = F.regexp_replace(F.regexp_replace(p["description"], r"^\s+|\s+$", ""), "^[ ,.]+|[ ,.]+$", "")
+        return F.struct(p["value"].alias("value"), trimmed.alias("description"))
+
+    firsts = _with(F.filter(pairs, lambda p: p["value"].isNotNull()), lambda pairs: _with(F.transform(pairs, lambda p: p["value"]), lambda numbers: first(pairs, numbers)))
+    labelled = F.array_sort(F.filter(F.transform(firsts, cleaned), lambda p: p["description"] != ""))
+    return _with(labelled, lambda found: F.when(F.size(found) >= 2, found).otherwise(F.slice(found, 1, 0)))
+
+
+def _with(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once; else the functions inside ``body`` would do so for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def extract_enums(fields: DataFrame, keys, description: str) -> DataFrame:

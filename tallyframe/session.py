@@ -67,7 +67,11 @@ def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tasks for each core, and for each split of a table, where rows are costly.
+SPREAD = 8
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` dealt out over the cores when its input has fewer splits than that; large inputs stay as they are."""
+    """``df``, whose rows take long, dealt out over several tasks a core; a larger input, of more splits, over more tasks."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(SPREAD * max(cores, df.rdd.getNumPartitions()))

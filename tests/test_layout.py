@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.operators import layout, version
+from tallyframe.operators import enums, layout, version
 
 SIZES = {"U1": 1, "U4": 4, "R8": 8, "X2": 2, "CH": 1}
 
@@ -97,3 +97,12 @@ def test_enum_name_is_cut_at_words(spark):
     texts = ["a" * 40, "one two three four five six seven eight", "3D-fix", "", "Set main talker ID to GPS"]
     got = [r.n for r in spark.createDataFrame([(t,) for t in texts], "t string").select(n.enum_name(F.col("t")).alias("n")).collect()]
     assert got == ["a" * 30, "one_two_three_four_five_six", "_3d_fix", "unknown", "gps"]
+
+
+def test_enum_pairs_are_worked_out_once(spark):
+    rows = spark.createDataFrame([("0 = off, 1 = on, 0x2 = far\n1 = again",), ("5 = alone",), (None,), ("",)], "t string")
+    pairs = rows.select(enums.enum_pairs("t").alias("p"))
+    # Each pattern is looked for once a text, for its numbers and for its labels.
+    assert pairs._jdf.queryExecution().analyzed().toString().count("regexp_extract_all") == 4
+    found = [r.p if r.p is None else [(p.value, p.description) for p in r.p] for r in pairs.collect()]
+    assert found == [[(0, "off"), (1, "on"), (2, "far")], [], None, []]

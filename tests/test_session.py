@@ -30,3 +30,10 @@ def test_folders_are_removed_when_asked(spark):
     assert held.count() == 5 and os.path.isdir(path)
     session.clear(spark)
     assert not os.path.exists(path) and not session._made
+
+
+def test_costly_rows_go_to_more_tasks_where_the_table_is_larger(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few, many = session.spread(spark.range(0, 100, 1, 2)), session.spread(spark.range(0, 100, 1, 3 * cores))
+    assert few.rdd.getNumPartitions() == session.SPREAD * cores and many.rdd.getNumPartitions() == session.SPREAD * 3 * cores
+    assert few.count() == many.count() == 100
