@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import collection, compare, rules, vote
-from ..session import run_dir
+from ..session import cut_lineage, run_dir
 from ..sources import captures, ingest, readers, writers
 from ..sources.store import Store
 from .base import query, table
@@ -224,7 +224,8 @@ def two_registries(spark, folder):
         data = F.concat(F.lit(start), F.array_join(F.transform("l", lambda x: x["t"]), ","), F.lit(end))
         return put(items.select(F.concat("c_mktsegment", F.lit("_"), F.col("part").cast("string"), F.lit(".json")).alias("name"), data.alias("data")), spark, kind)
 
-    mine = readers.registry_fields(readers.registry(spark, put_all(ours, '{"messages":[', "]}", "ours")))
+    # Written, as the fields and the bits are both read from it.
+    mine = cut_lineage(readers.registry_fields(readers.registry(spark, put_all(ours, '{"messages":[', "]}", "ours"))))
     fields, bits = readers.second_registry(spark, put_all(theirs, "{", "}", "theirs"))
     return mine.withColumnRenamed("name", "message"), readers.registry_bits(mine).withColumnRenamed("name", "message"), fields, bits
 

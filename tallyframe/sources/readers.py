@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import naming as n
 from ..operators import layout, version
+from ..session import cut_lineage
 
 # Bundle file suffixes, in reading order
 BUNDLE_SUFFIXES = ["_anthropic.json", "_gemini.json"]
@@ -348,7 +349,8 @@ def second_registry(spark: SparkSession, path: str, pattern: str = "*.json", dep
 
     ``fields``: message, path (the groups around a field), pos, field, kind, type, scale, count_field, rest. Members of
     groups have rows of their own; a group below ``depth`` others keeps its members as JSON in ``rest``.
-    ``bits``: message, path, field, pos, bit, width. Objects are read as maps of texts, which keep their order.
+    ``bits``: message, path, field, pos, bit, width. Objects are read as maps of texts, which keep their order. Each level is
+    written once: the levels below it, the fields and the bits are read from there, and the files are not taken apart again.
     """
     mapped = "map<string,string>"
     level = documents(spark, path, pattern).select(F.explode(F.from_json("text", mapped)).alias("message", "_members"))
@@ -358,6 +360,7 @@ def second_registry(spark: SparkSession, path: str, pattern: str = "*.json", dep
         entries = F.posexplode(F.map_entries(F.from_json("_members", mapped))).alias("pos", "_e")
         rows = level.select("message", "path", entries)
         rows = rows.select("message", "path", "pos", F.col("_e.key").alias("field"), n.registry_form("_e.value").alias("form"))
+        rows = cut_lineage(rows)
         # Deeper groups are not taken apart.
         levels.append(rows.withColumn("rest", F.col("form.fields") if number == depth else F.lit(None).cast("string")))
         level = rows.where("form.kind = 'group'").select("message", F.array_append("path", F.col("field")).alias("path"), F.col("form.fields").alias("_members"))

@@ -387,3 +387,13 @@ def test_files_keep_their_names(spark, tmp_path):
     rows = spark.createDataFrame([("m/a#1.json", "x"), ("m/a#2.json", "y"), ("m/50%.json", "z")], "name string, data string")
     folder = files.put(rows, spark, "names", f"file://{tmp_path}/in")
     assert {r.file: r.text for r in readers.documents(spark, folder, recursive=True).collect()} == {"a#1.json": "x", "a#2.json": "y", "50%.json": "z"}
+
+
+def test_second_registry_takes_its_files_apart_once(spark, tmp_path):
+    put(tmp_path, "a.json", {"M": {"a": "U001", "g": ["n", {"b": ["X001", {"x": "U002"}]}]}})
+    fields, bits = readers.second_registry(spark, str(tmp_path))
+    for rows in (fields, bits):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" not in plan and "FileScan parquet" in plan
+    assert sorted((r.path, r.pos, r.field) for r in fields.collect()) == [([], 0, "a"), ([], 1, "g"), (["g"], 0, "b")]
+    assert [(r.path, r.field, r.bit, r.width) for r in bits.collect()] == [(["g"], "b", "x", 2)]
