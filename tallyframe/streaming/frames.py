@@ -18,8 +18,10 @@ from ..operators.codec import _chain, _frame_starts
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Bytes of early chunks that a device may have waiting.
 MOST_WAITING = 1 << 26
-#: Numbers of chunks whose digests are one entry of the state.
+#: Numbers of chunks whose digests, or whose bytes while they wait, are one entry of the state.
 BLOCK = 256
+#: Blocks of a device that a task holds, and bytes of consecutive chunks that are scanned at once.
+MOST_BLOCKS, AT_ONCE = 64, 1 << 20
 
 
 def _advance(buffer: bytes):
@@ -47,8 +49,47 @@ def _digest(chunk: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(chunk, digest_size=8).digest(), "little", signed=True)
 
 
+def _packed(chunks: dict[int, bytes]) -> bytes:
+    return b"".join(struct.pack("<qq", number, len(chunk)) + chunk for number, chunk in sorted(chunks.items()))
+
+
+def _unpacked(entry: bytes) -> dict[int, bytes]:
+    chunks, at = {}, 0
+    while at < len(entry):
+        number, size = struct.unpack_from("<qq", entry, at)
+        chunks[number] = entry[at + 16 : at + 16 + size]
+        at += 16 + size
+    return chunks
+
+
+class _Blocks:
+    """A map of the state with an entry for each block of numbers, read and written once for many chunks."""
+
+    def __init__(self, state, read, write):
+        self.state, self.read, self.write = state, read, write
+        self.kept, self.changed = {}, set()
+
+    def of(self, number: int, change: bool = False) -> dict:
+        """The entries of the block of a number."""
+        block = number // BLOCK
+        if block not in self.kept:
+            entry = self.state.getValue((block,))
+            self.kept[block] = self.read(bytes(entry[0])) if entry else {}
+        if change:
+            self.changed.add(block)
+        return self.kept[block]
+
+    def store(self) -> None:
+        for block in self.changed:
+            if self.kept[block]:
+                self.state.updateValue((block,), (self.write(self.kept[block]),))
+            else:
+                self.state.removeKey((block,))
+        self.kept, self.changed = {}, set()
+
+
 class Reassembly(StatefulProcessor):
-    """Chunks of one device. Early chunks are entries of a map: each is written once, read once and removed."""
+    """Chunks of one device. Early chunks wait in blocks of neighbouring numbers, each read and written once for all chunks of a batch."""
 
     def __init__(self, device: str, seq: str, data: str, first: int, give_up_ms: int | None, most_waiting: int):
         self.device, self.seq, self.data = device, seq, data
@@ -57,58 +98,61 @@ class Reassembly(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.front = handle.getValueState("front", "carry binary, at bigint, next bigint, waiting bigint, timer bigint")
-        self.held = handle.getMapState("held", "seq bigint", "data binary")
+        self.held = handle.getMapState("early", "block bigint", "chunks binary")
         self.used = handle.getMapState("used", "block bigint", "digests binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        carry, at, expected, waiting, timer = self.front.get() if self.front.exists() else (b"", 0, self.first, 0, None)
-        carry, blocks = bytes(carry), {}
-
-        def used(number: int) -> dict[int, int]:
-            """The digests of the chunks of a block of numbers, read once a micro-batch."""
-            block = number // BLOCK
-            if block not in blocks:
-                held = self.used.getValue((block,))
-                blocks[block] = dict(struct.iter_unpack("<qq", bytes(held[0]))) if held else {}
-            return blocks[block]
-
-        changed = set()
+        carry, at, expected, waiting, timer = self.front.get() or (b"", 0, self.first, 0, None)
+        carry = bytes(carry)
+        used = _Blocks(self.used, lambda e: dict(struct.iter_unpack("<qq", e)), lambda d: b"".join(struct.pack("<qq", *x) for x in sorted(d.items())))
+        held = _Blocks(self.held, _unpacked, _packed)
         for batch in rows:
-            out = []
+            out, run, size = [], [], 0
 
-            def take(chunk: bytes) -> None:
-                nonlocal carry, at, expected
-                used(expected)[expected] = _digest(chunk)
-                changed.add(expected // BLOCK)
-                buffer = carry + chunk
+            def scan() -> None:
+                """Cut the frames of the chunks of the run."""
+                nonlocal carry, at, run, size
+                buffer = b"".join([carry, *run])
                 cut, rest = _advance(buffer)
                 out.extend((None if at is None else at + start, buffer[start:end], None, None) for start, end in cut)
-                at, carry, expected = None if at is None else at + rest, buffer[rest:], expected + 1
+                at, carry, run, size = None if at is None else at + rest, buffer[rest:], [], 0
+
+            def take(chunk: bytes) -> None:
+                nonlocal expected, size
+                used.of(expected, True)[expected] = _digest(chunk)
+                run.append(chunk)
+                expected, size = expected + 1, size + len(chunk)
+                if size >= AT_ONCE:
+                    scan()
 
             for number, chunk in sorted(zip(batch[self.seq].tolist(), batch[self.data]), key=lambda x: x[0]):
                 chunk = bytes(chunk or b"")
                 if number < expected:
-                    known = used(number).get(number)
+                    known = used.of(number).get(number)
                     if known != _digest(chunk):
                         out.append((None, chunk, number, "late" if known is None else "differs"))
                 elif number == expected:
                     take(chunk)
-                    while waiting and (early := self.held.getValue((expected,))):
-                        early = bytes(early[0])
-                        self.held.removeKey((expected,))
+                    while waiting and expected in held.of(expected):
+                        early = held.of(expected, True).pop(expected)
                         waiting -= len(early) + 1
                         take(early)
-                elif waiting and (early := self.held.getValue((number,))):
-                    if bytes(early[0]) != chunk:
+                elif waiting and number in held.of(number):
+                    if held.of(number)[number] != chunk:
                         out.append((None, chunk, number, "differs"))
                 elif waiting + len(chunk) + 1 > self.most_waiting:
                     out.append((None, chunk, number, "no room"))
                 else:
-                    self.held.updateValue((number,), (chunk,))
+                    held.of(number, True)[number] = chunk
                     waiting += len(chunk) + 1
+                for blocks in (used, held):
+                    if len(blocks.kept) > MOST_BLOCKS:
+                        blocks.store()
+            if run:
+                scan()
             yield self._rows(key, out)
-        for block in changed:
-            self.used.updateValue((block,), (b"".join(struct.pack("<qq", *x) for x in sorted(blocks[block].items())),))
+        used.store()
+        held.store()
         if self.give_up_ms is not None:
             if timer is not None:
                 self.handle.deleteTimer(timer)
@@ -121,9 +165,10 @@ class Reassembly(StatefulProcessor):
         _, _, expected, waiting, timer = self.front.get()
         if timer != expiredTimerInfo.getExpiryTimeInMs() or not waiting:
             return
-        for number in sorted(k[0] for k in self.held.keys()):
-            yield self._rows(key, [(None, bytes(self.held.getValue((number,))[0]), number, "gap")])
-            expected = number + 1
+        for block in sorted(k[0] for k in self.held.keys()):
+            early = _unpacked(bytes(self.held.getValue((block,))[0]))
+            yield self._rows(key, [(None, chunk, number, "gap") for number, chunk in sorted(early.items())])
+            expected = max(early) + 1
         self.held.clear()
         self.front.update((b"", None, expected, 0, None))
 
@@ -153,7 +198,8 @@ def frames(
       behind the waiting chunks, and as the length of the gap is unknown, later frames have no offset;
     * ``late``: the chunk belongs to a gap that was given up.
 
-    The state of a device holds one unfinished frame, the waiting chunks and 16 bytes for each chunk used. It needs
+    The state of a device holds one unfinished frame, the waiting chunks and 16 bytes for each chunk used, in entries of
+    256 numbers each. It needs
     the RocksDB state store, which is set for the session where another one is.
     """
     spark = chunks.sparkSession

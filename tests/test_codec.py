@@ -6,6 +6,7 @@ import struct
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -254,3 +255,52 @@ def test_integers(spark):
 def test_text_is_cut_and_stripped(spark):
     got = spark.createDataFrame([(b"ab\x00c\x00\x00",), (b"\xff\x41",)], "r binary").select(wire.text_value("r").alias("t")).collect()
     assert [r.t for r in got] == ["ab\x00c", "�A"]
+
+
+class Entries(dict):
+    """A state variable that counts the calls."""
+
+    calls = 0
+
+    def getValue(self, key):
+        Entries.calls += 1
+        return (self[key],) if key in self else None
+
+    def updateValue(self, key, value):
+        Entries.calls += 1
+        self[key] = value[0]
+
+    def removeKey(self, key):
+        Entries.calls += 1
+        del self[key]
+
+    def get(self, key=None):
+        Entries.calls += 1
+        return dict.get(self, key)
+
+    def exists(self):
+        return bool(dict.get(self, None))
+
+    def update(self, value):
+        Entries.calls += 1
+        self[None] = value
+
+    def getValueState(self, *names):
+        return Entries()
+
+    getMapState = getValueState
+
+
+def test_early_chunks_cost_few_state_calls():
+    rng = random.Random(3)
+    data = [make(1, 2, rng.randbytes(rng.randrange(60))) + rng.choice([b"", b"noise"]) for _ in range(500)]
+    rows = list(enumerate(data))
+    rng.shuffle(rows)
+    device = stream.Reassembly("device", "seq", "data", 0, None, stream.MOST_WAITING)
+    device.init(Entries())
+    found, Entries.calls = [], 0
+    for part in (rows[:200], rows[200:400], rows[400:]):
+        batch = pd.DataFrame(part, columns=["seq", "data"])
+        found += [r for out in device.handleInputRows(("d",), iter([batch.iloc[:90], batch.iloc[90:]]), None) for r in out.itertuples(index=False)]
+    assert sorted((int(r.offset), r.frame) for r in found) == scan_in_one_pass(b"".join(data))
+    assert Entries.calls < 60 and not device.held
