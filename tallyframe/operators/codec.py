@@ -395,7 +395,7 @@ def decode_groups(identified: DataFrame, groups: DataFrame, group_fields: DataFr
     body = F.struct("pos", "field", "byte_offset", "data_type", *_shape())
     nested = group_fields.groupBy(*names).agg(F.array_sort(F.collect_list(body)).alias("_members"))
     dim = skew.null_safe_join(groups, nested, names, "inner").withColumnsRenamed({"variant": "_gv"})
-    rows = identified.where("parsed").join(dim, IDS, "inner").where(F.col("variant").eqNullSafe(F.col("_gv")))
+    rows = identified.where("parsed").join(cut_lineage(dim), IDS, "inner").where(F.col("variant").eqNullSafe(F.col("_gv")))
     # A struct of the dimension's columns, as in the nested form.
     base, times = _repeats({c: F.col(c) for c in ("base", "products", "size", "repetition", "count_field", "count")}, F.col("fields"), F.col("payload"))
     rows = rows.withColumns({"_base": base, "_times": times})
@@ -525,7 +525,7 @@ def typed(views: DataFrame, message: str, keys, fields: DataFrame, groups: DataF
 
 def unpack_bits(values: DataFrame, bits: DataFrame, keys) -> DataFrame:
     """Bits of decoded numbers; ``bits``: message, field, bit, bit_start, width. Opaque fields have no bits."""
-    joined = values.join(bits, ["message", "field"])
+    joined = values.join(cut_lineage(bits), ["message", "field"])
     return joined.select(*keys, "message", "field", "idx", "bit", wire.bit_field("int_value", "bit_start", "width").alias("bit_value"))
 
 
@@ -535,7 +535,7 @@ def interpret(values: DataFrame, meaning: DataFrame, enums: DataFrame | None = N
     ``meaning``: message, field, multiplier, unit, reserved, since_version. Reserved fields, and with
     ``protocol_version`` fields introduced later, drop out. ``enums``: message, field, value, label.
     """
-    joined = values.join(meaning, ["message", "field"], "left")
+    joined = values.join(cut_lineage(meaning), ["message", "field"], "left")
     joined = joined.where(~F.coalesce("reserved", F.lit(False)))
     if protocol_version is not None:
         joined = joined.where(F.coalesce(F.col("since_version") <= protocol_version, F.lit(True)))
@@ -543,7 +543,7 @@ def interpret(values: DataFrame, meaning: DataFrame, enums: DataFrame | None = N
     joined = joined.withColumn("scaled_value", number * F.coalesce("multiplier", F.lit(1.0)))
     if enums is not None:
         dim = enums.select("message", "field", F.col("value").cast(wire.WORD).alias("int_value"), "label")
-        joined = joined.join(dim, ["message", "field", "int_value"], "left")
+        joined = joined.join(cut_lineage(dim), ["message", "field", "int_value"], "left")
     return joined.drop("multiplier", "reserved", "since_version")
 
 
@@ -559,7 +559,7 @@ def conditional(values: DataFrame, selectors: DataFrame, readings: DataFrame, ke
     reading, unit, multiplier.
     """
     chosen = selectors.withColumnRenamed("bit_value", "_bv").join(
-        readings.withColumnRenamed("bit_value", "_rv"), ["message", "bit"]
+        cut_lineage(readings.withColumnRenamed("bit_value", "_rv")), ["message", "bit"]
     ).where(F.col("_bv") == F.col("_rv"))
     joined = values.join(chosen.select(*keys, "message", "field", "reading", "unit", "multiplier"), [*keys, "message", "field"])
     return joined.withColumn("scaled_value", F.coalesce(F.col("int_value").cast("double"), "real_value") * F.coalesce("multiplier", F.lit(1.0)))

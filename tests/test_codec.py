@@ -304,3 +304,20 @@ def test_early_chunks_cost_few_state_calls():
         found += [r for out in device.handleInputRows(("d",), iter([batch.iloc[:90], batch.iloc[90:]]), None) for r in out.itertuples(index=False)]
     assert sorted((int(r.offset), r.frame) for r in found) == scan_in_one_pass(b"".join(data))
     assert Entries.calls < 60 and not device.held
+
+
+def test_registry_rows_are_sized_and_not_sorted_with_the_values(spark):
+    """A few registry keys name all values: a sorted join would bring them into one task."""
+    values = spark.range(9).selectExpr("id", "'M' AS message", "'f' AS field", "0 AS idx", "CAST(id AS DECIMAL(20,0)) AS int_value", "CAST(NULL AS DOUBLE) AS real_value")
+    bits = spark.createDataFrame([("M", "f", "low", 0, 1)], "message string, field string, bit string, bit_start int, width int")
+    meaning = spark.createDataFrame([("M", "f", 0.5, "m", False, None)], "message string, field string, multiplier double, unit string, reserved boolean, since_version int")
+    labels = spark.createDataFrame([("M", "f", 1, "one")], "message string, field string, value bigint, label string")
+    readings = spark.createDataFrame([("M", "f", "low", 1, "odd", "m", 2.0)], "message string, field string, bit string, bit_value bigint, reading string, unit string, multiplier double")
+    unpacked = codec.unpack_bits(values, bits, ["id"])
+    assert sorted((r.id, r.bit_value) for r in unpacked.collect()) == [(i, i % 2) for i in range(9)]
+    meant = codec.interpret(values, meaning, labels)
+    assert sorted((r.id, r.scaled_value, r.label) for r in meant.collect()) == [(i, i / 2, "one" if i == 1 else None) for i in range(9)]
+    read = codec.conditional(values, unpacked.drop("field", "idx"), readings, ["id"])
+    assert sorted((r.id, r.scaled_value) for r in read.collect()) == [(i, i * 2.0) for i in (1, 3, 5, 7)]
+    for rows in (unpacked, meant):
+        assert "SortMergeJoin" not in rows._jdf.queryExecution().executedPlan().toString()
