@@ -19,12 +19,15 @@ def slice_bytes(data, offset, size) -> Column:
 
 
 def _swap_bytes(hexed: Column) -> Column:
-    return F.regexp_replace(F.reverse(hexed), "(.)(.)", "$2$1")
+    """Up to eight bytes in hex, last byte first."""
+    return F.concat(*[F.substring(hexed, at, 2) for at in range(15, 0, -2)])
 
 
 def reversed_hex(data) -> Column:
     """Hex of some bytes, last byte first."""
-    return _swap_bytes(F.hex(_col(data)))
+    data = _col(data)
+    longer = F.regexp_replace(F.reverse(F.hex(data)), "(.)(.)", "$2$1")
+    return F.when(F.length(data) > 8, longer).otherwise(let(F.hex(data), _swap_bytes))
 
 
 def unsigned(data) -> Column:

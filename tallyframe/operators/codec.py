@@ -417,11 +417,14 @@ def decode_groups(identified: DataFrame, groups: DataFrame, group_fields: DataFr
 def _element(payload: Column, f: Column, at: Column) -> Column:
     """One element as a VARIANT: as in :func:`decode`, numbers past the end are 0 and texts are cut."""
     is_text, is_real = f["base"] == "CH", f["base"].isin("R4", "R8")
-    raw = wire.slice_bytes(payload, at, F.when(is_text, f["count"]).otherwise(f["size"]))
-    whole = F.length(raw) == f["size"]
-    number = F.when(whole, wire.integer_value(raw, f["base"])).otherwise(F.lit(0).cast(wire.WORD))
-    real = F.when(whole, wire.float_value(raw)).otherwise(F.lit(0.0))
-    return F.when(is_text, wire.text_value(raw).cast("variant")).when(is_real, real.cast("variant")).otherwise(number.cast("variant"))
+
+    def value(raw):
+        whole = F.length(raw) == f["size"]
+        number = F.when(whole, wire.integer_value(raw, f["base"])).otherwise(F.lit(0).cast(wire.WORD))
+        real = F.when(whole, wire.float_value(raw)).otherwise(F.lit(0.0))
+        return F.when(is_text, wire.text_value(raw).cast("variant")).when(is_real, real.cast("variant")).otherwise(number.cast("variant"))
+
+    return n.let(wire.slice_bytes(payload, at, F.when(is_text, f["count"]).otherwise(f["size"])), value)
 
 
 def _entries(payload: Column, fields: Column, base: Column) -> Column:
@@ -439,8 +442,9 @@ def _entries(payload: Column, fields: Column, base: Column) -> Column:
 
 def _object(entries: Column) -> Column:
     """A VARIANT object; of entries with one name the first counts."""
-    fresh = F.filter(entries, lambda e, i: F.array_position(F.transform(entries, lambda x: x["key"]), e["key"]) == i + 1)
-    return F.to_variant_object(F.map_from_entries(fresh))
+    names = F.transform(entries, lambda x: x["key"])
+    fresh = F.filter(entries, lambda e, i: F.array_position(names, e["key"]) == i + 1)
+    return F.to_variant_object(F.map_from_entries(F.when(F.size(F.array_distinct(names)) == F.size(entries), entries).otherwise(fresh)))
 
 
 def wide(identified: DataFrame, keys, groups: DataFrame | None = None, group_fields: DataFrame | None = None) -> DataFrame:

@@ -274,7 +274,7 @@ def repeated_groups(spark, folder):
 def grouped(spark, folder):
     """(identified frames with a repeated group, their fields, groups, members of groups); a message for each kind of repetition."""
     n_groups, kind, user = F.col("event_id") % 4, F.floor(F.col("event_id") / 4) % 4, F.col("user_id")
-    rows = table(spark, folder, "events").select("event_id", "user_id")
+    rows = spread(table(spark, folder, "events").select("event_id", "user_id"))
     head = F.unhex(F.concat(F.lit("0A"), wire.little_endian_hex(n_groups, F.lit(1))))
     prefixes = rows.select("event_id", kind.alias("kind"), head.alias("payload"))
     one = rows.select("event_id", "user_id", F.explode(F.when(n_groups > 0, F.sequence(F.lit(0), (n_groups - 1).cast("int"))).otherwise(F.array().cast("array<int>"))).alias("i"))

@@ -321,3 +321,17 @@ def test_registry_rows_are_sized_and_not_sorted_with_the_values(spark):
     assert sorted((r.id, r.scaled_value) for r in read.collect()) == [(i, i * 2.0) for i in (1, 3, 5, 7)]
     for rows in (unpacked, meant):
         assert "SortMergeJoin" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bytes_in_reverse(spark):
+    rng = random.Random(6)
+    data = [rng.randbytes(n) for n in range(14)] + [None]
+    rows = spark.createDataFrame([(d,) for d in data], "d binary").select("d", wire.reversed_hex("d").alias("h")).collect()
+    assert all(r.h == (None if r.d is None else bytes(r.d)[::-1].hex().upper()) for r in rows)
+
+
+def test_events_of_views_are_dealt_over_tasks(spark):
+    from tallyframe.plans import captures as plans
+
+    rows = plans.grouped(spark, "/root/testdata/sf0.001")[0]
+    assert "RoundRobinPartitioning" in rows._jdf.queryExecution().executedPlan().toString()
