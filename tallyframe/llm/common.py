@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import from_arrow_type
 
-#: Bytes of texts that go to a Python worker at once, whatever the number of rows.
-BATCH_BYTES = 4 << 20
+from ..session import BATCH_BYTES, small_batches  # noqa: F401
 
 #: ASCII white space: the characters that separate words.
 SPACE = b" \t\n\v\f\r"
@@ -25,15 +23,6 @@ def raw(column: pa.Array, at_once: int = 128) -> Iterator[bytes | None]:
         yield from column.slice(start, at_once).to_pylist()
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, in whose session Arrow batches now hold at most BATCH_BYTES, so that long texts do not add up."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", df.sparkSession.conf.get(name).lower()).groups()
-    if not 0 < int(number) << 10 * " kmgt".index(unit or " ") <= BATCH_BYTES:
-        df.sparkSession.conf.set(name, str(BATCH_BYTES))
-    return df
-
-
 def remainder(key: Column, by: int) -> Column:
     """crc32 of the key as text, modulo ``by``; null for a null key."""
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(by))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, wire
 from ..functions import naming as n
-from ..session import cut_lineage
+from ..session import cut_lineage, small_batches
 from . import skew
 from .rules import fits_type
 
@@ -162,7 +162,7 @@ def block_entries(windows: DataFrame, capture: str, block: int = BLOCK, fan: int
             })
 
     schema = f"`{capture}` {key_type}, block bigint, uppers array<bigint>, exits array<bigint>"
-    steps = windows.mapInPandas(step, schema).withColumn("_span", F.floor(F.col("block") / fan))
+    steps = small_batches(windows).mapInPandas(step, schema).withColumn("_span", F.floor(F.col("block") / fan))
 
     def span(key, pdf):
         tables = list(zip(*[pdf.sort_values("block")[c] for c in ("uppers", "exits")]))
@@ -216,7 +216,7 @@ def scan(chunks: DataFrame, capture: str, data: str, seq: str | None = None, blo
                 })
 
     if seq is None:
-        return chunks.select(capture, F.col(data).alias("_data")).mapInPandas(cut_rows, schema)
+        return small_batches(chunks.select(capture, F.col(data).alias("_data"))).mapInPandas(cut_rows, schema)
     offsets = chunk_offsets(chunks, capture, seq, data, **chunking)
     longest, copies = offsets.agg(F.max(F.col("at") + F.col("size")), F.max("copies")).first()
     placed = chunks.select(capture, seq, F.col(data).alias("_data")).join(offsets.drop("size", "copies"), [capture, seq])
@@ -241,7 +241,7 @@ def scan(chunks: DataFrame, capture: str, data: str, seq: str | None = None, blo
                 "offset": np.array(offsets, dtype="int64"), "frame": found,
             })
 
-    return joined.select(capture, "block", "window", "entry").mapInPandas(cut, schema)
+    return small_batches(joined.select(capture, "block", "window", "entry")).mapInPandas(cut, schema)
 
 
 # -- headers ---------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -75,3 +76,16 @@ def spread(df: DataFrame) -> DataFrame:
     """``df``, whose rows take long, dealt out over several tasks a core; a larger input, of more splits, over more tasks."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(SPREAD * max(cores, df.rdd.getNumPartitions()))
+
+
+#: Bytes that go to a Python worker at once, whatever the number of rows.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in whose session Arrow batches now hold at most BATCH_BYTES, so that long rows do not add up."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", df.sparkSession.conf.get(name).lower()).groups()
+    if not 0 < int(number) << 10 * " kmgt".index(unit or " ") <= BATCH_BYTES:
+        df.sparkSession.conf.set(name, str(BATCH_BYTES))
+    return df

@@ -335,3 +335,14 @@ def test_events_of_views_are_dealt_over_tasks(spark):
 
     rows = plans.grouped(spark, "/root/testdata/sf0.001")[0]
     assert "RoundRobinPartitioning" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_windows_go_to_python_in_small_batches(spark, captures):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "1g")
+        codec.scan(chunked(spark, {"tiny": captures["tiny"]}), "capture", "data", "seq")
+        assert int(spark.conf.get(name)) <= 4 << 20
+    finally:
+        spark.conf.set(name, held)
