@@ -18,6 +18,10 @@ def slice_bytes(data, offset, size) -> Column:
     return F.substring(_col(data), _col(offset).cast("int") + 1, _col(size).cast("int"))
 
 
+def _reversed_pairs(hexed: Column) -> Column:
+    return F.regexp_replace(F.reverse(hexed), "(.)(.)", "$2$1")
+
+
 def _swap_bytes(hexed: Column) -> Column:
     """Up to eight bytes in hex, last byte first."""
     return F.concat(*[F.substring(hexed, at, 2) for at in range(15, 0, -2)])
@@ -26,8 +30,7 @@ def _swap_bytes(hexed: Column) -> Column:
 def reversed_hex(data) -> Column:
     """Hex of some bytes, last byte first."""
     data = _col(data)
-    longer = F.regexp_replace(F.reverse(F.hex(data)), "(.)(.)", "$2$1")
-    return F.when(F.length(data) > 8, longer).otherwise(let(F.hex(data), _swap_bytes))
+    return F.when(F.length(data) > 8, _reversed_pairs(F.hex(data))).otherwise(let(F.hex(data), _swap_bytes))
 
 
 def unsigned(data) -> Column:
@@ -104,7 +107,7 @@ def integer_value(data, base) -> Column:
 def little_endian_hex(value, size) -> Column:
     """Hex of a number in ``size`` little-endian bytes (two's complement)."""
     whole = F.lpad(F.conv(_col(value).cast("string"), 10, 16), 16, "0")
-    return F.substring(_swap_bytes(whole), F.lit(1), _col(size).cast("int") * 2)
+    return F.substring(_reversed_pairs(whole), F.lit(1), _col(size).cast("int") * 2)
 
 
 def text_hex(value, size) -> Column:
