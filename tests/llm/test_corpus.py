@@ -547,3 +547,18 @@ def test_stages_on_tricky_rows(spark, folder, tricky):
             found = stage(spark, some, folder)
             found.collect()
             assert number == len(corpus_pipeline.STAGES) - 1 or found.columns == some.columns
+
+
+def test_encoding_stage_ranks_segmentations(spark, folder):
+    texts = ["The quick brown fox jumps over the lazy dog near the old river bank.", "word", "x1 ééé\n日本語", "", None, "word"]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string")
+    rows = {r.doc_id: r for r in corpus_pipeline.sentencepiece_encoding(spark, docs, folder).collect()}
+    segmenter = pieces.Segmenter(pieces.load(pieces.public_model()))
+    assert len(rows) == len(texts)
+    for i, text in enumerate(texts):
+        if text is None:
+            assert rows[i].ids is None and rows[i].n_pieces is None and rows[i].nbest is None
+            continue
+        ids, ranked = segmenter.encode(text)
+        assert rows[i].ids == ids.tolist() and [(n.score, n.ids) for n in rows[i].nbest] == [(s, p.tolist()) for s, p in ranked]
+        assert len(ranked) == (pieces.BEST if text else 0) and all(segmenter.decode(n.ids) == text for n in rows[i].nbest)
