@@ -111,7 +111,7 @@ def resolve_names(ours: DataFrame, theirs: DataFrame, message: str, field: str,
     known = theirs.select(F.col(message), F.col(field).alias("_known")).distinct()
 
     def lookup(df, candidate, out):
-        hit = known.withColumnsRenamed({message: "_m", "_known": out})
+        hit = skew.shuffled(known.withColumnsRenamed({message: "_m", "_known": out}))
         return df.join(hit, (df[message] == hit["_m"]) & (df[candidate] == hit[out]), "left").drop("_m")
 
     out = lookup(ours.withColumn("_direct_name", F.col(field)), "_direct_name", "_direct")
@@ -141,13 +141,13 @@ def cross(
     have give no rows. ``extras``: message, field. ``equivalences``: message, field, a, b.
     """
     shared = theirs.select(message).distinct()
-    mine = ours.join(shared, message, "left_semi")
+    mine = ours.join(skew.shuffled(shared), message, "left_semi")
     resolved = resolve_names(mine, theirs, message, field, aliases, expansions)
     left = resolved.select(
         F.col(message), F.col(field).alias("_ours"), F.col(dtype).alias("our_type"), F.coalesce("resolved", F.concat(F.lit("\u0000"), field)).alias("_key")
     )
     mine_messages = ours.select(message).distinct()
-    right = theirs.join(mine_messages, message, "left_semi").select(
+    right = theirs.join(skew.shuffled(mine_messages), message, "left_semi").select(
         F.col(message), F.col(field).alias("_key"), F.col(field).alias("_theirs"), F.col(dtype).alias("other_type")
     )
     both = left.join(right, [message, "_key"], "full_outer")
@@ -191,7 +191,8 @@ def compare_bits(ours: DataFrame, theirs: DataFrame, keys, bit: str, aliases: Da
     left = ours.join(dim, bit, "left")
 
     def lookup(df, candidate, out):
-        return skew.null_safe_join(df.withColumn(out, F.col(candidate)), known.withColumn(out, F.col("_known")).withColumnRenamed("_known", f"_hit_{out}"), [*keys, out], "left")
+        hit = skew.shuffled(known.withColumn(out, F.col("_known")).withColumnRenamed("_known", f"_hit_{out}"))
+        return skew.null_safe_join(df.withColumn(out, F.col(candidate)), hit, [*keys, out], "left")
 
     left = lookup(lookup(left, bit, "_d"), "_alias", "_al")
     target = F.coalesce("_hit__d", "_hit__al", F.concat(F.lit("\u0000"), F.col(bit)))
@@ -222,14 +223,14 @@ def cross_bits(
     matched = resolve_names(ours, theirs, message, field, aliases, expansions)
     matched = matched.where(F.col("resolved").isNotNull() & ~F.col(field).startswith("reserved") & F.col(dtype).startswith("X"))
     names = matched.select(message, field, F.col("resolved").alias("_other")).distinct()
-    theirs_here = names.join(their_bits.withColumnRenamed(field, "_other"), [message, "_other"]).drop("_other")
+    theirs_here = names.join(skew.shuffled(their_bits.withColumnRenamed(field, "_other")), [message, "_other"]).drop("_other")
     with_bits = theirs_here.select(message, field).distinct()
-    bare = with_bits.join(our_bits, [message, field], "left_anti")
+    bare = with_bits.join(skew.shuffled(our_bits), [message, field], "left_anti")
     none = F.lit(None).cast("bigint")
     missing = bare.select(
         message, field, F.lit(None).cast("string").alias(bit), F.lit("missing_bitfield").alias("issue"), none.alias("our_offset"), none.alias("other_offset"), none.alias("our_width"), none.alias("other_width"))
-    held = with_bits.join(our_bits, [message, field], "left_semi")
-    known = lambda bits: bits.join(held, [message, field], "left_semi")
+    held = with_bits.join(skew.shuffled(our_bits), [message, field], "left_semi")
+    known = lambda bits: bits.join(skew.shuffled(held), [message, field], "left_semi")
     compared = compare_bits(known(our_bits), known(theirs_here), [message, field], bit, bit_aliases)
     numbers = [F.col(c).cast("bigint").alias(c) for c in ("our_offset", "other_offset", "our_width", "other_width")]
     return compared.select(message, field, bit, "issue", *numbers).unionByName(missing)

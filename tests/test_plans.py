@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators import layout, skew
+from tallyframe.operators import compare, layout, skew
 from tallyframe.plans import auditing, voting
+from tallyframe.session import cut_lineage
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -48,3 +49,21 @@ def test_rule_sets_read_each_table_once(spark):
     assert plan.count("FileScan parquet") == 3 and plan.count("Exchange hashpartitioning") == 3
     # The two messages that no nation has are few here; every other rule is broken somewhere, too, but for one.
     assert {r.rule for r in found.collect() if not r.violations} <= {"enumerations", "message_known"}
+
+
+def test_registries_do_not_pass_through_the_driver(spark):
+    # Written, so that Spark takes them for as small as their files.
+    kept = lambda rows, schema: cut_lineage(spark.createDataFrame(rows, schema))
+    names = [f"m{i}" for i in range(200)]
+    ours = kept([(m, f, "X1") for m in names for f in ("a", "b", "c")], "message string, field string, dtype string")
+    theirs = kept([(m, f, "X001") for m in names for f in ("a", "B", "d")], "message string, field string, dtype string")
+    our_bits = kept([(m, f, b, 0, 1) for m in names for f in "a" for b in ("p", "q")], "message string, field string, bit string, bit_offset int, width int")
+    their_bits = kept([(m, f, b, 1, 1) for m in names for f in ("a", "B") for b in ("p", "Q")], "message string, field string, bit string, bit_offset int, width int")
+    aliases, bit_aliases = (spark.createDataFrame([x], "our_name string, other_name string") for x in (("b", "B"), ("q", "Q")))
+    fields = compare.cross(ours, theirs, "message", "field", "dtype", aliases)
+    bits = compare.cross_bits(ours, theirs, our_bits, their_bits, "message", "field", "dtype", "bit", aliases, bit_aliases)
+    for found in (fields, bits):
+        assert "Broadcast" not in plan_of(found) and "SortMergeJoin" in plan_of(found)
+    assert sorted((r.message, r.field, r.issue) for r in fields.collect()) == sorted((m, *x) for m in names for x in (("c", "our_only"), ("d", "library_only")))
+    assert sorted((r.message, r.field, r.bit, r.issue) for r in bits.collect() if r.bit) == sorted((m, "a", b, "offset_mismatch") for m in names for b in ("p", "q"))
+    assert sorted((r.message, r.field, r.issue) for r in bits.collect() if not r.bit) == sorted((m, "b", "missing_bitfield") for m in names)
